@@ -1,0 +1,77 @@
+"""The pipeline as one lazy plan (ingest -> clean -> merge -> features ->
+split -> fit -> score -> evaluate -> decide).
+
+Stages are materialised only where a sink is asked for; otherwise Catalyst
+sees the whole chain and prunes columns and pushes filters into the scans.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from daycast.functions.columns import cooling_degree_days, heating_degree_days
+from daycast.operators.clean import repair_zeros
+from daycast.operators.daily import daily_totals
+from daycast.operators.evaluate import chronological_split, retrain_flag, window_report
+from daycast.operators.joins import weather_left_target
+from daycast.operators.model import fit_trend_weekday, predict_trend_weekday
+from daycast.operators.weather import keep_first_per_day, union_sources
+from daycast.sources.fixtures import event_readings, order_readings, weather_sources
+
+MODEL_TREND_WEEKDAY = "trend_weekday"
+
+
+def daily_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily target per segment: totals rounded to cents, zeros repaired."""
+    d = daily_totals(order_readings(spark, sf_dir)).withColumn("y", F.round("y", 2))
+    return repair_zeros(d).select("series_id", "ds", "jour", "y")
+
+
+def event_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_totals(event_readings(spark, sf_dir))
+
+
+def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive then forecast, first row per day kept: ``ds, temps..., src``."""
+    archive, forecast = weather_sources(spark, sf_dir)
+    u = union_sources(("archive", archive), ("forecast", forecast))
+    return keep_first_per_day(u, cols=["temperature_max", "temperature_min", "temperature_mean", "src"])
+
+
+def with_degree_days(df: DataFrame, temp: str = "temperature_mean") -> DataFrame:
+    return df.withColumn("HDD", heating_degree_days(temp)).withColumn("CDD", cooling_degree_days(temp))
+
+
+def full_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + F1/F2: every weather day per series, target NULL on future days."""
+    full = weather_left_target(daily_target(spark, sf_dir), weather(spark, sf_dir))
+    return with_degree_days(full).select(
+        "series_id", "ds", "temperature_max", "temperature_min", "temperature_mean", "y", "HDD", "CDD")
+
+
+def prepared_train(full: DataFrame) -> DataFrame:
+    """P6 + P7: training rows ``series_id, ds, y, HDD, CDD``."""
+    return full.filter(F.col("y").isNotNull()).select("series_id", "ds", "y", "HDD", "CDD")
+
+
+def prepared_forecast(full: DataFrame) -> DataFrame:
+    """Forecast rows (all days, target dropped) ``series_id, ds, HDD, CDD``."""
+    return full.select("series_id", "ds", "HDD", "CDD")
+
+
+def trend_weekday_scored(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split, fit on the train part, score every prepared row."""
+    split = chronological_split(prepared)
+    coef = fit_trend_weekday(split.filter(F.col("split") == "train"))
+    return predict_trend_weekday(split, coef), coef
+
+
+def retrain_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: last-60-day MAE / MASE of the fitted model against the 7-day
+    naive, per segment, and the retrain flag (MASE > 0.95)."""
+    prepared = prepared_train(full_data(spark, sf_dir))
+    scored, _ = trend_weekday_scored(prepared)
+    report = window_report(scored, MODEL_TREND_WEEKDAY)
+    flag = retrain_flag(report)
+    return report.join(flag.drop("metric_value"), ["series_id", "model_name"])
