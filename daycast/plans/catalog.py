@@ -25,3 +25,142 @@ def register(name: str):
 @register("retrain_decision")
 def q_retrain_decision(spark, sf):
     return P.retrain_decision(spark, sf)
+
+
+# ====================================================================== helpers
+from pyspark.sql import functions as F  # noqa: E402
+
+from daycast.functions.columns import rounded  # noqa: E402
+from daycast.operators import clean, daily, joins, weather as W  # noqa: E402
+from daycast.sources import fixtures as FX, payloads  # noqa: E402
+
+
+def _r(df: DataFrame, places: dict[str, int]) -> DataFrame:
+    """Round double outputs (summation order differs between engines)."""
+    return df.withColumns({c: rounded(c, p) for c, p in places.items()})
+
+
+TEMPS = {"temperature_max": 6, "temperature_min": 6, "temperature_mean": 6}
+
+# Fixed parameters of the registered queries.
+AS_OF_DAILY = "2024-01-15"
+FACETS = {"series_id": "purchase"}
+ROW_CAP = 5000
+WEATHER_RANGE = ("1996-01-01", "1996-12-31")
+
+
+# ====================================================================== S1-S6, B1-B7, A1
+@register("json_records_flatten")
+def q_json_records_flatten(spark, sf):
+    pl = payloads.envelope_payloads(FX.event_readings(spark, sf))
+    rows = payloads.flatten_records(pl, keep=["page"])
+    return _r(rows.select("page", F.to_date("jour").alias("ds"), "jour", "conso_jour"), {"conso_jour": 6})
+
+
+@register("json_arrays_flatten")
+def q_json_arrays_flatten(spark, sf):
+    pl = payloads.weather_payloads(FX.weather_daily(spark, sf))
+    rows, _rejects = payloads.flatten_arrays(pl, keep=["month"])
+    return _r(rows, {v: 6 for v in payloads.WEATHER_VARS})
+
+
+@register("props_json")
+def q_props_json(spark, sf):
+    r = FX.event_readings(spark, sf)
+    return r.select("series_id", "event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+
+
+@register("fetch_window_daily_mode")
+def q_fetch_window_daily_mode(spark, sf):
+    win = daily.fetch_window(FX.event_readings(spark, sf), "daily", as_of=AS_OF_DAILY)
+    return _r(daily.daily_totals(win), {"y": 2})
+
+
+@register("facet_filter")
+def q_facet_filter(spark, sf):
+    r = daily.facet_filter(FX.event_readings(spark, sf), FACETS)
+    return _r(daily.daily_totals(r), {"y": 2})
+
+
+@register("ordered_limit")
+def q_ordered_limit(spark, sf):
+    d = daily.daily_totals(FX.event_readings(spark, sf))
+    return _r(daily.first_n_days(d, ROW_CAP).select("series_id", "ds", "jour", "y"), {"y": 2})
+
+
+@register("daily_totals")
+def q_daily_totals(spark, sf):
+    return _r(daily.daily_totals(FX.order_readings(spark, sf)), {"y": 2})
+
+
+@register("tumbling_day")
+def q_tumbling_day(spark, sf):
+    return _r(daily.tumbling_day(FX.event_readings(spark, sf)), {"y": 2})
+
+
+@register("ingest_profile")
+def q_ingest_profile(spark, sf):
+    d = P.daily_target(spark, sf)
+    segs = FX.table(spark, sf, "customer").select(F.col("c_mktsegment").alias("series_id"))
+    return daily.ingest_profile(d, segs)
+
+
+@register("required_columns_scan")
+def q_required_columns_scan(spark, sf):
+    ev = FX.table(spark, sf, "events")
+    return clean.require_columns(ev, ["event_id", "event_type", "ts", "value"], "events")
+
+
+@register("clean_projection")
+def q_clean_projection(spark, sf):
+    raw = daily.daily_totals(FX.event_readings(spark, sf)).select(
+        "series_id", F.date_format("jour", "yyyy-MM-dd'T'HH:mm:ss").alias("jour"),
+        F.col("y").alias("conso_jour"), F.date_format("ds", "yyyy-MM-dd").alias(clean.DEBUG_COLUMN))
+    df = clean.rename(clean.drop_if_present(raw, clean.DEBUG_COLUMN, "not_a_column"), clean.TARGET_RENAMES)
+    df = df.withColumn("date", clean.parse_day("date"))
+    return _r(df, {"daily_conso_kwh": 2})
+
+
+@register("zero_repair")
+def q_zero_repair(spark, sf):
+    r = FX.event_readings(spark, sf).select("series_id", "event_id", "ts", "value")
+    return _r(clean.repair_zeros_raw(r, "series_id", ["ts", "event_id"], "value"), {"value": 6})
+
+
+# ====================================================================== U1/U3, J1, P6/P7/P11, F1/F2, S3
+@register("weather_union_first")
+def q_weather_union_first(spark, sf):
+    return _r(P.weather(spark, sf), TEMPS)
+
+
+@register("weather_left_target")
+def q_weather_left_target(spark, sf):
+    return _r(P.full_data(spark, sf), {**TEMPS, "y": 2, "HDD": 6, "CDD": 6})
+
+
+@register("availability_cap")
+def q_availability_cap(spark, sf):
+    return _r(clean.availability_cap(P.full_data(spark, sf)).select("series_id", "ds", "y", "temperature_mean"),
+              {"y": 2, "temperature_mean": 6})
+
+
+@register("prepared_train")
+def q_prepared_train(spark, sf):
+    return _r(P.prepared_train(P.full_data(spark, sf)), {"y": 2, "HDD": 6, "CDD": 6})
+
+
+@register("prepared_forecast")
+def q_prepared_forecast(spark, sf):
+    return _r(P.prepared_forecast(P.full_data(spark, sf)), {"HDD": 6, "CDD": 6})
+
+
+@register("degree_days")
+def q_degree_days(spark, sf):
+    w = P.with_degree_days(P.weather(spark, sf)).select("ds", "temperature_mean", "HDD", "CDD")
+    return _r(w, {"temperature_mean": 6, "HDD": 6, "CDD": 6})
+
+
+@register("weather_select")
+def q_weather_select(spark, sf):
+    w = W.select_weather(P.weather(spark, sf), ["temperature_max", "temperature_mean"], *WEATHER_RANGE)
+    return _r(w, {"temperature_max": 6, "temperature_mean": 6})

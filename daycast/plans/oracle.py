@@ -109,3 +109,79 @@ q("retrain_decision", """
 SELECT series_id, model_name, window_size, baseline, mae_window, mase_window,
        coalesce(mase_window > 0.95, true) AS should_retrain
 FROM x_report""", "x_report")
+
+
+# ---------------------------------------------------------------- S1-S6, B1-B7, A1
+def R(x: str, p: int = 6) -> str:
+    return f"round({x}, {p}) + 0.0"
+
+
+q("json_records_flatten", f"""
+SELECT CAST(floor(event_id / 100) AS BIGINT) AS page, CAST(ts AS DATE) AS ds,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S') AS jour, {R('value')} AS conso_jour
+FROM x_readings""", "x_readings")
+q("json_arrays_flatten", f"""
+SELECT strftime(ds, '%Y-%m') AS month, strftime(ds, '%Y-%m-%d') AS time,
+       {R('temperature_max')} AS temperature_2m_max, {R('temperature_min')} AS temperature_2m_min,
+       {R('temperature_mean')} AS temperature_2m_mean
+FROM x_w_all""", "x_w_all")
+q("props_json", """
+SELECT series_id, event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM x_readings""", "x_readings")
+cte("x_ev_daily", """
+SELECT series_id, CAST(ts AS DATE) AS ds, min(ts) AS jour, sum(value) AS y, count(*) AS n_readings
+FROM x_readings GROUP BY 1, 2""", "x_readings")
+q("fetch_window_daily_mode", f"""
+SELECT series_id, CAST(ts AS DATE) AS ds, min(ts) AS jour, {R('sum(value)', 2)} AS y, count(*) AS n_readings
+FROM x_readings WHERE ts >= TIMESTAMP '2024-01-14 00:00:00' AND ts < TIMESTAMP '2024-01-15 00:00:00'
+GROUP BY 1, 2""", "x_readings")
+q("facet_filter", f"""
+SELECT series_id, CAST(ts AS DATE) AS ds, min(ts) AS jour, {R('sum(value)', 2)} AS y, count(*) AS n_readings
+FROM x_readings WHERE series_id = 'purchase' GROUP BY 1, 2""", "x_readings")
+q("ordered_limit", f"""
+SELECT series_id, ds, jour, {R('y', 2)} AS y FROM (
+  SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY jour ASC NULLS LAST, ds ASC NULLS LAST) AS rn
+  FROM x_ev_daily) WHERE rn <= 5000""", "x_ev_daily")
+q("daily_totals", f"""
+SELECT series_id, CAST(ts AS DATE) AS ds, min(ts) AS jour, {R('sum(value)', 2)} AS y, count(*) AS n_readings
+FROM x_order_readings GROUP BY 1, 2""", "x_order_readings")
+q("tumbling_day", f"""
+SELECT series_id, ds AS day_start, CAST(ds + 1 AS DATE) AS day_end, jour, {R('y', 2)} AS y, n_readings
+FROM x_ev_daily""", "x_ev_daily")
+q("ingest_profile", """
+SELECT s.series_id, coalesce(p.n_rows, 0) AS n_rows, p.first_day, p.last_day, coalesce(p.n_rows, 0) = 0 AS is_empty
+FROM (SELECT DISTINCT c_mktsegment AS series_id FROM customer) s
+LEFT JOIN (SELECT series_id, count(*) AS n_rows, min(ds) AS first_day, max(ds) AS last_day
+           FROM x_dt GROUP BY 1) p USING (series_id)""", "x_dt")
+q("required_columns_scan", "SELECT event_id, event_type, ts, value FROM events")
+q("clean_projection", f"""
+SELECT series_id, CAST(jour AS DATE) AS date, {R('y', 2)} AS daily_conso_kwh FROM x_ev_daily""", "x_ev_daily")
+q("zero_repair", f"""
+SELECT series_id, event_id, ts,
+       {R('''CASE WHEN value = 0 THEN avg(nullif(value, 0)) OVER (PARTITION BY series_id ORDER BY ts, event_id
+            ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) ELSE value END''')} AS value
+FROM x_readings""", "x_readings")
+
+# ---------------------------------------------------------------- U1/U3, J1, P6/P7/P11, F1/F2, S3
+q("weather_union_first", f"""
+SELECT ds, {R('temperature_max')} AS temperature_max, {R('temperature_min')} AS temperature_min,
+       {R('temperature_mean')} AS temperature_mean, src FROM x_weather""", "x_weather")
+q("weather_left_target", f"""
+SELECT series_id, ds, {R('temperature_max')} AS temperature_max, {R('temperature_min')} AS temperature_min,
+       {R('temperature_mean')} AS temperature_mean, {R('y', 2)} AS y, {R('HDD')} AS HDD, {R('CDD')} AS CDD
+FROM x_full""", "x_full")
+q("availability_cap", f"""
+SELECT series_id, ds, {R('y', 2)} AS y, {R('temperature_mean')} AS temperature_mean FROM (
+  SELECT *, max(CASE WHEN y IS NOT NULL THEN ds END) OVER (PARTITION BY series_id) AS cap FROM x_full)
+WHERE ds <= cap""", "x_full")
+q("prepared_train", f"""
+SELECT series_id, ds, {R('y', 2)} AS y, {R('HDD')} AS HDD, {R('CDD')} AS CDD FROM x_prep""", "x_prep")
+q("prepared_forecast", f"""
+SELECT series_id, ds, {R('HDD')} AS HDD, {R('CDD')} AS CDD FROM x_full""", "x_full")
+q("degree_days", f"""
+SELECT ds, {R('temperature_mean')} AS temperature_mean,
+       {R('CASE WHEN temperature_mean IS NOT NULL THEN greatest(18.0 - temperature_mean, 0.0) END')} AS HDD,
+       {R('CASE WHEN temperature_mean IS NOT NULL THEN greatest(temperature_mean - 22.0, 0.0) END')} AS CDD
+FROM x_weather""", "x_weather")
+q("weather_select", f"""
+SELECT ds, {R('temperature_max')} AS temperature_max, {R('temperature_mean')} AS temperature_mean
+FROM x_weather WHERE ds BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'""", "x_weather")
