@@ -164,3 +164,122 @@ def q_degree_days(spark, sf):
 def q_weather_select(spark, sf):
     w = W.select_weather(P.weather(spark, sf), ["temperature_max", "temperature_mean"], *WEATHER_RANGE)
     return _r(w, {"temperature_max": 6, "temperature_mean": 6})
+
+
+# ====================================================================== C1-C5, J3, J7, M3
+from daycast.functions import calendar as CAL, design as D  # noqa: E402
+from daycast.operators import evaluate as EV, model as M, validate as V  # noqa: E402
+
+HORIZON = 7
+RULES = {
+    "target": {"allow_negative": False, "min_value": 10000.0, "max_value": 2000000.0},
+    "regressors": {"HDD": {"max_value": 2.0}, "CDD": {"min_value": 0.5, "max_value": 12.0},
+                   "temperature_mean": {"min_value": 10.0}},
+}
+
+
+def _order_years(spark, sf):
+    return CAL.years_of(FX.table(spark, sf, "orders"), "o_orderdate")
+
+
+@register("holidays_fr")
+def q_holidays_fr(spark, sf):
+    return CAL.holiday_table(_order_years(spark, sf))
+
+
+@register("bridge_days")
+def q_bridge_days(spark, sf):
+    return CAL.bridge_days(CAL.public_holidays(_order_years(spark, sf)))
+
+
+@register("holiday_windows")
+def q_holiday_windows(spark, sf):
+    eff = CAL.holiday_effect_days(CAL.holiday_table(_order_years(spark, sf)))
+    t = P.daily_target(spark, sf).select("series_id", "ds")
+    # the holiday side is about a dozen rows a year: bounded by construction
+    return t.join(F.broadcast(eff), t.ds == eff.day, "inner").select("series_id", "ds", "holiday", "offset")
+
+
+@register("future_calendar")
+def q_future_calendar(spark, sf):
+    return CAL.future_calendar(P.prepared_train(P.full_data(spark, sf)), HORIZON)
+
+
+@register("future_regressors")
+def q_future_regressors(spark, sf):
+    full = P.full_data(spark, sf)
+    cal = CAL.future_calendar(P.prepared_train(full), HORIZON)
+    return _r(joins.inner_on_day(cal, full.select("series_id", "ds", "HDD", "CDD")), {"HDD": 6, "CDD": 6})
+
+
+# ====================================================================== V1-V12
+@register("missing_days")
+def q_missing_days(spark, sf):
+    return V.missing_days_report(P.daily_target(spark, sf))
+
+
+@register("null_counts")
+def q_null_counts(spark, sf):
+    return V.null_counts(P.full_data(spark, sf))
+
+
+@register("duplicate_rows")
+def q_duplicate_rows(spark, sf):
+    ev = FX.table(spark, sf, "events").select(F.col("event_type").alias("series_id"), "user_id",
+                                               F.to_date("ts").alias("ds"))
+    return V.duplicate_rows(ev)
+
+
+@register("sorted_check")
+def q_sorted_check(spark, sf):
+    return V.sortedness(FX.order_readings(spark, sf), "event_id", "ts")
+
+
+@register("business_rules")
+def q_business_rules(spark, sf):
+    return V.rule_violations(P.prepared_train(P.full_data(spark, sf)), RULES)
+
+
+@register("validation_report")
+def q_validation_report(spark, sf):
+    return V.validation_report(P.prepared_train(P.full_data(spark, sf)), rules=RULES)
+
+
+# ====================================================================== W4, M1, M2, M4, M7, M9
+@register("chronological_split")
+def q_chronological_split(spark, sf):
+    return _r(EV.chronological_split(P.prepared_train(P.full_data(spark, sf))), {"y": 2, "HDD": 6, "CDD": 6})
+
+
+@register("fourier_terms")
+def q_fourier_terms(spark, sf):
+    p = P.prepared_train(P.full_data(spark, sf)).select("series_id", "ds")
+    return _r(p.withColumns(D.fourier_columns()), {c: 6 for c in D.fourier_names()})
+
+
+@register("trend_hinges")
+def q_trend_hinges(spark, sf):
+    s = EV.chronological_split(P.prepared_train(P.full_data(spark, sf))).select("series_id", "ds", "split")
+    t = D.with_trend_time(s, fit_mask=F.col("split") == "train")
+    h = t.withColumns(D.hinge_columns()).drop("split")
+    return _r(h, {c: 6 for c in ["t"] + list(D.hinge_columns())})
+
+
+@register("scaled_regressors")
+def q_scaled_regressors(spark, sf):
+    s = EV.chronological_split(P.prepared_train(P.full_data(spark, sf))).select("series_id", "ds", "split", "HDD", "CDD")
+    z = D.standardize(s, ["HDD", "CDD"], fit_mask=F.col("split") == "train").drop("HDD", "CDD")
+    return _r(z, {"HDD_z": 6, "CDD_z": 6})
+
+
+@register("trend_weekday_forecast")
+def q_trend_weekday_forecast(spark, sf):
+    scored, _ = P.trend_weekday_scored(P.prepared_train(P.full_data(spark, sf)))
+    return _r(scored.select("series_id", "ds", "y", "split", "yhat"), {"y": 2, "yhat": 4})
+
+
+@register("residual_bounds")
+def q_residual_bounds(spark, sf):
+    scored, _ = P.trend_weekday_scored(P.prepared_train(P.full_data(spark, sf)))
+    b = M.residual_bounds(scored.filter(F.col("split") == "train"))
+    return _r(b, {"q_lo": 4, "q_hi": 4})

@@ -185,3 +185,159 @@ FROM x_weather""", "x_weather")
 q("weather_select", f"""
 SELECT ds, {R('temperature_max')} AS temperature_max, {R('temperature_mean')} AS temperature_mean
 FROM x_weather WHERE ds BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'""", "x_weather")
+
+
+# ---------------------------------------------------------------- C1-C5, J3, J7
+def _dbl(v: float) -> str:
+    return f"CAST('{v!r}' AS DOUBLE)"
+
+
+cte("x_years", """
+SELECT CAST(unnest(generate_series(year(min(o_orderdate)), year(max(o_orderdate)))) AS INTEGER) AS year FROM orders""")
+cte("x_easter", """
+SELECT year, make_date(year, CAST(s // 31 AS INTEGER), CAST(s % 31 + 1 AS INTEGER)) AS easter FROM (
+  SELECT year, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS s FROM (
+    SELECT year, a, h, (32 + 2 * e + 2 * i - h - k) % 7 AS l FROM (
+      SELECT year, a, e, i, k, (19 * a + b - d - g + 15) % 30 AS h FROM (
+        SELECT year, year % 19 AS a, year // 100 AS b, year % 100 AS c, (year // 100) // 4 AS d,
+               (year // 100) % 4 AS e, (year // 100 - ((year // 100) + 8) // 25 + 1) // 3 AS g,
+               (year % 100) // 4 AS i, (year % 100) % 4 AS k
+        FROM x_years))))""", "x_years")
+cte("x_public", """
+SELECT make_date(y.year, f.m, f.d) AS ds, f.holiday, -1 AS lower_window, 1 AS upper_window
+FROM x_years y CROSS JOIN (VALUES (1, 1, 'Jour de l''an'), (5, 1, 'Fête du Travail'), (5, 8, 'Fête de la Victoire'),
+  (7, 14, 'Fête nationale'), (8, 15, 'Assomption'), (11, 1, 'Toussaint'), (11, 11, 'Armistice'),
+  (12, 25, 'Noël')) f(m, d, holiday)
+UNION ALL
+SELECT CAST(e.easter + o.off AS DATE), o.holiday, -1, 1
+FROM x_easter e CROSS JOIN (VALUES (1, 'Lundi de Pâques'), (39, 'Ascension'), (50, 'Lundi de Pentecôte')) o(off, holiday)
+""", "x_years", "x_easter")
+cte("x_bridge", """
+SELECT CAST(ds + 1 AS DATE) AS ds, 'bridge_day' AS holiday, 0 AS lower_window, 0 AS upper_window
+FROM x_public WHERE isodow(ds) = 4""", "x_public")
+cte("x_holidays", """
+SELECT * FROM x_public UNION ALL SELECT * FROM x_bridge UNION ALL
+SELECT s.ds, 'school_holiday', 0, 0 FROM (VALUES (DATE '2023-02-18'), (DATE '2023-03-06'), (DATE '2023-04-15'),
+  (DATE '2023-05-01'), (DATE '2023-07-08'), (DATE '2023-09-03')) s(ds) JOIN x_years y ON year(s.ds) = y.year
+""", "x_public", "x_bridge", "x_years")
+q("holidays_fr", "SELECT ds, holiday, lower_window, upper_window FROM x_holidays", "x_holidays")
+q("bridge_days", "SELECT ds, holiday, lower_window, upper_window FROM x_bridge", "x_bridge")
+q("holiday_windows", """
+SELECT t.series_id, t.ds, h.holiday, h.off AS "offset" FROM x_dt t JOIN (
+  SELECT holiday, CAST(ds + off AS DATE) AS day, off FROM (
+    SELECT holiday, ds, CAST(unnest(generate_series(lower_window, upper_window)) AS INTEGER) AS off FROM x_holidays)
+) h ON t.ds = h.day""", "x_dt", "x_holidays")
+cte("x_future_cal", """
+SELECT DISTINCT series_id, ds, false AS is_future FROM x_prep
+UNION ALL
+SELECT series_id, CAST(last + n AS DATE), true FROM (SELECT series_id, max(ds) AS last FROM x_prep GROUP BY 1)
+CROSS JOIN (SELECT CAST(unnest(generate_series(1, 7)) AS INTEGER) AS n)""", "x_prep")
+q("future_calendar", "SELECT series_id, ds, is_future FROM x_future_cal", "x_future_cal")
+q("future_regressors", f"""
+SELECT c.series_id, c.ds, c.is_future, {R('f.HDD')} AS HDD, {R('f.CDD')} AS CDD
+FROM x_future_cal c JOIN x_full f ON f.series_id = c.series_id AND f.ds = c.ds""", "x_future_cal", "x_full")
+
+# ---------------------------------------------------------------- V1-V12
+cte("x_obs", "SELECT DISTINCT series_id, ds FROM x_dt WHERE ds IS NOT NULL", "x_dt")
+cte("x_cal", """
+SELECT series_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS ds
+FROM (SELECT series_id, min(ds) AS lo, max(ds) AS hi FROM x_obs GROUP BY 1)""", "x_obs")
+cte("x_missing", """
+SELECT s.series_id, CAST(coalesce(m.n, 0) AS BIGINT) AS missing_count,
+       CASE WHEN m.n > 0 THEN CAST(m.lo AS VARCHAR) || ' to ' || CAST(m.hi AS VARCHAR) END AS missing_range
+FROM (SELECT DISTINCT series_id FROM x_obs) s LEFT JOIN (
+  SELECT series_id, count(*) AS n, min(ds) AS lo, max(ds) AS hi FROM x_cal c
+  WHERE NOT EXISTS (SELECT 1 FROM x_obs o WHERE o.series_id = c.series_id AND o.ds = c.ds) GROUP BY 1
+) m USING (series_id)""", "x_obs", "x_cal")
+q("missing_days", "SELECT series_id, missing_count, missing_range FROM x_missing", "x_missing")
+q("null_counts", """
+SELECT series_id, "column", CAST(null_count AS BIGINT) AS null_count FROM (
+  SELECT series_id, count_if(ds IS NULL) AS ds, count_if(temperature_max IS NULL) AS temperature_max,
+         count_if(temperature_min IS NULL) AS temperature_min, count_if(temperature_mean IS NULL) AS temperature_mean,
+         count_if(y IS NULL) AS y, count_if(HDD IS NULL) AS HDD, count_if(CDD IS NULL) AS CDD
+  FROM x_full GROUP BY 1
+) UNPIVOT (null_count FOR "column" IN (ds, temperature_max, temperature_min, temperature_mean, y, HDD, CDD))""",
+  "x_full")
+q("duplicate_rows", """
+SELECT series_id, CAST(sum(n - 1) AS BIGINT) AS duplicated_rows FROM (
+  SELECT event_type AS series_id, user_id, CAST(ts AS DATE) AS ds, count(*) AS n FROM events GROUP BY 1, 2, 3)
+GROUP BY 1""")
+q("sorted_check", """
+SELECT series_id, n_inversions, n_inversions = 0 AS is_sorted FROM (
+  SELECT series_id, count_if(ts IS NULL OR prev > ts) AS n_inversions FROM (
+    SELECT series_id, ts, lag(ts) OVER (PARTITION BY series_id ORDER BY event_id) AS prev FROM x_order_readings)
+  GROUP BY 1)""", "x_order_readings")
+cte("x_rules", """
+SELECT series_id, scope, "column", rule, CAST(violations AS BIGINT) AS violations FROM (
+  SELECT series_id, 'target' AS scope, 'y' AS "column", 'negative_values' AS rule, count_if(y < 0) AS violations
+  FROM x_prep GROUP BY 1
+  UNION ALL SELECT series_id, 'target', 'y', 'below_min', count_if(y < 10000.0) FROM x_prep GROUP BY 1
+  UNION ALL SELECT series_id, 'target', 'y', 'above_max', count_if(y > 2000000.0) FROM x_prep GROUP BY 1
+  UNION ALL SELECT series_id, 'regressors', 'HDD', 'above_max', count_if(HDD > 2.0) FROM x_prep GROUP BY 1
+  UNION ALL SELECT series_id, 'regressors', 'CDD', 'below_min', count_if(CDD < 0.5) FROM x_prep GROUP BY 1
+  UNION ALL SELECT series_id, 'regressors', 'CDD', 'above_max', count_if(CDD > 12.0) FROM x_prep GROUP BY 1
+) WHERE violations > 0""", "x_prep")
+q("business_rules", 'SELECT * FROM x_rules', "x_rules")
+cte("x_prep_missing", """
+SELECT s.series_id, CAST(coalesce(m.n, 0) AS BIGINT) AS missing_count,
+       CASE WHEN m.n > 0 THEN CAST(m.lo AS VARCHAR) || ' to ' || CAST(m.hi AS VARCHAR) END AS missing_range
+FROM (SELECT DISTINCT series_id FROM x_prep) s LEFT JOIN (
+  SELECT series_id, count(*) AS n, min(ds) AS lo, max(ds) AS hi FROM (
+    SELECT series_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS ds
+    FROM (SELECT series_id, min(ds) AS lo, max(ds) AS hi FROM x_prep GROUP BY 1)) c
+  WHERE NOT EXISTS (SELECT 1 FROM x_prep o WHERE o.series_id = c.series_id AND o.ds = c.ds) GROUP BY 1
+) m USING (series_id)""", "x_prep")
+q("validation_report", """
+SELECT b.series_id, b.n_rows, b.null_cells, coalesce(d.dups, 0) AS duplicated_rows, m.missing_count,
+       m.missing_range, true AS is_sorted, CAST(coalesce(r.v, 0) AS BIGINT) AS rule_violations,
+       b.null_cells = 0 AND coalesce(d.dups, 0) = 0 AND m.missing_count = 0 AS is_valid
+FROM (SELECT series_id, count(*) AS n_rows,
+             CAST(count_if(ds IS NULL) + count_if(y IS NULL) + count_if(HDD IS NULL) + count_if(CDD IS NULL) AS BIGINT)
+             AS null_cells FROM x_prep GROUP BY 1) b
+LEFT JOIN (SELECT series_id, CAST(sum(n - 1) AS BIGINT) AS dups FROM (
+             SELECT series_id, ds, y, HDD, CDD, count(*) AS n FROM x_prep GROUP BY ALL) GROUP BY 1) d USING (series_id)
+LEFT JOIN x_prep_missing m USING (series_id)
+LEFT JOIN (SELECT series_id, sum(violations) AS v FROM x_rules GROUP BY 1) r USING (series_id)""",
+  "x_prep", "x_prep_missing", "x_rules")
+
+# ---------------------------------------------------------------- W4, M1, M2, M4, M7, M9
+q("chronological_split", f"""
+SELECT series_id, ds, {R('y', 2)} AS y, {R('HDD')} AS HDD, {R('CDD')} AS CDD, split FROM x_split""", "x_split")
+
+
+def _fourier_sql() -> str:
+    import math
+    cols = []
+    for name, period, order in (("weekly", 7.0, 3), ("yearly", 365.25, 10)):
+        for k in range(1, order + 1):
+            w = _dbl(2.0 * math.pi * k / period)
+            cols.append(f"{R(f'sin({w} * t)')} AS {name}_sin{k}")
+            cols.append(f"{R(f'cos({w} * t)')} AS {name}_cos{k}")
+    return ", ".join(cols)
+
+
+q("fourier_terms", f"""
+SELECT series_id, ds, {_fourier_sql()} FROM (
+  SELECT series_id, ds, CAST(ds - DATE '1970-01-01' AS DOUBLE) AS t FROM x_prep)""", "x_prep")
+_hinges = ", ".join(f"{R(f'greatest(t - {_dbl(0.8 * j / 25)}, 0.0)')} AS cp{j:02d}" for j in range(1, 26))
+q("trend_hinges", f"""
+SELECT series_id, ds, {R('t')} AS t, {_hinges} FROM (
+  SELECT series_id, ds, CAST(d - lo AS DOUBLE) / CASE WHEN hi > lo THEN CAST(hi - lo AS DOUBLE) ELSE 1.0 END AS t
+  FROM (SELECT series_id, ds, d,
+               min(CASE WHEN split = 'train' THEN d END) OVER (PARTITION BY series_id) AS lo,
+               max(CASE WHEN split = 'train' THEN d END) OVER (PARTITION BY series_id) AS hi
+        FROM (SELECT *, CAST(ds - DATE '1970-01-01' AS INTEGER) AS d FROM x_split)))""", "x_split")
+q("scaled_regressors", f"""
+SELECT series_id, ds, split,
+       {R('(HDD - mh) / CASE WHEN sh IS NULL OR sh = 0 THEN 1.0 ELSE sh END')} AS HDD_z,
+       {R('(CDD - mc) / CASE WHEN sc IS NULL OR sc = 0 THEN 1.0 ELSE sc END')} AS CDD_z
+FROM (SELECT *, avg(CASE WHEN split = 'train' THEN HDD END) OVER (PARTITION BY series_id) AS mh,
+             stddev_samp(CASE WHEN split = 'train' THEN HDD END) OVER (PARTITION BY series_id) AS sh,
+             avg(CASE WHEN split = 'train' THEN CDD END) OVER (PARTITION BY series_id) AS mc,
+             stddev_samp(CASE WHEN split = 'train' THEN CDD END) OVER (PARTITION BY series_id) AS sc
+      FROM x_split)""", "x_split")
+q("trend_weekday_forecast", f"""
+SELECT series_id, ds, {R('y', 2)} AS y, split, {R('yhat', 4)} AS yhat FROM x_tw_scored""", "x_tw_scored")
+q("residual_bounds", f"""
+SELECT series_id, {R('quantile_cont(y - yhat, 0.1)', 4)} AS q_lo, {R('quantile_cont(y - yhat, 0.9)', 4)} AS q_hi
+FROM x_tw_scored WHERE split = 'train' GROUP BY 1""", "x_tw_scored")
