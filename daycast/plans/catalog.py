@@ -283,3 +283,136 @@ def q_residual_bounds(spark, sf):
     scored, _ = P.trend_weekday_scored(P.prepared_train(P.full_data(spark, sf)))
     b = M.residual_bounds(scored.filter(F.col("split") == "train"))
     return _r(b, {"q_lo": 4, "q_hi": 4})
+
+
+# ====================================================================== E1-E6, S12, A7, M11
+from daycast.operators import serve as S  # noqa: E402
+from daycast.session import scratch_path  # noqa: E402
+
+NAIVE_TRIALS = list(range(1, 15))
+
+
+def _report(spark, sf):
+    scored, _ = P.trend_weekday_scored(P.prepared_train(P.full_data(spark, sf)))
+    return EV.window_report(scored, P.MODEL_TREND_WEEKDAY)
+
+
+@register("seasonal_naive")
+def q_seasonal_naive(spark, sf):
+    p = P.prepared_train(P.full_data(spark, sf)).select("series_id", "ds", "y")
+    return _r(EV.seasonal_naive(p), {"y": 2, "naive": 2})
+
+
+@register("mase")
+def q_mase(spark, sf):
+    """Tuning metric: MASE of the model on the test part (scaled in-window)."""
+    scored, _ = P.trend_weekday_scored(P.prepared_train(P.full_data(spark, sf)))
+    test = scored.filter(F.col("split") == "test")
+    rep = EV.window_report(test, P.MODEL_TREND_WEEKDAY, window_size=1 << 30)
+    return rep.select("series_id", F.col("mae_window").alias("mae"), F.col("mase_window").alias("mase"))
+
+
+@register("last60_report")
+def q_last60_report(spark, sf):
+    return _report(spark, sf)
+
+
+@register("retrain_flag")
+def q_retrain_flag(spark, sf):
+    return _r(EV.retrain_flag(_report(spark, sf)), {"metric_value": 4})
+
+
+@register("retrain_default")
+def q_retrain_default(spark, sf):
+    flags = EV.retrain_flag(_report(spark, sf)).select("series_id", "should_retrain")
+    series = FX.table(spark, sf, "customer").select(F.col("c_mktsegment").alias("series_id")).unionByName(
+        FX.table(spark, sf, "events").select(F.col("event_type").alias("series_id")))
+    return EV.flags_with_default(series, flags)
+
+
+@register("gated_series")
+def q_gated_series(spark, sf):
+    prepared = P.prepared_train(P.full_data(spark, sf))
+    rep = V.validation_report(prepared, rules=RULES)
+    ok, bad = EV.gate(prepared, rep)
+    cnt = lambda d, s: d.groupBy("series_id").agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
+        "status", F.lit(s))
+    return cnt(ok, "passed").unionByName(cnt(bad, "rejected"))
+
+
+@register("train_flagged_only")
+def q_train_flagged_only(spark, sf):
+    prepared = P.prepared_train(P.full_data(spark, sf))
+    split = EV.chronological_split(prepared)
+    scored, _ = P.trend_weekday_scored(prepared)
+    flags = EV.retrain_flag(EV.window_report(scored, P.MODEL_TREND_WEEKDAY))
+    train = split.filter(F.col("split") == "train").select("series_id", "ds", "y")
+    return _r(EV.train_flagged_only(train, flags), {"y": 2})
+
+
+@register("best_trial")
+def q_best_trial(spark, sf):
+    """A7 over a score table: seasonal-naive lags 1..14 scored by test MAE."""
+    from daycast.operators.tune import best_trial, naive_lag_scores
+
+    split = EV.chronological_split(P.prepared_train(P.full_data(spark, sf)))
+    scores = naive_lag_scores(split, NAIVE_TRIALS)
+    return _r(best_trial(scores, ["lag"]).select("series_id", "trial_id", "score"), {"score": 4})
+
+
+@register("model_fallback")
+def q_model_fallback(spark, sf):
+    """Registry model (fit on the first half, kept for series not flagged
+    for retraining) first, the freshly trained local model second."""
+    prepared = P.prepared_train(P.full_data(spark, sf))
+    half = EV.chronological_split(prepared, 0.5)
+    registry = M.fit_trend_weekday(half.filter(F.col("split") == "train"))
+    scored, local = P.trend_weekday_scored(prepared)
+    flags = EV.retrain_flag(EV.window_report(scored, P.MODEL_TREND_WEEKDAY))
+    registry = registry.join(flags.filter(~F.col("should_retrain")).select("series_id"), "series_id", "left_semi")
+    m = M.model_fallback(registry.select("series_id", "intercept", "slope"), local.select("series_id", "intercept", "slope"),
+                         prepared)
+    return _r(m.select("series_id", "source", F.col("model.intercept").alias("intercept"),
+                       F.col("model.slope").alias("slope")), {"intercept": 4, "slope": 6})
+
+
+# ====================================================================== S9, Y1-Y4, J4
+def _history(spark, sf):
+    prepared = P.prepared_train(P.full_data(spark, sf))
+    naive = EV.window_report(P.naive_scored(prepared).filter(F.col("yhat").isNotNull()), "naive_7_days")
+    tw = _report(spark, sf)
+    h = S.append_history(None, naive.withColumn("run_order", F.lit(1)))
+    h = S.append_history(h, tw.withColumn("run_order", F.lit(2)))
+    return S.append_history(h, tw.withColumn("run_order", F.lit(3)))  # a rerun appends again
+
+
+@register("metrics_history")
+def q_metrics_history(spark, sf):
+    return _history(spark, sf)
+
+
+@register("scorecard")
+def q_scorecard(spark, sf):
+    return S.scorecard(_history(spark, sf))
+
+
+@register("forecast_with_actuals")
+def q_forecast_with_actuals(spark, sf):
+    full = P.full_data(spark, sf)
+    fa = S.forecast_with_actuals(P.forecast_frame(full), full)
+    return _r(fa, {"yhat": 4, "yhat_lower": 4, "yhat_upper": 4, "daily_conso_kwh": 2})
+
+
+@register("history_view_70d")
+def q_history_view_70d(spark, sf):
+    full = P.full_data(spark, sf)
+    v = S.history_view(S.forecast_with_actuals(P.forecast_frame(full), full))
+    return _r(v.select("series_id", "ds", "yhat", "yhat_lower", "yhat_upper", "daily_conso_kwh"),
+              {"yhat": 4, "yhat_lower": 4, "yhat_upper": 4, "daily_conso_kwh": 2})
+
+
+@register("axis_bounds")
+def q_axis_bounds(spark, sf):
+    full = P.full_data(spark, sf)
+    v = S.history_view(S.forecast_with_actuals(P.forecast_frame(full), full))
+    return _r(S.axis_bounds(v), {"y_min": 4, "y_max": 4})

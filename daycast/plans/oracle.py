@@ -287,7 +287,7 @@ FROM (SELECT DISTINCT series_id FROM x_prep) s LEFT JOIN (
     FROM (SELECT series_id, min(ds) AS lo, max(ds) AS hi FROM x_prep GROUP BY 1)) c
   WHERE NOT EXISTS (SELECT 1 FROM x_prep o WHERE o.series_id = c.series_id AND o.ds = c.ds) GROUP BY 1
 ) m USING (series_id)""", "x_prep")
-q("validation_report", """
+cte("x_valrep", """
 SELECT b.series_id, b.n_rows, b.null_cells, coalesce(d.dups, 0) AS duplicated_rows, m.missing_count,
        m.missing_range, true AS is_sorted, CAST(coalesce(r.v, 0) AS BIGINT) AS rule_violations,
        b.null_cells = 0 AND coalesce(d.dups, 0) = 0 AND m.missing_count = 0 AS is_valid
@@ -299,6 +299,7 @@ LEFT JOIN (SELECT series_id, CAST(sum(n - 1) AS BIGINT) AS dups FROM (
 LEFT JOIN x_prep_missing m USING (series_id)
 LEFT JOIN (SELECT series_id, sum(violations) AS v FROM x_rules GROUP BY 1) r USING (series_id)""",
   "x_prep", "x_prep_missing", "x_rules")
+q("validation_report", "SELECT * FROM x_valrep", "x_valrep")
 
 # ---------------------------------------------------------------- W4, M1, M2, M4, M7, M9
 q("chronological_split", f"""
@@ -341,3 +342,112 @@ SELECT series_id, ds, {R('y', 2)} AS y, split, {R('yhat', 4)} AS yhat FROM x_tw_
 q("residual_bounds", f"""
 SELECT series_id, {R('quantile_cont(y - yhat, 0.1)', 4)} AS q_lo, {R('quantile_cont(y - yhat, 0.9)', 4)} AS q_hi
 FROM x_tw_scored WHERE split = 'train' GROUP BY 1""", "x_tw_scored")
+
+
+# ---------------------------------------------------------------- E1-E6, S12, A7, M11
+def _window_report(src: str, model: str, n: int = 60) -> str:
+    return f"""
+SELECT series_id, '{model}' AS model_name, {n} AS window_size, 'naive_7_days' AS baseline,
+       round(avg(abs(y - yhat)), 4) AS mae_window,
+       round(avg(abs(y - yhat)) FILTER (WHERE pos > 7)
+             / nullif(avg(abs(y - naive)) FILTER (WHERE pos > 7), 0), 4) AS mase_window
+FROM (SELECT *, lag(y, 7) OVER (PARTITION BY series_id ORDER BY pos) AS naive FROM (
+  SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds) AS pos FROM (
+    SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds DESC) AS rd
+    FROM {src} WHERE y IS NOT NULL) WHERE rd <= {n}))
+GROUP BY 1"""
+
+
+q("seasonal_naive", f"""
+SELECT series_id, ds, {R('y', 2)} AS y, {R('lag(y, 7) OVER (PARTITION BY series_id ORDER BY ds)', 2)} AS naive
+FROM x_prep""", "x_prep")
+q("mase", """
+SELECT series_id, round(avg(abs(y - yhat)), 4) AS mae,
+       round(avg(abs(y - yhat)) FILTER (WHERE pos > 7) / nullif(avg(abs(y - naive)) FILTER (WHERE pos > 7), 0), 4)
+       AS mase
+FROM (SELECT *, lag(y, 7) OVER (PARTITION BY series_id ORDER BY pos) AS naive FROM (
+  SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds) AS pos FROM x_tw_scored WHERE split = 'test'))
+GROUP BY 1""", "x_tw_scored")
+q("last60_report", "SELECT * FROM x_report", "x_report")
+cte("x_flags", """
+SELECT series_id, model_name, mase_window AS metric_value, coalesce(mase_window > 0.95, true) AS should_retrain
+FROM x_report""", "x_report")
+q("retrain_flag", f"""
+SELECT series_id, model_name, {R('metric_value', 4)} AS metric_value, should_retrain FROM x_flags""", "x_flags")
+q("retrain_default", """
+SELECT s.series_id, coalesce(f.should_retrain, true) AS should_retrain FROM (
+  SELECT c_mktsegment AS series_id FROM customer UNION SELECT event_type FROM events) s
+LEFT JOIN x_flags f USING (series_id)""", "x_flags")
+q("gated_series", """
+SELECT p.series_id, count(*) AS n_rows, CASE WHEN v.is_valid THEN 'passed' ELSE 'rejected' END AS status
+FROM x_prep p JOIN x_valrep v USING (series_id) GROUP BY p.series_id, v.is_valid""", "x_prep", "x_valrep")
+q("train_flagged_only", f"""
+SELECT series_id, ds, {R('y', 2)} AS y FROM x_split
+WHERE split = 'train' AND series_id IN (SELECT series_id FROM x_flags WHERE should_retrain)""", "x_split", "x_flags")
+_lags = ", ".join(f"lag(y, {k}) OVER (PARTITION BY series_id ORDER BY ds) AS l{k}" for k in range(1, 15))
+_scores = ", ".join(f"avg(CASE WHEN split = 'test' THEN abs(y - l{k}) END) AS s{k}" for k in range(1, 15))
+_unp = ", ".join(f"({k}, s{k})" for k in range(1, 15))
+q("best_trial", f"""
+SELECT series_id, trial_id, {R('score', 4)} AS score FROM (
+  SELECT series_id, trial_id, score,
+         row_number() OVER (PARTITION BY series_id ORDER BY score, trial_id) AS rn
+  FROM (SELECT series_id, {_scores} FROM (SELECT *, {_lags} FROM x_split) GROUP BY 1) a,
+       LATERAL (SELECT * FROM (VALUES {_unp}) v(trial_id, score)) u
+  WHERE score IS NOT NULL) WHERE rn = 1""", "x_split")
+cte("x_split50", """
+SELECT *, CASE WHEN row_number() OVER (PARTITION BY series_id ORDER BY ds)
+                    <= floor(count(*) OVER (PARTITION BY series_id) * CAST(0.5 AS DOUBLE))
+               THEN 'train' ELSE 'test' END AS split
+FROM x_prep""", "x_prep")
+q("model_fallback", f"""
+SELECT s.series_id,
+       CASE WHEN r.series_id IS NOT NULL THEN 'primary' WHEN l.series_id IS NOT NULL THEN 'fallback' END AS source,
+       {R('CASE WHEN r.series_id IS NOT NULL THEN r.intercept ELSE l.intercept END', 4)} AS intercept,
+       {R('CASE WHEN r.series_id IS NOT NULL THEN r.slope ELSE l.slope END', 6)} AS slope
+FROM (SELECT DISTINCT series_id FROM x_prep) s
+LEFT JOIN (SELECT series_id, regr_intercept(y, CAST(ds - DATE '1970-01-01' AS DOUBLE)) AS intercept,
+                  regr_slope(y, CAST(ds - DATE '1970-01-01' AS DOUBLE)) AS slope
+           FROM x_split50 WHERE split = 'train'
+             AND series_id IN (SELECT series_id FROM x_flags WHERE NOT should_retrain) GROUP BY 1) r USING (series_id)
+LEFT JOIN x_tw_lin l ON l.series_id = s.series_id""", "x_prep", "x_split50", "x_flags", "x_tw_lin")
+
+# ---------------------------------------------------------------- S9, Y1-Y4, J4
+cte("x_naive_scored", """
+SELECT * FROM (SELECT series_id, ds, y, lag(y, 7) OVER (PARTITION BY series_id ORDER BY ds) AS yhat FROM x_prep)
+WHERE yhat IS NOT NULL""", "x_prep")
+cte("x_naive_report", _window_report("x_naive_scored", "naive_7_days"), "x_naive_scored")
+cte("x_history", """
+SELECT *, 1 AS run_order FROM x_naive_report
+UNION ALL SELECT *, 2 FROM x_report
+UNION ALL SELECT *, 3 FROM x_report""", "x_naive_report", "x_report")
+q("metrics_history", "SELECT * FROM x_history", "x_history")
+q("scorecard", """
+SELECT model_name, series_id, window_size, baseline, mae_window, mase_window FROM (
+  SELECT *, row_number() OVER (PARTITION BY model_name, series_id ORDER BY run_order DESC) AS rn FROM x_history)
+WHERE rn = 1""", "x_history")
+cte("x_fc", """
+SELECT f.series_id, f.ds,
+       l.intercept + l.slope * CAST(f.ds - DATE '1970-01-01' AS DOUBLE) + coalesce(w.eff, 0.0) AS yhat
+FROM x_full f JOIN x_tw_lin l USING (series_id)
+LEFT JOIN x_tw_wd w ON w.series_id = f.series_id AND w.wd = isodow(f.ds) - 1""", "x_full", "x_tw_lin", "x_tw_wd")
+cte("x_fa", """
+SELECT c.series_id, c.ds, c.yhat, c.yhat + b.q_lo AS yhat_lower, c.yhat + b.q_hi AS yhat_upper,
+       a.ds AS date, a.y AS daily_conso_kwh
+FROM x_fc c
+LEFT JOIN (SELECT series_id, quantile_cont(y - yhat, 0.1) AS q_lo, quantile_cont(y - yhat, 0.9) AS q_hi
+           FROM x_tw_scored WHERE split = 'train' GROUP BY 1) b USING (series_id)
+JOIN x_full a ON a.series_id = c.series_id AND a.ds = c.ds""", "x_fc", "x_tw_scored", "x_full")
+q("forecast_with_actuals", f"""
+SELECT series_id, ds, {R('yhat', 4)} AS yhat, {R('yhat_lower', 4)} AS yhat_lower, {R('yhat_upper', 4)} AS yhat_upper,
+       date, {R('daily_conso_kwh', 2)} AS daily_conso_kwh FROM x_fa""", "x_fa")
+cte("x_view", """
+SELECT * FROM (SELECT *, max(ds) OVER (PARTITION BY series_id) AS m FROM (
+  SELECT *, max(CASE WHEN daily_conso_kwh IS NOT NULL THEN ds END) OVER (PARTITION BY series_id) AS last_obs
+  FROM x_fa) WHERE ds <= last_obs) WHERE ds >= CAST(m - 70 AS DATE)""", "x_fa")
+q("history_view_70d", f"""
+SELECT series_id, ds, {R('yhat', 4)} AS yhat, {R('yhat_lower', 4)} AS yhat_lower, {R('yhat_upper', 4)} AS yhat_upper,
+       {R('daily_conso_kwh', 2)} AS daily_conso_kwh FROM x_view""", "x_view")
+q("axis_bounds", f"""
+SELECT series_id, {R('min(least(daily_conso_kwh, yhat, yhat_lower)) * 0.95', 4)} AS y_min,
+       {R('max(greatest(daily_conso_kwh, yhat, yhat_upper)) * 1.05', 4)} AS y_max
+FROM x_view GROUP BY 1""", "x_view")

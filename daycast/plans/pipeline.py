@@ -75,3 +75,22 @@ def retrain_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = window_report(scored, MODEL_TREND_WEEKDAY)
     flag = retrain_flag(report)
     return report.join(flag.drop("metric_value"), ["series_id", "model_name"])
+
+
+def naive_scored(prepared: DataFrame, season: int = 7) -> DataFrame:
+    """The seasonal naive used as a model (``yhat`` = value ``season`` rows earlier)."""
+    from daycast.operators.evaluate import seasonal_naive
+
+    return seasonal_naive(prepared, season).withColumnRenamed("naive", "yhat")
+
+
+def forecast_frame(full: DataFrame) -> DataFrame:
+    """Trend-weekday forecast for every day of ``full`` (history and future) with
+    80 % residual bounds from the training part."""
+    from daycast.operators.model import residual_bounds, with_bounds
+
+    prepared = prepared_train(full)
+    scored, coef = trend_weekday_scored(prepared)
+    bounds = residual_bounds(scored.filter(F.col("split") == "train"))
+    fc = predict_trend_weekday(full.select("series_id", "ds"), coef)
+    return with_bounds(fc, bounds)
