@@ -416,3 +416,78 @@ def q_axis_bounds(spark, sf):
     full = P.full_data(spark, sf)
     v = S.history_view(S.forecast_with_actuals(P.forecast_frame(full), full))
     return _r(S.axis_bounds(v), {"y_min": 4, "y_max": 4})
+
+
+# ====================================================================== S5, S7, S8, S10-S14, M10
+import uuid  # noqa: E402
+
+from daycast.sources import sinks as SK  # noqa: E402
+
+RUN_AS_OF = "2001-08-02T00:00:00"
+
+
+@register("artifact_roundtrip")
+def q_artifact_roundtrip(spark, sf):
+    """Write metrics, flags, report, forecast and model under a fresh folder of
+    the shared checkpoint dir, then read them back by artifact name."""
+    root = scratch_path(spark, f"artifacts-{uuid.uuid4().hex}")
+    prepared = P.prepared_train(P.full_data(spark, sf))
+    scored, coef = P.trend_weekday_scored(prepared)
+    report = EV.window_report(scored, P.MODEL_TREND_WEEKDAY)
+    SK.save_metrics(report, root, RUN_AS_OF)
+    SK.save_flags(EV.retrain_flag(report).select("series_id", "should_retrain"), root, RUN_AS_OF)
+    SK.save_report(V.validation_report(prepared, rules=RULES), root)
+    SK.save_forecast(P.forecast_frame(P.full_data(spark, sf)), root, P.MODEL_TREND_WEEKDAY)
+    SK.save_model(M.coefficients_long(coef, P.MODEL_TREND_WEEKDAY), root)
+    met = SK.read_artifact(spark, root, "metrics")
+    flags = EV.flags_with_default(met, SK.read_flags(spark, root))
+    dq = SK.read_artifact(spark, root, "data_quality").select("series_id", "is_valid")
+    fc = SK.read_artifact(spark, root, "forecast").groupBy("series_id").agg(F.count(F.lit(1)).alias("n_forecast"))
+    mod = M.coefficients_wide(SK.read_artifact(spark, root, "model"))
+    return (met.join(flags, "series_id").join(dq, "series_id").join(fc, "series_id")
+            .join(mod.select("series_id", "intercept"), "series_id")
+            .select("series_id", "model_name", "timestamp_utc", "window_size", "baseline", "mae_window",
+                    "mase_window", "should_retrain", "is_valid", "n_forecast", rounded("intercept", 4).alias("intercept")))
+
+
+@register("schema_checks")
+def q_schema_checks(spark, sf):
+    """Schema-only checks of the pipeline frames and raw events."""
+    frames = {
+        "full_data": (P.full_data(spark, sf), "ds", "y"),
+        "prepared_train": (P.prepared_train(P.full_data(spark, sf)), "ds", "y"),
+        "events_raw": (FX.table(spark, sf, "events").drop("event_type"), "ts", "value"),
+        "weather_no_date": (P.weather(spark, sf).drop("ds", "src"), "ds", "temperature_mean"),
+    }
+    rows = []
+    for name, (df, dcol, tcol) in frames.items():
+        for r in V.schema_checks(df, dcol, tcol):
+            rows.append((name, r["check"], r["passed"], r["detail"]))
+    return spark.createDataFrame(rows, "frame string, check string, passed boolean, detail string")
+
+
+# ====================================================================== Z1, Z2
+from daycast.streaming import daily_stream as ZS  # noqa: E402
+
+LATENESS = "2 days"
+
+
+def _stream_out(spark, agg):
+    base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    ZS.run_to_table(agg, base + "/out", base + "/_checkpoint")
+    out = spark.read.parquet(base + "/out")
+    return out.select("series_id", F.to_date("w.start").alias("day_start"),
+                      F.col("jour").cast("timestamp_ntz").alias("jour"), rounded("y", 2).alias("y"), "n_readings")
+
+
+@register("stream_daily_totals")
+def q_stream_daily_totals(spark, sf):
+    s = ZS.readings_stream(spark, sf, "events.parquet")
+    return _stream_out(spark, ZS.daily_totals_stream(s, LATENESS))
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf):
+    """Replay: the same readings arrive twice; dedup inside the watermark keeps totals unchanged."""
+    s = ZS.readings_stream(spark, sf, "events.parquet").unionByName(ZS.readings_stream(spark, sf, "events.parquet"))
+    return _stream_out(spark, ZS.daily_totals_stream(ZS.dedup_readings(s, LATENESS), None))

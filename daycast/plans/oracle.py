@@ -451,3 +451,20 @@ q("axis_bounds", f"""
 SELECT series_id, {R('min(least(daily_conso_kwh, yhat, yhat_lower)) * 0.95', 4)} AS y_min,
        {R('max(greatest(daily_conso_kwh, yhat, yhat_upper)) * 1.05', 4)} AS y_max
 FROM x_view GROUP BY 1""", "x_view")
+
+
+# ---------------------------------------------------------------- artifacts, streams
+q("artifact_roundtrip", f"""
+SELECT r.series_id, r.model_name, '2001-08-02T00:00:00' AS timestamp_utc, r.window_size, r.baseline,
+       r.mae_window, r.mase_window, coalesce(r.mase_window > 0.95, true) AS should_retrain, v.is_valid,
+       (SELECT count(*) FROM x_full f WHERE f.series_id = r.series_id) AS n_forecast,
+       {R('l.intercept', 4)} AS intercept
+FROM x_report r JOIN x_valrep v USING (series_id) JOIN x_tw_lin l USING (series_id)""",
+  "x_report", "x_valrep", "x_full", "x_tw_lin")
+_closed = """
+SELECT series_id, CAST(ts AS DATE) AS day_start, min(ts) AS jour, round(sum(value), 2) + 0.0 AS y,
+       count(*) AS n_readings
+FROM x_readings GROUP BY 1, 2
+HAVING CAST(CAST(ts AS DATE) + 1 AS TIMESTAMP) <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY"""
+q("stream_daily_totals", _closed, "x_readings")
+q("stream_dedup", _closed, "x_readings")
