@@ -57,7 +57,7 @@ cte("x_w_all", """
 SELECT CAST(l_shipdate AS DATE) AS ds, max(l_quantity) AS temperature_max,
        min(l_quantity) AS temperature_min, avg(l_quantity) AS temperature_mean
 FROM lineitem GROUP BY 1""")
-cte("x_cut", "SELECT max(CAST(o_orderdate AS DATE)) AS d FROM orders")
+cte("x_cut", "SELECT max(ds) AS d FROM x_dt", "x_dt")
 cte("x_wu", """
 SELECT ds, temperature_max, temperature_min, temperature_mean, 0 AS src_rank, 'archive' AS src
 FROM x_w_all WHERE ds <= (SELECT d FROM x_cut)

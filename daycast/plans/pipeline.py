@@ -17,7 +17,8 @@ from daycast.operators.evaluate import chronological_split, retrain_flag, window
 from daycast.operators.joins import weather_left_target
 from daycast.operators.model import fit_trend_weekday, predict_trend_weekday
 from daycast.operators.weather import keep_first_per_day, union_sources
-from daycast.sources.fixtures import event_readings, order_readings, weather_sources
+from daycast.session import stage
+from daycast.sources.fixtures import event_readings, order_readings, weather_daily
 
 MODEL_TREND_WEEKDAY = "trend_weekday"
 
@@ -32,9 +33,22 @@ def event_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_totals(event_readings(spark, sf_dir))
 
 
-def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather_sources(spark: SparkSession, sf_dir: str, cut) -> tuple[DataFrame, DataFrame]:
+    """Archive (days <= ``cut``, the last target day) and forecast (days >= it):
+    one day overlaps.  The forecast copy carries temperatures +0.5 so that
+    keep-first (archive wins) is visible in the output."""
+    w = weather_daily(spark, sf_dir)
+    archive = w.filter(F.col("ds") <= cut)
+    forecast = w.filter(F.col("ds") >= cut).select(
+        "ds", *[(F.col(c) + 0.5).alias(c) for c in ("temperature_max", "temperature_min", "temperature_mean")])
+    return archive, forecast
+
+
+def weather(spark: SparkSession, sf_dir: str, target: DataFrame | None = None) -> DataFrame:
     """Archive then forecast, first row per day kept: ``ds, temps..., src``."""
-    archive, forecast = weather_sources(spark, sf_dir)
+    target = target if target is not None else daily_target(spark, sf_dir)
+    cut = target.select(F.max("ds")).scalar()
+    archive, forecast = weather_sources(spark, sf_dir, cut)
     u = union_sources(("archive", archive), ("forecast", forecast))
     return keep_first_per_day(u, cols=["temperature_max", "temperature_min", "temperature_mean", "src"])
 
@@ -43,11 +57,30 @@ def with_degree_days(df: DataFrame, temp: str = "temperature_mean") -> DataFrame
     return df.withColumn("HDD", heating_degree_days(temp)).withColumn("CDD", cooling_degree_days(temp))
 
 
+def staged_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage 1: the daily target table (the only pass over the raw orders)."""
+    return stage(daily_target(spark, sf_dir), "daily_target")
+
+
+def staged_weather(spark: SparkSession, sf_dir: str, target: DataFrame | None = None) -> DataFrame:
+    """Stage 2: the merged weather table (one row per day; the only pass over lineitem)."""
+    target = target if target is not None else staged_target(spark, sf_dir)
+    return stage(weather(spark, sf_dir, target), "weather")
+
+
 def full_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J1 + F1/F2: every weather day per series, target NULL on future days."""
-    full = weather_left_target(daily_target(spark, sf_dir), weather(spark, sf_dir))
-    return with_degree_days(full).select(
-        "series_id", "ds", "temperature_max", "temperature_min", "temperature_mean", "y", "HDD", "CDD")
+    """Stage 3, J1 + F1/F2: every weather day per series, target NULL on future days.
+
+    Stages 1-3 are written to the shared checkpoint folder, as the reference
+    writes its processed files; everything downstream (split, fit, score,
+    evaluate, validate) reads the small stage-3 table.
+    """
+    target = staged_target(spark, sf_dir)
+    wx = staged_weather(spark, sf_dir, target)
+    full = weather_left_target(target, wx)
+    return stage(with_degree_days(full).select(
+        "series_id", "ds", "temperature_max", "temperature_min", "temperature_mean", "y", "HDD", "CDD"),
+        "full_data")
 
 
 def prepared_train(full: DataFrame) -> DataFrame:

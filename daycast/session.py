@@ -56,3 +56,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table inside the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def stage(df, name: str):
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    Used at the pipeline's stage boundaries (daily target, weather, full
+    data): it cuts the lineage (a lost executor recomputes from the table, not
+    from the raw scan), stops a reused sub-plan from being recomputed by each
+    consumer, and the read-back still gets column pruning and filter pushdown.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"stage-{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

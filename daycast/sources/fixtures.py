@@ -63,27 +63,3 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("l_quantity").alias("temperature_min"),
         F.avg("l_quantity").alias("temperature_mean"),
     )
-
-
-def last_order_day(spark: SparkSession, sf_dir: str):
-    """Scalar subquery: the last day with a target (archive/forecast cut)."""
-    return table(spark, sf_dir, "orders").select(F.max(F.to_date("o_orderdate"))).scalar()
-
-
-def weather_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Archive (days <= last target day) and forecast (days >= it); one day overlaps.
-
-    The forecast copy carries temperatures shifted by +0.5 so that keep-first
-    (archive wins) is visible in the output.
-    """
-    w = weather_daily(spark, sf_dir)
-    cut = last_order_day(spark, sf_dir)
-    archive = w.filter(F.col("ds") <= cut)
-    fc = w.filter(F.col("ds") >= cut)
-    forecast = fc.select(
-        "ds",
-        (F.col("temperature_max") + 0.5).alias("temperature_max"),
-        (F.col("temperature_min") + 0.5).alias("temperature_min"),
-        (F.col("temperature_mean") + 0.5).alias("temperature_mean"),
-    )
-    return archive, forecast
