@@ -62,9 +62,13 @@ def with_trend_time(df: DataFrame, by: str = "series_id", ds: str = "ds", fit_ma
     return df.withColumn("t", (d - lo).cast("double") / span)
 
 
+def hinge_names() -> list[str]:
+    return [f"cp{j:02d}" for j in range(1, N_CHANGEPOINTS + 1)]
+
+
 def hinge_columns(t: str = "t") -> dict[str, Column]:
     """M1: ``max(t - c_j, 0)`` for each changepoint (t is never NULL here)."""
-    return {f"cp{j:02d}": F.greatest(F.col(t) - F.lit(c), F.lit(0.0)) for j, c in enumerate(changepoints(), 1)}
+    return {n: F.greatest(F.col(t) - F.lit(c), F.lit(0.0)) for n, c in zip(hinge_names(), changepoints())}
 
 
 def standardize(df: DataFrame, cols: list[str], by: str = "series_id", fit_mask: Column | None = None,

@@ -491,3 +491,25 @@ def q_stream_dedup(spark, sf):
     """Replay: the same readings arrive twice; dedup inside the watermark keeps totals unchanged."""
     s = ZS.readings_stream(spark, sf, "events.parquet").unionByName(ZS.readings_stream(spark, sf, "events.parquet"))
     return _stream_out(spark, ZS.daily_totals_stream(ZS.dedup_readings(s, LATENESS), None))
+
+
+# ====================================================================== M5, M6, M8, M12-M14 (rows-only)
+from daycast.operators import ridge as RG  # noqa: E402
+
+
+@register("trial_space")
+def q_trial_space(spark, sf):
+    return RG.series_trials(P.full_data(spark, sf).select("series_id"))
+
+
+@register("ridge_forecast")
+def q_ridge_forecast(spark, sf):
+    return _r(P.ridge_forecast(spark, sf).select("series_id", "ds", "split", "y", "yhat", "yhat_lower", "yhat_upper"),
+              {"y": 2, "yhat": 4, "yhat_lower": 4, "yhat_upper": 4})
+
+
+@register("tuned_forecast")
+def q_tuned_forecast(spark, sf):
+    fc, _best = P.tuned(spark, sf)
+    return _r(fc.select("series_id", "ds", "split", "y", "yhat", "yhat_lower", "yhat_upper", "trial_id", "test_mase"),
+              {"y": 2, "yhat": 4, "yhat_lower": 4, "yhat_upper": 4, "test_mase": 4})

@@ -127,3 +127,56 @@ def forecast_frame(full: DataFrame) -> DataFrame:
     bounds = residual_bounds(scored.filter(F.col("split") == "train"))
     fc = predict_trend_weekday(full.select("series_id", "ds"), coef)
     return with_bounds(fc, bounds)
+
+
+MODEL_RIDGE = "seasonal_ridge"
+
+
+def ridge_design(full: DataFrame) -> DataFrame:
+    """Design rows for every day of ``full``: train/test by the chronological
+    split of the observed rows, ``future`` for days without a target."""
+    from daycast.functions.calendar import holiday_table, years_of
+    from daycast.operators.ridge import design
+
+    split = chronological_split(prepared_train(full))
+    nan_y = full.filter(F.col("y").isNull()).select("series_id", "ds", "y", "HDD", "CDD").withColumn(
+        "split", F.lit("future"))
+    rows = split.unionByName(nan_y)
+    return design(rows, holiday_table(years_of(full, "ds")))
+
+
+def ridge_scored(design_df: DataFrame, coef: DataFrame) -> DataFrame:
+    """Scores + 80 % residual bounds from the train rows."""
+    from daycast.operators.model import residual_bounds, with_bounds
+    from daycast.operators.ridge import predict
+
+    scored = predict(design_df, coef)
+    bounds = residual_bounds(scored.filter(F.col("split") == "train"))
+    return with_bounds(scored, bounds)
+
+
+def ridge_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5/M6/M8/M9 with the default prior scales."""
+    from daycast.operators.ridge import DEFAULT_PARAMS, fit
+
+    d = ridge_design(full_data(spark, sf_dir))
+    return ridge_scored(d, fit(d, DEFAULT_PARAMS))
+
+
+def tuned(spark: SparkSession, sf_dir: str, n_trials: int = 50, chunks: int | None = None):
+    """Random search scored by test MASE, best trial per series
+    (ties -> lowest trial id), refit on the train rows, scored everywhere."""
+    from daycast.operators.ridge import N_TRIALS, fit, score_trials, trial_space
+    from daycast.operators.tune import best_trial
+
+    full = full_data(spark, sf_dir)
+    d = ridge_design(full)
+    if chunks is None:
+        # few series -> split the trials so that the cores stay busy
+        chunks = 1 if full.select("series_id").distinct().count() >= spark.sparkContext.defaultParallelism else 4
+    scores = score_trials(d, trial_space(spark, n_trials or N_TRIALS), chunks=chunks)
+    best = best_trial(scores, ["changepoint_prior_scale", "seasonality_prior_scale", "holidays_prior_scale",
+                               "seasonality_mode", "mode_used"])
+    coef = fit(d, best)
+    return ridge_scored(d, coef).join(best.select("series_id", "trial_id", F.col("score").alias("test_mase")),
+                                      "series_id"), best
