@@ -17,13 +17,13 @@ def series_calendar(series: DataFrame, lo, hi, by: str = "series_id") -> DataFra
 def weather_left_target(target: DataFrame, weather: DataFrame, by: str = "series_id") -> DataFrame:
     """All weather days for each series, target left-joined (future days keep NULL y).
 
-    The spine is generated per series from the weather bounds (two scalar
-    subqueries); the weather side (one row per day) is joined on ``ds`` and is
+    The spine is generated per series from the weather bounds (one scalar
+    subquery returning both); the weather side (one row per day) is joined on ``ds`` and is
     turned into a broadcast by AQE once its actual size is known to be under
     the threshold, a sort-merge join otherwise.
     """
-    lo = weather.select(F.min("ds")).scalar()
-    hi = weather.select(F.max("ds")).scalar()
+    bounds = weather.select(F.struct(F.min("ds").alias("lo"), F.max("ds").alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     series = target.select(by).distinct()
     spine = series_calendar(series, lo, hi, by).join(weather, "ds", "inner")
     return spine.join(target, [by, "ds"], "left")
