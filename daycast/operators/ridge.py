@@ -238,3 +238,37 @@ def predict(design_df: DataFrame, coef: DataFrame, by: str = "series_id") -> Dat
     dot = F.aggregate(F.zip_with("x", "coef", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
     yhat = F.when(F.col("mode_used") == "multiplicative", F.exp(dot)).otherwise(dot * F.col("out_scale"))
     return j.withColumn("yhat", yhat).drop("coef", "out_scale")
+
+
+# ------------------------------------------------------------------ persistence
+def coefficients_table(coef: DataFrame, model_name: str, by: str = "series_id") -> DataFrame:
+    """Tall table ``(model_name, series_id, k, term, coef, mode_used, out_scale)``."""
+    names = F.array(*[F.lit(t) for t, _b in terms()])
+    return coef.select(F.lit(model_name).alias("model_name"), by, "mode_used", "out_scale",
+                       F.posexplode(F.arrays_zip(names.alias("term"), F.col("coef").alias("coef"))).alias("k", "tc")
+                       ).select("model_name", by, "k", "tc.term", "tc.coef", "mode_used", "out_scale")
+
+
+def coefficients_from_table(table: DataFrame, by: str = "series_id") -> DataFrame:
+    """M11 load: back to one row per series with the coefficient array in term order
+    (a group holds one row per term)."""
+    g = table.groupBy(by).agg(F.first("mode_used").alias("mode_used"), F.first("out_scale").alias("out_scale"),
+                              F.sort_array(F.collect_list(F.struct("k", "coef"))).alias("_kc"))
+    return g.select(by, "mode_used", "out_scale", F.transform("_kc", lambda s: s["coef"]).alias("coef"))
+
+
+# ------------------------------------------------------------------ extension point
+def fit_custom(design_df: DataFrame, user_fit, params: dict | None = None, by: str = "series_id") -> DataFrame:
+    """Fit every series with a user function ``user_fit(X, y, params) -> coef``
+    (numpy arrays, train rows in day order).  Scoring stays in :func:`predict`
+    (additive, unit scale), so the user function runs once per series only."""
+    params = dict(params or {})
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, X = _xy(pdf)
+        y = pdf["y"].to_numpy(dtype="float64")
+        b = np.asarray(user_fit(X, y, params), dtype="float64")
+        return pd.DataFrame({by: [pdf[by].iloc[0]], "mode_used": ["additive"], "out_scale": [1.0],
+                             "coef": [b.tolist()]})
+
+    return design_df.filter(F.col("split") == "train").groupBy(by).applyInPandas(run, COEF_SCHEMA)
