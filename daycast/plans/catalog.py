@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daycast.plans import pipeline as P
+from daycast.plans import stages as P
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 

@@ -20,7 +20,7 @@ from daycast.operators import evaluate as EV
 from daycast.operators import ridge as RG
 from daycast.operators import validate as V
 from daycast.operators.tune import best_trial
-from daycast.plans import pipeline as P
+from daycast.plans import stages as P
 from daycast.session import stage
 from daycast.sources import sinks as SK
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from daycast.operators import ridge as RG
-from daycast.plans import pipeline as P
+from daycast.plans import stages as P
 from daycast.plans.run import run_pipeline
 from daycast.session import scratch_path
 from daycast.sources import sinks as SK
