@@ -33,11 +33,17 @@ def event_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_totals(event_readings(spark, sf_dir))
 
 
+def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage 0: daily weather readings (the reference's raw weather files), one
+    pass over lineitem; archive and forecast are then cut from this small table."""
+    return stage(weather_daily(spark, sf_dir), "weather_raw")
+
+
 def weather_sources(spark: SparkSession, sf_dir: str, cut) -> tuple[DataFrame, DataFrame]:
     """Archive (days <= ``cut``, the last target day) and forecast (days >= it):
     one day overlaps.  The forecast copy carries temperatures +0.5 so that
     keep-first (archive wins) is visible in the output."""
-    w = weather_daily(spark, sf_dir)
+    w = raw_weather(spark, sf_dir)
     archive = w.filter(F.col("ds") <= cut)
     forecast = w.filter(F.col("ds") >= cut).select(
         "ds", *[(F.col(c) + 0.5).alias(c) for c in ("temperature_max", "temperature_min", "temperature_mean")])
