@@ -57,14 +57,20 @@ def window_report(scored: DataFrame, model_name: str, window_size: int = WINDOW_
              F.lit(f"naive_{season}_days").alias("baseline"), "mae_window", "mase_window")
 
 
-def retrain_flag(metrics: DataFrame, metric_key: str = "mase_window",
-                 threshold: float = RETRAIN_THRESHOLD, by: str = "series_id") -> DataFrame:
-    """``should_retrain = metric > threshold`` (strict); a NULL score means retrain."""
+def should_retrain(metrics: DataFrame, metric_key: str = "mase_window", threshold: float = RETRAIN_THRESHOLD):
+    """E4 as a column: ``metric > threshold`` (strict); a NULL score means retrain;
+    an unknown metric name is an error."""
     if metric_key not in metrics.columns:
         raise ValueError(f"cannot compute retrain flag: missing metric {metric_key!r}")
+    return F.coalesce(F.col(metric_key) > F.lit(threshold), F.lit(True))
+
+
+def retrain_flag(metrics: DataFrame, metric_key: str = "mase_window",
+                 threshold: float = RETRAIN_THRESHOLD, by: str = "series_id") -> DataFrame:
+    """``series_id[, model_name], metric_value, should_retrain``."""
+    flag = should_retrain(metrics, metric_key, threshold)
     keep = [c for c in (by, "model_name") if c in metrics.columns]
-    return metrics.select(*keep, F.col(metric_key).alias("metric_value"),
-                          F.coalesce(F.col(metric_key) > F.lit(threshold), F.lit(True)).alias("should_retrain"))
+    return metrics.select(*keep, F.col(metric_key).alias("metric_value"), flag.alias("should_retrain"))
 
 
 def flags_with_default(series: DataFrame, flags: DataFrame | None, by: str = "series_id") -> DataFrame:

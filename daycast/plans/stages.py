@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from daycast.functions.columns import cooling_degree_days, heating_degree_days
 from daycast.operators.clean import repair_zeros
 from daycast.operators.daily import daily_totals
-from daycast.operators.evaluate import chronological_split, retrain_flag, window_report
+from daycast.operators.evaluate import chronological_split, should_retrain, window_report
 from daycast.operators.joins import weather_left_target
 from daycast.operators.model import fit_trend_weekday, predict_trend_weekday
 from daycast.operators.weather import keep_first_per_day, union_sources
@@ -112,8 +112,7 @@ def retrain_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = prepared_train(full_data(spark, sf_dir))
     scored, _ = trend_weekday_scored(prepared)
     report = window_report(scored, MODEL_TREND_WEEKDAY)
-    flag = retrain_flag(report)
-    return report.join(flag.drop("metric_value"), ["series_id", "model_name"])
+    return report.withColumn("should_retrain", should_retrain(report))
 
 
 def naive_scored(prepared: DataFrame, season: int = 7) -> DataFrame:
