@@ -48,5 +48,7 @@ def append_history(history: DataFrame | None, run: DataFrame) -> DataFrame:
 def scorecard(history: DataFrame, by: str = "series_id", order: str = "run_order") -> DataFrame:
     """Latest row per (model, series) of the metric history."""
     cols = [c for c in history.columns if c not in (by, "model_name", order)]
-    g = history.groupBy("model_name", by).agg(F.max_by(F.struct(*cols), F.col(order)).alias("_r"))
+    # latest run first; equal runs resolved by the row itself (deterministic on recompute)
+    g = history.groupBy("model_name", by).agg(
+        F.max_by(F.struct(*cols), F.struct(F.col(order), F.struct(*cols))).alias("_r"))
     return g.select("model_name", by, *[F.col(f"_r.{c}").alias(c) for c in cols])

@@ -25,7 +25,9 @@ def keep_first_per_day(unioned: DataFrame, key: str = "ds", cols: list[str] | No
     final hash aggregate: no sort and a shuffle of one row per (task, day).
     """
     cols = cols or [c for c in unioned.columns if c not in (key, "src_rank")]
-    order = F.struct("src_rank", *(["seq"] if "seq" in unioned.columns else []))
+    # source rank first, then the ingest ordinal when there is one; the row
+    # itself breaks any remaining tie, so a recomputed task picks the same row
+    order = F.struct("src_rank", *(["seq"] if "seq" in unioned.columns else []), F.struct(*cols))
     picked = unioned.groupBy(key).agg(F.min_by(F.struct(*cols), order).alias("_r"))
     return picked.select(key, *[F.col(f"_r.{c}").alias(c) for c in cols if c != "seq"])
 

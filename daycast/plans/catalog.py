@@ -295,13 +295,14 @@ def q_residual_bounds(spark, sf):
 
 # ====================================================================== E1-E6, S12, A7, M11
 from daycast.operators import serve as S  # noqa: E402
-from daycast.session import scratch_path  # noqa: E402
+from daycast.session import scratch_path, stage  # noqa: E402
 
 NAIVE_TRIALS = list(range(1, 15))
 
 
-def _report(spark, sf):
-    scored, _ = P.trend_weekday_scored(P.prepared_train(P.full_data(spark, sf)))
+def _report(spark, sf, prepared=None):
+    prepared = prepared if prepared is not None else P.prepared_train(P.full_data(spark, sf))
+    scored, _ = P.trend_weekday_scored(prepared)
     return EV.window_report(scored, P.MODEL_TREND_WEEKDAY)
 
 
@@ -388,7 +389,7 @@ def q_model_fallback(spark, sf):
 def _history(spark, sf):
     prepared = P.prepared_train(P.full_data(spark, sf))
     naive = EV.window_report(P.naive_scored(prepared).filter(F.col("yhat").isNotNull()), "naive_7_days")
-    tw = _report(spark, sf)
+    tw = _report(spark, sf, prepared)
     h = S.append_history(None, naive.withColumn("run_order", F.lit(1)))
     h = S.append_history(h, tw.withColumn("run_order", F.lit(2)))
     return S.append_history(h, tw.withColumn("run_order", F.lit(3)))  # a rerun appends again
@@ -438,14 +439,20 @@ RUN_AS_OF = "2001-08-02T00:00:00"
 def q_artifact_roundtrip(spark, sf):
     """Write metrics, flags, report, forecast and model under a fresh folder of
     the shared checkpoint dir, then read them back by artifact name."""
+    from daycast.operators.model import residual_bounds, with_bounds
+
     root = scratch_path(spark, f"artifacts-{uuid.uuid4().hex}")
-    prepared = P.prepared_train(P.full_data(spark, sf))
+    full = P.full_data(spark, sf)
+    prepared = P.prepared_train(full)
     scored, coef = P.trend_weekday_scored(prepared)
+    scored, coef = stage(scored, "tw_scored"), stage(coef, "tw_coef")  # reused by four sinks
     report = EV.window_report(scored, P.MODEL_TREND_WEEKDAY)
     SK.save_metrics(report, root, RUN_AS_OF)
     SK.save_flags(EV.retrain_flag(report).select("series_id", "should_retrain"), root, RUN_AS_OF)
     SK.save_report(V.validation_report(prepared, rules=RULES), root)
-    SK.save_forecast(P.forecast_frame(P.full_data(spark, sf)), root, P.MODEL_TREND_WEEKDAY)
+    bounds = residual_bounds(scored.filter(F.col("split") == "train"))
+    SK.save_forecast(with_bounds(M.predict_trend_weekday(full.select("series_id", "ds"), coef), bounds), root,
+                     P.MODEL_TREND_WEEKDAY)
     SK.save_model(M.coefficients_long(coef, P.MODEL_TREND_WEEKDAY), root)
     met = SK.read_artifact(spark, root, "metrics")
     flags = EV.flags_with_default(met, SK.read_flags(spark, root))
