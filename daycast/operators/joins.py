@@ -14,6 +14,15 @@ def series_calendar(series: DataFrame, lo, hi, by: str = "series_id") -> DataFra
     return series.select(by, F.explode(F.sequence(lo, hi)).alias("ds"))
 
 
+def require_keys(inputs: dict[str, DataFrame], keys: list[str]) -> None:
+    """Every input must carry the join keys; the error names every faulty
+    input (a schema check on the driver, no job)."""
+    bad = [f"{name} (missing {[k for k in keys if k not in df.columns]})"
+           for name, df in inputs.items() if any(k not in df.columns for k in keys)]
+    if bad:
+        raise ValueError(f"join key(s) {keys} missing in: {', '.join(bad)}")
+
+
 def weather_left_target(target: DataFrame, weather: DataFrame, by: str = "series_id") -> DataFrame:
     """All weather days for each series, target left-joined (future days keep NULL y).
 
@@ -22,6 +31,8 @@ def weather_left_target(target: DataFrame, weather: DataFrame, by: str = "series
     turned into a broadcast by AQE once its actual size is known to be under
     the threshold, a sort-merge join otherwise.
     """
+    require_keys({"target": target, "weather": weather}, ["ds"])
+    require_keys({"target": target}, [by])
     bounds = weather.select(F.struct(F.min("ds").alias("lo"), F.max("ds").alias("hi"))).scalar()
     lo, hi = bounds["lo"], bounds["hi"]
     series = target.select(by).distinct()

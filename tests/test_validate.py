@@ -63,3 +63,15 @@ def test_rules_zero_violations_left_out(spark):
     assert V.rule_violations(df, {"target": {"min_value": 1.0}}).count() == 0
     wider = V.rule_violations(df, {"target": {"min_value": 0.0}}).count()
     assert wider == 0
+
+
+def test_merge_names_every_input_without_key(spark):
+    import pytest
+
+    from daycast.operators.joins import weather_left_target
+
+    t = spark.createDataFrame([("s", 1.0)], "series_id string, y double")
+    w = spark.createDataFrame([(1.0,)], "temperature_mean double")
+    with pytest.raises(ValueError) as e:
+        weather_left_target(t, w)
+    assert "target" in str(e.value) and "weather" in str(e.value)
