@@ -523,6 +523,14 @@ def q_ridge_forecast(spark, sf):
               {"y": 2, "yhat": 4, "yhat_lower": 4, "yhat_upper": 4})
 
 
+@register("tuned_report")
+def q_tuned_report(spark, sf):
+    """L3 for the tuned model: last-60 MAE / MASE against the naive and the flag."""
+    fc, _best = P.tuned(spark, sf)
+    rep = EV.window_report(fc.filter(F.col("y").isNotNull()), P.MODEL_RIDGE)
+    return rep.withColumn("should_retrain", EV.should_retrain(rep))
+
+
 @register("tuned_forecast")
 def q_tuned_forecast(spark, sf):
     fc, _best = P.tuned(spark, sf)

@@ -69,16 +69,18 @@ def staged_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_weather(spark: SparkSession, sf_dir: str, target: DataFrame | None = None) -> DataFrame:
-    """Stage 2: the merged weather table (one row per day; the only pass over lineitem)."""
+    """The merged weather table, derived from the staged raw weather (one row
+    per day): re-deriving it for each consumer costs a scan of a calendar-sized
+    table, so it is not written again."""
     target = target if target is not None else staged_target(spark, sf_dir)
-    return stage(weather(spark, sf_dir, target), "weather")
+    return weather(spark, sf_dir, target)
 
 
 def full_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage 3, J1 + F1/F2: every weather day per series, target NULL on future days.
 
-    Stages 1-3 are written to the shared checkpoint folder, as the reference
-    writes its processed files; everything downstream (split, fit, score,
+    The daily target, the raw daily weather and the full data are written to
+    the shared checkpoint folder, as the reference writes its processed files; everything downstream (split, fit, score,
     evaluate, validate) reads the small stage-3 table.
     """
     target = staged_target(spark, sf_dir)
