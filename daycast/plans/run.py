@@ -46,7 +46,8 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, as_of: str, n_tria
 
     # prepare + validate + gate (E5): invalid series go to the rejects frame
     prepared, report = preparator(full, True)
-    SK.save_report(report, root)
+    nulls = V.null_counts(prepared.filter(F.col("y").isNotNull()))
+    SK.save_report(V.report_document(report, nulls, V.data_types(prepared), as_of), root)
     valid_full, rejected = EV.gate(full, report)
 
     # decide (S12): flags of the last run, default True

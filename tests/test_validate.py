@@ -75,3 +75,13 @@ def test_merge_names_every_input_without_key(spark):
     with pytest.raises(ValueError) as e:
         weather_left_target(t, w)
     assert "target" in str(e.value) and "weather" in str(e.value)
+
+
+def test_report_document_shape(spark):
+    df = _multi_fault(spark).withColumn("ds", F.to_date("date")).drop("date").withColumnRenamed("target", "y")
+    rep = V.validation_report(df, rules=None)
+    doc = V.report_document(rep, V.null_counts(df), V.data_types(df), "2026-01-01T00:00:00").first()
+    assert doc["data_types"]["y"] == "bigint" and doc["missing_values"]["temp"] == 1
+    assert doc["date_report"]["missing_dates"]["count"] == 1
+    assert doc["date_report"]["missing_dates"]["range"] == "2025-01-03 to 2025-01-03"
+    assert doc["is_valid"] is False
