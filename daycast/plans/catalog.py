@@ -6,11 +6,28 @@ columns match the oracle SQL of the same key.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from daycast.functions import calendar as CAL
+from daycast.functions import design as D
+from daycast.functions.columns import rounded
+from daycast.operators import clean, daily, joins
+from daycast.operators import evaluate as EV
+from daycast.operators import model as M
+from daycast.operators import ridge as RG
+from daycast.operators import serve as S
+from daycast.operators import validate as V
+from daycast.operators import weather as W
 from daycast.plans import stages as P
+from daycast.session import scratch_path, stage
+from daycast.sources import fixtures as FX
+from daycast.sources import payloads
+from daycast.sources import sinks as SK
+from daycast.streaming import daily_stream as ZS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -36,11 +53,6 @@ def q_retrain_decision(spark, sf):
 
 
 # ====================================================================== helpers
-from pyspark.sql import functions as F  # noqa: E402
-
-from daycast.functions.columns import rounded  # noqa: E402
-from daycast.operators import clean, daily, joins, weather as W  # noqa: E402
-from daycast.sources import fixtures as FX, payloads  # noqa: E402
 
 
 def _r(df: DataFrame, places: dict[str, int]) -> DataFrame:
@@ -175,8 +187,6 @@ def q_weather_select(spark, sf):
 
 
 # ====================================================================== C1-C5, J3, J7, M3
-from daycast.functions import calendar as CAL, design as D  # noqa: E402
-from daycast.operators import evaluate as EV, model as M, validate as V  # noqa: E402
 
 HORIZON = 7
 RULES = {
@@ -294,8 +304,6 @@ def q_residual_bounds(spark, sf):
 
 
 # ====================================================================== E1-E6, S12, A7, M11
-from daycast.operators import serve as S  # noqa: E402
-from daycast.session import scratch_path, stage  # noqa: E402
 
 NAIVE_TRIALS = list(range(1, 15))
 
@@ -428,9 +436,7 @@ def q_axis_bounds(spark, sf):
 
 
 # ====================================================================== S5, S7, S8, S10-S14, M10
-import uuid  # noqa: E402
 
-from daycast.sources import sinks as SK  # noqa: E402
 
 RUN_AS_OF = "2001-08-02T00:00:00"
 
@@ -482,7 +488,6 @@ def q_schema_checks(spark, sf):
 
 
 # ====================================================================== Z1, Z2
-from daycast.streaming import daily_stream as ZS  # noqa: E402
 
 LATENESS = "2 days"
 
@@ -509,7 +514,6 @@ def q_stream_dedup(spark, sf):
 
 
 # ====================================================================== M5, M6, M8, M12-M14 (rows-only)
-from daycast.operators import ridge as RG  # noqa: E402
 
 
 @register("trial_space")
