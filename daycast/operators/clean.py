@@ -28,9 +28,22 @@ def rename(df: DataFrame, mapping: dict) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
 
 
-def parse_day(c) -> "F.Column":
-    """Text or timestamp -> calendar day (UTC session, zone dropped)."""
+# Fixed value: a trailing zone designator of ISO-8601 text.
+ZONE_SUFFIX = r"(Z|[+-][0-9]{2}:?[0-9]{2})$"
+
+
+def parse_wall_clock(c) -> "F.Column":
+    """ISO text -> TIMESTAMP_NTZ keeping the local wall clock (the zone is
+    dropped, not applied): ``2024-01-01T00:30:00+01:00`` -> ``2024-01-01 00:30``."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.to_timestamp_ntz(F.regexp_replace(c, ZONE_SUFFIX, ""))
+
+
+def parse_day(c, df_type: str = "string") -> "F.Column":
+    """Text (zone dropped, wall clock kept) or timestamp -> calendar day."""
     c = F.col(c) if isinstance(c, str) else c
+    if df_type == "string":
+        return F.to_date(parse_wall_clock(c))
     return F.to_date(c)
 
 

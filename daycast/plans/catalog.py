@@ -74,7 +74,7 @@ WEATHER_RANGE = ("1996-01-01", "1996-12-31")
 def q_json_records_flatten(spark, sf):
     pl = payloads.envelope_payloads(FX.event_readings(spark, sf))
     rows = payloads.flatten_records(pl, keep=["page"])
-    return _r(rows.select("page", F.to_date("jour").alias("ds"), "jour", "conso_jour"), {"conso_jour": 6})
+    return _r(rows.select("page", clean.parse_day("jour").alias("ds"), "jour", "conso_jour"), {"conso_jour": 6})
 
 
 @register("json_arrays_flatten")

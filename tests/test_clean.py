@@ -89,3 +89,17 @@ def test_degree_days_keep_null(spark):
     df = spark.createDataFrame([(None,), (18.0,), (22.0,), (10.0,), (30.0,)], "t double")
     out = rows(df.select("t", heating_degree_days("t").alias("h"), cooling_degree_days("t").alias("c")))
     assert out == [(None, None, None), (18.0, 0.0, 0.0), (22.0, 0.0, 0.0), (10.0, 8.0, 0.0), (30.0, 0.0, 8.0)]
+
+
+def test_parse_keeps_wall_clock(spark):
+    import datetime as dt
+
+    from daycast.operators.clean import parse_day, parse_wall_clock
+
+    df = spark.createDataFrame([("2024-01-01T00:30:00+01:00",), ("2024-01-01T23:30:00-05:00",),
+                                ("2024-03-01T10:00:00Z",), ("2024-03-02",)], "s string")
+    got = rows(df.select(parse_wall_clock("s").alias("t"), parse_day("s").alias("d")))
+    assert got == [(dt.datetime(2024, 1, 1, 0, 30), dt.date(2024, 1, 1)),
+                   (dt.datetime(2024, 1, 1, 23, 30), dt.date(2024, 1, 1)),
+                   (dt.datetime(2024, 3, 1, 10, 0), dt.date(2024, 3, 1)),
+                   (dt.datetime(2024, 3, 2, 0, 0), dt.date(2024, 3, 2))]
