@@ -155,23 +155,23 @@ def q_weather_union_first(spark, sf):
 
 @register("weather_left_target")
 def q_weather_left_target(spark, sf):
-    return _r(P.full_data(spark, sf), {**TEMPS, "y": 2, "HDD": 6, "CDD": 6})
+    return _r(P.full_data(spark, sf, staged=False), {**TEMPS, "y": 2, "HDD": 6, "CDD": 6})
 
 
 @register("availability_cap")
 def q_availability_cap(spark, sf):
-    return _r(clean.availability_cap(P.full_data(spark, sf)).select("series_id", "ds", "y", "temperature_mean"),
+    return _r(clean.availability_cap(P.full_data(spark, sf, staged=False)).select("series_id", "ds", "y", "temperature_mean"),
               {"y": 2, "temperature_mean": 6})
 
 
 @register("prepared_train")
 def q_prepared_train(spark, sf):
-    return _r(P.prepared_train(P.full_data(spark, sf)), {"y": 2, "HDD": 6, "CDD": 6})
+    return _r(P.prepared_train(P.full_data(spark, sf, staged=False)), {"y": 2, "HDD": 6, "CDD": 6})
 
 
 @register("prepared_forecast")
 def q_prepared_forecast(spark, sf):
-    return _r(P.prepared_forecast(P.full_data(spark, sf)), {"HDD": 6, "CDD": 6})
+    return _r(P.prepared_forecast(P.full_data(spark, sf, staged=False)), {"HDD": 6, "CDD": 6})
 
 
 @register("degree_days")
@@ -238,7 +238,7 @@ def q_missing_days(spark, sf):
 
 @register("null_counts")
 def q_null_counts(spark, sf):
-    return V.null_counts(P.full_data(spark, sf))
+    return V.null_counts(P.full_data(spark, sf, staged=False))
 
 
 @register("duplicate_rows")
@@ -255,7 +255,7 @@ def q_sorted_check(spark, sf):
 
 @register("business_rules")
 def q_business_rules(spark, sf):
-    return V.rule_violations(P.prepared_train(P.full_data(spark, sf)), RULES)
+    return V.rule_violations(P.prepared_train(P.full_data(spark, sf, staged=False)), RULES)
 
 
 @register("validation_report")
@@ -266,18 +266,18 @@ def q_validation_report(spark, sf):
 # ====================================================================== W4, M1, M2, M4, M7, M9
 @register("chronological_split")
 def q_chronological_split(spark, sf):
-    return _r(EV.chronological_split(P.prepared_train(P.full_data(spark, sf))), {"y": 2, "HDD": 6, "CDD": 6})
+    return _r(EV.chronological_split(P.prepared_train(P.full_data(spark, sf, staged=False))), {"y": 2, "HDD": 6, "CDD": 6})
 
 
 @register("fourier_terms")
 def q_fourier_terms(spark, sf):
-    p = P.prepared_train(P.full_data(spark, sf)).select("series_id", "ds")
+    p = P.prepared_train(P.full_data(spark, sf, staged=False)).select("series_id", "ds")
     return _r(p.withColumns(D.fourier_columns()), {c: 6 for c in D.fourier_names()})
 
 
 @register("trend_hinges")
 def q_trend_hinges(spark, sf):
-    s = EV.chronological_split(P.prepared_train(P.full_data(spark, sf))).select("series_id", "ds", "split")
+    s = EV.chronological_split(P.prepared_train(P.full_data(spark, sf, staged=False))).select("series_id", "ds", "split")
     t = D.with_trend_time(s, fit_mask=F.col("split") == "train")
     h = t.withColumns(D.hinge_columns()).drop("split")
     return _r(h, {c: 6 for c in ["t"] + list(D.hinge_columns())})
@@ -285,7 +285,7 @@ def q_trend_hinges(spark, sf):
 
 @register("scaled_regressors")
 def q_scaled_regressors(spark, sf):
-    s = EV.chronological_split(P.prepared_train(P.full_data(spark, sf))).select("series_id", "ds", "split", "HDD", "CDD")
+    s = EV.chronological_split(P.prepared_train(P.full_data(spark, sf, staged=False))).select("series_id", "ds", "split", "HDD", "CDD")
     z = D.standardize(s, ["HDD", "CDD"], fit_mask=F.col("split") == "train").drop("HDD", "CDD")
     return _r(z, {"HDD_z": 6, "CDD_z": 6})
 
@@ -316,7 +316,7 @@ def _report(spark, sf, prepared=None):
 
 @register("seasonal_naive")
 def q_seasonal_naive(spark, sf):
-    p = P.prepared_train(P.full_data(spark, sf)).select("series_id", "ds", "y")
+    p = P.prepared_train(P.full_data(spark, sf, staged=False)).select("series_id", "ds", "y")
     return _r(EV.seasonal_naive(p), {"y": 2, "naive": 2})
 
 
@@ -518,7 +518,7 @@ def q_stream_dedup(spark, sf):
 
 @register("trial_space")
 def q_trial_space(spark, sf):
-    return RG.series_trials(P.full_data(spark, sf).select("series_id"))
+    return RG.series_trials(P.full_data(spark, sf, staged=False).select("series_id"))
 
 
 @register("ridge_forecast")

@@ -76,19 +76,20 @@ def staged_weather(spark: SparkSession, sf_dir: str, target: DataFrame | None =
     return weather(spark, sf_dir, target)
 
 
-def full_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+def full_data(spark: SparkSession, sf_dir: str, staged: bool = True) -> DataFrame:
     """Stage 3, J1 + F1/F2: every weather day per series, target NULL on future days.
 
     The daily target, the raw daily weather and the full data are written to
-    the shared checkpoint folder, as the reference writes its processed files; everything downstream (split, fit, score,
-    evaluate, validate) reads the small stage-3 table.
+    the shared checkpoint folder, as the reference writes its processed files;
+    everything downstream (split, fit, score, evaluate, validate) reads the
+    small stage-3 table.  ``staged=False`` leaves the last step lazy, for a
+    consumer that reads it once.
     """
     target = staged_target(spark, sf_dir)
     wx = staged_weather(spark, sf_dir, target)
-    full = weather_left_target(target, wx)
-    return stage(with_degree_days(full).select(
-        "series_id", "ds", "temperature_max", "temperature_min", "temperature_mean", "y", "HDD", "CDD"),
-        "full_data")
+    full = with_degree_days(weather_left_target(target, wx)).select(
+        "series_id", "ds", "temperature_max", "temperature_min", "temperature_mean", "y", "HDD", "CDD")
+    return stage(full, "full_data") if staged else full
 
 
 def prepared_train(full: DataFrame) -> DataFrame:
