@@ -21,16 +21,34 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for a large cluster (hundreds of TB of raw readings): start with many
+# shuffle partitions and let AQE coalesce them to ~256 MB each, so a partition
+# fits an executor's memory without spilling; read Parquet in 256 MB splits;
+# split a partition as skewed when it is 5x the median and over 512 MB.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.task.maxFailures": "8",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "daycast", extra: dict | None = None) -> SparkSession:
+                app_name: str = "daycast", extra: dict | None = None, cluster: bool = False) -> SparkSession:
     """Build (or reuse) a session with the engine's settings.
 
-    On a cluster ``master`` is left to spark-submit; tests pass ``local[*]``.
+    On a cluster ``master`` is left to spark-submit and ``cluster=True`` adds
+    :data:`CLUSTER_CONF`; tests pass ``local[*]``.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **(CLUSTER_CONF if cluster else {})}.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -79,3 +79,13 @@ def test_multiplicative_falls_back_without_positive_target(spark):
     design = RG.design(EV.chronological_split(df), CAL.holiday_table(years))
     coef = RG.fit(design, {**RG.DEFAULT_PARAMS, "seasonality_mode": "multiplicative"})
     assert coef.first()["mode_used"] == "fallback_additive"
+
+
+def test_trial_chunking_does_not_change_scores(spark):
+    df, years = _synthetic(spark, n_days=300)
+    df = df.unionByName(df.withColumn("series_id", F.lit("t")).withColumn("y", F.col("y") * 1.5))
+    design = RG.design(EV.chronological_split(df), CAL.holiday_table(years))
+    trials = RG.trial_space(spark, 7)
+    a = sorted(tuple(r) for r in RG.score_trials(design, trials, chunks=1).collect())
+    b = sorted(tuple(r) for r in RG.score_trials(design, trials, chunks=3).collect())
+    assert len(a) == 14 and a == b
