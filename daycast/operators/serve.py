@@ -38,11 +38,20 @@ def axis_bounds(view: DataFrame, by: str = "series_id", actual: str = "daily_con
                                 (F.max(F.greatest(*hi_cols)) * 1.05).alias("y_max"))
 
 
-def append_history(history: DataFrame | None, run: DataFrame) -> DataFrame:
-    """Old history (empty if none) followed by the run rows; no dedup."""
-    if history is None:
-        return run
-    return history.unionByName(run, allowMissingColumns=True)
+def append_history(history: DataFrame | None, run: DataFrame, dedup_on: list[str] | None = None,
+                   order: str = "run_order") -> DataFrame:
+    """Old history (empty if none) followed by the run rows.
+
+    No dedup by default (a rerun appends again, as the reference does);
+    ``dedup_on`` keeps one row per key, the one with the highest ``order``
+    (an aggregation, so a heavily repeated key is collapsed map-side).
+    """
+    out = run if history is None else history.unionByName(run, allowMissingColumns=True)
+    if not dedup_on:
+        return out
+    rest = [c for c in out.columns if c not in dedup_on]
+    g = out.groupBy(*dedup_on).agg(F.max_by(F.struct(*rest), F.struct(F.col(order), F.struct(*rest))).alias("_r"))
+    return g.select(*dedup_on, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*out.columns)
 
 
 def scorecard(history: DataFrame, by: str = "series_id", order: str = "run_order") -> DataFrame:

@@ -72,3 +72,14 @@ def test_train_flagged_only_semi_join(spark):
     flags = spark.createDataFrame([("a", True), ("b", False)], "series_id string, should_retrain boolean")
     out = EV.train_flagged_only(train, flags)
     assert out.count() == 5 and {r[0] for r in rows(out, "series_id")} == {"a"}
+
+
+def test_history_append_and_optional_dedup(spark):
+    from daycast.operators.serve import append_history
+
+    run = spark.createDataFrame([("m", "s", 0.5, 1)], "model_name string, series_id string, mase double, run_order int")
+    rerun = run.withColumn("run_order", F.lit(2)).withColumn("mase", F.lit(0.6))
+    h = append_history(append_history(None, run), rerun)
+    assert h.count() == 2
+    d = append_history(append_history(None, run), rerun, dedup_on=["model_name", "series_id"])
+    assert rows(d, "mase", "run_order") == [(0.6, 2)]
