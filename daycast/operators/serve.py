@@ -25,6 +25,12 @@ def history_view(fa: DataFrame, days: int = HISTORY_DAYS, by: str = "series_id",
         F.col("ds") >= F.date_sub(F.col("_m"), days)).drop("_m")
 
 
+def sort_days(df: DataFrame, by: str = "series_id", day: str = "ds") -> DataFrame:
+    """Final-output order by series then day, missing days last.  A global
+    sort is a range shuffle; use it on served views, not on intermediates."""
+    return df.orderBy(F.col(by).asc_nulls_last(), F.col(day).asc_nulls_last())
+
+
 def has_band(df: DataFrame) -> bool:
     """Y2: the band is drawn only if both bounds exist (schema test, no job)."""
     return {"yhat_lower", "yhat_upper"}.issubset(df.columns)

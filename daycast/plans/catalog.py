@@ -424,8 +424,8 @@ def q_forecast_with_actuals(spark, sf):
 def q_history_view_70d(spark, sf):
     full = P.full_data(spark, sf)
     v = S.history_view(S.forecast_with_actuals(P.forecast_frame(full), full))
-    return _r(v.select("series_id", "ds", "yhat", "yhat_lower", "yhat_upper", "daily_conso_kwh"),
-              {"yhat": 4, "yhat_lower": 4, "yhat_upper": 4, "daily_conso_kwh": 2})
+    return S.sort_days(_r(v.select("series_id", "ds", "yhat", "yhat_lower", "yhat_upper", "daily_conso_kwh"),
+                          {"yhat": 4, "yhat_lower": 4, "yhat_upper": 4, "daily_conso_kwh": 2}))
 
 
 @register("axis_bounds")
