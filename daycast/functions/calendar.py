@@ -55,9 +55,13 @@ def easter_sunday(year: Column) -> Column:
 
 
 def years_of(df: DataFrame, day: str) -> DataFrame:
-    """One row per calendar year spanned by ``day`` (``year int``)."""
-    b = df.agg(F.year(F.min(day)).alias("lo"), F.year(F.max(day)).alias("hi"))
-    return b.select(F.explode(F.sequence("lo", "hi")).alias("year"))
+    """One row per calendar year spanned by ``day`` (``year int``).
+
+    The span is one scalar subquery: every consumer of the years table reuses
+    the same subquery result instead of re-aggregating ``df``.
+    """
+    span = df.select(F.struct(F.year(F.min(day)).alias("lo"), F.year(F.max(day)).alias("hi"))).scalar()
+    return df.sparkSession.range(1).select(F.explode(F.sequence(span["lo"], span["hi"])).alias("year"))
 
 
 def public_holidays(years: DataFrame) -> DataFrame:

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daycast.functions.calendar import daily_calendar
 from daycast.operators.sequence import ordered_neighbors
 
 DATETIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -72,11 +71,11 @@ def missing_days_report(df: DataFrame, day: str = "ds", by: str = "series_id") -
     """V7 (C4 + J6): count of calendar days absent between first and last day,
     and the text ``'first to last'`` of the missing ones (NULL if none)."""
     obs = df.select(by, day).filter(F.col(day).isNotNull()).distinct()
-    cal = daily_calendar(obs, by, day)
+    bounds = obs.groupBy(by).agg(F.min(day).alias("_first"), F.max(day).alias("_last"))
+    cal = bounds.select(by, F.explode(F.sequence("_first", "_last")).alias(day))
     miss = cal.join(obs, [by, day], "left_anti").groupBy(by).agg(
         F.count(F.lit(1)).alias("_n"), F.min(day).alias("_lo"), F.max(day).alias("_hi"))
-    series = obs.select(by).distinct()
-    return series.join(miss, by, "left").select(
+    return bounds.join(miss, by, "left").select(
         by, F.coalesce("_n", F.lit(0)).cast("bigint").alias("missing_count"),
         F.when(F.col("_n") > 0, F.concat_ws(" to ", F.col("_lo").cast("string"), F.col("_hi").cast("string")))
         .alias("missing_range"))

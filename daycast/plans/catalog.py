@@ -213,7 +213,7 @@ def q_bridge_days(spark, sf):
 @register("holiday_windows")
 def q_holiday_windows(spark, sf):
     eff = CAL.holiday_effect_days(CAL.holiday_table(_order_years(spark, sf)))
-    t = P.daily_target(spark, sf).select("series_id", "ds")
+    t = P.staged_target(spark, sf).select("series_id", "ds")
     # the holiday side is about a dozen rows a year: bounded by construction
     return t.join(F.broadcast(eff), t.ds == eff.day, "inner").select("series_id", "ds", "holiday", "offset")
 
@@ -233,7 +233,7 @@ def q_future_regressors(spark, sf):
 # ====================================================================== V1-V12
 @register("missing_days")
 def q_missing_days(spark, sf):
-    return V.missing_days_report(P.daily_target(spark, sf))
+    return V.missing_days_report(P.staged_target(spark, sf))
 
 
 @register("null_counts")
