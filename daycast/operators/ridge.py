@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from daycast.functions import calendar as CAL
 from daycast.functions import design as D
+from daycast.session import ship_package
 
 # Default prior scales and noise level of the fit.
 DEFAULT_PARAMS = {"changepoint_prior_scale": 0.05, "seasonality_prior_scale": 10.0,
@@ -176,6 +177,7 @@ def score_trials(design_df: DataFrame, trials: DataFrame, chunks: int = 1, by: s
     function; the data is grouped by series (and by trial chunk when there
     are few series, replicating the series rows ``chunks`` times).
     """
+    ship_package(design_df.sparkSession)
     tp = trials.orderBy("trial_id").toPandas()
     tp["chunk"] = np.arange(len(tp)) % chunks
     rows = design_df.filter(F.col("split").isin("train", "test"))
@@ -209,6 +211,7 @@ def fit(design_df: DataFrame, params: DataFrame | dict, by: str = "series_id") -
     """Refit on the train rows with one parameter set per series
     (``params`` as a dict for all series, or a per-series DataFrame such as the
     best trials).  Returns the coefficient table (one row per series)."""
+    ship_package(design_df.sparkSession)
     rows = design_df.filter(F.col("split") == "train")
     if isinstance(params, dict):
         rows = rows.withColumns({k: F.lit(v) for k, v in params.items()})
@@ -263,6 +266,7 @@ def fit_custom(design_df: DataFrame, user_fit, params: dict | None = None, by: s
     (numpy arrays, train rows in day order).  Scoring stays in :func:`predict`
     (additive, unit scale), so the user function runs once per series only."""
     params = dict(params or {})
+    ship_package(design_df.sparkSession)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, X = _xy(pdf)

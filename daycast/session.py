@@ -93,3 +93,37 @@ def stage(df, name: str):
     path = scratch_path(spark, f"stage-{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark) -> None:
+    """Make ``daycast`` importable by Python workers (``applyInPandas``).
+
+    Zips the package once per application and hands it to ``addPyFile``,
+    which distributes it to every executor.  On a cluster that already ships
+    the package (``--py-files``, an installed wheel) this is harmless.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = checkpoint_dir(spark)
+    if "://" in base and not base.startswith("file:"):
+        base = tempfile.mkdtemp(prefix="daycast-pyfiles-")  # zip is built on the driver, Spark ships it
+    base = base.replace("file://", "").replace("file:", "")
+    folder = os.path.join(base, f"pyfiles-{app}")
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, "daycast.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
