@@ -81,14 +81,9 @@ def missing_days_report(df: DataFrame, day: str = "ds", by: str = "series_id") -
         .alias("missing_range"))
 
 
-def rule_violations(df: DataFrame, rules: dict | None, target: str = "y", by: str = "series_id") -> DataFrame:
-    """V8-V10 (X4): business rules as ``count_if`` columns in one pass, returned
-    tall; zero-violation entries are left out; rules on absent columns are skipped.
-
-    ``rules = {"target": {"allow_negative": False, "min_value": .., "max_value": ..},
-               "regressors": {col: {"min_value": .., "max_value": ..}}}``
-    """
-    items = []  # (scope, column, rule, predicate)
+def _rule_items(df: DataFrame, rules: dict | None, target: str) -> list[tuple]:
+    """(scope, column, rule, predicate) for every rule on a present column."""
+    items = []
     rules = rules or {}
     tr = rules.get("target", {})
     if not tr.get("allow_negative", True):
@@ -104,16 +99,31 @@ def rule_violations(df: DataFrame, rules: dict | None, target: str = "y", by: st
             items.append(("regressors", c, "below_min", F.col(c) < F.lit(float(r["min_value"]))))
         if "max_value" in r:
             items.append(("regressors", c, "above_max", F.col(c) > F.lit(float(r["max_value"]))))
-    schema = f"{by} string, scope string, column string, rule string, violations bigint"
-    if not items:
-        return df.sparkSession.createDataFrame([], schema)
-    wide = df.groupBy(by).agg(*[F.count_if(p).alias(f"_v{i}") for i, (_, _, _, p) in enumerate(items)])
+    return items
+
+
+def _rules_tall(wide: DataFrame, items: list[tuple], by: str) -> DataFrame:
     entries = F.array(*[F.struct(F.lit(s).alias("scope"), F.lit(c).alias("column"), F.lit(r).alias("rule"),
                                  F.col(f"_v{i}").cast("bigint").alias("violations"))
                         for i, (s, c, r, _) in enumerate(items)])
     return wide.select(by, F.inline(entries)).filter(F.col("violations") > 0)
 
 
+def rule_violations(df: DataFrame, rules: dict | None, target: str = "y", by: str = "series_id") -> DataFrame:
+    """V8-V10 (X4): business rules as ``count_if`` columns in one pass, returned
+    tall; zero-violation entries are left out; rules on absent columns are skipped.
+
+    ``rules = {"target": {"allow_negative": False, "min_value": .., "max_value": ..},
+               "regressors": {col: {"min_value": .., "max_value": ..}}}``
+    """
+    items = _rule_items(df, rules, target)
+    if not items:
+        return df.sparkSession.createDataFrame(
+            [], f"{by} string, scope string, column string, rule string, violations bigint")
+    wide = df.groupBy(by).agg(*[F.count_if(p).alias(f"_v{i}") for i, (_, _, _, p) in enumerate(items)])
+    return _rules_tall(wide, items, by)
+
+
 # ------------------------------------------------------------------ assembly
 def validation_report(df: DataFrame, date_col: str = "ds", target_col: str = "y", is_training: bool = True,
                       seq: str | None = None, rules: dict | None = None, by: str = "series_id") -> DataFrame:
@@ -125,9 +135,14 @@ def validation_report(df: DataFrame, date_col: str = "ds", target_col: str = "y"
     """
     rows = df.filter(F.col(target_col).isNotNull()) if is_training else df
     value_cols = [c for c in rows.columns if c not in (by, seq)]
+    items = _rule_items(rows, rules, target_col)
+    # one aggregate pass: row count, NULL cells and every rule counter
     nulls = rows.groupBy(by).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        sum((F.count_if(F.col(c).isNull()) for c in value_cols), F.lit(0)).cast("bigint").alias("null_cells"))
+        sum((F.count_if(F.col(c).isNull()) for c in value_cols), F.lit(0)).cast("bigint").alias("null_cells"),
+        *[F.count_if(p).alias(f"_v{i}") for i, (_, _, _, p) in enumerate(items)])
+    viol_sum = sum((F.col(f"_v{i}") for i in range(len(items))), F.lit(0)).cast("bigint")
+    nulls = nulls.withColumn("rule_violations", viol_sum).drop(*[f"_v{i}" for i in range(len(items))])
     dups = duplicate_rows(rows.select(by, *value_cols), by)
     miss = missing_days_report(rows, date_col, by)
     rep = nulls.join(dups, by, "left").join(miss, by, "left")
@@ -135,9 +150,6 @@ def validation_report(df: DataFrame, date_col: str = "ds", target_col: str = "y"
         rep = rep.join(sortedness(rows, seq, date_col, by).select(by, "is_sorted"), by, "left")
     else:
         rep = rep.withColumn("is_sorted", F.lit(True))
-    viol = rule_violations(rows, rules, target_col, by).groupBy(by).agg(
-        F.sum("violations").alias("rule_violations"))
-    rep = rep.join(viol, by, "left").withColumn("rule_violations", F.coalesce("rule_violations", F.lit(0)))
     valid = (F.col("null_cells") == 0) & (F.coalesce("duplicated_rows", F.lit(0)) == 0) & \
         F.col("is_sorted") & (F.col("missing_count") == 0)
     return rep.select(by, "n_rows", "null_cells", F.coalesce("duplicated_rows", F.lit(0)).cast("bigint")
