@@ -30,12 +30,19 @@ def last_n(df: DataFrame, n: int = WINDOW_SIZE, by: str = "series_id", order: st
 
 
 def chronological_split(df: DataFrame, share: float = TRAIN_SHARE, by: str = "series_id",
-                        order: str = "ds") -> DataFrame:
-    """First ``floor(n * share)`` rows of each series are ``train``, the rest ``test``."""
+                        order: str = "ds", holdout: int = 0) -> DataFrame:
+    """First ``floor(n * share)`` rows of each series are ``train``, the rest ``test``.
+
+    ``holdout > 0`` first sets the last ``holdout`` rows aside as ``holdout``
+    (never seen by tuning) and splits the rest; the default reproduces the
+    reference, whose last-60 evaluation overlaps its tuning test part.
+    """
     w = Window.partitionBy(by).orderBy(order)
-    n = F.count(F.lit(1)).over(Window.partitionBy(by))
+    n = F.count(F.lit(1)).over(Window.partitionBy(by)) - F.lit(holdout)
+    rn = F.col("_rn")
     return df.withColumn("_rn", F.row_number().over(w)).withColumn(
-        "split", F.when(F.col("_rn") <= F.floor(n * F.lit(float(share))), F.lit("train")).otherwise(F.lit("test"))
+        "split", F.when(rn > n, F.lit("holdout"))
+        .when(rn <= F.floor(n * F.lit(float(share))), F.lit("train")).otherwise(F.lit("test"))
     ).drop("_rn")
 
 

@@ -140,13 +140,13 @@ def forecast_frame(full: DataFrame) -> DataFrame:
 MODEL_RIDGE = "seasonal_ridge"
 
 
-def ridge_design(full: DataFrame) -> DataFrame:
-    """Design rows for every day of ``full``: train/test by the chronological
-    split of the observed rows, ``future`` for days without a target."""
+def ridge_design(full: DataFrame, holdout: int = 0) -> DataFrame:
+    """Design rows for every day of ``full``: train/test(/holdout) by the
+    chronological split of the observed rows, ``future`` for days without a target."""
     from daycast.functions.calendar import holiday_table, years_of
     from daycast.operators.ridge import design
 
-    split = chronological_split(prepared_train(full))
+    split = chronological_split(prepared_train(full), holdout=holdout)
     nan_y = full.filter(F.col("y").isNull()).select("series_id", "ds", "y", "HDD", "CDD").withColumn(
         "split", F.lit("future"))
     rows = split.unionByName(nan_y)
@@ -171,14 +171,14 @@ def ridge_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ridge_scored(d, fit(d, DEFAULT_PARAMS))
 
 
-def tuned(spark: SparkSession, sf_dir: str, n_trials: int = 50, chunks: int | None = None):
+def tuned(spark: SparkSession, sf_dir: str, n_trials: int = 50, chunks: int | None = None, holdout: int = 0):
     """Random search scored by test MASE, best trial per series
     (ties -> lowest trial id), refit on the train rows, scored everywhere."""
     from daycast.operators.ridge import N_TRIALS, fit, score_trials, trial_space
     from daycast.operators.tune import best_trial
 
     full = full_data(spark, sf_dir)
-    d = ridge_design(full)
+    d = ridge_design(full, holdout)
     if chunks is None:
         # few series -> split the trials so that the cores stay busy
         chunks = 1 if full.select("series_id").distinct().count() >= spark.sparkContext.defaultParallelism else 4

@@ -83,3 +83,10 @@ def test_history_append_and_optional_dedup(spark):
     assert h.count() == 2
     d = append_history(append_history(None, run), rerun, dedup_on=["model_name", "series_id"])
     assert rows(d, "mase", "run_order") == [(0.6, 2)]
+
+
+def test_split_with_disjoint_holdout(spark):
+    s = EV.chronological_split(_series(spark, range(110)), holdout=10)
+    counts = {r[0]: r[1] for r in s.groupBy("split").count().collect()}
+    assert counts == {"train": 80, "test": 20, "holdout": 10}
+    assert s.filter("split = 'holdout'").agg(F.min("ds")).first()[0] > s.filter("split = 'test'").agg(F.max("ds")).first()[0]
