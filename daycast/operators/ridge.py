@@ -36,6 +36,9 @@ BASE_PENALTY = 1e-6
 REGRESSORS = ["HDD", "CDD"]
 HOLIDAY_NAMES = [n for _m, _d, n in CAL.FR_FIXED_HOLIDAYS] + [n for _o, n in CAL.FR_EASTER_HOLIDAYS] + \
     [CAL.BRIDGE_NAME, CAL.SCHOOL_NAME]
+# one indicator per (holiday, offset inside its window)
+HOLIDAY_TERMS = [(n, o) for n in HOLIDAY_NAMES[:-2] for o in range(CAL.PUBLIC_WINDOW[0], CAL.PUBLIC_WINDOW[1] + 1)] + \
+    [(CAL.BRIDGE_NAME, 0), (CAL.SCHOOL_NAME, 0)]
 
 # Search space of the tuner.
 SEARCH_SPACE = {"changepoint_prior_scale": (0.0005, 0.01), "seasonality_prior_scale": (1.0, 20.0),
@@ -48,7 +51,7 @@ def terms() -> list[tuple[str, str]]:
     out = [("intercept", "base"), ("t", "base")]
     out += [(c, "changepoint") for c in D.hinge_names()]
     out += [(c, "seasonality") for c in D.fourier_names()]
-    out += [(f"hol{i:02d}", "holidays") for i in range(len(HOLIDAY_NAMES))]
+    out += [(f"hol{i:02d}", "holidays") for i in range(len(HOLIDAY_TERMS))]
     out += [(f"{r}_z", "regressor") for r in REGRESSORS]
     return out
 
@@ -65,10 +68,10 @@ def design(prepared_split: DataFrame, holidays: DataFrame, by: str = "series_id"
     df = D.with_trend_time(prepared_split, by, fit_mask=fit)
     df = D.standardize(df, REGRESSORS, by, fit_mask=fit)
     per_day = CAL.holiday_effect_days(holidays).groupBy(F.col("day").alias("ds")).agg(
-        F.collect_set("holiday").alias("_hol"))
+        F.collect_set(F.concat_ws("|", "holiday", F.col("offset").cast("string"))).alias("_hol"))
     df = df.join(F.broadcast(per_day), "ds", "left")
-    hol = [F.when(F.array_contains(F.coalesce("_hol", F.array().cast("array<string>")), n), 1.0).otherwise(0.0)
-           for n in HOLIDAY_NAMES]
+    active = F.coalesce("_hol", F.array().cast("array<string>"))
+    hol = [F.when(F.array_contains(active, f"{n}|{o}"), 1.0).otherwise(0.0) for n, o in HOLIDAY_TERMS]
     four = D.fourier_columns()
     hinge = D.hinge_columns()
     x = F.array(F.lit(1.0), F.col("t"), *hinge.values(), *[four[c] for c in D.fourier_names()], *hol,
