@@ -37,7 +37,7 @@ def test_ridge_recovers_known_effects(spark):
     import numpy as np
 
     mase = RG.mase_np(test["y"].to_numpy(), test["yhat"].to_numpy())
-    assert mase < 0.6  # the 7-day naive is strong here: the weekly wave cancels at lag 7
+    assert mase < 0.3  # measured 0.10; the 7-day naive is strong here (the weekly wave cancels at lag 7)
     # HDD effect in original units: coef(HDD_z) * out_scale / std(HDD on train)
     names = [t for t, _b in RG.terms()]
     row = coef.first()
