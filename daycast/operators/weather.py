@@ -32,9 +32,14 @@ def keep_first_per_day(unioned: DataFrame, key: str = "ds", cols: list[str] | No
     return picked.select(key, *[F.col(f"_r.{c}").alias(c) for c in cols if c != "seq"])
 
 
-def select_weather(weather: DataFrame, variables: list[str] | None = None, start=None, end=None) -> DataFrame:
-    """S3: variable selection and an inclusive day range, each bound optional."""
+def select_weather(weather: DataFrame, variables: list[str] | None = None, start=None, end=None,
+                   point: tuple[float, float] | None = None) -> DataFrame:
+    """S3: variable selection, an optional location (``lat``/``lon`` equality,
+    for tables that hold several points) and an inclusive day range, each bound
+    optional (archive: a range; forecast: none)."""
     variables = variables or TEMPERATURES
+    if point is not None:
+        weather = weather.filter((F.col("lat") == F.lit(point[0])) & (F.col("lon") == F.lit(point[1])))
     out = weather.select("ds", *variables)
     if start is not None:
         out = out.filter(F.col("ds") >= F.lit(start).cast("date"))

@@ -43,7 +43,8 @@ cte("x_readings", """
 SELECT event_type AS series_id, event_id, ts, CASE WHEN isnan(value) THEN NULL ELSE value END AS value, props
 FROM events""")
 cte("x_order_readings", """
-SELECT c_mktsegment AS series_id, o_orderkey AS event_id, o_orderdate AS ts, o_totalprice AS value
+SELECT c_mktsegment AS series_id, o_orderkey AS event_id, o_orderdate AS ts,
+       CASE WHEN isnan(o_totalprice) THEN NULL ELSE o_totalprice END AS value
 FROM orders JOIN customer ON o_custkey = c_custkey""")
 cte("x_dt_raw", """
 SELECT series_id, CAST(ts AS DATE) AS ds, min(ts) AS jour, round(sum(value), 2) AS y
@@ -54,9 +55,10 @@ SELECT series_id, ds, jour,
             ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) ELSE y END AS y
 FROM x_dt_raw""", "x_dt_raw")
 cte("x_w_all", """
-SELECT CAST(l_shipdate AS DATE) AS ds, max(l_quantity) AS temperature_max,
-       min(l_quantity) AS temperature_min, avg(l_quantity) AS temperature_mean
-FROM lineitem GROUP BY 1""")
+SELECT CAST(l_shipdate AS DATE) AS ds, max(q) AS temperature_max, min(q) AS temperature_min,
+       avg(q) AS temperature_mean
+FROM (SELECT l_shipdate, CASE WHEN isnan(l_quantity) THEN NULL ELSE l_quantity END AS q FROM lineitem)
+GROUP BY 1""")
 cte("x_cut", "SELECT max(ds) AS d FROM x_dt", "x_dt")
 cte("x_wu", """
 SELECT ds, temperature_max, temperature_min, temperature_mean, 0 AS src_rank, 'archive' AS src

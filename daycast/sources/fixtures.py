@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daycast.functions.columns import nan_to_null
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -28,7 +30,7 @@ def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("series_id"),
         "event_id",
         "ts",
-        F.when(F.isnan("value"), F.lit(None).cast("double")).otherwise(F.col("value")).alias("value"),
+        nan_to_null("value").alias("value"),
         "props",
     )
 
@@ -47,7 +49,7 @@ def order_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("series_id"),
         F.col("o_orderkey").alias("event_id"),
         F.col("o_orderdate").alias("ts"),
-        F.col("o_totalprice").alias("value"),
+        nan_to_null("o_totalprice").alias("value"),
     )
 
 
@@ -57,9 +59,9 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     A grouping on the day with partial aggregation: the shuffle carries one
     row per (map task, day), so its size is bounded by the calendar.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem").select("l_shipdate", nan_to_null("l_quantity").alias("q"))
     return li.groupBy(F.to_date("l_shipdate").alias("ds")).agg(
-        F.max("l_quantity").alias("temperature_max"),
-        F.min("l_quantity").alias("temperature_min"),
-        F.avg("l_quantity").alias("temperature_mean"),
+        F.max("q").alias("temperature_max"),
+        F.min("q").alias("temperature_min"),
+        F.avg("q").alias("temperature_mean"),
     )
