@@ -52,6 +52,12 @@ def q_retrain_decision(spark, sf):
     return P.retrain_decision(spark, sf)
 
 
+@register("retrain_decision_by_nation")
+def q_retrain_decision_by_nation(spark, sf):
+    """The flagship over many series: one per (segment, nation), 125 keys."""
+    return P.retrain_decision(spark, sf, FX.SEGMENT_NATION)
+
+
 # ====================================================================== helpers
 
 

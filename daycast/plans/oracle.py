@@ -470,3 +470,26 @@ FROM x_readings GROUP BY 1, 2
 HAVING CAST(CAST(ts AS DATE) + 1 AS TIMESTAMP) <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY"""
 q("stream_daily_totals", _closed, "x_readings")
 q("stream_dedup", _closed, "x_readings")
+
+
+
+# ---------------------------------------------------------------- many series: the flagship chain per (segment, nation)
+def _rekeyed(prefix: str, series_sql: str, chain: list[str]) -> None:
+    """Register copies of ``chain`` under ``prefix`` with another series key."""
+    for name in chain:
+        sql, deps = _CTE[name]
+        new = sql
+        for d in chain:
+            new = new.replace(d, prefix + d[2:])
+        if name == "x_order_readings":
+            new = new.replace("c_mktsegment AS series_id", f"{series_sql} AS series_id")
+        cte(prefix + name[2:], new, *[prefix + d[2:] if d in chain else d for d in deps])
+
+
+_FLAGSHIP_CHAIN = ["x_order_readings", "x_dt_raw", "x_dt", "x_cut", "x_wu", "x_weather", "x_full", "x_prep",
+                   "x_split", "x_tw_lin", "x_tw_wd", "x_tw_scored", "x_last60", "x_report"]
+_rekeyed("n_", "c_mktsegment || '|' || CAST(c_nationkey AS VARCHAR)", _FLAGSHIP_CHAIN)
+q("retrain_decision_by_nation", """
+SELECT series_id, model_name, window_size, baseline, mae_window, mase_window,
+       coalesce(mase_window > 0.95, true) AS should_retrain
+FROM n_report""", "n_report")

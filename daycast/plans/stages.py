@@ -18,14 +18,14 @@ from daycast.operators.joins import weather_left_target
 from daycast.operators.model import fit_trend_weekday, predict_trend_weekday
 from daycast.operators.weather import keep_first_per_day, union_sources
 from daycast.session import stage
-from daycast.sources.fixtures import event_readings, order_readings, weather_daily
+from daycast.sources.fixtures import SEGMENT, event_readings, order_readings, weather_daily
 
 MODEL_TREND_WEEKDAY = "trend_weekday"
 
 
-def daily_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily target per segment: totals rounded to cents, zeros repaired."""
-    d = daily_totals(order_readings(spark, sf_dir)).withColumn("y", F.round("y", 2))
+def daily_target(spark: SparkSession, sf_dir: str, series_cols: tuple[str, ...] = SEGMENT) -> DataFrame:
+    """Daily target per series: totals rounded to cents, zeros repaired."""
+    d = daily_totals(order_readings(spark, sf_dir, series_cols)).withColumn("y", F.round("y", 2))
     return repair_zeros(d).select("series_id", "ds", "jour", "y")
 
 
@@ -63,9 +63,9 @@ def with_degree_days(df: DataFrame, temp: str = "temperature_mean") -> DataFrame
     return df.withColumn("HDD", heating_degree_days(temp)).withColumn("CDD", cooling_degree_days(temp))
 
 
-def staged_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staged_target(spark: SparkSession, sf_dir: str, series_cols: tuple[str, ...] = SEGMENT) -> DataFrame:
     """Stage 1: the daily target table (the only pass over the raw orders)."""
-    return stage(daily_target(spark, sf_dir), "daily_target")
+    return stage(daily_target(spark, sf_dir, series_cols), "daily_target")
 
 
 def staged_weather(spark: SparkSession, sf_dir: str, target: DataFrame | None = None) -> DataFrame:
@@ -76,7 +76,8 @@ def staged_weather(spark: SparkSession, sf_dir: str, target: DataFrame | None =
     return weather(spark, sf_dir, target)
 
 
-def full_data(spark: SparkSession, sf_dir: str, staged: bool = True) -> DataFrame:
+def full_data(spark: SparkSession, sf_dir: str, staged: bool = True,
+              series_cols: tuple[str, ...] = SEGMENT) -> DataFrame:
     """Stage 3, J1 + F1/F2: every weather day per series, target NULL on future days.
 
     The daily target, the raw daily weather and the full data are written to
@@ -85,7 +86,7 @@ def full_data(spark: SparkSession, sf_dir: str, staged: bool = True) -> DataFram
     small stage-3 table.  ``staged=False`` leaves the last step lazy, for a
     consumer that reads it once.
     """
-    target = staged_target(spark, sf_dir)
+    target = staged_target(spark, sf_dir, series_cols)
     wx = staged_weather(spark, sf_dir, target)
     full = with_degree_days(weather_left_target(target, wx)).select(
         "series_id", "ds", "temperature_max", "temperature_min", "temperature_mean", "y", "HDD", "CDD")
@@ -109,10 +110,10 @@ def trend_weekday_scored(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
     return predict_trend_weekday(split, coef), coef
 
 
-def retrain_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
+def retrain_decision(spark: SparkSession, sf_dir: str, series_cols: tuple[str, ...] = SEGMENT) -> DataFrame:
     """Flagship: last-60-day MAE / MASE of the fitted model against the 7-day
-    naive, per segment, and the retrain flag (MASE > 0.95)."""
-    prepared = prepared_train(full_data(spark, sf_dir))
+    naive, per series, and the retrain flag (MASE > 0.95)."""
+    prepared = prepared_train(full_data(spark, sf_dir, series_cols=series_cols))
     scored, _ = trend_weekday_scored(prepared)
     report = window_report(scored, MODEL_TREND_WEEKDAY)
     return report.withColumn("should_retrain", should_retrain(report))

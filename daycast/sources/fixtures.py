@@ -35,8 +35,13 @@ def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as readings of their customer's market segment.
+SEGMENT = ("c_mktsegment",)
+SEGMENT_NATION = ("c_mktsegment", "c_nationkey")
+
+
+def order_readings(spark: SparkSession, sf_dir: str, series_cols: tuple[str, ...] = SEGMENT) -> DataFrame:
+    """Orders as readings of their customer's series (market segment by
+    default; several customer columns give ``a|b`` series keys).
 
     ``orders`` is the fact side; ``customer`` contributes two columns.  The
     join is left to the planner: AQE turns it into a broadcast join only when
@@ -44,9 +49,11 @@ def order_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     and splits a hot ``o_custkey`` partition (skew join) otherwise.
     """
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    c = table(spark, sf_dir, "customer").select("c_custkey", *series_cols)
+    sid = F.col(series_cols[0]) if len(series_cols) == 1 else \
+        F.concat_ws("|", *[F.col(x).cast("string") for x in series_cols])
     return o.join(c, o.o_custkey == c.c_custkey, "inner").select(
-        F.col("c_mktsegment").alias("series_id"),
+        sid.alias("series_id"),
         F.col("o_orderkey").alias("event_id"),
         F.col("o_orderdate").alias("ts"),
         nan_to_null("o_totalprice").alias("value"),
