@@ -84,10 +84,29 @@ def read_flags(spark: SparkSession, root: str) -> DataFrame | None:
         return None
 
 
+# A folder per series does not survive millions of series; series are hashed
+# into a bounded number of partition folders instead (still prunable).
+SERIES_BUCKETS = 64
+
+
+def series_bucket(series_id) -> "F.Column":
+    c = F.col(series_id) if isinstance(series_id, str) else series_id
+    return F.pmod(F.xxhash64(c), F.lit(SERIES_BUCKETS)).cast("int")
+
+
 def save_forecast(forecast: DataFrame, root: str, model_name: str) -> str:
-    """Forecasts per model and series directory."""
-    return write_artifact(forecast.withColumn("model_name", F.lit(model_name)), root, "forecast",
-                          partition_by=["model_name", "series_id"])
+    """Forecasts per model, in ``SERIES_BUCKETS`` hashed series folders."""
+    out = forecast.withColumn("model_name", F.lit(model_name)).withColumn("series_bucket", series_bucket("series_id"))
+    return write_artifact(out, root, "forecast", partition_by=["model_name", "series_bucket"])
+
+
+def read_series(spark: SparkSession, root: str, name: str, series_id: str, model_name: str | None = None) -> DataFrame:
+    """One series of a bucketed artifact: the bucket filter prunes the folders read."""
+    df = read_artifact(spark, root, name)
+    cond = (F.col("series_bucket") == series_bucket(F.lit(series_id))) & (F.col("series_id") == F.lit(series_id))
+    if model_name is not None:
+        cond = cond & (F.col("model_name") == F.lit(model_name))
+    return df.filter(cond)
 
 
 def save_model(coef_long: DataFrame, root: str) -> str:

@@ -42,3 +42,24 @@ def test_artifact_names_and_flags(spark):
     back = SK.read_artifact(spark, root, "retrain_flag", view="flags_view")
     assert rows(spark.table("flags_view"), "series_id", "should_retrain") == [("a", False)]
     assert back.columns[0] == "date"
+
+
+def test_forecast_sink_is_bucketed_and_prunable(spark):
+    import contextlib
+    import io
+
+    root = scratch_path(spark, f"fc-{uuid.uuid4().hex}")
+    fc = spark.range(200).select((F.col("id") % 50).cast("string").alias("series_id"),
+                                 F.col("id").cast("double").alias("yhat"))
+    SK.save_forecast(fc, root, "m")
+    import os
+
+    folders = os.listdir(os.path.join(root, "forecasts", "model_name=m"))
+    assert 1 < len([f for f in folders if f.startswith("series_bucket=")]) <= SK.SERIES_BUCKETS
+    one = SK.read_series(spark, root, "forecast", "7", "m")
+    assert one.count() == 4
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        one.explain("formatted")
+    pf = [ln for ln in buf.getvalue().splitlines() if "PartitionFilters" in ln][0]
+    assert "(series_bucket#" in pf and "(model_name#" in pf  # both folder levels pruned
