@@ -61,8 +61,16 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, as_of: str, n_tria
         chunks = 1 if n_series >= spark.sparkContext.defaultParallelism else 4
         scores = RG.score_trials(to_train, RG.trial_space(spark, n_trials), chunks=chunks)
         best = best_trial(scores, list(RG.DEFAULT_PARAMS) + ["mode_used"])
-        new = RG.fit(to_train, best)
-        SK.save_model(RG.coefficients_table(new, model_name), root)
+        new = RG.coefficients_table(RG.fit(to_train, best), model_name)
+        # keep the stored fits of series not retrained this run; the merge is
+        # staged first so the table is not read and overwritten by one job
+        try:
+            old = SK.read_artifact(spark, root, "model").filter(F.col("model_name") == model_name)
+            new = new.unionByName(old.join(new.select("series_id").distinct(), "series_id", "left_anti")
+                                  .select(*new.columns))
+        except Exception:  # noqa: BLE001 -- first run, no model table yet
+            pass
+        SK.save_model(stage(new, "model_merge"), root)
 
     # load (M11): the model table now holds the new fits and, for series not
     # retrained, the previous run's fits; series with neither are unavailable

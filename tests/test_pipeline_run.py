@@ -55,3 +55,17 @@ def test_user_fit_function(spark):
     a = {r["series_id"]: r["coef"] for r in coef.collect()}
     b = {r["series_id"]: r["coef"] for r in back.collect()}
     assert a.keys() == b.keys() and all(np.allclose(a[k], b[k]) for k in a)
+
+
+def test_partial_retrain_keeps_other_fits(spark):
+    root = scratch_path(spark, f"run-{uuid.uuid4().hex}")
+    run_pipeline(spark, GAP_FREE, root, "2026-01-01T00:00:00", n_trials=3)
+    series = sorted(r[0] for r in SK.read_artifact(spark, root, "model").select("series_id").distinct().collect())
+    assert len(series) == 5
+    flags = spark.createDataFrame([(s, s == series[0]) for s in series], "series_id string, should_retrain boolean")
+    SK.save_flags(flags, root, "2026-01-01T00:00:00")
+    out = run_pipeline(spark, GAP_FREE, root, "2026-01-02T00:00:00", n_trials=3)
+    after = SK.read_artifact(spark, root, "model")
+    assert sorted(r[0] for r in after.select("series_id").distinct().collect()) == series
+    assert after.groupBy("series_id").count().filter("count != 90").count() == 0  # one row per term
+    assert out["unavailable"].count() == 0
