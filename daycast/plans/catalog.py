@@ -269,6 +269,14 @@ def q_validation_report(spark, sf):
     return V.validation_report(P.prepared_train(P.full_data(spark, sf)), rules=RULES)
 
 
+@register("validation_document")
+def q_validation_document(spark, sf):
+    """The nested report (type map, NULL map, date report) per series."""
+    prepared = P.prepared_train(P.full_data(spark, sf))
+    rep = V.validation_report(prepared, rules=RULES)
+    return V.report_document(rep, V.null_counts(prepared), V.data_types(prepared), RUN_AS_OF)
+
+
 # ====================================================================== W4, M1, M2, M4, M7, M9
 @register("chronological_split")
 def q_chronological_split(spark, sf):
