@@ -85,3 +85,21 @@ def test_report_document_shape(spark):
     assert doc["date_report"]["missing_dates"]["count"] == 1
     assert doc["date_report"]["missing_dates"]["range"] == "2025-01-03 to 2025-01-03"
     assert doc["is_valid"] is False
+
+
+def test_empty_single_and_all_null_inputs(spark):
+    schema = "series_id string, ds date, y double, HDD double"
+    empty = spark.createDataFrame([], schema)
+    rules = {"target": {"min_value": 0.0}}
+    assert V.validation_report(empty, rules=rules).count() == 0
+    assert V.null_counts(empty).count() == 0
+    assert V.missing_days_report(empty).count() == 0
+    assert V.rule_violations(empty, rules).count() == 0
+    one = spark.createDataFrame([("s", dt.date(2024, 1, 1), 5.0, None)], schema)
+    (r,) = V.validation_report(one, rules=rules).collect()
+    assert (r["n_rows"], r["missing_count"], r["null_cells"], r["is_valid"]) == (1, 0, 1, False)
+    all_null = spark.createDataFrame([("s", dt.date(2024, 1, d), None, 1.0) for d in (1, 2)], schema)
+    # training mode drops NULL-target rows first: nothing left to validate
+    assert V.validation_report(all_null, rules=rules).count() == 0
+    (f,) = V.validation_report(all_null, is_training=False, rules=rules).collect()
+    assert f["null_cells"] == 2 and f["is_valid"] is False
