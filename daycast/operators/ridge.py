@@ -34,10 +34,10 @@ REGRESSOR_PRIOR_SCALE = 10.0
 NOISE_VAR = 0.01
 BASE_PENALTY = 1e-6
 REGRESSORS = ["HDD", "CDD"]
-HOLIDAY_NAMES = [n for _m, _d, n in CAL.FR_FIXED_HOLIDAYS] + [n for _o, n in CAL.FR_EASTER_HOLIDAYS] + \
-    [CAL.BRIDGE_NAME, CAL.SCHOOL_NAME]
-# one indicator per (holiday, offset inside its window)
-HOLIDAY_TERMS = [(n, o) for n in HOLIDAY_NAMES[:-2] for o in range(CAL.PUBLIC_WINDOW[0], CAL.PUBLIC_WINDOW[1] + 1)] + \
+PUBLIC_HOLIDAY_NAMES = [n for _m, _d, n in CAL.FR_FIXED_HOLIDAYS] + [n for _o, n in CAL.FR_EASTER_HOLIDAYS]
+# one indicator per (holiday, offset inside its window): public holidays act on
+# -1..+1 days, bridge and school days on the day itself
+HOLIDAY_TERMS = [(n, o) for n in PUBLIC_HOLIDAY_NAMES for o in range(CAL.PUBLIC_WINDOW[0], CAL.PUBLIC_WINDOW[1] + 1)] + \
     [(CAL.BRIDGE_NAME, 0), (CAL.SCHOOL_NAME, 0)]
 
 # Search space of the tuner.
@@ -60,8 +60,8 @@ def design(prepared_split: DataFrame, holidays: DataFrame, by: str = "series_id"
     """``series_id, ds, y, split, x array<double>`` (y NULL on future rows).
 
     ``prepared_split`` has ``series_id, ds, y, HDD, CDD, split`` where split is
-    ``train``, ``test`` or ``future``; trend time and regressor scaling use the
-    train rows only.  The holiday lookup (about a dozen days a year) is
+    ``train``, ``test``, ``holdout`` or ``future``; trend time and regressor
+    scaling use the train rows only.  The holiday lookup (about a dozen days a year) is
     broadcast.
     """
     fit = F.col("split") == "train"
