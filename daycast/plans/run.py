@@ -21,7 +21,7 @@ from daycast.operators import ridge as RG
 from daycast.operators import validate as V
 from daycast.operators.tune import best_trial
 from daycast.plans import stages as P
-from daycast.session import stage
+from daycast.session import parallelism, stage
 from daycast.sources import sinks as SK
 
 Preparator = Callable[[DataFrame, bool], tuple[DataFrame, DataFrame]]
@@ -58,7 +58,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, as_of: str, n_tria
     to_train = EV.train_flagged_only(design, flags_in)
     n_series = to_train.select("series_id").distinct().count()
     if n_series:
-        chunks = 1 if n_series >= spark.sparkContext.defaultParallelism else 4
+        chunks = 1 if n_series >= parallelism(spark) else 4
         scores = RG.score_trials(to_train, RG.trial_space(spark, n_trials), chunks=chunks)
         best = best_trial(scores, list(RG.DEFAULT_PARAMS) + ["mode_used"])
         new = RG.coefficients_table(RG.fit(to_train, best), model_name)

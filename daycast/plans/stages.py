@@ -17,7 +17,7 @@ from daycast.operators.evaluate import chronological_split, should_retrain, wind
 from daycast.operators.joins import weather_left_target
 from daycast.operators.model import fit_trend_weekday, predict_trend_weekday
 from daycast.operators.weather import keep_first_per_day, union_sources
-from daycast.session import stage
+from daycast.session import parallelism, stage
 from daycast.sources.fixtures import SEGMENT, event_readings, order_readings, weather_daily
 
 MODEL_TREND_WEEKDAY = "trend_weekday"
@@ -182,7 +182,7 @@ def tuned(spark: SparkSession, sf_dir: str, n_trials: int = 50, chunks: int | No
     d = ridge_design(full, holdout)
     if chunks is None:
         # few series -> split the trials so that the cores stay busy
-        chunks = 1 if full.select("series_id").distinct().count() >= spark.sparkContext.defaultParallelism else 4
+        chunks = 1 if full.select("series_id").distinct().count() >= parallelism(spark) else 4
     scores = score_trials(d, trial_space(spark, n_trials or N_TRIALS), chunks=chunks)
     best = best_trial(scores, ["changepoint_prior_scale", "seasonality_prior_scale", "holidays_prior_scale",
                                "seasonality_mode", "mode_used"])

@@ -56,7 +56,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 -- Spark Connect sessions have no SparkContext
+        pass
     return spark
 
 
@@ -66,15 +69,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; only when it is unset
     (local tests) a private folder under the system temp dir is created.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        try:
+            d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 -- Spark Connect: the session conf is all there is
+            d = None
     if not d:
         d = tempfile.mkdtemp(prefix="daycast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)  # for DataFrame.checkpoint()
+    except Exception:  # noqa: BLE001
+        pass
     return d
 
 
+def parallelism(spark) -> int:
+    """Cores available to the session (a conf fallback where there is no SparkContext)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table inside the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)
@@ -108,8 +126,11 @@ def ship_package(spark) -> None:
     """
     import zipfile
 
-    sc = spark.sparkContext
-    app = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 -- Spark Connect
+        sc, app = None, f"connect-{spark.session_id}" if hasattr(spark, "session_id") else "connect"
     if app in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
@@ -126,5 +147,8 @@ def ship_package(spark) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(path)
+    if sc is not None:
+        sc.addPyFile(path)
+    else:
+        spark.addArtifacts(path, pyfile=True)
     _SHIPPED.add(app)
