@@ -32,7 +32,8 @@ def test_scan_is_pruned_and_filter_pushed(spark):
 
 
 def test_no_single_partition_window(spark):
-    for key in ["retrain_decision", "zero_repair", "validation_report", "forecast_with_actuals", "sorted_check"]:
+    for key in ["retrain_decision", "retrain_decision_by_nation", "zero_repair", "validation_report",
+                "forecast_with_actuals", "sorted_check"]:
         p = plan(E.queries()[key](spark, SMALL))
         assert "SinglePartition" not in p, key
 
