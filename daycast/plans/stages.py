@@ -1,8 +1,11 @@
-"""The pipeline as one lazy plan (ingest -> clean -> merge -> features ->
-split -> fit -> score -> evaluate -> decide).
-
-Stages are materialised only where a sink is asked for; otherwise Catalyst
-sees the whole chain and prunes columns and pushes filters into the scans.
+"""The pipeline stages (ingest -> clean -> merge -> features -> split -> fit
+-> score -> evaluate -> decide) as lazy DataFrames.
+
+Three boundaries are written as tables in the shared checkpoint folder, as
+the reference writes its processed files: the daily target (the one pass over
+the raw orders), the raw daily weather (the one pass over lineitem) and the
+full data.  Between them Catalyst sees whole chains and prunes columns and
+pushes filters into the scans.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from daycast.operators.joins import weather_left_target
 from daycast.operators.model import fit_trend_weekday, predict_trend_weekday
 from daycast.operators.weather import keep_first_per_day, union_sources
 from daycast.session import parallelism, stage
-from daycast.sources.fixtures import SEGMENT, event_readings, order_readings, weather_daily
+from daycast.sources.fixtures import SEGMENT, order_readings, weather_daily
 
 MODEL_TREND_WEEKDAY = "trend_weekday"
 
@@ -29,10 +32,6 @@ def daily_target(spark: SparkSession, sf_dir: str, series_cols: tuple[str, ...]
     return repair_zeros(d).select("series_id", "ds", "jour", "y")
 
 
-def event_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_totals(event_readings(spark, sf_dir))
-
-
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage 0: daily weather readings (the reference's raw weather files), one
     pass over lineitem; archive and forecast are then cut from this small table."""
