@@ -50,9 +50,15 @@ def weather_sources(spark: SparkSession, sf_dir: str, cut) -> tuple[DataFrame, D
 
 
 def weather(spark: SparkSession, sf_dir: str, target: DataFrame | None = None) -> DataFrame:
-    """Archive then forecast, first row per day kept: ``ds, temps..., src``."""
-    target = target if target is not None else daily_target(spark, sf_dir)
-    cut = target.select(F.max("ds")).scalar()
+    """Archive then forecast, first row per day kept: ``ds, temps..., src``.
+
+    The cut is the last target day: from the (staged) target when given, else
+    the last day of the readings themselves (same value, no per-day rollup).
+    """
+    if target is not None:
+        cut = target.select(F.max("ds")).scalar()
+    else:
+        cut = order_readings(spark, sf_dir).select(F.max(F.to_date("ts"))).scalar()
     archive, forecast = weather_sources(spark, sf_dir, cut)
     u = union_sources(("archive", archive), ("forecast", forecast))
     return keep_first_per_day(u, cols=["temperature_max", "temperature_min", "temperature_mean", "src"])
