@@ -63,21 +63,28 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_FALLBACK_DIRS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) a private folder under the system temp dir is created.
+    The cluster names it in ``spark.checkpoint.dir`` (a static setting, read
+    here, never changed).  Only when the session has none (local tests) a
+    private folder is created once per application.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         try:
-            d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+            d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
         except Exception:  # noqa: BLE001 -- Spark Connect: the session conf is all there is
             d = None
     if not d:
-        d = tempfile.mkdtemp(prefix="daycast-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            app = spark.sparkContext.applicationId
+        except Exception:  # noqa: BLE001
+            app = str(getattr(spark, "session_id", "session"))
+        d = _FALLBACK_DIRS.setdefault(app, tempfile.mkdtemp(prefix="daycast-ckpt-"))
     try:
         spark.sparkContext.setCheckpointDir(d)  # for DataFrame.checkpoint()
     except Exception:  # noqa: BLE001
