@@ -28,3 +28,20 @@ def test_array_payloads_and_rejects(spark):
     ok, rej = flatten_arrays(_p(spark, [good, bad, none]), keep=["id"])
     assert sorted(rows(ok, "id", "time", "temperature_2m_mean")) == [(0, "2024-01-01", 0.5), (0, "2024-01-02", 1.5)]
     assert sorted(r[0] for r in rows(rej, "id")) == [1, 2]
+
+
+def test_envelope_fixture_has_all_shapes_and_round_trips(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import SMALL
+    from daycast.sources.fixtures import event_readings
+    from daycast.sources.payloads import envelope_payloads
+
+    r = event_readings(spark, SMALL)
+    pl = envelope_payloads(r)
+    kinds = {("nested" if '"record"' in p else "results" if p.startswith('{"results"') else "records")
+             for (p,) in rows(pl, "payload")}
+    assert kinds == {"nested", "results", "records"}
+    back = flatten_records(pl, keep=["page"])
+    assert back.count() == r.count()
+    assert back.agg(F.round(F.sum("conso_jour"), 2)).first()[0] == r.agg(F.round(F.sum("value"), 2)).first()[0]

@@ -63,3 +63,21 @@ def test_forecast_sink_is_bucketed_and_prunable(spark):
         one.explain("formatted")
     pf = [ln for ln in buf.getvalue().splitlines() if "PartitionFilters" in ln][0]
     assert "(series_bucket#" in pf and "(model_name#" in pf  # both folder levels pruned
+
+
+def test_tumbling_windows_equal_day_rollup(spark):
+    from daycast.operators.daily import daily_totals, tumbling_day
+
+    r = event_readings(spark, SMALL)
+    a = sorted(rows(tumbling_day(r).select("series_id", "day_start", F.round("y", 6).alias("y"), "n_readings")))
+    b = sorted(rows(daily_totals(r).select("series_id", "ds", F.round("y", 6).alias("y"), "n_readings")))
+    assert a == b
+
+
+def test_ingest_profile_lists_empty_series(spark):
+    from daycast.operators.daily import daily_totals, ingest_profile
+
+    d = daily_totals(event_readings(spark, SMALL)).filter("series_id != 'click'")
+    series = event_readings(spark, SMALL).select("series_id")
+    prof = {r[0]: (r[1], r[2]) for r in rows(ingest_profile(d, series), "series_id", "n_rows", "is_empty")}
+    assert prof["click"] == (0, True) and all(v[0] > 0 for k, v in prof.items() if k != "click")
