@@ -49,6 +49,7 @@ def register(name: str):
 
 @register("retrain_decision")
 def q_retrain_decision(spark, sf):
+    """Flagship (B3-B5, J1, F1/F2, W4, M7, E1-E4): per-segment last-60 MAE/MASE and retrain flag."""
     return P.retrain_decision(spark, sf)
 
 
@@ -78,6 +79,7 @@ WEATHER_RANGE = ("1996-01-01", "1996-12-31")
 # ====================================================================== S1-S6, B1-B7, A1
 @register("json_records_flatten")
 def q_json_records_flatten(spark, sf):
+    """Events served as record-envelope pages, parsed back to rows."""
     pl = payloads.envelope_payloads(FX.event_readings(spark, sf))
     rows = payloads.flatten_records(pl, keep=["page"])
     return _r(rows.select("page", clean.parse_day("jour").alias("ds"), "jour", "conso_jour"), {"conso_jour": 6})
@@ -85,6 +87,7 @@ def q_json_records_flatten(spark, sf):
 
 @register("json_arrays_flatten")
 def q_json_arrays_flatten(spark, sf):
+    """Daily weather served as monthly parallel-array payloads, zipped back to rows."""
     pl = payloads.weather_payloads(FX.weather_daily(spark, sf))
     rows, _rejects = payloads.flatten_arrays(pl, keep=["month"])
     return _r(rows, {v: 6 for v in payloads.WEATHER_VARS})
@@ -92,40 +95,47 @@ def q_json_arrays_flatten(spark, sf):
 
 @register("props_json")
 def q_props_json(spark, sf):
+    """JSON text column of events parsed with a declared schema."""
     r = FX.event_readings(spark, sf)
     return r.select("series_id", "event_id", F.from_json("props", "k bigint")["k"].alias("k"))
 
 
 @register("fetch_window_daily_mode")
 def q_fetch_window_daily_mode(spark, sf):
+    """S4/B1: 'daily' fetch window [as_of - 1 day, as_of) then daily totals."""
     win = daily.fetch_window(FX.event_readings(spark, sf), "daily", as_of=AS_OF_DAILY)
     return _r(daily.daily_totals(win), {"y": 2})
 
 
 @register("facet_filter")
 def q_facet_filter(spark, sf):
+    """B2: equality facets, then daily totals."""
     r = daily.facet_filter(FX.event_readings(spark, sf), FACETS)
     return _r(daily.daily_totals(r), {"y": 2})
 
 
 @register("ordered_limit")
 def q_ordered_limit(spark, sf):
+    """Daily totals ordered by first reading, first 5000 per series."""
     d = daily.daily_totals(FX.event_readings(spark, sf))
     return _r(daily.first_n_days(d, ROW_CAP).select("series_id", "ds", "jour", "y"), {"y": 2})
 
 
 @register("daily_totals")
 def q_daily_totals(spark, sf):
+    """Orders per segment and day: first reading, sum, count."""
     return _r(daily.daily_totals(FX.order_readings(spark, sf)), {"y": 2})
 
 
 @register("tumbling_day")
 def q_tumbling_day(spark, sf):
+    """B3 through 1-day tumbling windows on events."""
     return _r(daily.tumbling_day(FX.event_readings(spark, sf)), {"y": 2})
 
 
 @register("ingest_profile")
 def q_ingest_profile(spark, sf):
+    """A1: rows, first and last day per segment; empty segments listed."""
     d = P.daily_target(spark, sf)
     segs = FX.table(spark, sf, "customer").select(F.col("c_mktsegment").alias("series_id"))
     return daily.ingest_profile(d, segs)
@@ -133,12 +143,14 @@ def q_ingest_profile(spark, sf):
 
 @register("required_columns_scan")
 def q_required_columns_scan(spark, sf):
+    """Required-column check, then a pruned scan."""
     ev = FX.table(spark, sf, "events")
     return clean.require_columns(ev, ["event_id", "event_type", "ts", "value"], "events")
 
 
 @register("clean_projection")
 def q_clean_projection(spark, sf):
+    """Drop debug column, rename, parse the day."""
     raw = daily.daily_totals(FX.event_readings(spark, sf)).select(
         "series_id", F.date_format("jour", "yyyy-MM-dd'T'HH:mm:ss").alias("jour"),
         F.col("y").alias("conso_jour"), F.date_format("ds", "yyyy-MM-dd").alias(clean.DEBUG_COLUMN))
@@ -149,6 +161,7 @@ def q_clean_projection(spark, sf):
 
 @register("zero_repair")
 def q_zero_repair(spark, sf):
+    """P9/P10/W1 over raw event readings (range-partitioned neighbours)."""
     r = FX.event_readings(spark, sf).select("series_id", "event_id", "ts", "value")
     return _r(clean.repair_zeros_raw(r, "series_id", ["ts", "event_id"], "value"), {"value": 6})
 
@@ -156,38 +169,46 @@ def q_zero_repair(spark, sf):
 # ====================================================================== U1/U3, J1, P6/P7/P11, F1/F2, S3
 @register("weather_union_first")
 def q_weather_union_first(spark, sf):
+    """Archive then forecast, first row per day."""
     return _r(P.weather(spark, sf), TEMPS)
 
 
 @register("weather_left_target")
 def q_weather_left_target(spark, sf):
+    """J1 + F1/F2: every weather day for every segment, target left-joined."""
     return _r(P.full_data(spark, sf, staged=False), {**TEMPS, "y": 2, "HDD": 6, "CDD": 6})
 
 
 @register("availability_cap")
 def q_availability_cap(spark, sf):
-    return _r(clean.availability_cap(P.full_data(spark, sf, staged=False)).select("series_id", "ds", "y", "temperature_mean"),
+    """Days up to the last day with a target."""
+    full = P.full_data(spark, sf, staged=False)
+    return _r(clean.availability_cap(full).select("series_id", "ds", "y", "temperature_mean"),
               {"y": 2, "temperature_mean": 6})
 
 
 @register("prepared_train")
 def q_prepared_train(spark, sf):
+    """Training rows."""
     return _r(P.prepared_train(P.full_data(spark, sf, staged=False)), {"y": 2, "HDD": 6, "CDD": 6})
 
 
 @register("prepared_forecast")
 def q_prepared_forecast(spark, sf):
+    """Forecast rows (target dropped)."""
     return _r(P.prepared_forecast(P.full_data(spark, sf, staged=False)), {"HDD": 6, "CDD": 6})
 
 
 @register("degree_days")
 def q_degree_days(spark, sf):
+    """F1/F2 on the merged weather."""
     w = P.with_degree_days(P.weather(spark, sf)).select("ds", "temperature_mean", "HDD", "CDD")
     return _r(w, {"temperature_mean": 6, "HDD": 6, "CDD": 6})
 
 
 @register("weather_select")
 def q_weather_select(spark, sf):
+    """S3: variable selection and an inclusive day range."""
     w = W.select_weather(P.weather(spark, sf), ["temperature_max", "temperature_mean"], *WEATHER_RANGE)
     return _r(w, {"temperature_max": 6, "temperature_mean": 6})
 
@@ -208,16 +229,19 @@ def _order_years(spark, sf):
 
 @register("holidays_fr")
 def q_holidays_fr(spark, sf):
+    """Holiday table for the years spanned by orders."""
     return CAL.holiday_table(_order_years(spark, sf))
 
 
 @register("bridge_days")
 def q_bridge_days(spark, sf):
+    """Friday after a Thursday public holiday."""
     return CAL.bridge_days(CAL.public_holidays(_order_years(spark, sf)))
 
 
 @register("holiday_windows")
 def q_holiday_windows(spark, sf):
+    """Target days inside each holiday's window, with the offset."""
     eff = CAL.holiday_effect_days(CAL.holiday_table(_order_years(spark, sf)))
     t = P.staged_target(spark, sf).select("series_id", "ds")
     # the holiday side is about a dozen rows a year: bounded by construction
@@ -226,11 +250,13 @@ def q_holiday_windows(spark, sf):
 
 @register("future_calendar")
 def q_future_calendar(spark, sf):
+    """History days plus 7 days after the last one."""
     return CAL.future_calendar(P.prepared_train(P.full_data(spark, sf)), HORIZON)
 
 
 @register("future_regressors")
 def q_future_regressors(spark, sf):
+    """Future calendar inner-joined with the regressors."""
     full = P.full_data(spark, sf)
     cal = CAL.future_calendar(P.prepared_train(full), HORIZON)
     return _r(joins.inner_on_day(cal, full.select("series_id", "ds", "HDD", "CDD")), {"HDD": 6, "CDD": 6})
@@ -239,16 +265,19 @@ def q_future_regressors(spark, sf):
 # ====================================================================== V1-V12
 @register("missing_days")
 def q_missing_days(spark, sf):
+    """V7 (C4 + J6): missing days per segment, count and range."""
     return V.missing_days_report(P.staged_target(spark, sf))
 
 
 @register("null_counts")
 def q_null_counts(spark, sf):
+    """A2/V4: NULL count per column, tall."""
     return V.null_counts(P.full_data(spark, sf, staged=False))
 
 
 @register("duplicate_rows")
 def q_duplicate_rows(spark, sf):
+    """U4/V5: extra copies of equal (series, user, day) rows."""
     ev = FX.table(spark, sf, "events").select(F.col("event_type").alias("series_id"), "user_id",
                                                F.to_date("ts").alias("ds"))
     return V.duplicate_rows(ev)
@@ -256,16 +285,19 @@ def q_duplicate_rows(spark, sf):
 
 @register("sorted_check")
 def q_sorted_check(spark, sf):
+    """Is the order day non-decreasing in order-key order."""
     return V.sortedness(FX.order_readings(spark, sf), "event_id", "ts")
 
 
 @register("business_rules")
 def q_business_rules(spark, sf):
+    """Rule violations, zero entries left out."""
     return V.rule_violations(P.prepared_train(P.full_data(spark, sf, staged=False)), RULES)
 
 
 @register("validation_report")
 def q_validation_report(spark, sf):
+    """One row per segment with every check and the flag."""
     return V.validation_report(P.prepared_train(P.full_data(spark, sf)), rules=RULES)
 
 
@@ -280,18 +312,23 @@ def q_validation_document(spark, sf):
 # ====================================================================== W4, M1, M2, M4, M7, M9
 @register("chronological_split")
 def q_chronological_split(spark, sf):
-    return _r(EV.chronological_split(P.prepared_train(P.full_data(spark, sf, staged=False))), {"y": 2, "HDD": 6, "CDD": 6})
+    """First 80 % of each series is train."""
+    prepared = P.prepared_train(P.full_data(spark, sf, staged=False))
+    return _r(EV.chronological_split(prepared), {"y": 2, "HDD": 6, "CDD": 6})
 
 
 @register("fourier_terms")
 def q_fourier_terms(spark, sf):
+    """M2: weekly (3) and yearly (10) Fourier terms."""
     p = P.prepared_train(P.full_data(spark, sf, staged=False)).select("series_id", "ds")
     return _r(p.withColumns(D.fourier_columns()), {c: 6 for c in D.fourier_names()})
 
 
 @register("trend_hinges")
 def q_trend_hinges(spark, sf):
-    s = EV.chronological_split(P.prepared_train(P.full_data(spark, sf, staged=False))).select("series_id", "ds", "split")
+    """M1: trend time over the train rows and 25 changepoint hinges."""
+    prepared = P.prepared_train(P.full_data(spark, sf, staged=False))
+    s = EV.chronological_split(prepared).select("series_id", "ds", "split")
     t = D.with_trend_time(s, fit_mask=F.col("split") == "train")
     h = t.withColumns(D.hinge_columns()).drop("split")
     return _r(h, {c: 6 for c in ["t"] + list(D.hinge_columns())})
@@ -299,19 +336,23 @@ def q_trend_hinges(spark, sf):
 
 @register("scaled_regressors")
 def q_scaled_regressors(spark, sf):
-    s = EV.chronological_split(P.prepared_train(P.full_data(spark, sf, staged=False))).select("series_id", "ds", "split", "HDD", "CDD")
+    """M4: HDD/CDD standardised on train rows."""
+    prepared = P.prepared_train(P.full_data(spark, sf, staged=False))
+    s = EV.chronological_split(prepared).select("series_id", "ds", "split", "HDD", "CDD")
     z = D.standardize(s, ["HDD", "CDD"], fit_mask=F.col("split") == "train").drop("HDD", "CDD")
     return _r(z, {"HDD_z": 6, "CDD_z": 6})
 
 
 @register("trend_weekday_forecast")
 def q_trend_weekday_forecast(spark, sf):
+    """M7/M8: OLS trend plus weekday effect, scored on every prepared row."""
     scored, _ = P.trend_weekday_scored(P.prepared_train(P.full_data(spark, sf)))
     return _r(scored.select("series_id", "ds", "y", "split", "yhat"), {"y": 2, "yhat": 4})
 
 
 @register("residual_bounds")
 def q_residual_bounds(spark, sf):
+    """M9: 10 % / 90 % residual quantiles of the train rows."""
     scored, _ = P.trend_weekday_scored(P.prepared_train(P.full_data(spark, sf)))
     b = M.residual_bounds(scored.filter(F.col("split") == "train"))
     return _r(b, {"q_lo": 4, "q_hi": 4})
@@ -330,6 +371,7 @@ def _report(spark, sf, prepared=None):
 
 @register("seasonal_naive")
 def q_seasonal_naive(spark, sf):
+    """Value 7 rows earlier."""
     p = P.prepared_train(P.full_data(spark, sf, staged=False)).select("series_id", "ds", "y")
     return _r(EV.seasonal_naive(p), {"y": 2, "naive": 2})
 
@@ -345,16 +387,19 @@ def q_mase(spark, sf):
 
 @register("last60_report")
 def q_last60_report(spark, sf):
+    """Last-60 MAE and MASE."""
     return _report(spark, sf)
 
 
 @register("retrain_flag")
 def q_retrain_flag(spark, sf):
+    """MASE > 0.95, NULL means retrain."""
     return _r(EV.retrain_flag(_report(spark, sf)), {"metric_value": 4})
 
 
 @register("retrain_default")
 def q_retrain_default(spark, sf):
+    """Every series gets a flag, default True."""
     flags = EV.retrain_flag(_report(spark, sf)).select("series_id", "should_retrain")
     series = FX.table(spark, sf, "customer").select(F.col("c_mktsegment").alias("series_id")).unionByName(
         FX.table(spark, sf, "events").select(F.col("event_type").alias("series_id")))
@@ -363,6 +408,7 @@ def q_retrain_default(spark, sf):
 
 @register("gated_series")
 def q_gated_series(spark, sf):
+    """E5: rows of valid series pass, the rest are rejected."""
     prepared = P.prepared_train(P.full_data(spark, sf))
     rep = V.validation_report(prepared, rules=RULES)
     ok, bad = EV.gate(prepared, rep)
@@ -373,6 +419,7 @@ def q_gated_series(spark, sf):
 
 @register("train_flagged_only")
 def q_train_flagged_only(spark, sf):
+    """Training rows of series flagged for retraining."""
     prepared = P.prepared_train(P.full_data(spark, sf))
     split = EV.chronological_split(prepared)
     scored, _ = P.trend_weekday_scored(prepared)
@@ -401,7 +448,8 @@ def q_model_fallback(spark, sf):
     scored, local = P.trend_weekday_scored(prepared)
     flags = EV.retrain_flag(EV.window_report(scored, P.MODEL_TREND_WEEKDAY))
     registry = registry.join(flags.filter(~F.col("should_retrain")).select("series_id"), "series_id", "left_semi")
-    m = M.model_fallback(registry.select("series_id", "intercept", "slope"), local.select("series_id", "intercept", "slope"),
+    m = M.model_fallback(registry.select("series_id", "intercept", "slope"),
+                         local.select("series_id", "intercept", "slope"),
                          prepared)
     return _r(m.select("series_id", "source", F.col("model.intercept").alias("intercept"),
                        F.col("model.slope").alias("slope")), {"intercept": 4, "slope": 6})
@@ -419,16 +467,19 @@ def _history(spark, sf):
 
 @register("metrics_history")
 def q_metrics_history(spark, sf):
+    """Naive run, model run and a rerun appended."""
     return _history(spark, sf)
 
 
 @register("scorecard")
 def q_scorecard(spark, sf):
+    """Latest history row per model and series."""
     return S.scorecard(_history(spark, sf))
 
 
 @register("forecast_with_actuals")
 def q_forecast_with_actuals(spark, sf):
+    """Forecast with bounds, inner-joined to actuals on the day."""
     full = P.full_data(spark, sf)
     fa = S.forecast_with_actuals(P.forecast_frame(full), full)
     return _r(fa, {"yhat": 4, "yhat_lower": 4, "yhat_upper": 4, "daily_conso_kwh": 2})
@@ -436,6 +487,7 @@ def q_forecast_with_actuals(spark, sf):
 
 @register("history_view_70d")
 def q_history_view_70d(spark, sf):
+    """Y1 (A6, W7, W8): up to the last observed day, last 70 days."""
     full = P.full_data(spark, sf)
     v = S.history_view(S.forecast_with_actuals(P.forecast_frame(full), full))
     return S.sort_days(_r(v.select("series_id", "ds", "yhat", "yhat_lower", "yhat_upper", "daily_conso_kwh"),
@@ -444,6 +496,7 @@ def q_history_view_70d(spark, sf):
 
 @register("axis_bounds")
 def q_axis_bounds(spark, sf):
+    """NULL-skipping min/max over several columns, scaled."""
     full = P.full_data(spark, sf)
     v = S.history_view(S.forecast_with_actuals(P.forecast_frame(full), full))
     return _r(S.axis_bounds(v), {"y_min": 4, "y_max": 4})
@@ -482,7 +535,8 @@ def q_artifact_roundtrip(spark, sf):
     return (met.join(flags, "series_id").join(dq, "series_id").join(fc, "series_id")
             .join(mod.select("series_id", "intercept"), "series_id")
             .select("series_id", "model_name", "timestamp_utc", "window_size", "baseline", "mae_window",
-                    "mase_window", "should_retrain", "is_valid", "n_forecast", rounded("intercept", 4).alias("intercept")))
+                    "mase_window", "should_retrain", "is_valid", "n_forecast",
+                    rounded("intercept", 4).alias("intercept")))
 
 
 @register("schema_checks")
@@ -516,6 +570,7 @@ def _stream_out(spark, agg):
 
 @register("stream_daily_totals")
 def q_stream_daily_totals(spark, sf):
+    """Closed 1-day windows from the events file stream."""
     s = ZS.readings_stream(spark, sf, "events.parquet")
     return _stream_out(spark, ZS.daily_totals_stream(s, LATENESS))
 
@@ -532,11 +587,13 @@ def q_stream_dedup(spark, sf):
 
 @register("trial_space")
 def q_trial_space(spark, sf):
+    """The 50 seeded parameter sets for every series."""
     return RG.series_trials(P.full_data(spark, sf, staged=False).select("series_id"))
 
 
 @register("ridge_forecast")
 def q_ridge_forecast(spark, sf):
+    """M5/M6/M8/M9: seasonal ridge with default prior scales."""
     return _r(P.ridge_forecast(spark, sf).select("series_id", "ds", "split", "y", "yhat", "yhat_lower", "yhat_upper"),
               {"y": 2, "yhat": 4, "yhat_lower": 4, "yhat_upper": 4})
 
@@ -551,6 +608,7 @@ def q_tuned_report(spark, sf):
 
 @register("tuned_forecast")
 def q_tuned_forecast(spark, sf):
+    """50-trial search, best per series, refit, scored with bounds."""
     fc, _best = P.tuned(spark, sf)
     return _r(fc.select("series_id", "ds", "split", "y", "yhat", "yhat_lower", "yhat_upper", "trial_id", "test_mase"),
               {"y": 2, "yhat": 4, "yhat_lower": 4, "yhat_upper": 4, "test_mase": 4})
