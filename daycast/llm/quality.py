@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daycast.llm.words import BLANKS, text_of, word_array
+from daycast.session import stage as stage_table
 
 SYMBOLS = "#*$%&|<>"
 
@@ -80,9 +81,10 @@ def fences(feats: DataFrame, k: int = 2000) -> DataFrame:
     a language on the corpus, with weight ``PRIOR`` documents.  The result has a
     row per (lang, source); NULLs are a group of their own.
     """
-    own = feats.groupBy("lang", "source").agg(
+    # a written table: three readers, one pass over the documents
+    own = stage_table(feats.groupBy("lang", "source").agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.kll_sketch_agg_double(_measure(m), F.lit(k)).alias(m) for m in MEASURES])
+        *[F.kll_sketch_agg_double(_measure(m), F.lit(k)).alias(m) for m in MEASURES]), "sketches")
 
     def quartiles(df: DataFrame, tag: str) -> list[Column]:
         return [F.kll_sketch_get_quantile_double(F.col(m), F.lit(q)).alias(f"{m}_{tag}{i}")
@@ -107,18 +109,21 @@ def fences(feats: DataFrame, k: int = 2000) -> DataFrame:
         .alias(f"{m}_fence") for m, least in MEASURES.items()])
 
 
-def judge(docs: DataFrame) -> DataFrame:
+def judge(docs: DataFrame, texts: bool = True) -> DataFrame:
     """All documents with their features and ``kept``.
 
     ``docs`` needs ``text, lang, source``; all its columns stay (those named
     like a feature or fence are replaced).  NULL or empty texts fail the base
     rules; ties at a fence are kept; repeated rows get equal verdicts; an empty
-    table gives an empty table.  The documents are read twice: once for the
-    sketches, once for the verdict, and only sketches are shuffled.
+    table gives an empty table.  Only sketches are shuffled.  With ``texts`` the
+    documents are read twice, for the sketches and for the verdict; without, the
+    result has no ``text`` column and the features of one pass are written down.
     """
-    feats = features(docs)
-    limit = fences(features(docs.select("text", "lang", "source"))).withColumnsRenamed(
-        {"lang": "_lang", "source": "_source"})
+    if texts:
+        feats, seen = features(docs), features(docs.select("text", "lang", "source"))
+    else:
+        feats = seen = stage_table(features(docs).drop("text"), "features")
+    limit = fences(seen).withColumnsRenamed({"lang": "_lang", "source": "_source"})
     inside = None
     for m in MEASURES:
         ok = _measure(m) <= F.coalesce(F.col(f"{m}_fence"), F.lit(1.0))
@@ -130,7 +135,7 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def op3_quality(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
-    return judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    return judge(docs, texts=False).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                               "base_failed", "kept")
 
 

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from daycast.llm import chat, mixing, quality
+from daycast.llm import chat, classifier, jaccard, mixing, neighbours, pages, pieces, quality, secrets, substring
 
 QUERIES = {
     "op1_chat": chat.op1_chat,
+    "op2_substring": substring.op2_substring,
     "op3_quality": quality.op3_quality,
+    "op4_jaccard": jaccard.op4_jaccard,
+    "op5_pieces": pieces.op5_pieces,
+    "op6_pages": pages.op6_pages,
+    "op7_secrets": secrets.op7_secrets,
+    "op8_neighbours": neighbours.op8_neighbours,
+    "op9_classifier": classifier.op9_classifier,
     "op10_mixing": mixing.op10_mixing,
 }
 
