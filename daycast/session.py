@@ -63,33 +63,30 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-_FALLBACK_DIRS: dict[str, str] = {}
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir`` (a static setting, read
-    here, never changed).  Only when the session has none (local tests) a
-    private folder is created once per application.
+    The cluster names it in ``spark.checkpoint.dir``; it is read here and never
+    changed.  A ``local`` session without the setting (tests, one machine) gets
+    one private folder per application; elsewhere a missing setting is an error,
+    because executors do not see a folder of the driver's machine.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        try:
-            d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 -- Spark Connect: the session conf is all there is
-            d = None
-    if not d:
-        try:
-            app = spark.sparkContext.applicationId
-        except Exception:  # noqa: BLE001
-            app = str(getattr(spark, "session_id", "session"))
-        d = _FALLBACK_DIRS.setdefault(app, tempfile.mkdtemp(prefix="daycast-ckpt-"))
+    if d:
+        return d
     try:
-        spark.sparkContext.setCheckpointDir(d)  # for DataFrame.checkpoint()
-    except Exception:  # noqa: BLE001
-        pass
-    return d
+        sc = spark.sparkContext
+        master, app = sc.master, sc.applicationId
+    except Exception as e:  # noqa: BLE001 -- Spark Connect has no SparkContext
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share") from e
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="daycast-local-")
+    return _LOCAL_DIRS[app]
 
 
 def parallelism(spark) -> int:
@@ -118,7 +115,18 @@ def stage(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, f"stage-{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._daycast_stage = path  # for drop_stage
+    return out
+
+
+def drop_stage(df) -> None:
+    """Remove the table behind a frame that :func:`stage` returned (nothing may read it afterwards)."""
+    path = getattr(df, "_daycast_stage", None)
+    if path:
+        spark = df.sparkSession
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 _SHIPPED: set[str] = set()
