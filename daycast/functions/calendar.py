@@ -103,12 +103,6 @@ def holiday_effect_days(holidays: DataFrame) -> DataFrame:
         .select(F.date_add("ds", F.col("offset")).alias("day"), "holiday", "offset")
 
 
-def daily_calendar(df: DataFrame, by: str = "series_id", day: str = "ds") -> DataFrame:
-    """C4: every day from the first to the last of each series (no rows for empty input)."""
-    b = df.filter(F.col(day).isNotNull()).groupBy(by).agg(F.min(day).alias("_lo"), F.max(day).alias("_hi"))
-    return b.select(by, F.explode(F.sequence("_lo", "_hi")).alias(day))
-
-
 def future_calendar(history: DataFrame, periods: int, by: str = "series_id", day: str = "ds") -> DataFrame:
     """The history days plus ``periods`` days after the last one (``is_future``)."""
     hist = history.select(by, day).distinct().withColumn("is_future", F.lit(False))

@@ -41,16 +41,6 @@ def cooling_degree_days(temp, base: float = COOLING_BASE) -> Column:
     return clip_lower(col_(temp) - F.lit(float(base)))
 
 
-def ratio(num, den) -> Column:
-    """NULL instead of an error (ANSI) when the denominator is 0."""
-    return F.try_divide(col_(num), col_(den))
-
-
 def rounded(c, places: int) -> Column:
     """Round and normalise -0.0 to 0.0 (stable text form across engines)."""
     return F.round(col_(c), places) + F.lit(0.0)
-
-
-def to_day(c) -> Column:
-    """Timestamp (zone dropped in a UTC session) -> calendar day."""
-    return F.to_date(col_(c))

@@ -6,6 +6,7 @@ as partial + final aggregation keyed by the series (and trial) columns.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,6 +29,22 @@ def mase(y: str = "y", yhat: str = "yhat", naive: str = "naive", pos: str = "pos
 METRICS = {"mae": mae, "mase": mase}
 
 
+def mae_array(y: np.ndarray, yhat: np.ndarray) -> float:
+    return float(np.mean(np.abs(y - yhat))) if len(y) else float("nan")
+
+
+def mase_array(y: np.ndarray, yhat: np.ndarray, season: int = 7) -> float:
+    """E2 on arrays: model MAE over rows season+1..n over the naive MAE there."""
+    if len(y) <= season:
+        return float("nan")
+    den = np.mean(np.abs(y[season:] - y[:-season]))
+    return float(np.mean(np.abs(y[season:] - yhat[season:])) / den) if den else float("nan")
+
+
+#: The same metrics inside a fitting task: name -> f(y, yhat), NaN where undefined.
+ARRAY_METRICS = {"mae": mae_array, "mase": mase_array}
+
+
 def metric(name: str, **kw) -> Column:
     try:
         return METRICS[name](**kw)

@@ -55,11 +55,6 @@ def require_columns(df: DataFrame, cols: list[str], what: str = "input") -> Data
     return df.select(*cols)
 
 
-def training_rows(df: DataFrame, target: str = "y") -> DataFrame:
-    """Drop rows whose target is missing."""
-    return df.filter(F.col(target).isNotNull())
-
-
 def repair_zeros(df: DataFrame, by: str = "series_id", order: str = "ds", value: str = "y",
                  half_width: int = 2) -> DataFrame:
     """W1 + P9 + P10 + N9 on a daily series.
@@ -76,15 +71,15 @@ def repair_zeros(df: DataFrame, by: str = "series_id", order: str = "ds", value:
 
 
 def repair_zeros_raw(df: DataFrame, by: str, order: list[str], value: str,
-                     half_width: int = 2, n_ranges: int | None = None) -> DataFrame:
+                     half_width: int = 2, bucket=None) -> DataFrame:
     """The same repair over raw, unbounded rows (ordered by ``order``).
 
-    Uses range-partitioned neighbours instead of one window per series, so
-    a series that holds most of the rows is still spread over many tasks.
+    Uses bucketed neighbours instead of one window per series, so a series
+    that holds most of the rows is still spread over many tasks.
     """
     nz = "_nz"
     base = df.withColumn(value, F.col(value).cast("double")).withColumn(nz, F.nullif(F.col(value), F.lit(0.0)))
-    nb = ordered_neighbors(base, by, order, nz, before=half_width, after=half_width, n_ranges=n_ranges)
+    nb = ordered_neighbors(base, by, order, nz, before=half_width, after=half_width, bucket=bucket)
     parts = [F.col(nz)] + [F.col(f"{nz}_prev{j}") for j in range(1, half_width + 1)] + \
             [F.col(f"{nz}_next{j}") for j in range(1, half_width + 1)]
     total = sum((F.coalesce(p, F.lit(0.0)) for p in parts[1:]), F.coalesce(parts[0], F.lit(0.0)))

@@ -77,9 +77,16 @@ def tumbling_day(readings: DataFrame, by: str = "series_id", ts: str = "ts",
              "jour", "y", "n_readings")
 
 
-def first_n_days(daily: DataFrame, n: int = 5000, by: str = "series_id",
-                 order: str = "jour") -> DataFrame:
-    """Order by ``jour`` ascending (NULLs last), keep the first ``n`` per series.
+def first_n(daily: DataFrame, n: int, by: str = "series_id", order: str = "jour") -> DataFrame:
+    """One sort of all rows by ``jour`` ascending (NULLs last), the first ``n`` of them.
+
+    Planned as a top-n: each task keeps ``n`` rows, so nothing is sorted whole.
+    """
+    return daily.orderBy(F.col(order).asc_nulls_last(), F.col("ds").asc_nulls_last(), by).limit(n)
+
+
+def first_n_days(daily: DataFrame, n: int, by: str = "series_id", order: str = "jour") -> DataFrame:
+    """B6-B7 per series: order by ``jour`` ascending (NULLs last), keep the first ``n`` of each.
 
     A per-series row_number over daily rows: the window input per series is
     bounded by the number of days, whatever the raw volume.

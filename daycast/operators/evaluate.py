@@ -23,10 +23,10 @@ def seasonal_naive(df: DataFrame, season: int = SEASON, by: str = "series_id", o
 
 def last_n(df: DataFrame, n: int = WINDOW_SIZE, by: str = "series_id", order: str = "ds") -> DataFrame:
     """The last ``n`` rows of each series, with their position ``pos`` (1 = oldest)."""
-    w_desc = Window.partitionBy(by).orderBy(F.col(order).desc())
-    w_asc = Window.partitionBy(by).orderBy(order)
-    return (df.withColumn("_rd", F.row_number().over(w_desc)).filter(F.col("_rd") <= n)
-              .withColumn("pos", F.row_number().over(w_asc)).drop("_rd"))
+    w = Window.partitionBy(by).orderBy(order)  # one sort serves position and count
+    rn, size = F.row_number().over(w), F.count(F.lit(1)).over(Window.partitionBy(by))
+    return (df.withColumns({"_rn": rn, "_n": size}).withColumn("pos", F.col("_rn") - F.greatest(F.col("_n") - n, F.lit(0)))
+            .filter(F.col("pos") >= 1).drop("_rn", "_n"))
 
 
 def chronological_split(df: DataFrame, share: float = TRAIN_SHARE, by: str = "series_id",
@@ -85,7 +85,8 @@ def flags_with_default(series: DataFrame, flags: DataFrame | None, by: str = "se
     s = series.select(by).distinct()
     if flags is None or "should_retrain" not in flags.columns:
         return s.withColumn("should_retrain", F.lit(True))
-    f = flags.select(by, F.col("should_retrain").cast("boolean").alias("_f"))
+    # a flag that is no boolean counts as absent; of several flags any True wins
+    f = flags.groupBy(by).agg(F.bool_or(F.col("should_retrain").cast("string").try_cast("boolean")).alias("_f"))
     return s.join(f, by, "left").select(by, F.coalesce("_f", F.lit(True)).alias("should_retrain"))
 
 

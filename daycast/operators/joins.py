@@ -27,28 +27,18 @@ def weather_left_target(target: DataFrame, weather: DataFrame, by: str = "series
     """All weather days for each series, target left-joined (future days keep NULL y).
 
     The spine is generated per series from the weather bounds (one scalar
-    subquery returning both); the weather side (one row per day) is joined on ``ds`` and is
-    turned into a broadcast by AQE once its actual size is known to be under
-    the threshold, a sort-merge join otherwise.
+    subquery returning both).  The weather holds one row per calendar day, so it
+    is bounded like the holidays and broadcast; the spine (series x days) never is.
     """
     require_keys({"target": target, "weather": weather}, ["ds"])
     require_keys({"target": target}, [by])
     bounds = weather.select(F.struct(F.min("ds").alias("lo"), F.max("ds").alias("hi"))).scalar()
     lo, hi = bounds["lo"], bounds["hi"]
     series = target.select(by).distinct()
-    spine = series_calendar(series, lo, hi, by).join(weather, "ds", "inner")
+    spine = series_calendar(series, lo, hi, by).join(F.broadcast(weather), "ds", "inner")
     return spine.join(target, [by, "ds"], "left")
 
 
 def inner_on_day(left: DataFrame, right: DataFrame, by: str = "series_id") -> DataFrame:
     """Inner join on ``(series_id, ds)`` (never on row position)."""
     return left.join(right, [by, "ds"], "inner")
-
-
-def missing_days(observed: DataFrame, by: str = "series_id", day: str = "ds") -> DataFrame:
-    """C4 + J6: calendar min..max of each series minus the observed days."""
-    bounds = observed.filter(F.col(day).isNotNull()).groupBy(by).agg(
-        F.min(day).alias("_lo"), F.max(day).alias("_hi"))
-    cal = bounds.select(by, F.explode(F.sequence("_lo", "_hi")).alias(day))
-    obs = observed.select(by, day).filter(F.col(day).isNotNull()).distinct()
-    return cal.join(obs, [by, day], "left_anti")

@@ -31,8 +31,9 @@ def fit_trend_weekday(train: DataFrame, by: str = "series_id", y: str = "y") ->
 
 
 def predict_trend_weekday(rows: DataFrame, coef: DataFrame, by: str = "series_id") -> DataFrame:
-    """M8 for M7: ``yhat = intercept + slope * t + weekday effect`` (0 for an unseen weekday)."""
-    j = rows.join(coef, by, "inner")
+    """M8 for M7: ``yhat = intercept + slope * t + weekday effect`` (0 for an unseen
+    weekday; NULL for a series without a fit, which then has to be trained)."""
+    j = rows.join(coef, by, "left")
     yhat = F.col("intercept") + F.col("slope") * day_number() + \
         F.coalesce(F.element_at("wd_effect", F.weekday("ds")), F.lit(0.0))
     return j.withColumn("yhat", yhat).drop("intercept", "slope", "wd_effect")

@@ -8,24 +8,24 @@ training max (additive) or on ``log y`` (multiplicative, when all y > 0).
 
 Split of work:
 * design columns, holiday lookup, scoring, bounds: JVM column expressions;
-* per-series solve (and the whole parameter search): one ``applyInPandas``
-  group per series (optionally per (series, trial chunk)), where ``X'X`` is
-  formed once and only the diagonal penalty changes between trials.  A group
-  holds one row per day of one series, so its size is bounded by the calendar.
+* per-series solve (and the whole parameter search, ``tune.py``): one
+  ``applyInPandas`` group per series, where ``X'X`` is formed once and only the
+  diagonal penalty changes between trials.  A group holds one row per day of one
+  series, so its size is bounded by the calendar.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daycast.functions import calendar as CAL
 from daycast.functions import design as D
-from daycast.session import ship_package
+from daycast.operators.tune import fit_best
 
 # Default prior scales and noise level of the fit.
 DEFAULT_PARAMS = {"changepoint_prior_scale": 0.05, "seasonality_prior_scale": 10.0,
@@ -61,11 +61,13 @@ def design(prepared_split: DataFrame, holidays: DataFrame, by: str = "series_id"
 
     ``prepared_split`` has ``series_id, ds, y, HDD, CDD, split`` where split is
     ``train``, ``test``, ``holdout`` or ``future``; trend time and regressor
-    scaling use the train rows only.  The holiday lookup (about a dozen days a year) is
+    scaling use the train rows only.  Rows without a regressor are left out (see
+    :func:`incomplete`).  The holiday lookup (about a dozen days a year) is
     broadcast.
     """
     fit = F.col("split") == "train"
-    df = D.with_trend_time(prepared_split, by, fit_mask=fit)
+    complete = prepared_split.filter(functools.reduce(lambda a, b: a & b, [F.col(r).isNotNull() for r in REGRESSORS]))
+    df = D.with_trend_time(complete, by, fit_mask=fit)
     df = D.standardize(df, REGRESSORS, by, fit_mask=fit)
     per_day = CAL.holiday_effect_days(holidays).groupBy(F.col("day").alias("ds")).agg(
         F.collect_set(F.concat_ws("|", "holiday", F.col("offset").cast("string"))).alias("_hol"))
@@ -75,10 +77,15 @@ def design(prepared_split: DataFrame, holidays: DataFrame, by: str = "series_id"
     four = D.fourier_columns()
     hinge = D.hinge_columns()
     x = F.array(F.lit(1.0), F.col("t"), *hinge.values(), *[four[c] for c in D.fourier_names()], *hol,
-                *[F.coalesce(F.col(f"{r}_z"), F.lit(0.0)) for r in REGRESSORS])
+                *[F.col(f"{r}_z") for r in REGRESSORS])
     return df.select(by, "ds", "y", "split", x.alias("x"))
 
 
+def incomplete(rows: DataFrame) -> DataFrame:
+    """Rows that cannot enter a design: a regressor is missing (they are rejected, never filled)."""
+    return rows.filter(functools.reduce(lambda a, b: a | b, [F.col(r).isNull() for r in REGRESSORS]))
+
+
 def penalties(params: dict) -> np.ndarray:
     scale = {"base": None, "changepoint": float(params["changepoint_prior_scale"]),
              "seasonality": float(params["seasonality_prior_scale"]),
@@ -111,39 +118,18 @@ class _Fitter:
         return _solve(self.G, self.Xty, pen), "additive", self.scale
 
 
-def _predict(X: np.ndarray, b: np.ndarray, mode: str, scale: float) -> np.ndarray:
-    z = X @ b
-    return np.exp(z) if mode == "multiplicative" else z * scale
-
-
-def mase_np(y: np.ndarray, yhat: np.ndarray, season: int = 7) -> float:
-    """E2 on arrays: model MAE over rows season+1..n over the naive MAE there."""
-    if len(y) <= season:
-        return float("nan")
-    den = np.mean(np.abs(y[season:] - y[:-season]))
-    if den == 0:
-        return float("nan")
-    return float(np.mean(np.abs(y[season:] - yhat[season:])) / den)
-
-
-def _xy(pdf: pd.DataFrame):
-    pdf = pdf.sort_values("ds")
-    X = np.vstack(pdf["x"].to_numpy()) if len(pdf) else np.zeros((0, len(terms())))
-    return pdf, X
-
-
 # ------------------------------------------------------------------ trials
 def trial_params(df: DataFrame, seed: int = 42) -> DataFrame:
     """Add the four parameters of trial ``trial_id`` (reproducible random search).
 
-    Each parameter draws its own uniform from ``xxhash64(seed, trial, name)``:
+    Each parameter draws its own uniform from ``md5(seed|trial|name)``:
     log-uniform changepoint scale, uniform seasonality scale, integer holiday
     scale, and one of the two modes.  A pure function of ``trial_id``, so the
     same trial has the same parameters for every series and every run.
     """
     def u(name):
-        h = F.xxhash64(F.lit(seed), F.col("trial_id"), F.lit(name))
-        return (F.pmod(h, F.lit(1 << 31)).cast("double") + 0.5) / float(1 << 31)
+        h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("trial_id").cast("string"), F.lit(name)).cast("binary"))
+        return (F.conv(F.substring(h, 1, 8), 16, 10).cast("double") + 0.5) / float(1 << 32)
 
     lo, hi = SEARCH_SPACE["changepoint_prior_scale"]
     slo, shi = SEARCH_SPACE["seasonality_prior_scale"]
@@ -158,124 +144,65 @@ def trial_params(df: DataFrame, seed: int = 42) -> DataFrame:
     })
 
 
-def trial_space(spark, n_trials: int = N_TRIALS, seed: int = 42) -> DataFrame:
-    """The ``n_trials`` parameter sets (a small table of fixed size)."""
-    return trial_params(spark.range(1, n_trials + 1).select(F.col("id").cast("int").alias("trial_id")), seed)
-
-
 def series_trials(series: DataFrame, n_trials: int = N_TRIALS, seed: int = 42, by: str = "series_id") -> DataFrame:
     """Every trial for every series, by a generator (no join)."""
     s = series.select(by).distinct().select(by, F.explode(F.sequence(F.lit(1), F.lit(n_trials))).alias("trial_id"))
     return trial_params(s, seed)
 
 
-SCORE_SCHEMA = ("series_id string, trial_id int, changepoint_prior_scale double, seasonality_prior_scale double, "
-                "holidays_prior_scale int, seasonality_mode string, mode_used string, score double")
+class Ridge:
+    """The seasonal ridge as a model of the search."""
 
+    def __init__(self, seed: int = 42) -> None:
+        self.seed = seed
 
-def score_trials(design_df: DataFrame, trials: DataFrame, chunks: int = 1, by: str = "series_id") -> DataFrame:
-    """Fit every trial on the train rows of each series, score MASE on its test rows.
+    def space(self, trials: DataFrame) -> DataFrame:
+        return trial_params(trials, self.seed)
 
-    The trial table (``n_trials`` rows, a fixed small bound) ships with the
-    function; the data is grouped by series (and by trial chunk when there
-    are few series, replicating the series rows ``chunks`` times).
-    """
-    ship_package(design_df.sparkSession)
-    tp = trials.orderBy("trial_id").toPandas()
-    tp["chunk"] = np.arange(len(tp)) % chunks
-    rows = design_df.filter(F.col("split").isin("train", "test"))
-    if chunks > 1:
-        rows = rows.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    else:
-        rows = rows.withColumn("_chunk", F.lit(0))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, X = _xy(pdf)
-        train = (pdf["split"] == "train").to_numpy()
-        y = pdf["y"].to_numpy(dtype="float64")
-        fitter = _Fitter(X[train], y[train])
-        Xte, yte = X[~train], y[~train]
-        out = []
-        for p in tp[tp["chunk"] == int(pdf["_chunk"].iloc[0])].to_dict("records"):
-            b, mode, scale = fitter.coef(p)
-            score = mase_np(yte, _predict(Xte, b, mode, scale))
-            out.append((pdf[by].iloc[0], int(p["trial_id"]), float(p["changepoint_prior_scale"]),
-                        float(p["seasonality_prior_scale"]), int(p["holidays_prior_scale"]),
-                        p["seasonality_mode"], mode, None if math.isnan(score) else score))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in SCORE_SCHEMA.split(", ")])
-
-    return rows.groupBy(by, "_chunk").applyInPandas(run, SCORE_SCHEMA)
-
-
-COEF_SCHEMA = "series_id string, mode_used string, out_scale double, coef array<double>"
+    def prepare(self, x: np.ndarray, y: np.ndarray) -> _Fitter:
+        return _Fitter(x, y)
 
+    def fit(self, state: _Fitter, params: dict) -> tuple[np.ndarray, str, float]:
+        return state.coef(params)
 
-def fit(design_df: DataFrame, params: DataFrame | dict, by: str = "series_id") -> DataFrame:
-    """Refit on the train rows with one parameter set per series
-    (``params`` as a dict for all series, or a per-series DataFrame such as the
-    best trials).  Returns the coefficient table (one row per series)."""
-    ship_package(design_df.sparkSession)
-    rows = design_df.filter(F.col("split") == "train")
-    if isinstance(params, dict):
-        rows = rows.withColumns({k: F.lit(v) for k, v in params.items()})
-    else:
-        rows = rows.join(params.select(by, *DEFAULT_PARAMS), by, "inner")
+    def predict(self, x: np.ndarray, fitted: tuple[np.ndarray, str, float]) -> np.ndarray:
+        b, mode, scale = fitted
+        z = x @ b
+        return np.exp(z) if mode == "multiplicative" else z * scale
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, X = _xy(pdf)
-        y = pdf["y"].to_numpy(dtype="float64")
-        p = {k: pdf[k].iloc[0] for k in DEFAULT_PARAMS}
-        b, mode, scale = _Fitter(X, y).coef(p)
-        return pd.DataFrame({by: [pdf[by].iloc[0]], "mode_used": [mode], "out_scale": [scale], "coef": [b.tolist()]})
 
-    return rows.groupBy(by).applyInPandas(run, COEF_SCHEMA)
+COEF_SCHEMA = "series_id string, mode_used string, out_scale double, coef array<double>, status string"
 
 
-def coefficients_long(coef: DataFrame, model_name: str, by: str = "series_id") -> DataFrame:
-    """``(model_name, series_id, term, coef)`` in design order."""
-    names = F.array(*[F.lit(t) for t, _b in terms()])
-    return coef.select(F.lit(model_name).alias("model_name"), by, F.inline(F.arrays_zip(
-        names.alias("term"), F.col("coef").alias("coef"))))
+def fit(design_df: DataFrame, params: DataFrame | dict, by: str = "series_id") -> DataFrame:
+    """Fit on the train rows with one parameter set per series
+    (``params`` as a dict for all series, or a per-series DataFrame such as the
+    best trials).  Returns the coefficient table (one row per series)."""
+    if isinstance(params, dict):
+        params = design_df.select(by).distinct().withColumns({"score": F.lit(0.0), **{k: F.lit(v) for k, v in params.items()}})
+    return fit_best(design_df, Ridge(), params, list(DEFAULT_PARAMS), DEFAULT_PARAMS, by)
 
 
 def predict(design_df: DataFrame, coef: DataFrame, by: str = "series_id") -> DataFrame:
-    """M8: ``yhat`` as a dot product in column expressions (no Python in scoring)."""
-    j = design_df.join(coef, by, "inner")
+    """M8: ``yhat`` as a dot product in column expressions (no Python in scoring); NULL for a series without a fit."""
+    j = design_df.join(coef, by, "left")
     dot = F.aggregate(F.zip_with("x", "coef", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
     yhat = F.when(F.col("mode_used") == "multiplicative", F.exp(dot)).otherwise(dot * F.col("out_scale"))
-    return j.withColumn("yhat", yhat).drop("coef", "out_scale")
+    return j.withColumn("yhat", yhat).drop("coef", "out_scale", "status")
 
 
 # ------------------------------------------------------------------ persistence
 def coefficients_table(coef: DataFrame, model_name: str, by: str = "series_id") -> DataFrame:
     """Tall table ``(model_name, series_id, k, term, coef, mode_used, out_scale)``."""
     names = F.array(*[F.lit(t) for t, _b in terms()])
-    return coef.select(F.lit(model_name).alias("model_name"), by, "mode_used", "out_scale",
+    return coef.select(F.lit(model_name).alias("model_name"), by, "mode_used", "out_scale", "status",
                        F.posexplode(F.arrays_zip(names.alias("term"), F.col("coef").alias("coef"))).alias("k", "tc")
-                       ).select("model_name", by, "k", "tc.term", "tc.coef", "mode_used", "out_scale")
+                       ).select("model_name", by, "k", "tc.term", "tc.coef", "mode_used", "out_scale", "status")
 
 
 def coefficients_from_table(table: DataFrame, by: str = "series_id") -> DataFrame:
     """M11 load: back to one row per series with the coefficient array in term order
     (a group holds one row per term)."""
-    g = table.groupBy(by).agg(F.first("mode_used").alias("mode_used"), F.first("out_scale").alias("out_scale"),
+    g = table.groupBy(by).agg(F.first("mode_used").alias("mode_used"), F.first("out_scale").alias("out_scale"), F.first("status").alias("status"),
                               F.sort_array(F.collect_list(F.struct("k", "coef"))).alias("_kc"))
-    return g.select(by, "mode_used", "out_scale", F.transform("_kc", lambda s: s["coef"]).alias("coef"))
-
-
-# ------------------------------------------------------------------ extension point
-def fit_custom(design_df: DataFrame, user_fit, params: dict | None = None, by: str = "series_id") -> DataFrame:
-    """Fit every series with a user function ``user_fit(X, y, params) -> coef``
-    (numpy arrays, train rows in day order).  Scoring stays in :func:`predict`
-    (additive, unit scale), so the user function runs once per series only."""
-    params = dict(params or {})
-    ship_package(design_df.sparkSession)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, X = _xy(pdf)
-        y = pdf["y"].to_numpy(dtype="float64")
-        b = np.asarray(user_fit(X, y, params), dtype="float64")
-        return pd.DataFrame({by: [pdf[by].iloc[0]], "mode_used": ["additive"], "out_scale": [1.0],
-                             "coef": [b.tolist()]})
-
-    return design_df.filter(F.col("split") == "train").groupBy(by).applyInPandas(run, COEF_SCHEMA)
+    return g.select(by, "mode_used", "out_scale", F.transform("_kc", lambda s: s["coef"]).alias("coef"), "status")

@@ -3,56 +3,76 @@
 A window ``partitionBy(series)`` over raw readings puts a whole series in
 one task; if one series holds a third of all rows, that task holds a third of
 the data.  ``ordered_neighbors`` gives exactly the same ``lag``/``lead``
-values but partitions the work by *range*:
-
-1. ``repartitionByRange`` on ``(key, order...)``: the partitioner samples the
-   keys, so a hot series is cut into many contiguous ranges;
-2. inside each (key, range) the ordinary window computes lags/leads;
-3. only the first and last ``k`` rows of each (key, range) can need a value
-   from a neighbouring range.  Those edge rows (at most ``2k`` per range) are
-   windowed again per key, ordered by (range, position); in that reduced
-   sequence, the rows before/after an edge row are its true neighbours;
-4. non-edge rows and corrected edge rows are unioned.
+values but deals the rows by *bucket*, a fixed function of the first order
+column (a day, or a run of ids), so every branch of the plan agrees on it:
+
+1. one shuffle and one sort of the rows by ``(key, bucket)``; inside a bucket
+   the ordinary window gives lags and leads;
+2. the first and last ``k`` values of each bucket are a small side table, on
+   which each bucket gets the last ``k`` values before it and the first ``k``
+   after it, from however many buckets that takes;
+3. that table (one row per bucket) is joined back, and the rows at a bucket's
+   ends take from it what their window could not see.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Bucket of an integer order column: runs of ``2**ID_BITS`` ids.
+ID_BITS = 16
+
+
+def bucket_of(df: DataFrame, column: str) -> Column:
+    """Bucket of an order column, increasing with it: its day, or its run of ids."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.datediff(F.to_date(column), F.lit("1970-01-01").cast("date")).cast("bigint")
+    if isinstance(kind, T.IntegralType):
+        return F.shiftright(F.col(column).cast("bigint"), ID_BITS)
+    raise TypeError(f"no default bucket for {column!r} of type {kind.simpleString()}; pass one")
 
 
 def ordered_neighbors(df: DataFrame, key: str, order: list[str], value: str,
-                      before: int = 0, after: int = 0, n_ranges: int | None = None) -> DataFrame:
+                      before: int = 0, after: int = 0, bucket: Column | None = None) -> DataFrame:
     """Add ``{value}_prev{j}`` (j=1..before) and ``{value}_next{j}`` (j=1..after).
 
     Equivalent to ``lag(value, j)`` / ``lead(value, j)`` over
-    ``partitionBy(key).orderBy(order)``; ``order`` must be unique within a key.
+    ``partitionBy(key).orderBy(order)``; ``order`` must be unique within a key
+    and ``bucket`` (default: :func:`bucket_of` the first order column) must not
+    decrease along it.
     """
-    spark = df.sparkSession
-    if n_ranges is None:
-        n_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     k = max(before, after, 1)
-    ranged = df.repartitionByRange(n_ranges, key, *order).withColumn("_rng", F.spark_partition_id())
-    w_in = Window.partitionBy(key, "_rng").orderBy(*order)
-    cols = {"_pos": F.row_number().over(w_in),
-            "_cnt": F.count(F.lit(1)).over(Window.partitionBy(key, "_rng"))}
+    bucketed = df.withColumn("_b", bucket_of(df, order[0]) if bucket is None else bucket)
+    w = Window.partitionBy(key, "_b").orderBy(*order)
+    cols = {"_pos": F.row_number().over(w), "_cnt": F.count(F.lit(1)).over(Window.partitionBy(key, "_b"))}
     for j in range(1, before + 1):
-        cols[f"{value}_prev{j}"] = F.lag(value, j).over(w_in)
+        cols[f"{value}_prev{j}"] = F.lag(value, j).over(w)
     for j in range(1, after + 1):
-        cols[f"{value}_next{j}"] = F.lead(value, j).over(w_in)
-    local = ranged.withColumns(cols)
+        cols[f"{value}_next{j}"] = F.lead(value, j).over(w)
+    local = bucketed.withColumns(cols)
 
-    is_edge = (F.col("_pos") <= k) | (F.col("_pos") > F.col("_cnt") - k)
-    inner = local.filter(~is_edge)
-    edges = local.filter(is_edge)
-    w_edge = Window.partitionBy(key).orderBy("_rng", "_pos")
+    # ends of the buckets: at most 2k small rows each, in order
+    ends = local.filter((F.col("_pos") <= k) | (F.col("_pos") > F.col("_cnt") - k)).groupBy(key, "_b").agg(
+        F.sort_array(F.collect_list(F.struct("_pos", F.col(value).alias("v")))).alias("_e"))
+    last = F.slice("_e", F.greatest(F.size("_e") - k + 1, F.lit(1)), k)
+    along = Window.partitionBy(key).orderBy("_b")
+    # k neighbouring buckets hold k values at least, so they are all that is needed
+    near = ends.withColumns({
+        "_before": F.flatten(F.collect_list(last).over(along.rowsBetween(-k, -1))),
+        "_after": F.flatten(F.collect_list(F.slice("_e", 1, k)).over(along.rowsBetween(1, k)))}).select(
+        key, "_b", F.transform("_before", lambda s: s["v"]).alias("_before"), F.transform("_after", lambda s: s["v"]).alias("_after"))
+    out = local.alias("l").join(near.alias("n"), F.col(f"l.{key}").eqNullSafe(F.col(f"n.{key}")) &
+                                F.col("l._b").eqNullSafe(F.col("n._b"))).select("l.*", "_before", "_after")
     fixed = {}
     for j in range(1, before + 1):
         c = f"{value}_prev{j}"
-        fixed[c] = F.when(F.col("_pos") - j >= 1, F.col(c)).otherwise(F.lag(value, j).over(w_edge))
+        fixed[c] = F.when(F.col("_pos") > j, F.col(c)).otherwise(
+            F.get("_before", F.size("_before") - (F.lit(j) - F.col("_pos") + 1)))
     for j in range(1, after + 1):
         c = f"{value}_next{j}"
-        fixed[c] = F.when(F.col("_pos") + j <= F.col("_cnt"), F.col(c)).otherwise(F.lead(value, j).over(w_edge))
-    edges = edges.withColumns(fixed)
-    out_cols = [c for c in local.columns if c not in ("_rng", "_pos", "_cnt")]
-    return inner.select(*out_cols).unionByName(edges.select(*out_cols))
+        fixed[c] = F.when(F.col("_pos") + j <= F.col("_cnt"), F.col(c)).otherwise(
+            F.get("_after", F.col("_pos") + j - F.col("_cnt") - 1))
+    return out.withColumns(fixed).drop("_b", "_pos", "_cnt", "_before", "_after")

@@ -31,11 +31,6 @@ def sort_days(df: DataFrame, by: str = "series_id", day: str = "ds") -> DataFram
     return df.orderBy(F.col(by).asc_nulls_last(), F.col(day).asc_nulls_last())
 
 
-def has_band(df: DataFrame) -> bool:
-    """Y2: the band is drawn only if both bounds exist (schema test, no job)."""
-    return {"yhat_lower", "yhat_upper"}.issubset(df.columns)
-
-
 def axis_bounds(view: DataFrame, by: str = "series_id", actual: str = "daily_conso_kwh") -> DataFrame:
     """NULL-skipping min/max over several columns, scaled by 0.95 / 1.05."""
     lo_cols = [actual, "yhat"] + (["yhat_lower"] if "yhat_lower" in view.columns else [])

@@ -19,11 +19,11 @@ DATETIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 # ------------------------------------------------------------------ schema
-def schema_checks(df: DataFrame, date_col: str, target_col: str, required: list[str] | None = None,
+def schema_checks(df: DataFrame, date_col: str, target_col: str | None, required: list[str] | None = None,
                   exempt: tuple[str, ...] = ("series_id",)) -> list[dict]:
     """Driver-side checks on the schema only; returns rows ``check, passed, detail``."""
     out = []
-    req = list(required or [date_col, target_col])
+    req = list(required or [c for c in (date_col, target_col) if c])
     missing = [c for c in req if c not in df.columns]
     out.append({"check": "required_columns", "passed": not missing,
                 "detail": f"missing columns: {missing}" if missing else ""})
@@ -86,6 +86,8 @@ def _rule_items(df: DataFrame, rules: dict | None, target: str) -> list[tuple]:
     items = []
     rules = rules or {}
     tr = rules.get("target", {})
+    if target not in df.columns:
+        tr = {}
     if not tr.get("allow_negative", True):
         items.append(("target", target, "negative_values", F.col(target) < 0))
     if "min_value" in tr:
@@ -109,6 +111,14 @@ def _rules_tall(wide: DataFrame, items: list[tuple], by: str) -> DataFrame:
     return wide.select(by, F.inline(entries)).filter(F.col("violations") > 0)
 
 
+def type_rows(df: DataFrame, name: str) -> DataFrame:
+    """V1-V3, V11 from the data: one row per column of a frame with its type, rows and NULLs."""
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(t).alias("type"), F.col(f"_n{i}").alias("n_null"))
+                        for i, (c, t) in enumerate(df.dtypes)])
+    wide = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)])
+    return wide.select(F.lit(name).alias("frame"), "n_rows", F.inline(entries))
+
+
 def rule_violations(df: DataFrame, rules: dict | None, target: str = "y", by: str = "series_id") -> DataFrame:
     """V8-V10 (X4): business rules as ``count_if`` columns in one pass, returned
     tall; zero-violation entries are left out; rules on absent columns are skipped.
@@ -125,46 +135,82 @@ def rule_violations(df: DataFrame, rules: dict | None, target: str = "y", by: st
 
 
 # ------------------------------------------------------------------ assembly
-def validation_report(df: DataFrame, date_col: str = "ds", target_col: str = "y", is_training: bool = True,
+def validation_report(df: DataFrame, date_col: str = "ds", target_col: str | None = "y", is_training: bool = True,
                       seq: str | None = None, rules: dict | None = None, by: str = "series_id") -> DataFrame:
     """One row per series with every check and ``is_valid``.
 
-    Flag-raising checks: NULLs (after dropping NULL-target rows in training
-    mode), duplicated rows, unsorted input (when an ingest order ``seq`` is
-    given), missing days.  Rule violations are reported but do not flip it.
+    Flag-raising checks: schema (required columns, a date type, numeric types),
+    NULLs (in training after dropping rows without a target; a missing target
+    column is an error of the schema), duplicated rows (of the input as it came;
+    reported after the date is cut to its day), unsorted input (in ingest order
+    ``seq``, when given) and missing days.  Rule violations are reported
+    (``business_rules``, nested) but do not flip the flag.  A forecast frame
+    (``is_training=False``) has no target (``target_col=None``).
     """
-    rows = df.filter(F.col(target_col).isNotNull()) if is_training else df
-    value_cols = [c for c in rows.columns if c not in (by, seq)]
-    items = _rule_items(rows, rules, target_col)
+    checks = schema_checks(df, date_col, target_col, exempt=(by, *([seq] if seq else [])))
+    schema_ok = all(c["passed"] for c in checks)
+    dated = date_col in df.columns and isinstance(df.schema[date_col].dataType, DATETIME_TYPES)
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    value_cols = [c for c in df.columns if c not in (by, seq)]
+    items = [i for i in _rule_items(df, rules, target_col or "") if i[1] in numeric]
     # one aggregate pass: row count, NULL cells and every rule counter
-    nulls = rows.groupBy(by).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        sum((F.count_if(F.col(c).isNull()) for c in value_cols), F.lit(0)).cast("bigint").alias("null_cells"),
-        *[F.count_if(p).alias(f"_v{i}") for i, (_, _, _, p) in enumerate(items)])
-    viol_sum = sum((F.col(f"_v{i}") for i in range(len(items))), F.lit(0)).cast("bigint")
-    nulls = nulls.withColumn("rule_violations", viol_sum).drop(*[f"_v{i}" for i in range(len(items))])
-    dups = duplicate_rows(rows.select(by, *value_cols), by)
-    miss = missing_days_report(rows, date_col, by)
-    rep = nulls.join(dups, by, "left").join(miss, by, "left")
-    if seq is not None:
-        rep = rep.join(sortedness(rows, seq, date_col, by).select(by, "is_sorted"), by, "left")
+    counted = F.col(target_col).isNotNull() if is_training and target_col in df.columns else F.lit(True)
+    rep = df.groupBy(by).agg(
+        F.count_if(counted).alias("n_rows"),
+        sum((F.count_if(counted & F.col(c).isNull()) for c in value_cols), F.lit(0)).cast("bigint").alias("null_cells"),
+        *[F.count_if(p).cast("bigint").alias(f"_v{i}") for i, (_, _, _, p) in enumerate(items)])
+    if is_training:
+        rep = rep.filter("n_rows > 0")  # a series without any target has nothing to validate
+    rep = rep.withColumns({
+        "rule_violations": sum((F.col(f"_v{i}") for i in range(len(items))), F.lit(0)).cast("bigint"),
+        "business_rules": _rules_nested(items)}).drop(*[f"_v{i}" for i in range(len(items))])
+    given = duplicate_rows(df.select(by, *value_cols), by).withColumnRenamed("duplicated_rows", "_given")
+    cut = df.withColumn(date_col, F.to_date(date_col)) if dated else df
+    # a date column has no time of day to cut: one grouping serves both points
+    timed = dated and not isinstance(df.schema[date_col].dataType, T.DateType)
+    dups = duplicate_rows(cut.select(by, *value_cols), by) if timed else given.withColumnRenamed("_given", "duplicated_rows")
+    rep = rep.join(dups, by, "left")
+    rep = rep.join(given, by, "left") if timed else rep.withColumn("_given", F.col("duplicated_rows"))
+    if dated:
+        rep = rep.join(missing_days_report(cut, date_col, by), by, "left")
+    else:
+        rep = rep.withColumns({"missing_count": F.lit(None).cast("bigint"), "missing_range": F.lit(None).cast("string")})
+    if seq is not None and dated:
+        rep = rep.join(sortedness(df, seq, date_col, by).select(by, "is_sorted"), by, "left")
     else:
-        rep = rep.withColumn("is_sorted", F.lit(True))
-    valid = (F.col("null_cells") == 0) & (F.coalesce("duplicated_rows", F.lit(0)) == 0) & \
-        F.col("is_sorted") & (F.col("missing_count") == 0)
-    return rep.select(by, "n_rows", "null_cells", F.coalesce("duplicated_rows", F.lit(0)).cast("bigint")
-                      .alias("duplicated_rows"), "missing_count", "missing_range", "is_sorted",
-                      F.col("rule_violations").cast("bigint").alias("rule_violations"), valid.alias("is_valid"))
+        rep = rep.withColumn("is_sorted", F.lit(None).cast("boolean"))  # no ingest order, no statement
+    dup = F.coalesce("duplicated_rows", F.lit(0)).cast("bigint")
+    valid = F.lit(schema_ok) & (F.col("null_cells") == 0) & (F.coalesce("_given", F.lit(0)) == 0) & \
+        F.coalesce("is_sorted", F.lit(True)) & (F.coalesce("missing_count", F.lit(0)) == 0)
+    return rep.select(by, F.lit(schema_ok).alias("schema_ok"), "n_rows", "null_cells", dup.alias("duplicated_rows"),
+                      "missing_count", "missing_range", "is_sorted", "rule_violations", "business_rules",
+                      valid.alias("is_valid"))
+
+
+def _rules_nested(items: list[tuple]):
+    """``target`` (rule -> violations) and ``regressors`` (column -> rule -> violations), without the zeros."""
+    def rules_of(pairs):
+        some = F.filter(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"_v{i}").alias("n")) for i, r in pairs]) if pairs
+                        else F.array().cast("array<struct<rule:string,n:bigint>>"), lambda x: x["n"] > 0)
+        return F.map_from_entries(some)
+
+    target = rules_of([(i, r) for i, (s, _, r, _) in enumerate(items) if s == "target"])
+    columns = list(dict.fromkeys(c for s, c, _, _ in items if s == "regressors"))
+    each = [F.struct(F.lit(c).alias("column"), rules_of([(i, r) for i, (s, k, r, _) in enumerate(items) if s != "target" and k == c])
+                     .alias("rules")) for c in columns]
+    some = F.filter(F.array(*each) if each else F.array().cast("array<struct<column:string,rules:map<string,bigint>>>"),
+                    lambda x: F.size(x["rules"]) > 0)
+    return F.struct(target.alias("target"), F.map_from_entries(some).alias("regressors"))
 
 
 def report_document(report: DataFrame, null_tall: DataFrame, types: dict[str, str], as_of: str,
                     by: str = "series_id") -> DataFrame:
     """Nested form of the report (as the JSON artifact): maps and structs per series."""
-    nm = null_tall.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("column", "null_count")))
+    nm = null_tall.groupBy(by).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("column", "null_count"))))
                                    .alias("missing_values"))
     tmap = F.create_map(*[x for k, v in types.items() for x in (F.lit(k), F.lit(v))])
     return report.join(nm, by, "left").select(
         by, F.lit(as_of).alias("date"), tmap.alias("data_types"), "missing_values", "duplicated_rows",
         F.struct("is_sorted", F.struct(F.col("missing_count").alias("count"),
                                        F.col("missing_range").alias("range")).alias("missing_dates"))
-        .alias("date_report"), "rule_violations", "is_valid")
+        .alias("date_report"), "business_rules", "is_valid")

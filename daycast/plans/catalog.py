@@ -33,16 +33,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def register(name: str):
-    """Register a query; the session zone is pinned to UTC first (rule N7), so
-    day boundaries do not depend on the caller's session settings."""
+    """Register a query.  Days are cut from timestamps without a zone, so the
+    caller's session zone is neither needed nor changed."""
     def deco(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(spark, sf_dir)
-
-        run.__name__ = run.__qualname__ = fn.__name__
-        run.__doc__ = fn.__doc__
-        QUERIES[name] = run
+        QUERIES[name] = fn
         return fn
     return deco
 
@@ -72,7 +66,7 @@ TEMPS = {"temperature_max": 6, "temperature_min": 6, "temperature_mean": 6}
 # Fixed parameters of the registered queries.
 AS_OF_DAILY = "2024-01-15"
 FACETS = {"series_id": "purchase"}
-ROW_CAP = 5000
+ROW_CAP = 100
 WEATHER_RANGE = ("1996-01-01", "1996-12-31")
 
 
@@ -81,10 +75,31 @@ WEATHER_RANGE = ("1996-01-01", "1996-12-31")
 def q_json_records_flatten(spark, sf):
     """Events served as record-envelope pages, parsed back to rows."""
     pl = payloads.envelope_payloads(FX.event_readings(spark, sf))
-    rows = payloads.flatten_records(pl, keep=["page"])
+    rows, _rejects = payloads.flatten_records(pl, keep=["page"])
     return _r(rows.select("page", clean.parse_day("jour").alias("ds"), "jour", "conso_jour"), {"conso_jour": 6})
 
 
+@register("json_rejects")
+def q_json_rejects(spark, sf):
+    """S1/S2 rejects: event values as payloads, every third cut short (no JSON),
+    every fifth weather payload without one of its arrays; rows and rejects counted."""
+    ev = FX.event_readings(spark, sf)
+    whole = F.to_json(F.struct(F.array(F.struct(F.date_format("ts", "yyyy-MM-dd").alias("jour"), F.col("value").alias("conso_jour")))
+                               .alias("records")))
+    text = F.when(F.col("event_id") % 3 == 0, F.substring(whole, 1, 20)).otherwise(whole)
+    rows, bad = payloads.flatten_records(ev.select("series_id", text.alias("payload")), keep=["series_id"])
+    arrays = {v: F.array(F.col("value")) for v in payloads.WEATHER_VARS}
+    gap = payloads.WEATHER_VARS[-1]
+    part = F.struct(F.array(F.date_format("ts", "yyyy-MM-dd")).alias("time"), *[c.alias(v) for v, c in arrays.items() if v != gap])
+    full = F.struct(F.array(F.date_format("ts", "yyyy-MM-dd")).alias("time"), *[c.alias(v) for v, c in arrays.items()])
+    pay = F.when(F.col("event_id") % 5 == 0, F.to_json(F.struct(part.alias("daily")))).otherwise(F.to_json(F.struct(full.alias("daily"))))
+    wrows, wbad = payloads.flatten_arrays(ev.select("series_id", pay.alias("payload")), keep=["series_id"])
+    count = lambda d, s, k: d.groupBy("series_id").agg(F.count(F.lit(1)).alias("n")).withColumns(
+        {"shape": F.lit(s), "kind": F.lit(k)})
+    return (count(rows, "records", "rows").unionByName(count(bad, "records", "rejects"))
+            .unionByName(count(wrows, "arrays", "rows")).unionByName(count(wbad, "arrays", "rejects")))
+
+
 @register("json_arrays_flatten")
 def q_json_arrays_flatten(spark, sf):
     """Daily weather served as monthly parallel-array payloads, zipped back to rows."""
@@ -116,9 +131,9 @@ def q_facet_filter(spark, sf):
 
 @register("ordered_limit")
 def q_ordered_limit(spark, sf):
-    """Daily totals ordered by first reading, first 5000 per series."""
+    """Daily totals ordered by first reading, the first 100 of all."""
     d = daily.daily_totals(FX.event_readings(spark, sf))
-    return _r(daily.first_n_days(d, ROW_CAP).select("series_id", "ds", "jour", "y"), {"y": 2})
+    return _r(daily.first_n(d, ROW_CAP).select("series_id", "ds", "jour", "y"), {"y": 2})
 
 
 @register("daily_totals")
@@ -161,8 +176,9 @@ def q_clean_projection(spark, sf):
 
 @register("zero_repair")
 def q_zero_repair(spark, sf):
-    """P9/P10/W1 over raw event readings (range-partitioned neighbours)."""
-    r = FX.event_readings(spark, sf).select("series_id", "event_id", "ts", "value")
+    """P9/P10/W1 over raw event readings (bucketed neighbours); every seventh reading counts as a zero."""
+    value = F.when(F.col("event_id") % 7 == 0, 0.0).otherwise(F.col("value"))
+    r = FX.event_readings(spark, sf).select("series_id", "event_id", "ts", value.alias("value"))
     return _r(clean.repair_zeros_raw(r, "series_id", ["ts", "event_id"], "value"), {"value": 6})
 
 
@@ -223,27 +239,30 @@ RULES = {
 }
 
 
-def _order_years(spark, sf):
-    return CAL.years_of(FX.table(spark, sf, "orders"), "o_orderdate")
+def _years(spark, sf):
+    """Years from the first order to the last event."""
+    days = FX.table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("ds")).unionByName(
+        FX.table(spark, sf, "events").select(F.to_date("ts").alias("ds")))
+    return CAL.years_of(days, "ds")
 
 
 @register("holidays_fr")
 def q_holidays_fr(spark, sf):
-    """Holiday table for the years spanned by orders."""
-    return CAL.holiday_table(_order_years(spark, sf))
+    """Holiday table for the years spanned by orders and events."""
+    return CAL.holiday_table(_years(spark, sf))
 
 
 @register("bridge_days")
 def q_bridge_days(spark, sf):
     """Friday after a Thursday public holiday."""
-    return CAL.bridge_days(CAL.public_holidays(_order_years(spark, sf)))
+    return CAL.bridge_days(CAL.public_holidays(_years(spark, sf)))
 
 
 @register("holiday_windows")
 def q_holiday_windows(spark, sf):
     """Target days inside each holiday's window, with the offset."""
-    eff = CAL.holiday_effect_days(CAL.holiday_table(_order_years(spark, sf)))
-    t = P.staged_target(spark, sf).select("series_id", "ds")
+    eff = CAL.holiday_effect_days(CAL.holiday_table(_years(spark, sf)))
+    t = P.daily_target(spark, sf).select("series_id", "ds")
     # the holiday side is about a dozen rows a year: bounded by construction
     return t.join(F.broadcast(eff), t.ds == eff.day, "inner").select("series_id", "ds", "holiday", "offset")
 
@@ -266,7 +285,7 @@ def q_future_regressors(spark, sf):
 @register("missing_days")
 def q_missing_days(spark, sf):
     """V7 (C4 + J6): missing days per segment, count and range."""
-    return V.missing_days_report(P.staged_target(spark, sf))
+    return V.missing_days_report(P.daily_target(spark, sf))
 
 
 @register("null_counts")
@@ -277,10 +296,9 @@ def q_null_counts(spark, sf):
 
 @register("duplicate_rows")
 def q_duplicate_rows(spark, sf):
-    """U4/V5: extra copies of equal (series, user, day) rows."""
-    ev = FX.table(spark, sf, "events").select(F.col("event_type").alias("series_id"), "user_id",
-                                               F.to_date("ts").alias("ds"))
-    return V.duplicate_rows(ev)
+    """U4/V5: extra copies of equal rows, where every eleventh reading came twice."""
+    ev = FX.event_readings(spark, sf)
+    return V.duplicate_rows(ev.unionByName(ev.filter(F.col("event_id") % 11 == 0)))
 
 
 @register("sorted_check")
@@ -295,18 +313,47 @@ def q_business_rules(spark, sf):
     return V.rule_violations(P.prepared_train(P.full_data(spark, sf, staged=False)), RULES)
 
 
+def _gate_rows(spark, sf):
+    """Order series (with gap days on small fixtures, some in reverse ingest
+    order) beside event series (gap-free): rows for the checks and the gate."""
+    day = F.datediff("ds", F.lit("1970-01-01").cast("date")).cast("bigint")
+    orders = P.prepared_train(P.full_data(spark, sf, staged=False)).withColumn(
+        "seq", F.when(F.length("series_id") % 2 == 0, day).otherwise(-day))
+    ev = daily.daily_totals(FX.event_readings(spark, sf)).select(
+        "series_id", "ds", "y", F.lit(0.0).alias("HDD"), F.lit(0.0).alias("CDD"), day.alias("seq"))
+    return orders.unionByName(ev)
+
+
+def _gate_report(spark, sf):
+    rows = stage(_gate_rows(spark, sf), "gate_rows")
+    return rows, V.validation_report(rows, seq="seq", rules=RULES)
+
+
+def _ruled(rep):
+    """The nested rules as text."""
+    return rep.withColumns({"business_rules": F.concat_ws(";", F.array_join(F.transform(
+        F.map_entries("business_rules.target"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ","),
+        F.array_join(F.transform(F.map_entries("business_rules.regressors"), lambda e: F.concat(
+            e["key"], F.lit(":"), F.array_join(F.transform(F.map_entries(e["value"]), lambda r: F.concat_ws(
+                "=", r["key"], r["value"].cast("string"))), ","))), "|"))})
+
+
 @register("validation_report")
 def q_validation_report(spark, sf):
     """One row per segment with every check and the flag."""
-    return V.validation_report(P.prepared_train(P.full_data(spark, sf)), rules=RULES)
+    return _ruled(_gate_report(spark, sf)[1])
 
 
 @register("validation_document")
 def q_validation_document(spark, sf):
     """The nested report (type map, NULL map, date report) per series."""
-    prepared = P.prepared_train(P.full_data(spark, sf))
-    rep = V.validation_report(prepared, rules=RULES)
-    return V.report_document(rep, V.null_counts(prepared), V.data_types(prepared), RUN_AS_OF)
+    rows, rep = _gate_report(spark, sf)
+    rows = rows.drop("seq")
+    doc = V.report_document(rep, V.null_counts(rows), V.data_types(rows), RUN_AS_OF)
+    return doc.select("series_id", F.to_json(F.struct(*[c for c in doc.columns if c not in ("series_id", "business_rules")]),
+                                             {"ignoreNullFields": "false"}).alias("document"),
+                      F.map_entries("business_rules.target").cast("string").alias("target_rules"),
+                      F.size("business_rules.regressors").alias("n_regressors_ruled"))
 
 
 # ====================================================================== W4, M1, M2, M4, M7, M9
@@ -369,6 +416,11 @@ def _report(spark, sf, prepared=None):
     return EV.window_report(scored, P.MODEL_TREND_WEEKDAY)
 
 
+def _median_flags(rep):
+    """Flags with the median score as threshold: about half of the series on either side."""
+    return EV.retrain_flag(rep, threshold=rep.agg(F.percentile("mase_window", 0.5)).scalar())
+
+
 @register("seasonal_naive")
 def q_seasonal_naive(spark, sf):
     """Value 7 rows earlier."""
@@ -409,8 +461,7 @@ def q_retrain_default(spark, sf):
 @register("gated_series")
 def q_gated_series(spark, sf):
     """E5: rows of valid series pass, the rest are rejected."""
-    prepared = P.prepared_train(P.full_data(spark, sf))
-    rep = V.validation_report(prepared, rules=RULES)
+    prepared, rep = _gate_report(spark, sf)
     ok, bad = EV.gate(prepared, rep)
     cnt = lambda d, s: d.groupBy("series_id").agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
         "status", F.lit(s))
@@ -419,11 +470,10 @@ def q_gated_series(spark, sf):
 
 @register("train_flagged_only")
 def q_train_flagged_only(spark, sf):
-    """Training rows of series flagged for retraining."""
+    """Training rows of series flagged for retraining (those above the median score)."""
     prepared = P.prepared_train(P.full_data(spark, sf))
     split = EV.chronological_split(prepared)
-    scored, _ = P.trend_weekday_scored(prepared)
-    flags = EV.retrain_flag(EV.window_report(scored, P.MODEL_TREND_WEEKDAY))
+    flags = _median_flags(_report(spark, sf, prepared))
     train = split.filter(F.col("split") == "train").select("series_id", "ds", "y")
     return _r(EV.train_flagged_only(train, flags), {"y": 2})
 
@@ -441,12 +491,12 @@ def q_best_trial(spark, sf):
 @register("model_fallback")
 def q_model_fallback(spark, sf):
     """Registry model (fit on the first half, kept for series not flagged
-    for retraining) first, the freshly trained local model second."""
+    for retraining, here the better half) first, the freshly trained local model second."""
     prepared = P.prepared_train(P.full_data(spark, sf))
     half = EV.chronological_split(prepared, 0.5)
     registry = M.fit_trend_weekday(half.filter(F.col("split") == "train"))
-    scored, local = P.trend_weekday_scored(prepared)
-    flags = EV.retrain_flag(EV.window_report(scored, P.MODEL_TREND_WEEKDAY))
+    _, local = P.trend_weekday_scored(prepared)
+    flags = _median_flags(_report(spark, sf, prepared))
     registry = registry.join(flags.filter(~F.col("should_retrain")).select("series_id"), "series_id", "left_semi")
     m = M.model_fallback(registry.select("series_id", "intercept", "slope"),
                          local.select("series_id", "intercept", "slope"),
@@ -522,7 +572,7 @@ def q_artifact_roundtrip(spark, sf):
     report = EV.window_report(scored, P.MODEL_TREND_WEEKDAY)
     SK.save_metrics(report, root, RUN_AS_OF)
     SK.save_flags(EV.retrain_flag(report).select("series_id", "should_retrain"), root, RUN_AS_OF)
-    SK.save_report(V.validation_report(prepared, rules=RULES), root)
+    SK.save_report(V.validation_report(prepared, rules=RULES).drop("business_rules"), root)
     bounds = residual_bounds(scored.filter(F.col("split") == "train"))
     SK.save_forecast(with_bounds(M.predict_trend_weekday(full.select("series_id", "ds"), coef), bounds), root,
                      P.MODEL_TREND_WEEKDAY)
@@ -541,18 +591,20 @@ def q_artifact_roundtrip(spark, sf):
 
 @register("schema_checks")
 def q_schema_checks(spark, sf):
-    """Schema-only checks of the pipeline frames and raw events."""
+    """Columns, types, rows and NULLs of the raw and the prepared frames, and which schema checks they pass."""
     frames = {
-        "full_data": (P.full_data(spark, sf), "ds", "y"),
-        "prepared_train": (P.prepared_train(P.full_data(spark, sf)), "ds", "y"),
-        "events_raw": (FX.table(spark, sf, "events").drop("event_type"), "ts", "value"),
-        "weather_no_date": (P.weather(spark, sf).drop("ds", "src"), "ds", "temperature_mean"),
+        "events": (FX.table(spark, sf, "events").drop("event_type"), "ts", "value"),
+        "orders": (FX.order_readings(spark, sf), "ts", "value"),
+        "prepared": (P.prepared_train(P.full_data(spark, sf, staged=False)), "ds", "y"),
+        "weather_undated": (P.weather(spark, sf).drop("ds", "src"), "ds", "temperature_mean"),
     }
-    rows = []
-    for name, (df, dcol, tcol) in frames.items():
-        for r in V.schema_checks(df, dcol, tcol):
-            rows.append((name, r["check"], r["passed"], r["detail"]))
-    return spark.createDataFrame(rows, "frame string, check string, passed boolean, detail string")
+    out = None
+    for name, (df, day, target) in frames.items():
+        passed = {c["check"]: c["passed"] for c in V.schema_checks(df, day, target)}
+        t = V.type_rows(df, name).withColumns({k: F.lit(passed.get(k)).cast("boolean")
+                                               for k in ("required_columns", "date_type", "numeric_types")})
+        out = t if out is None else out.unionByName(t)
+    return out
 
 
 # ====================================================================== Z1, Z2
@@ -588,7 +640,37 @@ def q_stream_dedup(spark, sf):
 @register("trial_space")
 def q_trial_space(spark, sf):
     """The 50 seeded parameter sets for every series."""
-    return RG.series_trials(P.full_data(spark, sf, staged=False).select("series_id"))
+    return _r(RG.series_trials(FX.table(spark, sf, "customer").select(F.col("c_mktsegment").alias("series_id"))),
+              {"changepoint_prior_scale": 9, "seasonality_prior_scale": 9})
+
+
+@register("ridge_fixed_scores")
+def q_ridge_fixed_scores(spark, sf):
+    """M1-M5, M8: the whole design scored with a fixed coefficient table."""
+    d = P.ridge_design(P.full_data(spark, sf))
+    fixed = F.transform(F.sequence(F.lit(0), F.lit(len(RG.terms()) - 1)), lambda k: ((k * 37) % 11 - 5) / F.lit(100.0))
+    coef = d.select("series_id").distinct().withColumns(
+        {"mode_used": F.lit("additive"), "out_scale": F.lit(1.0), "coef": fixed, "status": F.lit("fixed")})
+    return _r(RG.predict(d, coef).select("series_id", "ds", "split", "yhat"), {"yhat": 5})
+
+
+@register("ridge_normal_equations")
+def q_ridge_normal_equations(spark, sf):
+    """M6: the fit solves its equations, (X'X + P) b = X'y: largest residual against the largest side, per series."""
+    import numpy as np
+    import pandas as pd
+
+    d = P.ridge_design(P.full_data(spark, sf)).filter(F.col("split") == "train")
+    pen = np.diag(RG.penalties(RG.DEFAULT_PARAMS))
+
+    def check(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, y, b = np.vstack(pdf["x"]), pdf["y"].to_numpy(float) / pdf["out_scale"].iloc[0], np.asarray(pdf["coef"].iloc[0])
+        side = x.T @ y
+        gap = np.abs((x.T @ x + pen) @ b - side).max() / np.abs(side).max()
+        return pd.DataFrame({"series_id": pdf["series_id"].iloc[:1], "n_train": [len(y)], "residual": [round(gap, 6) + 0.0]})
+
+    return d.join(RG.fit(d, RG.DEFAULT_PARAMS), "series_id").groupBy("series_id").applyInPandas(
+        check, "series_id string, n_train long, residual double")
 
 
 @register("ridge_forecast")

@@ -92,7 +92,7 @@ SELECT s.series_id, isodow(s.ds) - 1 AS wd,
 FROM x_split s JOIN x_tw_lin l USING (series_id) WHERE s.split = 'train' GROUP BY 1, 2""", "x_split", "x_tw_lin")
 cte("x_tw_scored", """
 SELECT s.*, l.intercept + l.slope * CAST(s.ds - DATE '1970-01-01' AS DOUBLE) + coalesce(w.eff, 0.0) AS yhat
-FROM x_split s JOIN x_tw_lin l USING (series_id)
+FROM x_split s LEFT JOIN x_tw_lin l USING (series_id)
 LEFT JOIN x_tw_wd w ON w.series_id = s.series_id AND w.wd = isodow(s.ds) - 1""", "x_split", "x_tw_lin", "x_tw_wd")
 cte("x_last60", """
 SELECT *, lag(y, 7) OVER (PARTITION BY series_id ORDER BY pos) AS naive FROM (
@@ -140,9 +140,8 @@ q("facet_filter", f"""
 SELECT series_id, CAST(ts AS DATE) AS ds, min(ts) AS jour, {R('sum(value)', 2)} AS y, count(*) AS n_readings
 FROM x_readings WHERE series_id = 'purchase' GROUP BY 1, 2""", "x_readings")
 q("ordered_limit", f"""
-SELECT series_id, ds, jour, {R('y', 2)} AS y FROM (
-  SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY jour ASC NULLS LAST, ds ASC NULLS LAST) AS rn
-  FROM x_ev_daily) WHERE rn <= 5000""", "x_ev_daily")
+SELECT series_id, ds, jour, {R('y', 2)} AS y FROM x_ev_daily
+ORDER BY jour ASC NULLS LAST, ds ASC NULLS LAST, series_id LIMIT 100""", "x_ev_daily")
 q("daily_totals", f"""
 SELECT series_id, CAST(ts AS DATE) AS ds, min(ts) AS jour, {R('sum(value)', 2)} AS y, count(*) AS n_readings
 FROM x_order_readings GROUP BY 1, 2""", "x_order_readings")
@@ -161,7 +160,14 @@ q("zero_repair", f"""
 SELECT series_id, event_id, ts,
        {R('''CASE WHEN value = 0 THEN avg(nullif(value, 0)) OVER (PARTITION BY series_id ORDER BY ts, event_id
             ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) ELSE value END''')} AS value
-FROM x_readings""", "x_readings")
+FROM (SELECT series_id, event_id, ts, CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value END AS value FROM x_readings)
+""", "x_readings")
+q("json_rejects", """
+SELECT series_id, 'records' AS shape, CASE WHEN event_id % 3 = 0 THEN 'rejects' ELSE 'rows' END AS kind, count(*) AS n
+FROM x_readings GROUP BY ALL
+UNION ALL
+SELECT series_id, 'arrays', CASE WHEN event_id % 5 = 0 THEN 'rejects' ELSE 'rows' END, count(*) FROM x_readings GROUP BY ALL
+""", "x_readings")
 
 # ---------------------------------------------------------------- U1/U3, J1, P6/P7/P11, F1/F2, S3
 q("weather_union_first", f"""
@@ -195,7 +201,8 @@ def _dbl(v: float) -> str:
 
 
 cte("x_years", """
-SELECT CAST(unnest(generate_series(year(min(o_orderdate)), year(max(o_orderdate)))) AS INTEGER) AS year FROM orders""")
+SELECT CAST(unnest(generate_series(year(min(d)), year(max(d)))) AS INTEGER) AS year FROM (
+  SELECT CAST(o_orderdate AS DATE) AS d FROM orders UNION ALL SELECT CAST(ts AS DATE) FROM events)""")
 cte("x_easter", """
 SELECT year, make_date(year, CAST(s // 31 AS INTEGER), CAST(s % 31 + 1 AS INTEGER)) AS easter FROM (
   SELECT year, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS s FROM (
@@ -262,8 +269,9 @@ SELECT series_id, "column", CAST(null_count AS BIGINT) AS null_count FROM (
   "x_full")
 q("duplicate_rows", """
 SELECT series_id, CAST(sum(n - 1) AS BIGINT) AS duplicated_rows FROM (
-  SELECT event_type AS series_id, user_id, CAST(ts AS DATE) AS ds, count(*) AS n FROM events GROUP BY 1, 2, 3)
-GROUP BY 1""")
+  SELECT series_id, event_id, ts, value, props, count(*) AS n FROM (
+    SELECT * FROM x_readings UNION ALL SELECT * FROM x_readings WHERE event_id % 11 = 0) GROUP BY ALL)
+GROUP BY 1""", "x_readings")
 q("sorted_check", """
 SELECT series_id, n_inversions, n_inversions = 0 AS is_sorted FROM (
   SELECT series_id, count_if(ts IS NULL OR prev > ts) AS n_inversions FROM (
@@ -280,28 +288,108 @@ SELECT series_id, scope, "column", rule, CAST(violations AS BIGINT) AS violation
   UNION ALL SELECT series_id, 'regressors', 'CDD', 'above_max', count_if(CDD > 12.0) FROM x_prep GROUP BY 1
 ) WHERE violations > 0""", "x_prep")
 q("business_rules", 'SELECT * FROM x_rules', "x_rules")
-cte("x_prep_missing", """
+
+
+def _missing(src: str) -> str:
+    return f"""
 SELECT s.series_id, CAST(coalesce(m.n, 0) AS BIGINT) AS missing_count,
        CASE WHEN m.n > 0 THEN CAST(m.lo AS VARCHAR) || ' to ' || CAST(m.hi AS VARCHAR) END AS missing_range
-FROM (SELECT DISTINCT series_id FROM x_prep) s LEFT JOIN (
+FROM (SELECT DISTINCT series_id FROM {src}) s LEFT JOIN (
   SELECT series_id, count(*) AS n, min(ds) AS lo, max(ds) AS hi FROM (
     SELECT series_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS ds
-    FROM (SELECT series_id, min(ds) AS lo, max(ds) AS hi FROM x_prep GROUP BY 1)) c
-  WHERE NOT EXISTS (SELECT 1 FROM x_prep o WHERE o.series_id = c.series_id AND o.ds = c.ds) GROUP BY 1
-) m USING (series_id)""", "x_prep")
-cte("x_valrep", """
-SELECT b.series_id, b.n_rows, b.null_cells, coalesce(d.dups, 0) AS duplicated_rows, m.missing_count,
-       m.missing_range, true AS is_sorted, CAST(coalesce(r.v, 0) AS BIGINT) AS rule_violations,
-       b.null_cells = 0 AND coalesce(d.dups, 0) = 0 AND m.missing_count = 0 AS is_valid
-FROM (SELECT series_id, count(*) AS n_rows,
-             CAST(count_if(ds IS NULL) + count_if(y IS NULL) + count_if(HDD IS NULL) + count_if(CDD IS NULL) AS BIGINT)
-             AS null_cells FROM x_prep GROUP BY 1) b
+    FROM (SELECT series_id, min(ds) AS lo, max(ds) AS hi FROM {src} GROUP BY 1)) c
+  WHERE NOT EXISTS (SELECT 1 FROM {src} o WHERE o.series_id = c.series_id AND o.ds = c.ds) GROUP BY 1
+) m USING (series_id)"""
+
+
+def _report(src: str, missing: str, is_sorted: str) -> str:
+    """Every check of the report over ``src`` (series_id, ds, y, HDD, CDD)."""
+    return f"""
+SELECT b.series_id, true AS schema_ok, b.n_rows, b.null_cells, coalesce(d.dups, 0) AS duplicated_rows, m.missing_count,
+       m.missing_range, {is_sorted} AS is_sorted, CAST(neg + lo + hi + hdd_hi + cdd_lo + cdd_hi AS BIGINT) AS rule_violations,
+       concat_ws(',', CASE WHEN neg > 0 THEN 'negative_values=' || neg END, CASE WHEN lo > 0 THEN 'below_min=' || lo END,
+                 CASE WHEN hi > 0 THEN 'above_max=' || hi END) || ';' ||
+       concat_ws('|', CASE WHEN hdd_hi > 0 THEN 'HDD:above_max=' || hdd_hi END,
+                 CASE WHEN cdd_lo + cdd_hi > 0 THEN 'CDD:' || concat_ws(',', CASE WHEN cdd_lo > 0 THEN 'below_min=' || cdd_lo END,
+                      CASE WHEN cdd_hi > 0 THEN 'above_max=' || cdd_hi END) END) AS business_rules,
+       b.null_cells = 0 AND coalesce(d.dups, 0) = 0 AND m.missing_count = 0 AND coalesce({is_sorted}, true) AS is_valid
+FROM (SELECT series_id, count_if(y IS NOT NULL) AS n_rows,
+             CAST(count_if(y IS NOT NULL AND ds IS NULL) + count_if(y IS NOT NULL AND HDD IS NULL)
+                  + count_if(y IS NOT NULL AND CDD IS NULL) AS BIGINT) AS null_cells,
+             CAST(count_if(y < 0) AS BIGINT) AS neg, CAST(count_if(y < 10000.0) AS BIGINT) AS lo,
+             CAST(count_if(y > 2000000.0) AS BIGINT) AS hi, CAST(count_if(HDD > 2.0) AS BIGINT) AS hdd_hi,
+             CAST(count_if(CDD < 0.5) AS BIGINT) AS cdd_lo, CAST(count_if(CDD > 12.0) AS BIGINT) AS cdd_hi
+      FROM {src} GROUP BY 1) b
 LEFT JOIN (SELECT series_id, CAST(sum(n - 1) AS BIGINT) AS dups FROM (
-             SELECT series_id, ds, y, HDD, CDD, count(*) AS n FROM x_prep GROUP BY ALL) GROUP BY 1) d USING (series_id)
-LEFT JOIN x_prep_missing m USING (series_id)
-LEFT JOIN (SELECT series_id, sum(violations) AS v FROM x_rules GROUP BY 1) r USING (series_id)""",
-  "x_prep", "x_prep_missing", "x_rules")
-q("validation_report", "SELECT * FROM x_valrep", "x_valrep")
+             SELECT series_id, ds, y, HDD, CDD, count(*) AS n FROM {src} GROUP BY ALL) GROUP BY 1) d USING (series_id)
+LEFT JOIN {missing} m USING (series_id)"""
+
+
+cte("x_prep_missing", _missing("x_prep"), "x_prep")
+cte("x_valrep", _report("x_prep", "x_prep_missing", "CAST(NULL AS BOOLEAN)"), "x_prep", "x_prep_missing")
+cte("x_gate_rows", """
+SELECT series_id, ds, y, HDD, CDD,
+       CASE WHEN length(series_id) % 2 = 0 THEN 1 ELSE -1 END * (ds - DATE '1970-01-01') AS seq FROM x_prep
+UNION ALL SELECT series_id, ds, y, 0.0, 0.0, ds - DATE '1970-01-01' FROM x_ev_daily""", "x_prep", "x_ev_daily")
+cte("x_gate_missing", _missing("x_gate_rows"), "x_gate_rows")
+cte("x_gate_sorted", """
+SELECT series_id, bool_and(before IS NULL OR before <= ds) AS ok FROM (
+  SELECT series_id, ds, lag(ds) OVER (PARTITION BY series_id ORDER BY seq) AS before FROM x_gate_rows) GROUP BY 1""",
+    "x_gate_rows")
+cte("x_gate_report", _report("x_gate_rows", "x_gate_missing", "(SELECT ok FROM x_gate_sorted o WHERE o.series_id = b.series_id)"),
+    "x_gate_rows", "x_gate_missing", "x_gate_sorted")
+q("validation_report", "SELECT * FROM x_gate_report", "x_gate_report")
+
+
+def _json_text(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN 'null' ELSE '\"' || {c} || '\"' END"
+
+
+q("validation_document", f"""
+SELECT series_id,
+  '{{"date":"2001-08-02T00:00:00","data_types":{{"series_id":"string","ds":"date","y":"double","HDD":"double","CDD":"double"}},'
+  || '"missing_values":{{"CDD":' || n.c || ',"HDD":' || n.h || ',"ds":' || n.d || ',"y":' || n.y || '}},"duplicated_rows":'
+  || duplicated_rows || ',"date_report":{{"is_sorted":' || is_sorted || ',"missing_dates":{{"count":' || missing_count
+  || ',"range":' || {_json_text("missing_range")} || '}}}},"is_valid":' || is_valid || '}}' AS document,
+  '[' || regexp_replace(regexp_replace(split_part(business_rules, ';', 1), '([a-z_]+)=([0-9]+)', '{{\\1, \\2}}', 'g'), '}},', '}}, ', 'g')
+  || ']' AS target_rules,
+  CAST(CASE WHEN split_part(business_rules, ';', 2) = '' THEN 0 ELSE len(string_split(split_part(business_rules, ';', 2), '|')) END
+       AS INTEGER) AS n_regressors_ruled
+FROM x_gate_report JOIN (
+  SELECT series_id, count_if(CDD IS NULL) AS c, count_if(HDD IS NULL) AS h, count_if(ds IS NULL) AS d, count_if(y IS NULL) AS y
+  FROM x_gate_rows GROUP BY 1) n USING (series_id)""", "x_gate_report", "x_gate_rows")
+
+
+def _types(frame: str, src: str, columns: dict[str, str], passed: tuple) -> str:
+    flags = ", ".join(f"CAST({'NULL' if p is None else str(p).lower()} AS BOOLEAN) AS {c}"
+                      for c, p in zip(("required_columns", "date_type", "numeric_types"), passed))
+    return "\nUNION ALL\n".join(
+        f"SELECT '{frame}' AS frame, count(*) AS n_rows, '{c}' AS \"column\", '{t}' AS type, count_if(\"{c}\" IS NULL) AS n_null, {flags} FROM {src}"
+        for c, t in columns.items())
+
+
+q("schema_checks", "\nUNION ALL\n".join([
+    _types("events", "events", {"event_id": "bigint", "user_id": "bigint", "ts": "timestamp_ntz", "value": "double", "props": "string"},
+           (True, True, False)),
+    _types("orders", "x_order_readings", {"series_id": "string", "event_id": "bigint", "ts": "timestamp_ntz", "value": "double"},
+           (True, True, True)),
+    _types("prepared", "x_prep", {"series_id": "string", "ds": "date", "y": "double", "HDD": "double", "CDD": "double"}, (True, True, True)),
+    _types("weather_undated", "x_weather", {"temperature_max": "double", "temperature_min": "double", "temperature_mean": "double"},
+           (False, None, True))]), "x_order_readings", "x_prep", "x_weather")
+cte("x_trials", """
+SELECT series_id, trial_id, name,
+       (CAST(('0x' || substr(md5('42|' || trial_id || '|' || name), 1, 8)) AS UBIGINT) + 0.5) / 4294967296.0::DOUBLE AS u
+FROM (SELECT DISTINCT c_mktsegment AS series_id FROM customer),
+     (SELECT CAST(unnest(generate_series(1, 50)) AS INTEGER) AS trial_id),
+     (VALUES ('changepoint_prior_scale'), ('seasonality_prior_scale'), ('holidays_prior_scale'), ('seasonality_mode')) v(name)""")
+q("trial_space", f"""
+SELECT series_id, trial_id,
+  {R("max(CASE WHEN name = 'changepoint_prior_scale' THEN exp(ln(0.0005::DOUBLE) + u * (ln(0.01::DOUBLE) - ln(0.0005::DOUBLE))) END)", 9)}
+    AS changepoint_prior_scale,
+  {R("max(CASE WHEN name = 'seasonality_prior_scale' THEN 1.0::DOUBLE + u * 19.0::DOUBLE END)", 9)} AS seasonality_prior_scale,
+  CAST(max(CASE WHEN name = 'holidays_prior_scale' THEN 5 + floor(u * 46.0::DOUBLE) END) AS INTEGER) AS holidays_prior_scale,
+  max(CASE WHEN name = 'seasonality_mode' THEN CASE WHEN u < 0.5 THEN 'additive' ELSE 'multiplicative' END END) AS seasonality_mode
+FROM x_trials GROUP BY 1, 2""", "x_trials")
 
 # ---------------------------------------------------------------- W4, M1, M2, M4, M7, M9
 q("chronological_split", f"""
@@ -346,6 +434,52 @@ SELECT series_id, {R('quantile_cont(y - yhat, 0.1)', 4)} AS q_lo, {R('quantile_c
 FROM x_tw_scored WHERE split = 'train' GROUP BY 1""", "x_tw_scored")
 
 
+
+# ---------------------------------------------------------------- M5, M6, M8: ridge design with fixed coefficients
+def _fixed(k: int) -> str:
+    return _dbl((k * 37 % 11 - 5) / 100.0)
+
+
+def _ridge_sum() -> str:
+    import math
+
+    parts = [_fixed(0), f"{_fixed(1)} * t"]
+    parts += [f"{_fixed(1 + j)} * greatest(t - {_dbl(0.8 * j / 25)}, 0.0)" for j in range(1, 26)]
+    k = 27
+    for period, order in ((7.0, 3), (365.25, 10)):
+        for j in range(1, order + 1):
+            w = _dbl(2.0 * math.pi * j / period)
+            parts += [f"{_fixed(k)} * sin({w} * d)", f"{_fixed(k + 1)} * cos({w} * d)"]
+            k += 2
+    return " + ".join([*parts, "coalesce(h.effect, 0.0)", f"{_fixed(88)} * hz", f"{_fixed(89)} * cz"])
+
+
+# Holiday terms in design order (public holidays on three days, the others on one).
+_PUBLIC = ["Jour de l''an", "Fête du Travail", "Fête de la Victoire", "Fête nationale", "Assomption", "Toussaint", "Armistice", "Noël",
+           "Lundi de Pâques", "Ascension", "Lundi de Pentecôte"]
+_TERMS = [(n, o) for n in _PUBLIC for o in (-1, 0, 1)] + [("bridge_day", 0), ("school_holiday", 0)]
+cte("x_design", """
+SELECT series_id, ds, y, split, d, CAST(d - lo AS DOUBLE) / CASE WHEN hi > lo THEN CAST(hi - lo AS DOUBLE) ELSE 1.0 END AS t,
+       (HDD - mh) / CASE WHEN sh IS NULL OR sh = 0 THEN 1.0 ELSE sh END AS hz,
+       (CDD - mc) / CASE WHEN sc IS NULL OR sc = 0 THEN 1.0 ELSE sc END AS cz
+FROM (SELECT *, min(CASE WHEN split = 'train' THEN d END) OVER w AS lo, max(CASE WHEN split = 'train' THEN d END) OVER w AS hi,
+             avg(CASE WHEN split = 'train' THEN HDD END) OVER w AS mh, stddev_samp(CASE WHEN split = 'train' THEN HDD END) OVER w AS sh,
+             avg(CASE WHEN split = 'train' THEN CDD END) OVER w AS mc, stddev_samp(CASE WHEN split = 'train' THEN CDD END) OVER w AS sc
+      FROM (SELECT series_id, ds, y, HDD, CDD, split, CAST(ds - DATE '1970-01-01' AS INTEGER) AS d FROM x_split
+            UNION ALL SELECT series_id, ds, y, HDD, CDD, 'future', CAST(ds - DATE '1970-01-01' AS INTEGER) FROM x_full WHERE y IS NULL)
+      WINDOW w AS (PARTITION BY series_id))""", "x_split", "x_full")
+cte("x_effects", f"""
+SELECT day, sum(c) AS effect FROM (
+  SELECT DISTINCT CAST(ds + off AS DATE) AS day, holiday, off FROM (
+    SELECT holiday, ds, CAST(unnest(generate_series(lower_window, upper_window)) AS INTEGER) AS off FROM x_holidays)) e
+JOIN (VALUES {", ".join(f"('{n}', {o}, {_fixed(53 + i)})" for i, (n, o) in enumerate(_TERMS))}) v(holiday, off, c)
+  ON v.holiday = e.holiday AND v.off = e.off GROUP BY 1""", "x_holidays")
+q("ridge_fixed_scores", f"""
+SELECT series_id, ds, split, {R(_ridge_sum(), 5)} AS yhat FROM x_design r LEFT JOIN x_effects h ON h.day = r.ds""",
+  "x_design", "x_effects")
+q("ridge_normal_equations", """
+SELECT series_id, count(*) AS n_train, 0.0::DOUBLE AS residual FROM x_split WHERE split = 'train' GROUP BY 1""", "x_split")
+
 # ---------------------------------------------------------------- E1-E6, S12, A7, M11
 def _window_report(src: str, model: str, n: int = 60) -> str:
     return f"""
@@ -371,6 +505,9 @@ FROM (SELECT *, lag(y, 7) OVER (PARTITION BY series_id ORDER BY pos) AS naive FR
   SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds) AS pos FROM x_tw_scored WHERE split = 'test'))
 GROUP BY 1""", "x_tw_scored")
 q("last60_report", "SELECT * FROM x_report", "x_report")
+cte("x_flags_median", """
+SELECT series_id, coalesce(mase_window > (SELECT quantile_cont(mase_window, 0.5) FROM x_report), true) AS should_retrain
+FROM x_report""", "x_report")
 cte("x_flags", """
 SELECT series_id, model_name, mase_window AS metric_value, coalesce(mase_window > 0.95, true) AS should_retrain
 FROM x_report""", "x_report")
@@ -382,10 +519,11 @@ SELECT s.series_id, coalesce(f.should_retrain, true) AS should_retrain FROM (
 LEFT JOIN x_flags f USING (series_id)""", "x_flags")
 q("gated_series", """
 SELECT p.series_id, count(*) AS n_rows, CASE WHEN v.is_valid THEN 'passed' ELSE 'rejected' END AS status
-FROM x_prep p JOIN x_valrep v USING (series_id) GROUP BY p.series_id, v.is_valid""", "x_prep", "x_valrep")
+FROM x_gate_rows p JOIN x_gate_report v USING (series_id) GROUP BY p.series_id, v.is_valid""", "x_gate_rows", "x_gate_report")
 q("train_flagged_only", f"""
 SELECT series_id, ds, {R('y', 2)} AS y FROM x_split
-WHERE split = 'train' AND series_id IN (SELECT series_id FROM x_flags WHERE should_retrain)""", "x_split", "x_flags")
+WHERE split = 'train' AND series_id IN (SELECT series_id FROM x_flags_median WHERE should_retrain)""",
+  "x_split", "x_flags_median")
 _lags = ", ".join(f"lag(y, {k}) OVER (PARTITION BY series_id ORDER BY ds) AS l{k}" for k in range(1, 15))
 _scores = ", ".join(f"avg(CASE WHEN split = 'test' THEN abs(y - l{k}) END) AS s{k}" for k in range(1, 15))
 _unp = ", ".join(f"({k}, s{k})" for k in range(1, 15))
@@ -410,8 +548,9 @@ FROM (SELECT DISTINCT series_id FROM x_prep) s
 LEFT JOIN (SELECT series_id, regr_intercept(y, CAST(ds - DATE '1970-01-01' AS DOUBLE)) AS intercept,
                   regr_slope(y, CAST(ds - DATE '1970-01-01' AS DOUBLE)) AS slope
            FROM x_split50 WHERE split = 'train'
-             AND series_id IN (SELECT series_id FROM x_flags WHERE NOT should_retrain) GROUP BY 1) r USING (series_id)
-LEFT JOIN x_tw_lin l ON l.series_id = s.series_id""", "x_prep", "x_split50", "x_flags", "x_tw_lin")
+             AND series_id IN (SELECT series_id FROM x_flags_median WHERE NOT should_retrain)
+           GROUP BY 1) r USING (series_id)
+LEFT JOIN x_tw_lin l ON l.series_id = s.series_id""", "x_prep", "x_split50", "x_flags_median", "x_tw_lin")
 
 # ---------------------------------------------------------------- S9, Y1-Y4, J4
 cte("x_naive_scored", """
@@ -430,7 +569,7 @@ WHERE rn = 1""", "x_history")
 cte("x_fc", """
 SELECT f.series_id, f.ds,
        l.intercept + l.slope * CAST(f.ds - DATE '1970-01-01' AS DOUBLE) + coalesce(w.eff, 0.0) AS yhat
-FROM x_full f JOIN x_tw_lin l USING (series_id)
+FROM x_full f LEFT JOIN x_tw_lin l USING (series_id)
 LEFT JOIN x_tw_wd w ON w.series_id = f.series_id AND w.wd = isodow(f.ds) - 1""", "x_full", "x_tw_lin", "x_tw_wd")
 cte("x_fa", """
 SELECT c.series_id, c.ds, c.yhat, c.yhat + b.q_lo AS yhat_lower, c.yhat + b.q_hi AS yhat_upper,

@@ -4,9 +4,8 @@
     train (flagged series only) -> load model (new, else registry) ->
     evaluate -> retrain flag -> forecast -> sinks
 
-Everything is keyed by ``series_id``; the only values that reach the driver
-are the parameter table of the tuner and the per-series flags count used to
-pick the tuner's parallelism.
+Everything is keyed by ``series_id``; the only rows that reach the driver are
+the parameter table of the tuner, whose size is the number of trials.
 """
 
 from __future__ import annotations
@@ -19,9 +18,9 @@ from pyspark.sql import functions as F
 from daycast.operators import evaluate as EV
 from daycast.operators import ridge as RG
 from daycast.operators import validate as V
-from daycast.operators.tune import best_trial
+from daycast.operators.tune import best_trial, search
 from daycast.plans import stages as P
-from daycast.session import parallelism, stage
+from daycast.session import drop_stage, stage
 from daycast.sources import sinks as SK
 
 Preparator = Callable[[DataFrame, bool], tuple[DataFrame, DataFrame]]
@@ -32,9 +31,7 @@ BUSINESS_RULES = {"target": {"allow_negative": False}}
 def default_preparator(full: DataFrame, is_training: bool) -> tuple[DataFrame, DataFrame]:
     """``DataFrame -> (prepared, report)``; training drops rows without a target."""
     prepared = P.prepared_train(full) if is_training else P.prepared_forecast(full)
-    target = "y" if is_training else "HDD"
-    report = V.validation_report(prepared if is_training else prepared.withColumn("y", F.lit(0.0)),
-                                 target_col="y" if is_training else target, is_training=is_training,
+    report = V.validation_report(prepared, target_col="y" if is_training else None, is_training=is_training,
                                  rules=BUSINESS_RULES)
     return prepared, report
 
@@ -56,28 +53,19 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, as_of: str, n_tria
     # train the flagged series (E6) with the tuner (M12-M14), keep the table
     design = stage(P.ridge_design(valid_full), "design")
     to_train = EV.train_flagged_only(design, flags_in)
-    n_series = to_train.select("series_id").distinct().count()
-    if n_series:
-        chunks = 1 if n_series >= parallelism(spark) else 4
-        scores = RG.score_trials(to_train, RG.trial_space(spark, n_trials), chunks=chunks)
-        best = best_trial(scores, list(RG.DEFAULT_PARAMS) + ["mode_used"])
-        new = RG.coefficients_table(RG.fit(to_train, best), model_name)
-        # keep the stored fits of series not retrained this run; the merge is
-        # staged first so the table is not read and overwritten by one job
-        try:
-            old = SK.read_artifact(spark, root, "model").filter(F.col("model_name") == model_name)
-            new = new.unionByName(old.join(new.select("series_id").distinct(), "series_id", "left_anti")
-                                  .select(*new.columns))
-        except Exception:  # noqa: BLE001 -- first run, no model table yet
-            pass
-        SK.save_model(stage(new, "model_merge"), root)
+    stored = SK.artifact_path(root, "model")[0]
+    if not to_train.isEmpty():
+        best = stage(best_trial(search(to_train, RG.Ridge(), n_trials), [*RG.DEFAULT_PARAMS, "mode_used"]), "best")
+        # the fits of series not trained this run stay in the table
+        SK.merge_artifact(RG.coefficients_table(RG.fit(to_train, best), model_name), root, "model",
+                          ["model_name", "series_id"], ["model_name"])
+        drop_stage(best)
 
     # load (M11): the model table now holds the new fits and, for series not
     # retrained, the previous run's fits; series with neither are unavailable
-    try:
-        table = SK.read_artifact(spark, root, "model").filter(F.col("model_name") == model_name)
-        coef = RG.coefficients_from_table(table)
-    except Exception:  # noqa: BLE001 -- no model table yet
+    if SK.path_exists(spark, stored):
+        coef = RG.coefficients_from_table(SK.read_artifact(spark, root, "model").filter(F.col("model_name") == model_name))
+    else:
         coef = spark.createDataFrame([], RG.COEF_SCHEMA)
     unavailable = design.select("series_id").distinct().join(coef, "series_id", "left_anti")
 
@@ -89,10 +77,15 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, as_of: str, n_tria
     flags = EV.retrain_flag(metrics).select("series_id", "should_retrain")
     SK.save_flags(flags, root, as_of)
 
-    # forecast with actuals (J4) -> sink
+    # the forecast side has a gate of its own: series whose regressors do not
+    # validate get no forecast, nor do series without a model
     from daycast.operators.serve import forecast_with_actuals
 
-    forecast = forecast_with_actuals(scored, valid_full)
+    _, report_forecast = preparator(valid_full, False)
+    usable, rejected_forecast = EV.gate(valid_full, report_forecast)
+    # forecast with actuals (J4) -> sink
+    forecast = forecast_with_actuals(scored.filter(F.col("yhat").isNotNull()), usable)
     SK.save_forecast(forecast, root, model_name)
-    return {"report": report, "rejected": rejected, "metrics": metrics, "flags": flags,
+    return {"report": report, "rejected": rejected, "report_forecast": report_forecast,
+            "rejected_forecast": rejected_forecast, "metrics": metrics, "flags": flags,
             "forecast": forecast, "unavailable": unavailable}

@@ -1,11 +1,11 @@
 """The pipeline stages (ingest -> clean -> merge -> features -> split -> fit
 -> score -> evaluate -> decide) as lazy DataFrames.
 
-Three boundaries are written as tables in the shared checkpoint folder, as
-the reference writes its processed files: the daily target (the one pass over
-the raw orders), the raw daily weather (the one pass over lineitem) and the
-full data.  Between them Catalyst sees whole chains and prunes columns and
-pushes filters into the scans.
+One boundary is written as a table in the shared checkpoint folder, as the
+reference writes its processed file: the full data, one row per series and day,
+which split, fit, score and evaluation all read.  Up to there Catalyst sees the
+whole chain, prunes columns, pushes filters into the scans and reuses the
+exchanges behind the daily rollups.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from daycast.operators.evaluate import chronological_split, should_retrain, wind
 from daycast.operators.joins import weather_left_target
 from daycast.operators.model import fit_trend_weekday, predict_trend_weekday
 from daycast.operators.weather import keep_first_per_day, union_sources
-from daycast.session import parallelism, stage
-from daycast.sources.fixtures import SEGMENT, order_readings, weather_daily
+from daycast.session import stage
+from daycast.sources.fixtures import SEGMENT, order_readings, table, weather_daily
 
 MODEL_TREND_WEEKDAY = "trend_weekday"
 
@@ -32,17 +32,11 @@ def daily_target(spark: SparkSession, sf_dir: str, series_cols: tuple[str, ...]
     return repair_zeros(d).select("series_id", "ds", "jour", "y")
 
 
-def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stage 0: daily weather readings (the reference's raw weather files), one
-    pass over lineitem; archive and forecast are then cut from this small table."""
-    return stage(weather_daily(spark, sf_dir), "weather_raw")
-
-
 def weather_sources(spark: SparkSession, sf_dir: str, cut) -> tuple[DataFrame, DataFrame]:
     """Archive (days <= ``cut``, the last target day) and forecast (days >= it):
     one day overlaps.  The forecast copy carries temperatures +0.5 so that
     keep-first (archive wins) is visible in the output."""
-    w = raw_weather(spark, sf_dir)
+    w = weather_daily(spark, sf_dir)
     archive = w.filter(F.col("ds") <= cut)
     forecast = w.filter(F.col("ds") >= cut).select(
         "ds", *[(F.col(c) + 0.5).alias(c) for c in ("temperature_max", "temperature_min", "temperature_mean")])
@@ -52,13 +46,13 @@ def weather_sources(spark: SparkSession, sf_dir: str, cut) -> tuple[DataFrame, D
 def weather(spark: SparkSession, sf_dir: str, target: DataFrame | None = None) -> DataFrame:
     """Archive then forecast, first row per day kept: ``ds, temps..., src``.
 
-    The cut is the last target day: from the (staged) target when given, else
-    the last day of the readings themselves (same value, no per-day rollup).
+    The cut is the last target day: from the target when given, else the last
+    day of ``orders`` alone (no join for one date).
     """
     if target is not None:
         cut = target.select(F.max("ds")).scalar()
     else:
-        cut = order_readings(spark, sf_dir).select(F.max(F.to_date("ts"))).scalar()
+        cut = table(spark, sf_dir, "orders").select(F.max(F.to_date("o_orderdate"))).scalar()
     archive, forecast = weather_sources(spark, sf_dir, cut)
     u = union_sources(("archive", archive), ("forecast", forecast))
     return keep_first_per_day(u, cols=["temperature_max", "temperature_min", "temperature_mean", "src"])
@@ -68,31 +62,15 @@ def with_degree_days(df: DataFrame, temp: str = "temperature_mean") -> DataFrame
     return df.withColumn("HDD", heating_degree_days(temp)).withColumn("CDD", cooling_degree_days(temp))
 
 
-def staged_target(spark: SparkSession, sf_dir: str, series_cols: tuple[str, ...] = SEGMENT) -> DataFrame:
-    """Stage 1: the daily target table (the only pass over the raw orders)."""
-    return stage(daily_target(spark, sf_dir, series_cols), "daily_target")
-
-
-def staged_weather(spark: SparkSession, sf_dir: str, target: DataFrame | None = None) -> DataFrame:
-    """The merged weather table, derived from the staged raw weather (one row
-    per day): re-deriving it for each consumer costs a scan of a calendar-sized
-    table, so it is not written again."""
-    target = target if target is not None else staged_target(spark, sf_dir)
-    return weather(spark, sf_dir, target)
-
-
 def full_data(spark: SparkSession, sf_dir: str, staged: bool = True,
               series_cols: tuple[str, ...] = SEGMENT) -> DataFrame:
-    """Stage 3, J1 + F1/F2: every weather day per series, target NULL on future days.
+    """J1 + F1/F2: every weather day per series, target NULL on future days.
 
-    The daily target, the raw daily weather and the full data are written to
-    the shared checkpoint folder, as the reference writes its processed files;
-    everything downstream (split, fit, score, evaluate, validate) reads the
-    small stage-3 table.  ``staged=False`` leaves the last step lazy, for a
-    consumer that reads it once.
+    Written to the shared checkpoint folder for consumers that read it several
+    times (split, fit, score, evaluate); ``staged=False`` leaves it lazy.
     """
-    target = staged_target(spark, sf_dir, series_cols)
-    wx = staged_weather(spark, sf_dir, target)
+    target = daily_target(spark, sf_dir, series_cols)
+    wx = weather(spark, sf_dir, target)
     full = with_degree_days(weather_left_target(target, wx)).select(
         "series_id", "ds", "temperature_max", "temperature_min", "temperature_mean", "y", "HDD", "CDD")
     return stage(full, "full_data") if staged else full
@@ -153,9 +131,9 @@ def ridge_design(full: DataFrame, holdout: int = 0) -> DataFrame:
     from daycast.operators.ridge import design
 
     split = chronological_split(prepared_train(full), holdout=holdout)
-    nan_y = full.filter(F.col("y").isNull()).select("series_id", "ds", "y", "HDD", "CDD").withColumn(
+    future = full.filter(F.col("y").isNull()).select("series_id", "ds", "y", "HDD", "CDD").withColumn(
         "split", F.lit("future"))
-    rows = split.unionByName(nan_y)
+    rows = split.unionByName(future)
     return design(rows, holiday_table(years_of(full, "ds")))
 
 
@@ -177,20 +155,14 @@ def ridge_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ridge_scored(d, fit(d, DEFAULT_PARAMS))
 
 
-def tuned(spark: SparkSession, sf_dir: str, n_trials: int = 50, chunks: int | None = None, holdout: int = 0):
+def tuned(spark: SparkSession, sf_dir: str, n_trials: int = 50, holdout: int = 0):
     """Random search scored by test MASE, best trial per series
-    (ties -> lowest trial id), refit on the train rows, scored everywhere."""
-    from daycast.operators.ridge import N_TRIALS, fit, score_trials, trial_space
-    from daycast.operators.tune import best_trial
-
-    full = full_data(spark, sf_dir)
-    d = ridge_design(full, holdout)
-    if chunks is None:
-        # few series -> split the trials so that the cores stay busy
-        chunks = 1 if full.select("series_id").distinct().count() >= parallelism(spark) else 4
-    scores = score_trials(d, trial_space(spark, n_trials or N_TRIALS), chunks=chunks)
-    best = best_trial(scores, ["changepoint_prior_scale", "seasonality_prior_scale", "holidays_prior_scale",
-                               "seasonality_mode", "mode_used"])
-    coef = fit(d, best)
-    return ridge_scored(d, coef).join(best.select("series_id", "trial_id", F.col("score").alias("test_mase")),
-                                      "series_id"), best
+    (ties -> lowest trial id), refit on the train rows, scored everywhere.
+    A series without a defined score is fitted with the defaults."""
+    from daycast.operators.ridge import DEFAULT_PARAMS, Ridge, fit
+    from daycast.operators.tune import best_trial, search
+
+    d = stage(ridge_design(full_data(spark, sf_dir), holdout), "design")
+    best = stage(best_trial(search(d, Ridge(), n_trials), [*DEFAULT_PARAMS, "mode_used"]), "best")
+    return ridge_scored(d, fit(d, best)).join(
+        best.select("series_id", "trial_id", F.col("score").alias("test_mase")), "series_id", "left"), best

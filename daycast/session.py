@@ -89,14 +89,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
-def parallelism(spark) -> int:
-    """Cores available to the session (a conf fallback where there is no SparkContext)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001
-        return int(spark.conf.get("spark.default.parallelism", "8"))
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table inside the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)

@@ -22,16 +22,20 @@ DAILY = T.StructType([T.StructField("time", T.ArrayType(T.StringType()))] +
 WEATHER_PAYLOAD = T.StructType([T.StructField("daily", DAILY)])
 
 
-def flatten_records(payloads: DataFrame, text: str = "payload", keep: list[str] | None = None) -> DataFrame:
+def flatten_records(payloads: DataFrame, text: str = "payload", keep: list[str] | None = None
+                    ) -> tuple[DataFrame, DataFrame]:
     """``records`` wins over ``results`` (even when empty); an item with a
-    nested ``record`` is unwrapped, else taken as is; neither key -> no rows."""
+    nested ``record`` is unwrapped, else taken as is, its missing fields NULL;
+    neither key -> no rows.  Text that is no JSON object goes to the rejects
+    frame (the kept columns and the text)."""
     keep = keep or []
-    p = payloads.select(*keep, F.from_json(text, ENVELOPE).alias("_p"))
+    p = payloads.select(*keep, F.col(text), F.from_json(text, ENVELOPE).alias("_p"),
+                        F.coalesce(F.try_parse_json(text).cast("string").startswith("{"), F.lit(False)).alias("_ok"))
     items = F.coalesce(F.col("_p.records"), F.col("_p.results"))
     rows = F.transform(items, lambda r: F.coalesce(
         r["record"], F.struct(r["jour"].alias("jour"), r["conso_jour"].alias("conso_jour"))))
-    return p.select(*keep, F.inline_outer(F.coalesce(rows, F.array().cast(T.ArrayType(RECORD))))) \
-        .filter(F.col("jour").isNotNull() | F.col("conso_jour").isNotNull())
+    good = p.filter("_ok").select(*keep, F.inline(F.coalesce(rows, F.array().cast(T.ArrayType(RECORD)))))
+    return good, p.filter(~F.col("_ok")).select(*keep, text)
 
 
 def flatten_arrays(payloads: DataFrame, text: str = "payload", keep: list[str] | None = None
@@ -45,6 +49,7 @@ def flatten_arrays(payloads: DataFrame, text: str = "payload", keep: list[str] |
     ok = F.col("_p.daily").isNotNull() & F.col("_p.daily.time").isNotNull()
     for s in sizes[1:]:
         ok = ok & (s == sizes[0])
+    ok = F.coalesce(ok, F.lit(False))  # a payload without one of the arrays is rejected, not lost
     good = p.filter(ok)
     zipped = F.arrays_zip(*[F.col(f"_p.daily.{v}").alias(v) for v in ["time"] + WEATHER_VARS])
     rows = good.select(*keep, F.inline(zipped))

@@ -2,18 +2,23 @@
 
 An artifact root is a folder on shared storage (on a cluster: under the
 folder named by ``spark.checkpoint.dir`` or any table location).  Writes are
-idempotent overwrites of the partitions they touch (dynamic partition
-overwrite), except the metric history, which appends (as the reference).
+idempotent: a run replaces its own series and leaves the others, whatever
+folder they share; the metric history appends (as the reference).
 """
 
 from __future__ import annotations
 
+import logging
 import os
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daycast.session import drop_stage, stage
+
+log = logging.getLogger(__name__)
+
 # name -> (sub folder, format)
 ARTIFACTS = {
     "forecast": ("forecasts", "parquet"),
@@ -54,14 +59,48 @@ def read_artifact(spark: SparkSession, root: str, name: str, view: str | None =
     return df
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there such a path (any other fault of the store is an error)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def merge_artifact(df: DataFrame, root: str, name: str, keys: list[str], partition_by: list[str] | None = None) -> str:
+    """S7 for a run over part of the series: rows of ``keys`` in ``df`` replace stored ones, all others stay.
+
+    Only the partitions that ``df`` touches are read and rewritten; the merge is
+    written aside first, so that no job overwrites what it reads.
+    """
+    spark = df.sparkSession
+    path, fmt = artifact_path(root, name)
+    if path_exists(spark, path):
+        old = spark.read.format(fmt).schema(df.schema).load(path)
+        if partition_by:
+            old = old.join(df.select(*partition_by).distinct(), partition_by, "left_semi")
+        df = df.unionByName(old.join(df.select(*keys).distinct(), keys, "left_anti").select(*df.columns))
+    merged = stage(df, f"merge-{name}")
+    try:
+        return write_artifact(merged, root, name, partition_by=partition_by)
+    finally:
+        drop_stage(merged)
+
+
 def save_metrics(metrics: DataFrame, root: str, as_of: str) -> str:
-    """Metric snapshot with its UTC timestamp first, overwritten per model."""
+    """Metric snapshot with its UTC timestamp first, replaced per model and series."""
     out = metrics.select(F.lit(as_of).alias("timestamp_utc"), *metrics.columns)
-    return write_artifact(out, root, "metrics", partition_by=["model_name"])
+    return merge_artifact(out, root, "metrics", ["model_name", "series_id"], ["model_name"])
 
 
-def append_metrics_history(run: DataFrame, root: str) -> str:
-    """Append the run rows to the history (no dedup on rerun, as the reference)."""
+def append_metrics_history(run: DataFrame | None, root: str) -> str:
+    """Append the run rows to the history (no dedup on rerun, as the reference).
+
+    A missing run is an error; an empty one is warned about and appends nothing.
+    """
+    if run is None:
+        raise ValueError("no metrics of this run to append")
+    if run.isEmpty():
+        log.warning("the run has no metrics; nothing is appended")
+        return artifact_path(root, "metrics_history")[0]
     return write_artifact(run, root, "metrics_history", mode="append")
 
 
@@ -71,16 +110,18 @@ def save_report(report: DataFrame, root: str) -> str:
 
 
 def save_flags(flags: DataFrame, root: str, as_of: str) -> str:
-    """``date, should_retrain`` per series as JSON."""
-    return write_artifact(flags.select(F.lit(as_of).alias("date"), *flags.columns), root, "retrain_flag")
+    """``date, should_retrain`` per series as JSON; series not in this run keep theirs."""
+    return merge_artifact(flags.select(F.lit(as_of).alias("date"), *flags.columns), root, "retrain_flag", ["series_id"])
 
 
 def read_flags(spark: SparkSession, root: str) -> DataFrame | None:
     """S12 input: permissive JSON read; a missing folder gives ``None`` (defaults apply)."""
     path, _ = artifact_path(root, "retrain_flag")
+    if not path_exists(spark, path):
+        return None
     try:
         return spark.read.option("mode", "PERMISSIVE").json(path)
-    except AnalysisException:
+    except AnalysisException:  # a folder without any file has no schema
         return None
 
 
@@ -95,9 +136,9 @@ def series_bucket(series_id) -> "F.Column":
 
 
 def save_forecast(forecast: DataFrame, root: str, model_name: str) -> str:
-    """Forecasts per model, in ``SERIES_BUCKETS`` hashed series folders."""
+    """Forecasts per model, in ``SERIES_BUCKETS`` hashed series folders; other series stay."""
     out = forecast.withColumn("model_name", F.lit(model_name)).withColumn("series_bucket", series_bucket("series_id"))
-    return write_artifact(out, root, "forecast", partition_by=["model_name", "series_bucket"])
+    return merge_artifact(out, root, "forecast", ["model_name", "series_id"], ["model_name", "series_bucket"])
 
 
 def read_series(spark: SparkSession, root: str, name: str, series_id: str, model_name: str | None = None) -> DataFrame:

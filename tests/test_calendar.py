@@ -42,9 +42,11 @@ def test_future_calendar(spark):
                                                     (dt.date(2024, 1, 4), True), (dt.date(2024, 1, 5), True)]
 
 
-def test_daily_calendar_empty(spark):
+def test_missing_days_of_no_rows(spark):
+    from daycast.operators.validate import missing_days_report
+
     empty = spark.createDataFrame([], "series_id string, ds date")
-    assert CAL.daily_calendar(empty).count() == 0
+    assert missing_days_report(empty).count() == 0
 
 
 def test_fourier_and_hinges(spark):

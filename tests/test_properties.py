@@ -19,25 +19,25 @@ values = st.lists(st.one_of(st.none(), st.sampled_from([0.0, 0.0, 1.0, 2.5, 7.0,
 
 
 @settings(**SETTINGS)
-@given(series=st.lists(values, min_size=1, max_size=3), n_ranges=st.integers(1, 9))
-def test_neighbors_match_window(spark, series, n_ranges):
+@given(series=st.lists(values, min_size=1, max_size=3), width=st.integers(1, 9))
+def test_neighbors_match_window(spark, series, width):
     data = [(f"s{i}", j, v) for i, vals in enumerate(series) for j, v in enumerate(vals)]
     df = spark.createDataFrame(data, "k string, o int, v double")
     w = Window.partitionBy("k").orderBy("o")
     exp = df.select("k", "o", F.lag("v", 1).over(w).alias("v_prev1"), F.lead("v", 2).over(w).alias("v_next2"))
-    got = ordered_neighbors(df, "k", ["o"], "v", before=1, after=2, n_ranges=n_ranges)
+    got = ordered_neighbors(df, "k", ["o"], "v", before=1, after=2, bucket=F.floor(F.col("o") / width))
     cols = ["k", "o", "v_prev1", "v_next2"]
     assert sorted(rows(got, *cols), key=str) == sorted(rows(exp, *cols), key=str)
 
 
 @settings(**SETTINGS)
-@given(vals=values, n_ranges=st.integers(1, 5))
-def test_zero_repair_matches_pandas(spark, vals, n_ranges):
+@given(vals=values, width=st.integers(1, 5))
+def test_zero_repair_matches_pandas(spark, vals, width):
     df = spark.createDataFrame([("s", i, i, v) for i, v in enumerate(vals)], "series_id string, ds int, ev int, y double")
     s = pd.Series([np.nan if v is None else v for v in vals], dtype="float64")
     m = s.replace(0, np.nan).rolling(5, min_periods=1, center=True).mean()
     exp = s.where(s != 0, m).tolist()
-    for out in (repair_zeros(df), repair_zeros_raw(df, "series_id", ["ds", "ev"], "y", n_ranges=n_ranges)):
+    for out in (repair_zeros(df), repair_zeros_raw(df, "series_id", ["ds", "ev"], "y", bucket=F.floor(F.col("ds") / width))):
         got = [r[1] for r in sorted(rows(out, "ds", "y"))]
         for a, b in zip(got, exp):
             assert (a is None and np.isnan(b)) or (a is not None and abs(a - b) < 1e-9)

@@ -103,3 +103,49 @@ def test_empty_single_and_all_null_inputs(spark):
     assert V.validation_report(all_null, rules=rules).count() == 0
     (f,) = V.validation_report(all_null, is_training=False, rules=rules).collect()
     assert f["null_cells"] == 2 and f["is_valid"] is False
+
+
+def test_schema_faults_reach_the_flag(spark):
+    ok = spark.createDataFrame([("s", dt.date(2024, 1, d), float(d), 1.0) for d in (1, 2)], "series_id string, ds date, y double, HDD double")
+    rules = {"target": {"min_value": 0.0}}
+    assert V.validation_report(ok, rules=rules).first()["is_valid"] is True
+    for broken in (ok.withColumn("y", F.col("y").cast("string")), ok.drop("y"), ok.drop("ds"), ok.withColumn("ds", F.col("ds").cast("string")),
+                   ok.withColumn("HDD", F.lit("x"))):
+        r = V.validation_report(broken, rules=rules).first()
+        assert (r["schema_ok"], r["is_valid"]) == (False, False)
+
+
+def test_duplicates_flag_the_input_and_are_reported_by_day(spark):
+    """Two readings of one day with equal values: no duplicates as they came, one after cutting the date."""
+    df = spark.createDataFrame([("s", dt.datetime(2024, 1, 1, h), 5.0) for h in (1, 2)] + [("t", dt.datetime(2024, 1, 1), 5.0)] * 2,
+                               "series_id string, ds timestamp_ntz, y double")
+    got = {r["series_id"]: (r["duplicated_rows"], r["is_valid"]) for r in V.validation_report(df).collect()}
+    assert got == {"s": (1, True), "t": (1, False)}
+
+
+def test_unsorted_input_is_invalid_when_its_order_is_given(spark):
+    df = spark.createDataFrame([("s", dt.date(2024, 1, 2), 1.0, 1), ("s", dt.date(2024, 1, 1), 1.0, 2), ("t", dt.date(2024, 1, 1), 1.0, 1)],
+                               "series_id string, ds date, y double, seq long")
+    got = {r["series_id"]: (r["is_sorted"], r["is_valid"]) for r in V.validation_report(df, seq="seq").collect()}
+    assert got == {"s": (False, False), "t": (True, True)}
+    assert V.validation_report(df.drop("seq")).first()["is_sorted"] is None
+
+
+def test_nested_business_rules(spark):
+    df = spark.createDataFrame([("s", dt.date(2024, 1, 1), -5.0, 30.0), ("s", dt.date(2024, 1, 2), 50.0, 1.0), ("t", dt.date(2024, 1, 1), 3.0, 3.0)],
+                               "series_id string, ds date, y double, HDD double")
+    rules = {"target": {"allow_negative": False, "max_value": 10.0}, "regressors": {"HDD": {"min_value": 2.0, "max_value": 20.0}, "none": {"min_value": 1}}}
+    got = {r["series_id"]: r for r in V.validation_report(df, rules=rules).collect()}
+    assert got["s"]["business_rules"].asDict(True) == {"target": {"negative_values": 1, "above_max": 1},
+                                                       "regressors": {"HDD": {"below_min": 1, "above_max": 1}}}
+    assert got["t"]["business_rules"].asDict(True) == {"target": {}, "regressors": {}} and got["s"]["rule_violations"] == 4
+    assert got["s"]["is_valid"]  # rules are reported, they do not flip the flag
+
+
+def test_flags_default_and_repeat(spark):
+    from daycast.operators.evaluate import flags_with_default
+
+    series = spark.createDataFrame([(s,) for s in "abcd"], "series_id string")
+    flags = spark.createDataFrame([("a", "false"), ("b", "perhaps"), ("c", "false"), ("c", "true")], "series_id string, should_retrain string")
+    got = sorted(rows(flags_with_default(series, flags)))
+    assert got == [("a", False), ("b", True), ("c", True), ("d", True)]
