@@ -3,13 +3,13 @@
 1 - Jaccard is a metric.  Documents meet in cells: a cell is a rare shingle of
 their prefixes (two sets with similarity t share one of the first
 n - ceil(t n) + 1 shingles in any common order, here rarest first).  A cell is
-joined by pivots: a document becomes the pivot, the distance of the others to
-it is computed exactly, and the cell falls apart into the pivot's region (its
-component, which needs no more links among itself) and the rest.  By the
-triangle inequality a document of the region can only be linked to one of the
-rest whose distance to the pivot differs by the radius at most; such boundary
-documents are copied into the rest, which is joined the same way, recursively,
-until one component is left or no window holds a pair.
+joined by pivots, recursively.  One document becomes the pivot and the distance
+of the others to it is computed exactly; those linked to it need no more links
+among themselves.  What is left of a cell falls apart into regions (components),
+each with a pivot of its own.  By the triangle inequality a document outside a
+region can only be linked into it if its distance to the pivot exceeds the
+region's radius by the link radius at most; such boundary documents are copied
+to the region, where windows of the same width pick the pairs that are measured.
 
 Equal sets are one class from the start, and a set of which so many shingles
 occur nowhere else that no prefix shingle is shared (count-min sketch: never
@@ -35,8 +35,8 @@ PERCENT = 75
 LAST = (1 << 63) - 1
 #: How many classes may hold a shingle, in steps: rarer shingles come first in prefixes.
 RARITY = (5, 33, 257, 2049)
-#: A cell with so many pairs between components, or fewer, measures them all at once.
-LEAF = 64
+#: Bits of the two sketches at most (64 MB and 32 MB).
+ONCE_BITS, RARITY_BITS = 29, 28
 
 
 def _sets(batch: pa.RecordBatch):
@@ -104,19 +104,21 @@ def _signatures(seen: sketch.Counts):
 
 
 def _cells(rarity: sketch.Counts):
-    """Task: the prefix shingles of each class (rarest first) as cells."""
-    schema = pa.schema([("cell", pa.int64()), ("node", pa.int64()), ("n", pa.int64())])
+    """Task: the prefix shingles of each class (rarest first) as cells, with their place in the order."""
+    schema = pa.schema([("cell", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("after", pa.int64()), ("own", pa.float64())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for node, n, shared in zip(*(batch.column(c) for c in ("node", "n", "shared"))):
                 h = np.asarray(shared.values.to_numpy(zero_copy_only=False)).view(np.uint64)
                 size = n.as_py()
-                p = int(_prefix_length(np.array([size]))[0]) - (size - len(h))
+                alone = size - len(h)  # shingles of no other document come before all others
+                p = int(_prefix_length(np.array([size]))[0]) - alone
                 order = np.lexsort((h, rarity.level(h)))[:max(p, 0)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[order].view(np.int64)), pa.array(np.full(len(order), node.as_py())),
-                     pa.array(np.full(len(order), size))], schema=schema)
+                     pa.array(np.full(len(order), size)), pa.array(size - alone - 1 - np.arange(len(order))),
+                     pa.array(np.full(len(order), alone / size))], schema=schema)
 
     return task
 
@@ -134,72 +136,65 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .select("pivot", "node", "inter", (F.col("xn") + F.col("pn") - F.col("inter")).alias("uni")))
 
 
-def _near(a: str, b: str) -> Column:
-    """Window of the last pivot: distances to it differ by the radius at most (unknown ones may)."""
-    return F.coalesce(F.abs(F.col(a) - F.col(b)) <= 1 - PERCENT / 100 + 1e-9, F.lit(True))
+def _possible(n: str, after: str, pn: str, pafter: str) -> Column:
+    """May two sets of one cell be linked?  Their sizes (distances to the empty set) must be near, and
+    if the cell is their first common shingle, no more than those after it can be common too."""
+    n_, pn_ = F.col(n), F.col(pn)
+    return ((100 * F.least(n_, pn_) >= PERCENT * F.greatest(n_, pn_))
+            & ((100 + PERCENT) * (1 + F.least(F.col(after), F.col(pafter))) >= PERCENT * (n_ + pn_)))
 
 
-def _sizes(a: str, b: str) -> Column:
-    """The same window for the empty set as pivot: sizes of linked sets."""
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def _join_cells(cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """``node, component`` over the links of all cells; ``cells`` rows are (cell, node, n, after, own).
 
-
-def _join_cells(cells: DataFrame, sets: DataFrame) -> DataFrame | None:
-    """``node, component`` over the links of all cells (None without any link).
-
-    ``cells`` rows are (cell, node, n).  Each round takes one pivot from every
-    cell, from the component that has the fewest nodes there, and measures it
-    against the nodes of other components inside the window of the pivot before.
-    A cell is done when its nodes are all of one component, or none of another
-    is left inside the window; a cell with few open pairs measures them at once.
+    First every cell has one pivot, the node with the smallest share of shingles
+    of its own: what others were copied from, so most of them are linked to it.  Cells that then still hold several
+    components fall into regions, one per component, each with a pivot; a node
+    stays open against a region if the region's radius and the link radius
+    together reach as far as its distance to the pivot.  What is open is
+    measured pair by pair inside the window of the region's pivot.
     """
-    shared = cells.groupBy("cell").count().filter("count > 1").select("cell")
-    todo = stage(cells.join(shared, "cell").withColumns({"comp": F.col("node"), "dist": F.lit(0.0)}), "cells")
-    links, comps = None, None
-    while True:
-        count = todo.groupBy("cell", "comp").count()
-        cell = (count.groupBy("cell").agg(F.count(F.lit(1)).alias("comps"), F.sum("count").alias("nodes"),
-                                          F.sum(F.col("count") * F.col("count")).alias("inside"))
-                .filter("comps > 1")
-                .select("cell", ((F.col("nodes") * F.col("nodes") - F.col("inside")) / 2 <= LEAF).alias("leaf")))
-        todo_now = todo.join(cell, "cell")
-        ranked = todo_now.join(count, ["cell", "comp"]).groupBy("cell").agg(
-            F.min(F.struct("count", "node", "n", "dist", "comp")).alias("p"))
-        pivots = ranked.select("cell", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"),
-                               F.col("p.dist").alias("pd"), F.col("p.comp").alias("pc"))
-        met = todo_now.join(pivots, "cell").filter("node <> pivot")
-        first = met.filter(~F.col("leaf")).filter("comp <> pc")
-        other = todo_now.filter("leaf").select("cell", F.col("node").alias("pivot"), F.col("n").alias("pn"),
-                                               F.col("dist").alias("pd"), F.col("comp").alias("pc"))
-        few = todo_now.filter("leaf").join(other, "cell").filter("pivot < node and comp <> pc")
-        columns = ["pivot", "node"]
-        pairs = (first.filter(_sizes("n", "pn") & _near("dist", "pd")).select(columns)
-                 .union(few.filter(_sizes("n", "pn") & _near("dist", "pd")).select(columns)).distinct())
-        dist = stage(_distances(pairs, sets), "distances")
-        found = dist.filter(_linked(F.col("inter"), F.col("uni"))).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        if comps is not None:
-            found = found.union(comps)
-        old = comps
-        comps = graph.components(found)
-        if old is not None:
-            drop_stage(old)
-        label = comps.select("node", F.col("component").alias("comp"))
-        after = (met.filter(~F.col("leaf")).drop("comp", "dist")
-                 .join(dist, ["pivot", "node"], "left").join(label, "node", "left")
-                 .join(label.select(F.col("node").alias("pivot"), F.col("comp").alias("pcomp")), "pivot", "left")
-                 .select("cell", "node", "n", F.coalesce("comp", "node").alias("comp"),
-                         F.coalesce("pcomp", "pivot").alias("pcomp"), (1 - F.col("inter") / F.col("uni")).alias("dist")))
-        # nodes of the pivot's component stay only as boundary of the others' windows
-        others = after.filter("comp <> pcomp").groupBy("cell").agg(F.min(F.coalesce("dist", F.lit(0.0))).alias("nearest"))
-        after = (after.join(others, "cell")
-                 .filter((F.col("comp") != F.col("pcomp")) | F.coalesce(F.col("dist") >= F.col("nearest") - (1 - PERCENT / 100) - 1e-9, F.lit(True)))
-                 .select("cell", "node", "n", "comp", "dist"))
-        old, todo = todo, stage(after, "cells")
-        drop_stage(old)
-        drop_stage(dist)
-        if todo.isEmpty():
-            drop_stage(todo)
-            return comps
+    radius = 1 - PERCENT / 100 + 1e-9
+    shared = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("own", "node", "n", "after")).alias("p"))
+    shared = shared.filter("c > 1").select("cell", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.after").alias("pafter"))
+    dealt = stage(cells.join(shared, "cell"), "cells")
+    pairs = dealt.filter("node <> pivot").filter(_possible("n", "after", "pn", "pafter")).select("pivot", "node").distinct()
+    first = graph.components(_links(_distances(pairs, sets)))
+
+    # regions: the components inside a cell
+    comp = F.coalesce("component", "node").alias("comp")
+    rows = dealt.join(first, "node", "left").select("cell", "node", "n", "after", "own", comp)
+    several = rows.groupBy("cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("cell")
+    rows = stage(rows.join(several, "cell"), "regions")
+    region = rows.groupBy("cell", "comp").agg(
+        F.min(F.struct("own", "node"))["node"].alias("pivot"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("after").alias("reach"))
+    region = region.withColumnRenamed("comp", "region")
+    open_ = rows.join(region, "cell").filter(F.col("comp") != F.col("region")).filter(
+        (100 * F.col("n") >= PERCENT * F.col("least")) & (PERCENT * F.col("n") <= 100 * F.col("most"))
+        & ((100 + PERCENT) * (1 + F.least("after", "reach")) >= PERCENT * (F.col("n") + F.col("least"))))
+    open_ = stage(open_.select("cell", "node", "n", "after", "region", "pivot"), "open")
+    asked = open_.select("cell", F.col("region").alias("comp"), "pivot").distinct()
+    inside = rows.join(asked, ["cell", "comp"])
+    pairs = open_.select("pivot", "node").union(inside.select("pivot", "node")).filter("pivot <> node").distinct()
+    dist = stage(_distances(pairs, sets), "distances")
+    d = dist.select("pivot", "node", (1 - F.col("inter") / F.col("uni")).alias("d"))
+    inside = inside.join(d, ["pivot", "node"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
+    wide = inside.groupBy("cell", F.col("comp").alias("region")).agg(F.max("d").alias("radius"))
+    boundary = (open_.join(d, ["pivot", "node"]).join(wide, ["cell", "region"])
+                .filter((F.col("d") <= F.col("radius") + radius) & (F.col("d") > radius)))  # nearer ones are linked to the pivot
+    other = inside.filter("pivot <> node").select("cell", F.col("comp").alias("region"), F.col("node").alias("other"),
+                                                  F.col("n").alias("pn"), F.col("after").alias("pafter"), F.col("d").alias("pd"))
+    last = (boundary.join(other, ["cell", "region"]).filter(_possible("n", "after", "pn", "pafter") & (F.abs(F.col("d") - F.col("pd")) <= radius))
+            .select(F.least("node", "other").alias("pivot"), F.greatest("node", "other").alias("node")).distinct())
+    found = _links(dist).union(_links(_distances(last, sets)))
+    comps = graph.components(found.union(first.select("node", "component")))
+    for x in (first, dealt, rows, open_, dist):
+        drop_stage(x)
+    return comps
+
+
+def _links(dist: DataFrame) -> DataFrame:
+    return dist.filter(_linked(F.col("inter"), F.col("uni"))).select("pivot", "node")
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -213,16 +208,19 @@ def components(docs: DataFrame) -> DataFrame:
     of their own; an empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    seen = sketch.build(docs.select("text"), lambda batch: (h for *_, h in _sets(batch)), sketch.estimate(docs))
+    seen = sketch.build(docs.select("text"), lambda batch: (h for *_, h in _sets(batch)), sketch.estimate(docs),
+                        most_bits=ONCE_BITS)
     signed = stage(docs.mapInArrow(_signatures(seen), SIGNATURES), "signatures")
+    seen.drop()
     candidates = signed.filter("shared is not null")
     # a class is a set; its node is the set's key
     sets = stage(candidates.groupBy("key", "key2", "n").agg(F.any_value("shared").alias("shared"))
                  .select(F.col("key").alias("node"), "n", "shared"), "sets")
     total = int(sets.agg(F.coalesce(F.sum(F.size("shared")), F.lit(0))).first()[0])
-    rarity = sketch.build(sets.select("shared"), _all_shared, total + 1, RARITY)
-    cells = sets.mapInArrow(_cells(rarity), "cell bigint, node bigint, n bigint")
+    rarity = sketch.build(sets.select("shared"), _all_shared, total + 1, RARITY, RARITY_BITS)
+    cells = sets.mapInArrow(_cells(rarity), "cell bigint, node bigint, n bigint, after bigint, own double")
     comps = _join_cells(cells, sets)
+    rarity.drop()
     drop_stage(sets)
 
     ident = F.coalesce(F.col("doc_id"), F.lit(LAST))
@@ -249,3 +247,21 @@ def stage_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = components(docs)
     keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+
+
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach(doc_id, c) AS (
+  SELECT doc_id, doc_id FROM w
+  UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.doc_id)
+SELECT r.doc_id, coalesce(any_value(z.n), 0)::BIGINT AS n_shingles, min(c) AS component_id
+FROM reach r LEFT JOIN sizes z USING (doc_id) GROUP BY 1
+"""

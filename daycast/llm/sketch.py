@@ -11,6 +11,7 @@ to ``MAX_BITS``, which bounds what the driver gathers and broadcasts.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -42,16 +43,16 @@ def cells(h: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (h >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _pack(sorted_cells: np.ndarray) -> bytes:
-    """Gaps of increasing cell numbers as bytes; 255 carries on."""
-    gaps = np.diff(sorted_cells, prepend=0)
+def pack(numbers: np.ndarray) -> bytes:
+    """Gaps of increasing numbers as bytes; 255 carries on."""
+    gaps = np.diff(numbers, prepend=0)
     n = gaps // 255 + 1
     out = np.full(int(n.sum()), 255, np.uint8)
     out[np.cumsum(n) - 1] = gaps % 255
     return out.tobytes()
 
 
-def _unpack(blob: bytes) -> np.ndarray:
+def unpack(blob: bytes) -> np.ndarray:
     raw = np.frombuffer(blob, np.uint8)
     return np.cumsum(raw, dtype=np.int64)[raw != 255]
 
@@ -70,24 +71,24 @@ def _pieces(h: np.ndarray, bits: int) -> Iterator[dict]:
         for a, b in zip(cuts[:-1], cuts[1:]):
             local = distinct[a:b] - (shard[a] << SHARD_BITS)
             many = count[a:b] > 1
-            yield {"row": row, "shard": int(shard[a]), "cells": _pack(local), "more": _pack(local[many]),
+            yield {"row": row, "shard": int(shard[a]), "cells": pack(local), "more": pack(local[many]),
                    "extra": np.minimum(count[a:b][many] - 1, MOST).astype(np.uint16).tobytes()}
 
 
-def width(n_hashes: int, thresholds: int = 1) -> int:
+def width(n_hashes: int, thresholds: int = 1, most_bits: int = MAX_BITS) -> int:
     """Bits of a row's cell number for so many hashes."""
     need = max(SHARD_BITS, math.ceil(math.log2(max(1, n_hashes) * LOAD)))
-    return min(need, MAX_BITS - math.ceil(math.log2(ROWS * thresholds)))
+    return min(need, most_bits - math.ceil(math.log2(ROWS * thresholds)))
 
 
 def build(docs: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], n_hashes: int,
-          thresholds: tuple[int, ...] = (2,)) -> Counts:
+          thresholds: tuple[int, ...] = (2,), most_bits: int = MAX_BITS) -> Counts:
     """Sketch of all hashes that ``hashes`` draws from the batches of ``docs``.
 
     A hash that is to count once for a document must be drawn once for it.
     """
     ship_package(docs.sparkSession)
-    bits = width(n_hashes, len(thresholds))
+    bits = width(n_hashes, len(thresholds), most_bits)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -120,7 +121,7 @@ def build(docs: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarra
                     if key:
                         yield bitmap(key, count)
                     key, count = (r["row"], r["shard"]), np.zeros(1 << SHARD_BITS, np.uint16)
-                for at, add in ((_unpack(r["cells"]), 1), (_unpack(r["more"]), np.frombuffer(r["extra"], np.uint16))):
+                for at, add in ((unpack(r["cells"]), 1), (unpack(r["more"]), np.frombuffer(r["extra"], np.uint16))):
                     count[at] = np.minimum(count[at] + add, MOST)
         if key:
             yield bitmap(key, count)
@@ -138,21 +139,38 @@ def build(docs: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarra
         for i in range(len(thresholds)):
             at = (i * ROWS + r["row"]) * row_bytes + r["shard"] * each
             full[at:at + each] = r["bits"][i * each:(i + 1) * each]
-    return Counts(docs.sparkSession.sparkContext.broadcast(bytes(full)), bits, len(thresholds))
+    # few bits are set: sent compressed, it takes a fraction of its size on every disk it passes
+    sent = docs.sparkSession.sparkContext.broadcast(pa.compress(pa.py_buffer(full), codec="zstd", asbytes=True))
+    return Counts(sent, len(full), bits, len(thresholds))
 
 
 SCHEMA = pa.schema([("row", pa.int32()), ("shard", pa.int32()), ("cells", pa.binary()), ("more", pa.binary()), ("extra", pa.binary())])
 
 
+_OPEN: dict[str, np.ndarray] = {}
+
+
 class Counts:
     """A merged sketch, broadcast."""
 
-    def __init__(self, sent, bits: int, thresholds: int) -> None:
-        self.sent, self.bits, self.thresholds = sent, bits, thresholds
+    def __init__(self, sent, size: int, bits: int, thresholds: int) -> None:
+        self.sent, self.size, self.bits, self.thresholds = sent, size, bits, thresholds
+        self.name = uuid.uuid4().hex
+
+    def drop(self) -> None:
+        """Remove the sketch everywhere (no query that uses it may run afterwards)."""
+        self.sent.destroy()
+
+    def _flags(self) -> np.ndarray:
+        """The bits, unpacked once per worker; a worker keeps one sketch at a time."""
+        if self.name not in _OPEN:
+            _OPEN.clear()
+            _OPEN[self.name] = np.frombuffer(pa.decompress(self.sent.value, decompressed_size=self.size, codec="zstd"), np.uint8)
+        return _OPEN[self.name]
 
     def level(self, h: np.ndarray) -> np.ndarray:
         """Thresholds that each hash may reach (0: certainly below the first)."""
-        flags = np.frombuffer(self.sent.value, np.uint8)
+        flags = self._flags()
         level = np.zeros(len(h), np.int64)
         each = [cells(h, row, self.bits) for row in range(ROWS)]
         for i in range(self.thresholds):
