@@ -59,7 +59,9 @@ def features(docs: DataFrame) -> DataFrame:
             .withColumn("_r", F.sort_array(F.transform(F.filter("_g", twice), lambda x: x["i"])))
             .withColumn("n_repeat_words", covered)
             .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-            .drop("_w", "_l", "_g", "_r"))
+            .drop("_w", "_l", "_g", "_r")
+            # a filter on a feature must not be pushed below: it would be computed once for each mention
+            .withColumn("_row", F.monotonically_increasing_id()))
 
 
 
@@ -129,8 +131,8 @@ def judge(docs: DataFrame, texts: bool = True) -> DataFrame:
         ok = _measure(m) <= F.coalesce(F.col(f"{m}_fence"), F.lit(1.0))
         inside = ok if inside is None else inside & ok
     return (feats.join(limit, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
-            .withColumn("kept", ~F.col("base_failed") & inside)
-            .drop("_lang", "_source"))
+            .withColumn("kept", ~F.col("base_failed") & inside & (F.col("_row") >= 0))
+            .drop("_lang", "_source", "_row"))
 
 
 def op3_quality(spark, sf_dir: str) -> DataFrame:
