@@ -22,7 +22,8 @@ class Template:
     ``steps`` maps (state, role) to the next state; a conversation is valid if
     the machine ends in ``final``.  ``reserved`` are further control strings of
     target models; like the template's own they never occur inside a formatted
-    text unescaped.
+    text unescaped.  No end of a marker may be the beginning of one, or a text's
+    last characters could be read as part of the marker after it.
     """
 
     opening: str = "<|im_start|>"
@@ -40,6 +41,11 @@ class Template:
         ("answered", "user"): "asked",
     })
 
+    def __post_init__(self) -> None:
+        own = (self.opening, self.middle, self.closing)
+        if any(not a or "\\" in a or any(b.startswith(a[i:]) for b in own for i in range(1, len(a))) for a in own):
+            raise ValueError(f"markers {own} are empty, hold a backslash or overlap")
+
     @property
     def control(self) -> str:
         """Pattern of every control string: first character and rest as groups."""

@@ -167,7 +167,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
     rows = texts.select("quality", "text").mapInArrow(latent, "quality int, v binary").collect()  # LABELLED small rows
     drop_stage(chosen)
-    voters = np.array([np.frombuffer(r["v"], np.float32) for r in rows], np.float32).reshape(len(rows), -1)
+    voters = np.array([np.frombuffer(r["v"], np.float32) for r in rows], np.float32).reshape(len(rows), axes.shape[1])
     label = np.array([r["quality"] for r in rows], np.float32)
     order = np.lexsort((label, *voters.T[:4])) if len(rows) else []  # one order whatever the tasks' order
     ballot = spark.sparkContext.broadcast((voters[order], label[order]))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from daycast.session import ship_package
 
 #: Pages the trees are fitted on, at most (those with the smallest hash of their id).
-SAMPLE = 192
+SAMPLE = 128
 TREES, DEPTH, RATE = 24, 4, 0.3
 
 # Elements by how HTML treats their text.
@@ -319,6 +319,7 @@ def variants(page: str) -> list[str]:
     inner = m.group(1)
     words = re.sub(r"<[^>]+>|&[^;\s]*;", " ", inner).split()
     few, some = " ".join(words[:9]), " ".join(words[9:60])
+    varied = _varied(inner)
     nav = re.search(r"<nav.*?</nav>", page, re.S)
     menu = nav.group(0) if nav else "<nav><ul><li><a href='/'>Home</a></li></ul></nav>"
     foot = re.search(r"<footer.*?</footer>", page, re.S)
@@ -330,11 +331,33 @@ def variants(page: str) -> list[str]:
              f'<div class="cookie-notice"><p>{few}</p></div><form action="/s"><label>{few}</label><input name="q"><button>{few}</button></form>')
     head = f"<header><p>{few}</p></header>"
     return [page,
-            f"<body>{head}{menu}<main><article>{inner}<aside>{some}</aside></article></main>{extra}{end}</body>",
+            f"<body>{head}{menu}<main><article>{varied}<aside>{some}</aside></article></main>{extra}{end}</body>",
             f'<body>{menu2}<div class="post-content">{inner}<div class="share">{few}</div></div>{extra}{end2}</body>',
+            f'<body>{head}{menu2}<div class="post-content">{varied}</div>{extra}{end2}</body>',
             f'<body><div class="header">{few}</div>{menu2}<main><section><article>{inner}<section class="comments"><p>{some}</p><p>{few}</p></section></article></section></main>{end2}</body>']
 
 
+def _varied(inner: str) -> str:
+    """The article with paragraphs turned into what else articles hold: lists, quotations, headings, tables, figures."""
+    forms = ("<p>{}</p>", "<ul><li>{}</li><li>{}</li></ul>", "<blockquote>{}</blockquote>", "<p>{}</p>", "<h2>{}</h2>",
+             "<ol><li><a href='/n'>{}</a></li><li>{}</li></ol>", "<div><p>{}</p></div>", "<table><tr><td>{}</td><td>{}</td></tr></table>",
+             "<figure><figcaption>{}</figcaption></figure>", "<section><h3>{}</h3><p>{}</p></section>", "<pre>{}</pre>")
+    turn = iter(range(1 << 30))
+
+    def put(m: re.Match) -> str:
+        form = forms[next(turn) % len(forms)]
+        words = re.sub(r"<[^>]*>", " ", m.group(1)).split()
+        cut = len(words) // 2 if form.count("{}") > 1 else len(words)
+        if "h2" in form or "h3" in form:
+            cut = min(cut, 8)
+        return form.format(*[" ".join(w) for w in (words[:cut], words[cut:])][:form.count("{}")])
+
+    text = re.sub(r"<p>(.*?)(?=</p>|<p>|\Z)(?:</p>)?", put, inner, flags=re.S)
+    # short articles too get one of each
+    head = " ".join(re.sub(r"<[^>]*>", " ", inner).split()[:12])
+    return text + f"<ul><li>{head}</li><li>{head[:30]}</li></ul><blockquote>{head}</blockquote><p>{head}</p>"
+
+
 def _teacher_of_variant(page: str) -> tuple[np.ndarray, np.ndarray] | None:
     marked = page.replace('<div class="post-content">', '<article class="post-content">')
     nodes = read_page(page)

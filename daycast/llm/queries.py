@@ -19,4 +19,6 @@ QUERIES = {
 
 ORACLE = {
     "op1_chat": chat.OP1_SQL,
+    "op2_substring": substring.OP2_SQL,
+    "op4_jaccard": jaccard.OP4_SQL,
 }

@@ -261,8 +261,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     done = F.aggregate("spans", begin, step, lambda a: F.concat(
         F.array_join(a["parts"], ""), F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
-    out = scan(docs).withColumn("_clean", F.when(F.size("spans") > 0, done).otherwise(F.col("text")))
-    return out.select(*[F.col("_clean").alias("text") if c == "text" else
+    out = scan(docs.withColumnRenamed("spans", "_given")).withColumn("_clean", F.when(F.size("spans") > 0, done).otherwise(F.col("text")))
+    return out.select(*[F.col("_clean").alias("text") if c == "text" else F.col("_given").alias("spans") if c == "spans" else
                         (F.length("_clean").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c))
                         for c in docs.columns])
 
