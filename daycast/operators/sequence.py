@@ -56,7 +56,8 @@ def ordered_neighbors(df: DataFrame, key: str, order: list[str], value: str,
 
     # ends of the buckets: at most 2k small rows each, in order
     ends = local.filter((F.col("_pos") <= k) | (F.col("_pos") > F.col("_cnt") - k)).groupBy(key, "_b").agg(
-        F.sort_array(F.collect_list(F.struct("_pos", F.col(value).alias("v")))).alias("_e"))
+        # whole rows, so that this branch and the rows read one exchange
+        F.sort_array(F.collect_list(F.struct("_pos", F.col(value).alias("v"), *[F.col(c).alias(f"c_{c}") for c in df.columns]))).alias("_e"))
     last = F.slice("_e", F.greatest(F.size("_e") - k + 1, F.lit(1)), k)
     along = Window.partitionBy(key).orderBy("_b")
     # k neighbouring buckets hold k values at least, so they are all that is needed

@@ -1,9 +1,10 @@
 """The pipeline stages (ingest -> clean -> merge -> features -> split -> fit
 -> score -> evaluate -> decide) as lazy DataFrames.
 
-One boundary is written as a table in the shared checkpoint folder, as the
-reference writes its processed file: the full data, one row per series and day,
-which split, fit, score and evaluation all read.  Up to there Catalyst sees the
+Two boundaries are written as tables in the shared checkpoint folder, as the
+reference writes its processed files: the raw daily weather (the one pass over
+lineitem) and the full data, one row per series and day, which split, fit, score
+and evaluation all read.  Up to there Catalyst sees the
 whole chain, prunes columns, pushes filters into the scans and reuses the
 exchanges behind the daily rollups.
 """
@@ -36,7 +37,7 @@ def weather_sources(spark: SparkSession, sf_dir: str, cut) -> tuple[DataFrame, D
     """Archive (days <= ``cut``, the last target day) and forecast (days >= it):
     one day overlaps.  The forecast copy carries temperatures +0.5 so that
     keep-first (archive wins) is visible in the output."""
-    w = weather_daily(spark, sf_dir)
+    w = stage(weather_daily(spark, sf_dir), "weather_raw")  # one pass over lineitem for both
     archive = w.filter(F.col("ds") <= cut)
     forecast = w.filter(F.col("ds") >= cut).select(
         "ds", *[(F.col(c) + 0.5).alias(c) for c in ("temperature_max", "temperature_min", "temperature_mean")])
@@ -62,6 +63,11 @@ def with_degree_days(df: DataFrame, temp: str = "temperature_mean") -> DataFrame
     return df.withColumn("HDD", heating_degree_days(temp)).withColumn("CDD", cooling_degree_days(temp))
 
 
+def staged_target(spark: SparkSession, sf_dir: str, series_cols: tuple[str, ...] = SEGMENT) -> DataFrame:
+    """The daily target as a table, for consumers that read it more than once."""
+    return stage(daily_target(spark, sf_dir, series_cols), "daily_target")
+
+
 def full_data(spark: SparkSession, sf_dir: str, staged: bool = True,
               series_cols: tuple[str, ...] = SEGMENT) -> DataFrame:
     """J1 + F1/F2: every weather day per series, target NULL on future days.
