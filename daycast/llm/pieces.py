@@ -11,6 +11,7 @@ the paths of all nodes in the window run through one boundary.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -53,11 +54,13 @@ class Pieces:
         #: Characters that stand side by side in some piece; a cut between others is safe.
         self.inside = {s[i:i + 2] for s in self.ids for i in range(len(s) - 1)}
         self.blanks = sorted((len(s) for s in self.ids if not s.strip(BLANK)), reverse=True)
-        #: Longest piece that ends in two characters (or is one character).
-        self.reach: dict[str, int] = {}
+        #: Lengths of the pieces that end in three (or two) characters, longest first.
+        self.tails: dict[str, tuple[int, ...]] = {x: (2, 1) for x in self.ids if len(x) == 2}
+        sizes: dict[str, set[int]] = {}
         for x in self.ids:
-            end = x[-2:]
-            self.reach[end] = max(self.reach.get(end, 1), len(x))
+            if len(x) > 2:
+                sizes.setdefault(x[-3:], {1, *[2] * (x[-2:] in self.ids)}).add(len(x))
+        self.tails |= {end: tuple(sorted(s, reverse=True)) for end, s in sizes.items()}
         self._follows: dict[tuple[str, str], bool] = {}
         self._pairs: dict[int, bool] = {}
 
@@ -147,11 +150,14 @@ class Pieces:
 
     def _short(self, s: str) -> list[int] | None:
         """The search for a string that fits into the window; None if it holds unknown characters."""
-        ids, follows, reach = self.ids, self._pairs, self.reach
+        ids, follows, tails, one = self.ids, self._pairs, self.tails, (1,)
         last = [-1] * (len(s) + 1)  # piece number of each boundary's path
         back = [0] * (len(s) + 1)
         for i in range(1, len(s) + 1):
-            for j in range(max(0, i - reach.get(s[i - 2:i] if i > 1 else s[0], 1)), i):
+            for size in (i > 2 and tails.get(s[i - 3:i])) or (i > 1 and tails.get(s[i - 2:i])) or one:
+                j = i - size
+                if j < 0:
+                    continue
                 before = last[j]
                 if before < 0 and j:
                     continue
@@ -197,6 +203,10 @@ class Pieces:
         last, from the left and as far as pieces go; only the blank next to the
         word can belong to the word's first piece.
         """
+        if self.merges and len(segment) <= 4 * self.longest and BLANK not in segment and segment.rfind(" ") == 0 and len(segment) > 1:
+            short = self._short(BLANK + segment[1:])  # the usual case: one blank and a word
+            if short is not None:
+                return short
         word = segment.lstrip(" ")
         run = len(segment) - len(word)
         # a blank character proper in the text is no blank: it goes by its bytes
@@ -234,7 +244,7 @@ class _Remembered(dict):
     def __missing__(self, segment: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        out = np.array(self.pieces.encode_segment(segment), np.int32).tobytes()
+        out = array("i", self.pieces.encode_segment(segment)).tobytes()
         if len(segment) <= 64:
             self[segment] = out
         return out
