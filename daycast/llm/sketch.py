@@ -180,6 +180,10 @@ class Counts:
             level += ok
         return level
 
+    def close(self) -> None:
+        """Free the unpacked bits of this worker (a task's end)."""
+        _OPEN.clear()
+
     def may(self, h: np.ndarray) -> np.ndarray:
         """False: the hash certainly stays below the first threshold."""
         return self.level(h) > 0

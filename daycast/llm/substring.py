@@ -2,7 +2,7 @@
 
 Pass one merges partition sketches of all windows (``sketch.py``).  Pass two
 draws the windows again, keeps those the sketch cannot rule out, and groups
-them exactly by a 128-bit hash.  Inside a task a window that occurs in several
+them exactly by a 96-bit hash.  Inside a task a window that occurs in several
 documents is settled at once: only its smallest document goes on, so a passage
 that a third of all documents share reaches its group once per task.
 """
@@ -23,7 +23,7 @@ WINDOW = 13
 #: Stands for a NULL document id: larger than every other.
 LAST = (1 << 63) - 1
 #: Windows a task holds before it settles them among themselves.
-HELD = 1 << 21
+HELD = 1 << 18
 
 
 def _windows(batch: pa.RecordBatch, k: int, which: int = 0):
@@ -57,21 +57,23 @@ def _candidates(seen: sketch.Counts, k: int):
                 h2, at2 = hash_windows(hash_words(part, starts, ends, 1), doc, k)
                 first_word = np.searchsorted(doc, np.arange(doc[-1] + 1))  # index of a document's first word
                 d = doc[at[pick]]
-                held.append((h1[pick], h2[pick], ids[a + d], rows[a + d], at[pick] - first_word[d]))
+                held.append((h1[pick], (h2[pick] >> np.uint64(32)).astype(np.int32), ids[a + d], rows[a + d], at[pick] - first_word[d]))
                 n += len(pick)
             if n >= HELD:
                 yield from settle(held)
                 held, n = [], 0
         if n:
             yield from settle(held)
+        seen.close()
 
     def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         h1, h2, doc, row, start = (np.concatenate(x) for x in zip(*held))
         order = np.lexsort((doc, h2, h1))
-        h1, h2, doc, row, start = h1[order], h2[order], doc[order], row[order], start[order]
-        new = np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
-        smallest = doc[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
-        known = doc > smallest
+        s1, s2, sd = h1[order], h2[order], doc[order]
+        new = np.concatenate([[True], (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1])])
+        known = np.empty(len(order), bool)
+        known[order] = sd > sd[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+        # rows go out in the order of the texts, so that ids and places compress
         for a in range(0, len(h1), 1 << 18):
             cut = slice(a, a + (1 << 18))
             go = ~known[cut]
@@ -81,28 +83,47 @@ def _candidates(seen: sketch.Counts, k: int):
     return task
 
 
-CANDIDATES = "h1 bigint, h2 bigint, doc bigint, row bigint, start int, done binary"
-_SCHEMA = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc", pa.int64()), ("row", pa.int64()),
+CANDIDATES = "h1 bigint, h2 int, doc bigint, row bigint, start int, done binary"
+_SCHEMA = pa.schema([("h1", pa.int64()), ("h2", pa.int32()), ("doc", pa.int64()), ("row", pa.int64()),
                      ("start", pa.int32()), ("done", pa.binary())])
 
 
 def _rows(h1, h2, doc, row, start) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(doc), pa.array(row),
+        [pa.array(h1.view(np.int64)), pa.array(h2), pa.array(doc), pa.array(row),
          pa.array(start.astype(np.int32)), pa.nulls(len(h1), pa.binary())], schema=_SCHEMA)
 
 
 def _by_document(doc: np.ndarray, row: np.ndarray, start: np.ndarray):
-    """Starts gathered per document row: document, row key, starts as int32 bytes."""
+    """Starts gathered per document row: document, row key, starts as packed gaps."""
     order = np.lexsort((start, row, doc))
     doc, row, start = doc[order], row[order], start[order].astype(np.int32)
-    cuts = np.concatenate([[0], np.flatnonzero((doc[1:] != doc[:-1]) | (row[1:] != row[:-1])) + 1, [len(doc)]]) if len(doc) else [0]
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        yield int(doc[a]), int(row[a]), np.unique(start[a:b]).tobytes()
+    if not len(doc):
+        return
+    first = np.concatenate([[0], np.flatnonzero((doc[1:] != doc[:-1]) | (row[1:] != row[:-1])) + 1])
+    # all groups at once: gaps as bytes, 255 carries on, each group begins with its first start
+    gaps = np.diff(start, prepend=0)
+    gaps[first] = start[first]
+    n = gaps // 255 + 1
+    ends = np.cumsum(n)
+    out = np.full(int(ends[-1]), 255, np.uint8)
+    out[ends - 1] = gaps % 255
+    data = out.tobytes()
+    cuts = np.append(ends[first] - n[first], ends[-1]).tolist()
+    yield from zip(doc[first].tolist(), row[first].tolist(), (data[a:b] for a, b in zip(cuts[:-1], cuts[1:])))
+
+
+def _starts(groups: list[bytes]) -> np.ndarray:
+    """The starts in packed groups of one text."""
+    raw = np.frombuffer(b"".join(groups), np.uint8)
+    size = np.array([len(g) for g in groups])
+    total = np.cumsum(raw, dtype=np.int64)
+    before = np.concatenate([[0], total[np.cumsum(size)[:-1] - 1]])
+    return (total - np.repeat(before, size))[raw != 255]
 
 
 def _settled(doc: np.ndarray, row: np.ndarray, start: np.ndarray) -> Iterator[pa.RecordBatch]:
-    rows = [{"h1": r, "h2": d, "doc": d, "row": r, "start": None, "done": s} for d, r, s in _by_document(doc, row, start)]
+    rows = [{"h1": r, "h2": 0, "doc": d, "row": r, "start": None, "done": s} for d, r, s in _by_document(doc, row, start)]
     for a in range(0, len(rows), 4096):
         yield pa.RecordBatch.from_pylist(rows[a:a + 4096], schema=_SCHEMA)
 
@@ -137,7 +158,7 @@ def _group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_starts(docs: DataFrame, k: int = WINDOW) -> DataFrame:
-    """``doc, row, starts``: first words of windows that an earlier document has (int32 bytes, pieces of a document in several rows)."""
+    """``doc, row, starts``: first words of windows that an earlier document has (packed, pieces of a document in several rows)."""
     keyed = docs.select(_doc(), _row(), "text")
     seen = sketch.build(docs.select("text"), lambda batch: (h for _, h, _, _ in _windows(batch, k)), sketch.estimate(docs))
     return (keyed.mapInArrow(_candidates(seen, k), CANDIDATES)
@@ -166,7 +187,7 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW) -> DataFrame:
     keep = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")]
     docs = docs.select(*keep)
     hits = (repeated_starts(docs, k).groupBy("doc", "row")
-            .agg(F.array_join(F.collect_list(F.hex("starts")), "").alias("_starts")))  # at most k-window starts of one text
+            .agg(F.collect_list("starts").alias("_starts")))  # all pieces of one text: at most one start a word
     joined = (docs.withColumns({"_doc": _doc(), "_row": _row()}).alias("d")
               .join(hits.alias("h"), (F.col("d._doc") == F.col("h.doc")) & (F.col("d._row") == F.col("h.row")), "left")
               .select("d.*", "_starts").drop("_doc", "_row"))
@@ -179,10 +200,8 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW) -> DataFrame:
                 words = text.encode().split() if text else []
                 gone = 0
                 if starts:
-                    s = np.frombuffer(bytes.fromhex(starts), np.int32)
-                    step = np.zeros(len(words) + 1, np.int32)
-                    np.add.at(step, s, 1)
-                    np.add.at(step, s + k, -1)
+                    s = _starts(starts)
+                    step = np.bincount(s, minlength=len(words) + 1) - np.bincount(s + k, minlength=len(words) + 1)
                     stays = np.cumsum(step[:-1]) == 0
                     gone = len(words) - int(stays.sum())
                     n_words.append(len(words))
@@ -201,3 +220,19 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW) -> DataFrame:
 def op2_substring(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP2_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS win
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 11, 1))) AS i FROM w)),
+earlier AS (SELECT win, min(doc_id) AS first FROM windows GROUP BY 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j
+  FROM (SELECT v.doc_id, v.i FROM windows v JOIN earlier e USING (win) WHERE v.doc_id > e.first)),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM w)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(g.n, 0)::BIGINT AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM w d LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1) g USING (doc_id)
+LEFT JOIN (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS kept FROM words ANTI JOIN gone USING (doc_id, j) GROUP BY 1) k USING (doc_id)
+"""
