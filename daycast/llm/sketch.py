@@ -29,7 +29,7 @@ MAX_BITS = 30
 #: Cells per expected hash in each row.
 LOAD = 4
 #: Hashes a task gathers before it sends a piece.
-PIECE = 1 << 22
+PIECE = 1 << 21
 #: Counters stop here.
 MOST = 60_000
 
