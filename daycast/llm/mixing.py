@@ -3,12 +3,13 @@
 A budget of words is dealt to sources by weight (water filling under a cap of
 two passes), then cut into equal blocks that go to sources, and within a
 source to its shards, by highest quotients.  Each shard fills its integer quota
-from its documents in a seeded order.
+with whole documents in a seeded order, and the one document that then brings
+it nearest to the quota.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ WEIGHTS = (5, 2, 1)
 BUDGET, PASSES = 1.5, 2
 #: Words in a block.
 BLOCK = 16
-#: Documents per (hash) shard over all sources together.
+#: Documents per (hash) shard of a source, at least; smaller sources are one shard.
 SHARD_DOCS = 4096
 SEED = 20261
 
@@ -87,18 +88,22 @@ def mix(docs: DataFrame) -> DataFrame:
     names added here are replaced).  NULL texts have size 0 and take nothing; a
     NULL source is a source, last in order; repeated rows count and are taken
     one by one; without words every target is 0; no rows give no rows.
-    ``taken`` counts words over at most two passes of a document.
+    ``taken`` counts words over at most two passes of a document; a pass takes
+    the whole document, so it is 0, 1 or 2 times ``size``.
 
     Shuffled: one row per source and shard for the quotas, and the documents
     once, by (source, shard).  A shard is a hash of the document id, so a hot
-    source is spread over all shards; the number of shards follows the number
-    of documents.
+    source is spread over many shards; their number follows the source's own
+    number of documents.
     """
     keep = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
     sized = docs.select(*keep).withColumn("size", n_words("text"))
-    total = docs.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / SHARD_DOCS)).cast("long").alias("n")).scalar()
+    # sources of several shards: at most one row per 2 * SHARD_DOCS documents
+    parts = (docs.groupBy(F.col("source").alias("p_source")).agg(F.floor(F.count(F.lit(1)) / SHARD_DOCS).cast("long").alias("_parts"))
+             .filter("_parts > 1"))
     lot = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(SEED))
-    sized = sized.withColumn("_lot", lot).withColumn("_shard", F.pmod(F.col("_lot"), total))
+    sized = (sized.withColumn("_lot", lot).join(F.broadcast(parts), F.col("source").eqNullSafe(F.col("p_source")), "left")
+             .withColumn("_shard", F.pmod(F.col("_lot"), F.coalesce("_parts", F.lit(1).cast("long")))).drop("p_source", "_parts"))
 
     shards = sized.groupBy("source", "_shard").agg(F.sum("size").alias("shard_size"))
     sources = targets(shards.groupBy("source").agg(F.sum("shard_size").alias("source_size")))
@@ -112,14 +117,22 @@ def mix(docs: DataFrame) -> DataFrame:
     per_shard = per_shard.select(F.col("source").alias("q_source"), F.col("_shard").alias("q_shard"), "shard_size", "source_size", "target",
                                  F.least(F.col("shard_blocks") * BLOCK, F.col("shard_size") * PASSES).alias("quota"))
 
-    order = W.partitionBy("source", "_shard").orderBy(F.xxhash64("_lot", F.lit(1)), "doc_id", "size")
-    ahead = F.coalesce(F.sum("size").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    shard = W.partitionBy("source", "_shard")
+    order = shard.orderBy(F.xxhash64("_lot", F.lit(1)), "doc_id", "size")
     joined = sized.join(per_shard, F.col("source").eqNullSafe(F.col("q_source")) & (F.col("_shard") == F.col("q_shard")))
     whole = F.least(F.lit(PASSES), F.floor(F.coalesce(F.try_divide(F.col("quota"), F.col("shard_size")), F.lit(0)))).cast("long")
-    return (joined.withColumn("_ahead", ahead).withColumn("_whole", whole)
-            .withColumn("_left", F.col("quota") - F.col("_whole") * F.col("shard_size") - F.col("_ahead"))
-            .withColumn("taken", (F.col("_whole") * F.col("size")
-                                  + F.least(F.col("size"), F.greatest(F.lit(0), F.col("_left")))).cast("long"))
+    # what the shard's passes leave of its quota, up to this document
+    after = F.col("_rest") - F.sum("size").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
+    gap = F.coalesce(F.min(F.when(F.col("_after") >= 0, F.col("_after"))).over(shard), F.col("_rest"))
+    # of the documents beyond, the one that brings the shard nearest to its quota (none, if all lead further away)
+    off = F.abs(F.col("size") - F.col("_gap"))
+    fits = (F.col("_after") < 0) & (off < F.col("_gap"))
+    best = F.min(F.when(fits, F.struct(off.alias("off"), F.col("_place").alias("place")))).over(shard)["place"]
+    chosen = (F.col("_after") >= 0) | F.coalesce(F.col("_place") == F.col("_best"), F.lit(False))
+    return (joined.withColumn("_whole", whole).withColumn("_rest", F.col("quota") - F.col("_whole") * F.col("shard_size"))
+            .withColumns({"_after": after, "_place": F.row_number().over(order)})
+            .withColumn("_gap", gap).withColumn("_best", best)
+            .withColumn("taken", ((F.col("_whole") + F.when(chosen, 1).otherwise(0)) * F.col("size")).cast("long"))
             .select(*keep, "size", F.col("source_size").cast("long").alias("source_size"), "target", "taken"))
 
 
@@ -129,13 +142,7 @@ def op10_mixing(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: a row per pass over a document; the last pass may be its first words only."""
-    mixed = mix(docs)
-    passes: Column = F.sequence(F.lit(1), F.ceil(F.try_divide(F.col("taken"), F.col("size"))).cast("int"))
-    part = F.least(F.col("size"), F.col("taken") - (F.col("_pass") - 1) * F.col("size"))
-    cut = F.when(part >= F.col("size"), F.col("text")).otherwise(
-        F.array_join(F.slice(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""), F.lit(1), part.cast("int")), " "))
-    out = mixed.filter("taken > 0").withColumn("_pass", F.explode(passes)).withColumn("_text", cut)
-    return out.select(*[F.col("_text").alias("text") if c == "text" else
-                        (F.length("_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c))
-                        for c in docs.columns])
+    """Pipeline stage: a row per pass over a document, its text unchanged."""
+    mixed = mix(docs).filter("taken > 0")
+    out = mixed.withColumn("_pass", F.explode(F.sequence(F.lit(1), F.try_divide(F.col("taken"), F.col("size")).cast("int"))))
+    return out.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])

@@ -270,3 +270,23 @@ def test_mixing_stage_writes_what_was_taken(spark):
     words = {r[0]: r[1].split() for r in rows}
     for i, (size, n) in taken.items():
         assert sum(map(len, by[i])) == n and all(w == words[i][:len(w)] for w in by[i]) and sum(len(w) < size for w in by[i]) <= 1
+
+
+def test_only_whole_documents_are_taken_however_many_sources(spark):
+    # several shards for the large source, one for each small one; line breaks and blanks stay
+    rows = [(i, f"one {i}\n two\tthree " + "w " * (i % 60), "large", "en", 1) for i in range(3 * mixing.SHARD_DOCS)]
+    rows += [(100_000 + i, f"first  line\nsecond {i}\n" + "w " * (i % 97), f"small{i % 5}", "en", 1) for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    got = mixing.mix(df).collect()
+    assert all(r.taken in (0, r.size, 2 * r.size) for r in got)
+    sums = {}
+    for r in got:
+        taken, _, most = sums.get(r.source, (0, 0, 0))
+        sums[r.source] = (taken + r.taken, r.target, max(most, r.size))
+    assert all(abs(taken - target) <= 3 * (most / 2 + 2 * mixing.BLOCK) for taken, target, most in sums.values())
+    texts = {r[0]: r[1] for r in rows}
+    out = collections.Counter()
+    for r in mixing.stage(spark, df, "").collect():
+        assert r.text == texts[r.doc_id]
+        out[r.doc_id] += 1
+    assert out == collections.Counter({r.doc_id: r.taken // r.size for r in got if r.taken})
