@@ -122,7 +122,7 @@ def build(docs: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarra
                         yield bitmap(key, count)
                     key, count = (r["row"], r["shard"]), np.zeros(1 << SHARD_BITS, np.uint16)
                 for at, add in ((unpack(r["cells"]), 1), (unpack(r["more"]), np.frombuffer(r["extra"], np.uint16))):
-                    count[at] = np.minimum(count[at] + add, MOST)
+                    count[at] = np.minimum(count[at].astype(np.uint32) + add, MOST)  # 16 bits could wrap
         if key:
             yield bitmap(key, count)
 

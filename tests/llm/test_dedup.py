@@ -166,6 +166,18 @@ def test_sketch_never_underestimates(spark):
     assert (level >= exact).all() and (level == exact).mean() > 0.99
 
 
+def test_merged_counters_do_not_wrap(spark):
+    """One hash, 65,537 times over two tasks: 60,000 + 5,537, in either order."""
+    docs = spark.createDataFrame(spark.sparkContext.parallelize([(60_000,), (5_537,)], 2), "n long")
+    one = 0x123456789ABCDEF1
+
+    def hashes(batch):
+        for n in batch.column("n").to_pylist():
+            yield np.full(n, one, np.uint64)
+
+    assert sketch.build(docs, hashes, 65_537).may(np.array([one], np.uint64)).all()
+
+
 def test_gap_coding_round_trip():
     cells = np.unique(np.random.default_rng(0).integers(0, 1 << 22, 5000))
     assert (sketch.unpack(sketch.pack(cells)) == cells).all()
