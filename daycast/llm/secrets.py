@@ -3,10 +3,11 @@
 Everything is a DataFrame expression on the row of a text.  Candidate tokens
 (long runs of key characters) are tested for being uniformly random in their
 inferred encoding: chi-squared over the alphabet, runs about the middle of the
-alphabet, and lag-one serial correlation.  A token is ordinary if randomness is
-rejected; the rejections are controlled per encoding and length class by the
-Benjamini-Hochberg rule on binned p-values, and tokens too short for the
-chi-squared test to reject ordinary writing are never called secret.
+alphabet, lag-one serial correlation, and for runs of letters the likelihood
+ratio of ordinary writing.  A token is ordinary if randomness is rejected; the
+rejections are controlled per encoding and length class by the
+Benjamini-Hochberg rule on binned p-values, and tokens too short for the tests
+to reject ordinary writing are never called secret.
 """
 
 from __future__ import annotations
@@ -28,8 +29,15 @@ KINDS = ("assign", "access", "hex", "random")
 #: Characters of an assigned value, or it is no secret.
 LEAST_VALUE = 6
 
-#: Candidates of the battery: runs of key characters, this long or longer.
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+def _run(chars: str, around: str) -> str:
+    """A whole run of ``chars`` with none of ``around`` beside it; padding belongs to it at the end only."""
+    return rf"(?<![{around}])[{chars}]{{20,}}+(?:=++(?![{_ANY}]))?(?![{around}])"
+
+
+_ANY = "A-Za-z0-9+/_-"
+#: Candidates of the battery: whole runs of base64 characters or, where '-' or '_' stand beside them, what lies between
+#: slashes; runs of base64url characters; runs of letters and digits.  '=' between characters is an assignment.
+TOKENS = (_run("A-Za-z0-9+/", _ANY) + "|" + _run("A-Za-z0-9+", "A-Za-z0-9+_-"), _run("A-Za-z0-9_-", "A-Za-z0-9_-"), _run("A-Za-z0-9", "A-Za-z0-9"))
 #: Alphabets in code order.
 _DIGITS, _UPPER, _LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALPHABETS = {
@@ -45,6 +53,14 @@ ALPHABETS = {
 }
 #: Repeat rate of letters in ordinary writing (sum of squared letter shares).
 ORDINARY = 0.065
+#: Letters of ordinary writing, a to z in per mille, and their share in the alternative (the rest is uniform, for other languages).
+LETTERS = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1)
+ORDINARY_SHARE = 0.8
+_LOGS = [math.log(26 * (ORDINARY_SHARE * c / sum(LETTERS) + (1 - ORDINARY_SHARE) / 26)) for c in LETTERS]
+_LOG_MEAN = sum(_LOGS) / 26
+_LOG_VAR = sum((x - _LOG_MEAN) ** 2 for x in _LOGS) / 26
+#: Least lengths of runs of letters alone, and of upper-case hex (as that of the base kind).
+LEAST = {"lower": 32, "upper": 32, "hex_upper": 24}
 #: Share of falsely rejected tokens among the rejected.
 FDR = 0.05
 #: p-value bins per decade and their number.
@@ -68,11 +84,14 @@ def _offsets(lengths: Column) -> Column:
     return F.when(n > 0, F.flatten(F.zip_with(blocks, running(sums, F.lit(0)), running))).otherwise(F.array().cast("array<int>"))
 
 
-def _located(df: DataFrame, name: str, pattern: str, value: int = 0) -> DataFrame:
-    """Adds ``name``: array of (start, end, value) of the leftmost non-overlapping matches, in code points."""
+def _located(df: DataFrame, name: str, pattern: str, value: int = 0, maybe: str | None = None) -> DataFrame:
+    """Adds ``name``: array of (start, end, value) of the leftmost non-overlapping matches, in code points.
+
+    Where the column ``maybe`` is false, nothing can match.
+    """
     text, p = F.col("_text"), F.lit(pattern)
     none = F.array().cast("array<string>")
-    hit = text.rlike(pattern)
+    hit = F.col(maybe) & text.rlike(pattern) if maybe else text.rlike(pattern)
     df = df.withColumns({"_m": F.when(hit, F.regexp_extract_all(text, p, F.lit(0))).otherwise(none),
                          "_gap": F.when(hit, F.split(text, pattern, -1)).otherwise(none)})
     df = df.withColumn("_v", F.when(hit, F.regexp_extract_all(text, p, F.lit(value))).otherwise(none) if value else F.col("_m"))
@@ -158,7 +177,9 @@ def _sums(x: Column) -> Column:
                         (a["sl"] + F.when(new, 0.0).otherwise(a["last"] * v)).alias("sl"))
 
     return F.struct(x["start"].alias("start"), x["end"].alias("end"), x["enc"].alias("enc"), x["n"].alias("n"), x["k"].alias("k"),
-                    x["squares"].alias("squares"), F.aggregate(x["places"], begin, step).alias("a"))
+                    x["squares"].alias("squares"), F.aggregate(x["places"], begin, step).alias("a"),
+                    F.when(x["enc"].isin("lower", "upper"), F.aggregate(
+                        x["places"], F.lit(0.0), lambda a, v: a + F.get(F.array(*map(F.lit, _LOGS)), v.cast("int")))).alias("written"))
 
 
 def _verdict(x: Column) -> Column:
@@ -174,24 +195,32 @@ def _verdict(x: Column) -> Column:
     spread = a["ss"] - n * mean * mean
     lag = a["sl"] - mean * (2 * a["s"] - a["first"] - a["last"]) + (n - 1) * mean * mean
     p_lag = F.when(spread <= 0, 0.0).otherwise(2 * _tail(F.abs(lag / F.greatest(spread, F.lit(1e-9)) + 1 / n) * F.sqrt(n)))
-    p = F.least(F.lit(1.0), 3 * F.least(_tail(z_chi), p_runs, p_lag))
+    # letters alone: how much likelier ordinary writing is than random letters
+    p_written = _tail((x["written"] - n * _LOG_MEAN) / F.sqrt(n * _LOG_VAR))
+    p = F.least(F.lit(1.0), F.when(x["written"].isNull(), 3).otherwise(4) * F.least(_tail(z_chi), p_runs, p_lag, p_written))
     return F.struct(x["start"].alias("start"), x["end"].alias("end"),
                     F.concat(x["enc"], F.lit(":"), F.floor(F.log2(n)).cast("string")).alias("group"),
                     F.least(F.lit(MOST_BINS), F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * BINS)).cast("int").alias("bin"))
 
 
 def _testable(x: Column) -> Column:
-    """Where ordinary writing would pass the chi-squared test, passing it says nothing."""
+    """Where ordinary writing would pass the tests, passing them says nothing."""
     power = x["n"] * (F.length(x["chars"]) * ORDINARY - 1) / F.sqrt(2.0 * (F.length(x["chars"]) - 1))
-    return x["enc"].isNotNull() & ~x["enc"].isin("decimal", "hex", "hex_upper") & (x["n"] >= 20) & (power >= 4)
+    own = F.lit(False)
+    for enc, least in LEAST.items():
+        own = own | ((x["enc"] == enc) & (x["n"] >= least))
+    return x["enc"].isNotNull() & (own | (~x["enc"].isin("decimal", "hex", *LEAST) & (x["n"] >= 20) & (power >= 4)))
 
 
 def _candidates(df: DataFrame) -> DataFrame:
-    df = _located(df, "_tokens", TOKEN)
-    # a token of letters alone needs mixed case to be more than a word
-    mixed = F.filter("_tokens", lambda x: x["value"].rlike("[0-9]") | x["value"].rlike("[a-z][A-Z][a-z]"))
+    df = df.withColumn("_maybe", F.col("_text").rlike(rf"(?<![{_ANY}])[{_ANY}]{{20}}"))
+    for i, pattern in enumerate(TOKENS):
+        df = _located(df, f"_tokens{i}", pattern, maybe="_maybe")
+    names = [f"_tokens{i}" for i in range(len(TOKENS))]
+    # a run of letters of both cases needs them mixed to be more than a word
+    mixed = F.filter(F.array_distinct(F.concat(*names)), lambda x: x["value"].rlike("[0-9]|[a-z][A-Z][a-z]|^([a-z]+|[A-Z]+)=*$"))
     ready = F.filter(F.transform(F.transform(mixed, _inferred), _measured), _testable)
-    return df.withColumn("_tested", F.transform(F.transform(F.transform(ready, _placed), _sums), _verdict)).drop("_tokens")
+    return df.withColumn("_tested", F.transform(F.transform(F.transform(ready, _placed), _sums), _verdict)).drop("_maybe", *names)
 
 
 def _limits(tested: DataFrame) -> DataFrame:
@@ -209,7 +238,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     Offsets are code points, ends exclusive; ``kind`` is an index into
     ``KINDS``.  The battery adds spans of kind ``random`` that overlap no base
-    span; base spans always stay.  Needs ``text``; other columns pass (a column
+    span and lie in no longer one; base spans always stay.  Needs ``text``; other columns pass (a column
     ``spans`` is replaced).  NULL and empty texts have no spans, equal texts
     equal spans, an empty table stays empty.  The documents are read twice: the
     first pass counts p-values per (encoding, length class), a table of at most
@@ -228,6 +257,9 @@ def scan(docs: DataFrame) -> DataFrame:
     df = df.withColumns({"_base": base, "_random": random})
     free = F.filter("_random", lambda x: ~F.exists("_base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
     df = df.withColumn("_random", free)
+    longest = F.filter("_random", lambda x: ~F.exists("_random", lambda y: (
+        (y["start"] <= x["start"]) & (x["end"] <= y["end"]) & (y["end"] - y["start"] > x["end"] - x["start"]))))
+    df = df.withColumn("_random", longest)
     return df.withColumn("spans", F.sort_array(F.concat("_base", spans("_random", 3)))).select(*keep, "spans")
 
 

@@ -177,6 +177,37 @@ def test_battery_finds_random_keys_and_leaves_ordinary_tokens(spark):
     assert sum(bool(got[i]) for i, _ in calm) <= 4
 
 
+def test_battery_finds_keys_in_every_layout_and_case(spark):
+    rng = np.random.default_rng(8)
+    key = lambda chars, n: "".join(rng.choice(list(chars), n))
+    mixed, url = string.ascii_letters + string.digits, string.ascii_letters + string.digits + "-_"
+    word = lambda n: "".join(rng.choice(list("etaoinshrdlu"), n))
+    layouts = {  # text with the key between bars
+        "name": lambda: f"GH_PAT=|ghp_{key(mixed, 36)}|",
+        "query": lambda: f"https://h.example/a/b?x=1&sig=|{key(mixed, 40)}|&y=2",
+        "padded": lambda: f"BLOB=|{key(mixed, 42)}==| end",
+        "path": lambda: f"https://h.example/{word(8)}-{word(9)}/v1_{word(6)}/|{key(mixed, 40)}|/{word(9)}",
+        "joined": lambda: f"{word(9)}/{word(7)}_{word(8)}/|{key(url, 43).strip('-_')}|",
+        "hex_upper": lambda: f"id |{key('0123456789ABCDEF', 40)}| end",
+        "lower": lambda: f"is |{key(string.ascii_lowercase, 48)}| end",
+        "upper": lambda: f"X=|{key(string.ascii_uppercase, 48)}|"}
+    rows, want = [], {}
+    for k, name in enumerate(layouts):
+        for i in range(60):
+            before, secret, after = layouts[name]().split("|")
+            rows.append((1000 * k + i, before + secret + after))
+            want[1000 * k + i] = (len(before), len(before) + len(secret))
+    # ordinary runs: long words of small and of large letters, assignments, numbers
+    calm = [(100_000 + i, f"{word(45)} {word(50).upper()} LONG_NAME_OF_A_SETTING_{word(5)}={word(24)} {'2024010112' * 4} {word(33)}/{word(30)}_{word(21)}")
+            for i in range(300)]
+    got = {r.doc_id: [(x.start, x.end) for x in r.spans if x.kind == 3] for r in
+           secrets.scan(spark.createDataFrame(rows + calm, "doc_id long, text string").repartition(4)).collect()}
+    for k, name in enumerate(layouts):
+        hits = sum(any(s <= want[i][0] + 1 and want[i][1] - 1 <= e for s, e in got[i]) for i in range(1000 * k, 1000 * k + 60))
+        assert hits >= 50, (name, hits)
+    assert sum(bool(got[i]) for i, _ in calm) <= 6
+
+
 def test_no_added_span_on_the_given_documents(spark):
     got = secrets.op7_secrets(spark, "/root/testdata/sf0.01")
     assert got.filter(F.col("spans").contains("random")).count() == 0
