@@ -2,8 +2,8 @@
 
 Both halves of the vectors are quantised by codebooks of their own; a cell is a
 pair of centroids.  A query walks the pairs in the order of summed distance (a
-heap over the two sorted lists) until the visited cells hold enough vectors,
-and every vector there is measured exactly.
+heap over the two sorted lists) until the visited cells hold enough distinct
+vectors, and every vector there is measured exactly.
 """
 
 from __future__ import annotations
@@ -24,8 +24,10 @@ from daycast.session import ship_package
 #: Vectors the codebooks are fitted on, at most (those with the smallest hash of their id).
 SAMPLE = 16_384
 ITERATIONS = 12
-#: Share of all vectors (and number at least) that a query's visited cells hold.
+#: Share of all distinct vectors (and number at least) that a query's visited cells hold.
 VISIT, LEAST_VISIT = 0.04, 2_000
+#: Non-empty cells that a walk visits at least: one cell counts for this part of the budget at most.
+LEAST_CELLS = 8
 #: Vectors or queries of a cell that one task takes together.
 BLOCK = 2_048
 
@@ -73,7 +75,11 @@ def _matrix(col: pa.Array) -> np.ndarray:
 
 
 def walk(d1: np.ndarray, d2: np.ndarray, count: np.ndarray, enough: int) -> list[int]:
-    """Cells by increasing d1[i] + d2[j] until they hold ``enough`` vectors (empty cells are passed over)."""
+    """Cells by increasing d1[i] + d2[j] until they hold ``enough`` vectors (empty cells are passed over).
+
+    However many a cell holds, it counts for an equal share of ``LEAST_CELLS`` at most, so a hot cell cannot end the walk.
+    """
+    most = max(1, -(-enough // LEAST_CELLS))
     o1, o2 = np.argsort(d1, kind="stable"), np.argsort(d2, kind="stable")
     heap, seen, out, held = [(d1[o1[0]] + d2[o2[0]], 0, 0)], {(0, 0)}, [], 0
     k2 = len(d2)
@@ -82,7 +88,7 @@ def walk(d1: np.ndarray, d2: np.ndarray, count: np.ndarray, enough: int) -> list
         cell = int(o1[i]) * k2 + int(o2[j])
         if count[cell]:
             out.append(cell)
-            held += int(count[cell])
+            held += min(int(count[cell]), most)
         for a, b in ((i + 1, j), (i, j + 1)):
             if a < len(o1) and b < k2 and (a, b) not in seen:
                 seen.add((a, b))
@@ -131,10 +137,11 @@ def search(vectors: DataFrame, is_query, top: int = 10, id_col: str = "vec_id",
     element = good.schema["embedding"].dataType.simpleString()
     placed = good.mapInArrow(place, f"vec_id long, embedding {element}, is_query boolean, cell int")
     count = np.zeros(k * k2, np.int64)
-    for r in placed.groupBy("cell").count().collect():  # at most 1024 * 1024 cells
+    distinct = placed.select("cell", F.xxhash64("embedding").alias("h")).distinct()
+    for r in distinct.groupBy("cell").count().collect():  # at most 1024 * 1024 cells
         count[r["cell"]] = r["count"]
     count_b = vectors.sparkSession.sparkContext.broadcast(count)
-    enough = max(int(total * VISIT), LEAST_VISIT)
+    enough = max(int(count.sum() * VISIT), LEAST_VISIT)
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b1, b2 = books_b.value

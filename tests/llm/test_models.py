@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -187,6 +188,36 @@ def test_recall_and_scores(spark):
     assert [v for _, v, _ in by[3100]] == [17, *range(3000, 3009)]  # ties go to the smaller id
 
 
+def test_recall_where_the_index_prunes(spark):
+    """60,000 clustered vectors, a third of them one vector or close to it, with groups around that hot place."""
+    rng = np.random.default_rng(6)
+    n, dim = 60_000, 32
+    centres = rng.normal(size=(300, dim))
+    x = centres[rng.integers(0, 300, n)] + 0.4 * rng.normal(size=(n, dim))
+    hot = x[0].copy()
+    x[:12_000] = hot
+    x[12_000:20_000] = hot + 0.01 * rng.normal(size=(8_000, dim))
+    around = hot + 0.6 * rng.normal(size=(100, dim))
+    x[20_000:22_000] = np.repeat(around, 20, axis=0) + 0.2 * rng.normal(size=(2_000, dim))
+    x = x.astype(np.float32)
+    perm = rng.permutation(n)  # ids say nothing about the place
+    asked = np.concatenate([np.arange(20_000, 22_000, 20), np.arange(22_000, n, 380)])
+    table = pa.table({"vec_id": perm, "embedding": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), dim).cast(pa.list_(pa.float32())),
+                      "q": np.isin(np.arange(n), asked)})
+    got = neighbours.search(spark.createDataFrame(table).repartition(8), F.col("q")).toPandas()
+    x = x.astype(float)
+    hits = {}
+    for i in asked:
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        d[i] = np.inf
+        last = np.sort(d)[9]
+        hits[i] = (got["score"][got["query_id"] == perm[i]] <= last + 1e-9).sum() / 10
+    near = np.mean([h for i, h in hits.items() if i < 22_000])
+    rest = np.mean([h for i, h in hits.items() if i >= 22_000])
+    print(f"recall around the hot place {near:.3f}, elsewhere {rest:.3f}")
+    assert near >= 0.9 and rest >= 0.9
+
+
 def test_neighbour_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [1.0, None]), (7, [1.0]),
@@ -208,6 +239,14 @@ def test_cells_are_walked_by_summed_distance():
     assert neighbours.walk(d1, d2, count, 1) == [order[1]]
 
 
+def test_one_hot_cell_does_not_end_the_walk():
+    d1, d2 = np.arange(20.0), np.arange(20.0) / 50
+    count = np.ones(400, int)
+    count[0] = 1_000_000
+    assert len(neighbours.walk(d1, d2, count, 2_000)) == 400
+    assert len(neighbours.walk(d1, d2, np.full(400, 1_000_000), 2_000)) == neighbours.LEAST_CELLS
+
+
 # ---- classifier ------------------------------------------------------------
 
 
