@@ -25,11 +25,14 @@ SAMPLE = 128
 TREES, DEPTH, RATE = 24, 4, 0.3
 
 # Elements by how HTML treats their text.
-HIDDEN = frozenset("script style noscript template head title meta link svg math iframe object canvas textarea select option".split())
+HIDDEN = frozenset("script style noscript template head title meta link svg iframe object canvas textarea select option annotation annotation-xml".split())
 RAW = ("script", "style", "noscript", "template", "textarea", "title", "svg", "iframe")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+MATH = frozenset("math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
+INLINE = MATH | frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+#: Elements that do not end an open <head>.
+IN_HEAD = frozenset("head html base link meta title style script noscript template".split())
 #: An opening tag on the left ends an open one on the right.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
@@ -48,7 +51,7 @@ HINTS = {
     "share": "share social follow tags meta byline author date",
 }
 _HINT = {w: i for i, ws in enumerate(HINTS.values()) for w in ws.split()}
-_TAGS = ["article", "main", "section", "div", "p", "h", "ul", "li", "nav", "header", "footer", "aside", "form", "table", "blockquote", "body", "other"]
+_TAGS = ["article", "main", "section", "div", "p", "h", "ul", "li", "nav", "header", "footer", "aside", "form", "table", "blockquote", "body", "#text", "other"]
 _TAG = {t: i for i, t in enumerate(_TAGS)} | {f"h{i}": _TAGS.index("h") for i in range(1, 7)} | {"ol": _TAGS.index("ul"), "menu": _TAGS.index("nav"),
                                                                                             "fieldset": _TAGS.index("form"), "button": _TAGS.index("form")}
 
@@ -57,6 +60,8 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTR = re.compile(r"([^\s=\"'<>/]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 _SPLIT = re.compile(r"[^a-z]+")
+_SELF_CLOSED = re.compile(r"(?:^|[\s\"']|^[^=]*)/$")
+_RAW_END = {t: re.compile(rf"<(/?){t}(?:\s[^>]*)?/?>", re.I) for t in RAW}
 
 
 class Node:
@@ -80,15 +85,36 @@ def _hints(attrs: str) -> list[int]:
 
 
 def read_page(page: str) -> list[Node]:
-    """Elements of a page in order, index 0 the root; inline elements belong to the block around them."""
+    """Elements of a page in order, index 0 the root; inline elements belong to the block around them.
+
+    A block of text directly in the root is an element of its own (``#text``).
+    """
     nodes = [Node(-1, "body", [], 0, False)]
     stack: list[tuple[str, int]] = [("#root", 0)]  # open tags, each with the element its text goes to
     block, links = 0, 0
     at, hidden = 0, None
 
     def put(text: str) -> None:
+        if hidden == "head" and text and not text.isspace():
+            end_head()
         if text and hidden is None:
-            nodes[stack[-1][1]].pieces.append((block, text, links > 0))
+            to = stack[-1][1]
+            if to == 0:
+                last = nodes[0].children[-1] if nodes[0].children else 0
+                if not last or nodes[last].tag != "#text" or nodes[last].pieces[0][0] != block:
+                    if text.isspace():
+                        return
+                    last = len(nodes)
+                    nodes[0].children.append(last)
+                    nodes.append(Node(0, "#text", [], 1, False))
+                to = last
+            nodes[to].pieces.append((block, text, links > 0))
+
+    def end_head() -> None:
+        """The end tag of <head> may be left out: what belongs to the body ends it."""
+        nonlocal hidden
+        hidden = None
+        del stack[next(i for i, (t, _) in enumerate(stack) if t == "head"):]
 
     while m := _TOKEN.search(page, at):
         put(page[at:m.start()])
@@ -111,7 +137,14 @@ def read_page(page: str) -> list[Node]:
                 block += 1
             continue
         attrs = m.group(3)
-        if tag in RAW and not attrs.endswith("/"):
+        if hidden == "head" and tag not in IN_HEAD:
+            end_head()
+        if tag in HIDDEN and _SELF_CLOSED.search(attrs):
+            # empty, unless its own end tag is the next one of its name
+            after = _RAW_END[tag].search(page, at) if tag in RAW else None
+            if not (after and after.group(1)):
+                continue
+        if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
@@ -185,10 +218,11 @@ def features(nodes: list[Node]) -> np.ndarray:
     out[:, b + 8] = [x.depth for x in nodes]
     out[:, b + 9] = [len(x.children) for x in nodes]
     for x in nodes:
+        below = max(sum(sub[y, 0] for y in x.children), 1.0)
         for k, c in enumerate(x.children):
             out[c, b + 10] = k / max(len(x.children) - 1, 1)  # place among the siblings
             out[c, b + 11] = len(x.children)
-            out[c, b + 12] = sub[c, 0] / max(sum(sub[y, 0] for y in x.children), 1.0) if len(x.children) < 64 else 0
+            out[c, b + 12] = sub[c, 0] / below
             out[c, b + 13] = k and np.log1p(sub[x.children[k - 1], 0])
     return out
 
@@ -271,11 +305,12 @@ def decode(nodes: list[Node], score: np.ndarray) -> list[bool]:
 def main_text(page: str, model: tuple) -> str:
     """Blocks of kept elements in page order, one per line, white space as one blank."""
     nodes = read_page(page)
-    if len(nodes) == 1:
-        return _join([nodes[0].pieces])
+    if all(x.tag == "#text" for x in nodes[1:]):
+        return _join([x.pieces for x in nodes])
     keep = decode(nodes, scores(model, features(nodes)))
-    loose = nodes[0].pieces if not any(keep[1:]) else []
-    return _join([x.pieces for x, k in zip(nodes[1:], keep[1:]) if k] + [loose])
+    if not any(keep[1:]):
+        keep = [x.tag == "#text" for x in nodes]
+    return _join([x.pieces for x, k in zip(nodes[1:], keep[1:]) if k])
 
 
 def _join(parts: list[list[tuple[int, str, bool]]]) -> str:
@@ -330,7 +365,14 @@ def variants(page: str) -> list[str]:
              f'<section class="comments" id="comments"><h2>{few}</h2><div class="comment"><p>{some}</p></div><p>{few}</p></section>'
              f'<div class="cookie-notice"><p>{few}</p></div><form action="/s"><label>{few}</label><input name="q"><button>{few}</button></form>')
     head = f"<header><p>{few}</p></header>"
+    # the article as loose text in the body, beside loose links
+    cut = max(len(words) // 3, 1)
+    loose = (f"<h1>{' '.join(words[:1])}</h1>{' '.join(words[:cut])}<br><br><b>{' '.join(words[cut:cut + 3])}</b> {' '.join(words[cut + 3:2 * cut])}"
+             f"<h2>{few}</h2>{' '.join(words[2 * cut:])}")
+    links = "".join(f'<a href="/{i}">{w}</a> | ' for i, w in enumerate(words[:5]))
     return [page,
+            f"{LOOSE}<body>{links}{menu2}{loose}{extra}{end2}</body>",
+            f"{LOOSE}<body><h1>{' '.join(words[:1])}</h1>{' '.join(words[:cut])}<br><br>{' '.join(words[cut:2 * cut])}</body>",
             f"<body>{head}{menu}<main><article>{varied}<aside>{some}</aside></article></main>{extra}{end}</body>",
             f'<body>{menu2}<div class="post-content">{inner}<div class="share">{few}</div></div>{extra}{end2}</body>',
             f'<body>{head}{menu2}<div class="post-content">{varied}</div>{extra}{end2}</body>',
@@ -358,7 +400,15 @@ def _varied(inner: str) -> str:
     return text + f"<ul><li>{head}</li><li>{head[:30]}</li></ul><blockquote>{head}</blockquote><p>{head}</p>"
 
 
+#: Marks a rewriting whose article is loose text in the body.
+LOOSE = "<!--loose-->"
+
+
 def _teacher_of_variant(page: str) -> tuple[np.ndarray, np.ndarray] | None:
+    if page.startswith(LOOSE):
+        nodes = read_page(page)
+        y = [x.parent == 0 and (x.tag in ("h1", "h2") or x.tag == "#text" and not all(linked for _, s, linked in x.pieces if len(s) > 3)) for x in nodes]
+        return features(nodes), np.array(y, float)
     marked = page.replace('<div class="post-content">', '<article class="post-content">')
     nodes = read_page(page)
     y = teacher(read_page(marked) if marked is not page else nodes)

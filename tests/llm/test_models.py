@@ -135,6 +135,27 @@ def test_decoding_keeps_nothing_below_a_dropped_element():
     assert pages.decode(nodes, score)[1:] == [False, False, True, True, False]
 
 
+SENTENCE = "The council met on Monday evening and agreed on a plan for the old harbour, which will be rebuilt over the next four years. "
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<body><h1>T</h1>{SENTENCE}<br><br>And <b>then</b> {SENTENCE}</body>", ["T", f"{SENTENCE}And then {SENTENCE}"]),
+    (f"<html><head><title>t</title><meta charset=utf-8><body><article><h1>T</h1><p>{SENTENCE}</p></article></body>", ["T", SENTENCE]),
+    (f"<html><head><title>t</title><article><h1>T</h1><p>{SENTENCE}</p></article>", ["T", SENTENCE]),
+    (f'<article><h1>T</h1><svg width="1"/><iframe src="x" /><p>{SENTENCE}</p><svg/><p>{SENTENCE}</p><svg><text>no</text></svg></article>', ["T", SENTENCE, SENTENCE]),
+    (f"<article><h1>T</h1><math/><p>{SENTENCE}</p><script src=/a/>var no = 1;</script><script/>no<p>no</script></article>", ["T", SENTENCE]),
+    (f"<article><h1>T</h1><p>{SENTENCE} where <math><mi>a</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>", ["T", f"{SENTENCE} where a=2 holds."]),
+])
+def test_pages_of_other_shapes(trees, page, want):
+    assert pages.main_text(page, trees) == "\n".join(" ".join(w.split()) for w in want)
+
+
+def test_place_among_many_siblings():
+    nodes = pages.read_page("<article>" + "<p>four</p>" * 100 + "</article>")
+    x = pages.features(nodes)
+    assert np.allclose(x[2:, -2], 0.01)
+
+
 def test_all_given_pages(spark):
     import html
     import re
