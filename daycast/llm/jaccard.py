@@ -3,13 +3,14 @@
 1 - Jaccard is a metric.  Documents meet in cells: a cell is a rare shingle of
 their prefixes (two sets with similarity t share one of the first
 n - ceil(t n) + 1 shingles in any common order, here rarest first).  A cell is
-joined by pivots, recursively.  One document becomes the pivot and the distance
+joined by pivots, at two fixed levels.  One document becomes the pivot and the distance
 of the others to it is computed exactly; those linked to it need no more links
 among themselves.  What is left of a cell falls apart into regions (components),
 each with a pivot of its own.  By the triangle inequality a document outside a
 region can only be linked into it if its distance to the pivot exceeds the
 region's radius by the link radius at most; such boundary documents are copied
 to the region, where windows of the same width pick the pairs that are measured.
+The result is components: links inside a component are not all measured.
 
 Equal sets are one class from the start, and a set of which so many shingles
 occur nowhere else that no prefix shingle is shared (count-min sketch: never
