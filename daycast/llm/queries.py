@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from daycast.llm import chat, classifier, covertree, jaccard, mixing, neighbours, pages, pieces, quality, secrets, substring, whitening
+from daycast.llm import (alignment, chat, classifier, covertree, jaccard, mixing, neighbours, pages, pieces, quality, secrets,
+                         substring, whitening)
 
 QUERIES = {
     "op1_chat": chat.op1_chat,
@@ -16,6 +17,7 @@ QUERIES = {
     "op9_classifier": classifier.op9_classifier,
     "op10_mixing": mixing.op10_mixing,
     "op11_whitening": whitening.op11_whitening,
+    "op12_alignment": alignment.op12_alignment,
     "op13_neardups": covertree.op13_neardups,
 }
 
