@@ -398,10 +398,14 @@ def pair_scores(table: DataFrame, bits: int) -> DataFrame:
 
 
 def _give_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Scores of pairs along their postings to the documents; rows come block by block, documents before pairs."""
+    """Scores of pairs along their postings to the documents.
+
+    Rows come block by block, documents before pairs, a pair's score before its planes.
+    """
     names = ["row", *COUNTS, "groups_sha256"]
     current, docs = None, []
     sums = best = np.zeros(0, np.int64)
+    score, top = 0, False
 
     def close() -> pa.RecordBatch:
         columns = [pa.concat_arrays([d.column(c) for d in docs]) for c in names]
@@ -423,7 +427,10 @@ def _give_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not is_pair[p]:
                 docs.append(part)
                 continue
-            for raw, score, top in zip(part.column("planes").to_pylist(), part.column("score").to_pylist(), part.column("best").to_pylist()):
+            for raw, given, is_best in zip(part.column("planes").to_pylist(), part.column("score").to_pylist(), part.column("best").to_pylist()):
+                if raw is None:
+                    score, top = given, is_best
+                    continue
                 for bit, slots in read_planes(raw):
                     sums[slots] += score << bit
                     if top:
@@ -455,11 +462,12 @@ def align(docs: DataFrame, first: str = BYTES_MODEL, second: str = PIECES_MODEL)
     with open(first, encoding="utf-8") as f, open(second, "rb") as g:
         bits = Tokenizers(f.read(), g.read()).bits
     scores = stage(pair_scores(table, bits), "pair_scores")
-    scored = table.filter("pair is not null").select("block", "pair", "planes").join(
+    # scores join the postings' keys alone; the planes move once, to their block
+    scored = table.filter("pair is not null").select("block", "pair").join(
         scores.select("pair", F.col("links").alias("score"), "best"), "pair")
-    rows = table.filter("slot is not null").select("block", "slot", "row", *COUNTS, "groups_sha256")
+    rows = table.select("block", "slot", "row", *COUNTS, "groups_sha256", "pair", "planes")
     mixed = rows.unionByName(scored, allowMissingColumns=True)
-    out = (mixed.repartition("block").sortWithinPartitions("block", F.col("slot").asc_nulls_last())
+    out = (mixed.repartition("block").sortWithinPartitions("block", F.col("slot").asc_nulls_last(), "pair", F.col("planes").isNotNull())
            .mapInArrow(_give_back, StructType([table.schema["row"], *(StructField(c, LongType()) for c in COUNTS),
                                                StructField("groups_sha256", StringType()), StructField("n_best", LongType()),
                                                StructField("count_sum", LongType())])))
