@@ -18,6 +18,7 @@ from daycast.functions.columns import rounded
 from daycast.operators import clean, daily, joins
 from daycast.operators import evaluate as EV
 from daycast.operators import model as M
+from daycast.operators import pooled as PL
 from daycast.operators import ridge as RG
 from daycast.operators import serve as S
 from daycast.operators import validate as V
@@ -694,3 +695,37 @@ def q_tuned_forecast(spark, sf):
     fc, _best = P.tuned(spark, sf)
     return _r(fc.select("series_id", "ds", "split", "y", "yhat", "yhat_lower", "yhat_upper", "trial_id", "test_mase"),
               {"y": 2, "yhat": 4, "yhat_lower": 4, "yhat_upper": 4, "test_mase": 4})
+
+
+# ====================================================================== M6, distributed
+
+#: Fixed parameter of the two-term fit: the ridge added to both terms.
+TREND_RIDGE = 0.5
+
+
+def _pool(spark, sf):
+    """The whole design, every series in one pool."""
+    return P.ridge_design(P.full_data(spark, sf)).withColumn("series_id", F.lit("all"))
+
+
+@register("pooled_normal_sums")
+def q_pooled_normal_sums(spark, sf):
+    """M6: X'X and X'y of the pool of all series over the 90 design terms, from merged partial sums."""
+    sums = PL.normal_sums(_pool(spark, sf))
+    p = len(RG.terms())
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(p) for j in range(i, p)])
+    gram = sums.select("n", F.inline(F.arrays_zip(pairs.alias("at"), F.col("gram").alias("value")))).select("n", "at.i", "at.j", "value")
+    side = sums.select("n", F.posexplode(F.transform("xty", lambda v: v / F.col("top"))).alias("i", "value")).select(
+        "n", "i", F.lit(-1).alias("j"), "value")
+    return _r(gram.unionByName(side), {"value": 4})
+
+
+@register("pooled_trend_fit")
+def q_pooled_trend_fit(spark, sf):
+    """M6: intercept and trend of every series by the distributed fit (a ridge of 0.5 on both), from raw train rows."""
+    prepared = P.prepared_train(P.full_data(spark, sf))
+    d = D.with_trend_time(EV.chronological_split(prepared), fit_mask=F.col("split") == "train")
+    d = d.select("series_id", "ds", "y", "split", F.array(F.lit(1.0), F.col("t")).alias("x"))
+    fitted = PL.solve(PL.normal_sums(d), RG.DEFAULT_PARAMS, penalty=lambda _params: [TREND_RIDGE, TREND_RIDGE])
+    return _r(fitted.select("series_id", "mode_used", "out_scale", F.col("coef")[0].alias("intercept"), F.col("coef")[1].alias("slope")),
+              {"out_scale": 2, "intercept": 6, "slope": 6})

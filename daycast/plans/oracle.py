@@ -632,3 +632,42 @@ q("retrain_decision_by_nation", """
 SELECT series_id, model_name, window_size, baseline, mae_window, mase_window,
        coalesce(mase_window > 0.95, true) AS should_retrain
 FROM n_report""", "n_report")
+
+
+# ---------------------------------------------------------------- M6, distributed
+def _x_list() -> str:
+    """The design row as a list, in term order."""
+    import math
+
+    parts = ["1.0::DOUBLE", "t"] + [f"greatest(t - {_dbl(0.8 * j / 25)}, 0.0)" for j in range(1, 26)]
+    for period, order in ((7.0, 3), (365.25, 10)):
+        for j in range(1, order + 1):
+            w = _dbl(2.0 * math.pi * j / period)
+            parts += [f"sin({w} * d)", f"cos({w} * d)"]
+    parts += [f"CASE WHEN list_contains(a.active, '{n}|{o}') THEN 1.0 ELSE 0.0 END" for n, o in _TERMS]
+    return "[" + ", ".join([*parts, "hz", "cz"]) + "]"
+
+
+cte("x_active", """
+SELECT day, list(DISTINCT holiday || '|' || off) AS active FROM (
+  SELECT CAST(ds + off AS DATE) AS day, holiday, off FROM (
+    SELECT holiday, ds, CAST(unnest(generate_series(lower_window, upper_window)) AS INTEGER) AS off FROM x_holidays)) GROUP BY 1""",
+    "x_holidays")
+cte("x_pool", f"""
+SELECT {_x_list()} AS x, y, max(abs(y)) OVER () AS top FROM x_design LEFT JOIN x_active a ON a.day = ds WHERE split = 'train'""",
+    "x_design", "x_active")
+cte("x_tall", """
+SELECT r, y, top, unnest(x) AS v, CAST(unnest(range(90)) AS INTEGER) AS i FROM (SELECT *, row_number() OVER () AS r FROM x_pool)""", "x_pool")
+q("pooled_normal_sums", f"""
+SELECT n, i, j, {R('value', 4)} AS value FROM (
+  SELECT (SELECT count(*) FROM x_pool) AS n, a.i, b.i AS j, sum(a.v * b.v) AS value
+  FROM x_tall a JOIN x_tall b ON a.r = b.r AND a.i <= b.i GROUP BY a.i, b.i
+  UNION ALL
+  SELECT count(*), i, -1, sum(v * y / top) FROM x_tall GROUP BY i)""", "x_pool", "x_tall")
+q("pooled_trend_fit", f"""
+SELECT series_id, 'additive' AS mode_used, {R('top', 2)} AS out_scale,
+       {R('((s_tt + 0.5) * s_y - s_t * s_ty) / ((n + 0.5) * (s_tt + 0.5) - s_t * s_t)', 6)} AS intercept,
+       {R('((n + 0.5) * s_ty - s_t * s_y) / ((n + 0.5) * (s_tt + 0.5) - s_t * s_t)', 6)} AS slope
+FROM (SELECT series_id, count(*) AS n, any_value(top) AS top, sum(t) AS s_t, sum(t * t) AS s_tt, sum(y / top) AS s_y, sum(t * y / top) AS s_ty
+      FROM (SELECT series_id, t, y, max(abs(y)) OVER (PARTITION BY series_id) AS top FROM x_design WHERE split = 'train') GROUP BY 1)""",
+  "x_design")
