@@ -713,7 +713,8 @@ def q_pooled_normal_sums(spark, sf):
     """M6: X'X and X'y of the pool of all series over the 90 design terms, from merged partial sums."""
     sums = PL.normal_sums(_pool(spark, sf))
     p = len(RG.terms())
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(p) for j in range(i, p)])
+    pairs = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(p - 1)), lambda i: F.transform(
+        F.sequence(i, F.lit(p - 1)), lambda j: F.struct(i.alias("i"), j.alias("j")))))
     gram = sums.select("n", F.inline(F.arrays_zip(pairs.alias("at"), F.col("gram").alias("value")))).select("n", "at.i", "at.j", "value")
     side = sums.select("n", F.posexplode(F.transform("xty", lambda v: v / F.col("top"))).alias("i", "value")).select(
         "n", "i", F.lit(-1).alias("j"), "value")

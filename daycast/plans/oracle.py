@@ -654,10 +654,10 @@ SELECT day, list(DISTINCT holiday || '|' || off) AS active FROM (
     SELECT holiday, ds, CAST(unnest(generate_series(lower_window, upper_window)) AS INTEGER) AS off FROM x_holidays)) GROUP BY 1""",
     "x_holidays")
 cte("x_pool", f"""
-SELECT {_x_list()} AS x, y, max(abs(y)) OVER () AS top FROM x_design LEFT JOIN x_active a ON a.day = ds WHERE split = 'train'""",
+SELECT series_id, ds, {_x_list()} AS x, y, max(abs(y)) OVER () AS top FROM x_design LEFT JOIN x_active a ON a.day = ds WHERE split = 'train'""",
     "x_design", "x_active")
 cte("x_tall", """
-SELECT r, y, top, unnest(x) AS v, CAST(unnest(range(90)) AS INTEGER) AS i FROM (SELECT *, row_number() OVER () AS r FROM x_pool)""", "x_pool")
+SELECT r, y, top, unnest(x) AS v, CAST(unnest(range(90)) AS INTEGER) AS i FROM (SELECT *, row_number() OVER (ORDER BY series_id, ds) AS r FROM x_pool)""", "x_pool")
 q("pooled_normal_sums", f"""
 SELECT n, i, j, {R('value', 4)} AS value FROM (
   SELECT (SELECT count(*) FROM x_pool) AS n, a.i, b.i AS j, sum(a.v * b.v) AS value
