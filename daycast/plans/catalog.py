@@ -711,7 +711,7 @@ def _pool(spark, sf):
 @register("pooled_normal_sums")
 def q_pooled_normal_sums(spark, sf):
     """M6: X'X and X'y of the pool of all series over the 90 design terms, from merged partial sums."""
-    sums = PL.normal_sums(_pool(spark, sf))
+    sums = stage(PL.normal_sums(_pool(spark, sf)), "normal_sums")
     p = len(RG.terms())
     pairs = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(p - 1)), lambda i: F.transform(
         F.sequence(i, F.lit(p - 1)), lambda j: F.struct(i.alias("i"), j.alias("j")))))
