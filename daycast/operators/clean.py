@@ -71,15 +71,16 @@ def repair_zeros(df: DataFrame, by: str = "series_id", order: str = "ds", value:
 
 
 def repair_zeros_raw(df: DataFrame, by: str, order: list[str], value: str,
-                     half_width: int = 2, bucket=None) -> DataFrame:
+                     half_width: int = 2, bucket=None, points: DataFrame | None = None) -> DataFrame:
     """The same repair over raw, unbounded rows (ordered by ``order``).
 
     Uses bucketed neighbours instead of one window per series, so a series
-    that holds most of the rows is still spread over many tasks.
+    that holds most of the rows is still spread over many tasks; ``points``
+    (``sequence.split_points``) also splits a single day that holds them.
     """
     nz = "_nz"
     base = df.withColumn(value, F.col(value).cast("double")).withColumn(nz, F.nullif(F.col(value), F.lit(0.0)))
-    nb = ordered_neighbors(base, by, order, nz, before=half_width, after=half_width, bucket=bucket)
+    nb = ordered_neighbors(base, by, order, nz, before=half_width, after=half_width, bucket=bucket, points=points)
     parts = [F.col(nz)] + [F.col(f"{nz}_prev{j}") for j in range(1, half_width + 1)] + \
             [F.col(f"{nz}_next{j}") for j in range(1, half_width + 1)]
     total = sum((F.coalesce(p, F.lit(0.0)) for p in parts[1:]), F.coalesce(parts[0], F.lit(0.0)))

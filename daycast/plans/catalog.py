@@ -20,6 +20,7 @@ from daycast.operators import evaluate as EV
 from daycast.operators import model as M
 from daycast.operators import pooled as PL
 from daycast.operators import ridge as RG
+from daycast.operators import sequence as SQ
 from daycast.operators import serve as S
 from daycast.operators import validate as V
 from daycast.operators import weather as W
@@ -183,6 +184,22 @@ def q_zero_repair(spark, sf):
     return _r(clean.repair_zeros_raw(r, "series_id", ["ts", "event_id"], "value"), {"value": 6})
 
 
+#: Fixed parameter of the query: rows from which a day is split (production: ``sequence.SPLIT_ROWS``).
+HOT_DAY_ROWS = 200
+
+
+@register("zero_repair_hot_day")
+def q_zero_repair_hot_day(spark, sf):
+    """P9/P10/W1 where one series has all readings on one day, many of them at one instant: the day is split at stored points."""
+    ev = FX.event_readings(spark, sf)
+    instant = F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.pmod(F.col("event_id") * 7919, F.lit(86_400)))
+    r = ev.select(F.lit("all").alias("series_id"), "event_id",
+                  (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=instant)).alias("ts"),
+                  F.when(F.col("event_id") % 7 == 0, 0.0).otherwise(F.col("value")).alias("value"))
+    points = SQ.split_points(r, "series_id", ["ts", "event_id"], rows=HOT_DAY_ROWS, parts=32)
+    return _r(clean.repair_zeros_raw(r, "series_id", ["ts", "event_id"], "value", points=points), {"value": 6})
+
+
 # ====================================================================== U1/U3, J1, P6/P7/P11, F1/F2, S3
 @register("weather_union_first")
 def q_weather_union_first(spark, sf):

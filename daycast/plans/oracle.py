@@ -162,6 +162,14 @@ SELECT series_id, event_id, ts,
             ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) ELSE value END''')} AS value
 FROM (SELECT series_id, event_id, ts, CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value END AS value FROM x_readings)
 """, "x_readings")
+q("zero_repair_hot_day", f"""
+SELECT series_id, event_id, ts,
+       {R("""CASE WHEN value = 0 THEN avg(nullif(value, 0)) OVER (PARTITION BY series_id ORDER BY ts, event_id
+            ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) ELSE value END""")} AS value
+FROM (SELECT 'all' AS series_id, event_id, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(
+               CASE WHEN event_id % 3 = 0 THEN 0 ELSE event_id * 7919 % 86400 END) AS ts,
+             CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value END AS value FROM x_readings)
+""", "x_readings")
 q("json_rejects", """
 SELECT series_id, 'records' AS shape, CASE WHEN event_id % 3 = 0 THEN 'rejects' ELSE 'rows' END AS kind, count(*) AS n
 FROM x_readings GROUP BY ALL
