@@ -607,6 +607,20 @@ def q_artifact_roundtrip(spark, sf):
                     rounded("intercept", 4).alias("intercept")))
 
 
+@register("artifact_versions")
+def q_artifact_versions(spark, sf):
+    """A full run, a run over some series, and one that dies before its pointer moves; then what readers see."""
+    root = scratch_path(spark, f"artifacts-{uuid.uuid4().hex}")
+    daily_rows = stage(daily.daily_totals(FX.event_readings(spark, sf)).select("series_id", "ds", "y"), "versions_daily")
+    run = lambda d, factor: d.select("series_id", "ds", (F.col("y") * factor).alias("yhat"))
+    SK.save_forecast(run(daily_rows, 1.0), root, "m")
+    SK.save_forecast(run(daily_rows.filter(F.length("series_id") % 2 == 0), 2.0), root, "m")
+    path, fmt = SK.artifact_path(root, "forecast")
+    lost = run(daily_rows, 3.0).withColumns({"model_name": F.lit("m"), "series_bucket": SK.series_bucket("series_id")})
+    SK.write_version(lost, path, fmt, ["model_name", "series_bucket"])  # never committed
+    return _r(SK.read_artifact(spark, root, "forecast").select("series_id", "ds", "model_name", "yhat"), {"yhat": 2})
+
+
 @register("schema_checks")
 def q_schema_checks(spark, sf):
     """Columns, types, rows and NULLs of the raw and the prepared frames, and which schema checks they pass."""

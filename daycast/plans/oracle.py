@@ -610,6 +610,9 @@ SELECT r.series_id, r.model_name, '2001-08-02T00:00:00' AS timestamp_utc, r.wind
        {R('l.intercept', 4)} AS intercept
 FROM x_report r JOIN x_valrep v USING (series_id) JOIN x_tw_lin l USING (series_id)""",
   "x_report", "x_valrep", "x_full", "x_tw_lin")
+q("artifact_versions", f"""
+SELECT series_id, ds, 'm' AS model_name, {R('y * CASE WHEN length(series_id) % 2 = 0 THEN 2.0 ELSE 1.0 END', 2)} AS yhat
+FROM (SELECT series_id, CAST(ts AS DATE) AS ds, sum(value) AS y FROM x_readings GROUP BY 1, 2)""", "x_readings")
 _closed = """
 SELECT series_id, CAST(ts AS DATE) AS day_start, min(ts) AS jour, round(sum(value), 2) + 0.0 AS y,
        count(*) AS n_readings

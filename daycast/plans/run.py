@@ -53,7 +53,6 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, as_of: str, n_tria
     # train the flagged series (E6) with the tuner (M12-M14), keep the table
     design = stage(P.ridge_design(valid_full), "design")
     to_train = EV.train_flagged_only(design, flags_in)
-    stored = SK.artifact_path(root, "model")[0]
     if not to_train.isEmpty():
         best = stage(best_trial(search(to_train, RG.Ridge(), n_trials), [*RG.DEFAULT_PARAMS, "mode_used"]), "best")
         # the fits of series not trained this run stay in the table
@@ -63,7 +62,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, as_of: str, n_tria
 
     # load (M11): the model table now holds the new fits and, for series not
     # retrained, the previous run's fits; series with neither are unavailable
-    if SK.path_exists(spark, stored):
+    if SK.has_artifact(spark, root, "model"):
         coef = RG.coefficients_from_table(SK.read_artifact(spark, root, "model").filter(F.col("model_name") == model_name))
     else:
         coef = spark.createDataFrame([], RG.COEF_SCHEMA)

@@ -71,7 +71,7 @@ def test_history_of_a_missing_or_empty_run(spark, caplog):
     with pytest.raises(ValueError, match="no metrics"):
         SK.append_metrics_history(None, root)
     SK.append_metrics_history(spark.createDataFrame([], "series_id string"), root)
-    assert "no metrics" in caplog.text and not SK.path_exists(spark, SK.artifact_path(root, "metrics_history")[0])
+    assert "no metrics" in caplog.text and not SK.has_artifact(spark, root, "metrics_history")
 
 
 def test_partial_retrain_keeps_other_fits(spark):

@@ -54,7 +54,8 @@ def test_forecast_sink_is_bucketed_and_prunable(spark):
     SK.save_forecast(fc, root, "m")
     import os
 
-    folders = os.listdir(os.path.join(root, "forecasts", "model_name=m"))
+    version = next(f for f in os.listdir(os.path.join(root, "forecasts")) if f.startswith(SK.FOLDER))
+    folders = os.listdir(os.path.join(root, "forecasts", version, "model_name=m"))
     assert 1 < len([f for f in folders if f.startswith("series_bucket=")]) <= SK.SERIES_BUCKETS
     one = SK.read_series(spark, root, "forecast", "7", "m")
     assert one.count() == 4
