@@ -96,7 +96,6 @@ def train_flagged_only(train: DataFrame, flags: DataFrame, by: str = "series_id"
 
 
 def gate(df: DataFrame, report_flags: DataFrame, by: str = "series_id") -> tuple[DataFrame, DataFrame]:
-    """E5: rows of valid series go on; invalid series go to a rejects frame."""
+    """E5: rows of valid series go on; all others go to a rejects frame, those that the report does not name included."""
     ok = report_flags.filter(F.col("is_valid")).select(by)
-    bad = report_flags.filter(~F.col("is_valid")).select(by)
-    return df.join(ok, by, "left_semi"), df.join(bad, by, "left_semi")
+    return df.join(ok, by, "left_semi"), df.join(ok, by, "left_anti")

@@ -2,18 +2,24 @@
 
 Row checks (NULLs, rules) are one aggregate over the rows; duplicates are a
 grouping on all columns (partial aggregation, so a hot duplicate group is
-counted map-side); missing days are one calendar pass (generator + anti
-join); sortedness uses range-partitioned neighbours.  Only schema checks run
-on the driver, and they read the schema, not the data.
+counted map-side; fingerprints first where rows are wide); missing days come
+from neighbouring observed days; sortedness folds summaries of ingest runs.
+Only schema checks run on the driver, and they read the schema, not the data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daycast.operators.sequence import ordered_neighbors
+from daycast.operators.sequence import ID_BITS, as_number
+from daycast.operators.tune import key_type
+from daycast.session import ship_package, stage
 
 DATETIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -58,26 +64,111 @@ def duplicate_rows(df: DataFrame, by: str = "series_id") -> DataFrame:
     return g.groupBy(by).agg(F.sum(F.col("_n") - 1).alias("duplicated_rows"))
 
 
+#: Repeated fingerprints (16 bytes and some) that are sent to all tasks, at most; more are joined by shuffle.
+SENT_FINGERPRINTS = 1 << 20
+
+
+def duplicate_rows_wide(df: DataFrame, by: str = "series_id") -> DataFrame:
+    """:func:`duplicate_rows` for wide raw rows: 128-bit fingerprints are counted first, and only rows
+    whose fingerprint repeats are regrouped as a whole, so a collision counts for nothing.
+
+    Equal rows have equal fingerprints (NULLs are marked; 0.0 and -0.0, and all
+    NaNs, hash alike); a copy that fills a third of the table is collapsed before
+    either shuffle.
+    """
+    marks = [F.col(f"`{c}`").isNull() for c in df.columns]
+    cells = [F.col(f"`{c}`") for c in df.columns]
+    prints_f, prints_g = F.xxhash64(F.lit(1), *cells, *marks), F.xxhash64(F.lit("2"), *marks, *cells)
+    prints = df.select(prints_f.alias("_f"), prints_g.alias("_g"))
+    repeated = stage(prints.groupBy("_f", "_g").count().filter("count > 1").select("_f", "_g"), "fingerprints")
+    few = repeated.limit(SENT_FINGERPRINTS + 1).count() <= SENT_FINGERPRINTS
+    some = df.select(*cells, prints_f.alias("_f"), prints_g.alias("_g")).join(F.broadcast(repeated) if few else repeated, ["_f", "_g"], "left_semi").select(*cells)
+    copies = duplicate_rows(some, by).withColumnRenamed(by, "_k")
+    series = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+    return series.join(copies, F.col(by).eqNullSafe(F.col("_k")), "left").select(
+        by, F.coalesce("duplicated_rows", F.lit(0)).cast("bigint").alias("duplicated_rows"))
+
+
+def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``key, bucket, seq, day`` sorted by them -> one row per run of equal (key, bucket):
+    first and last of ``seq`` and ``day``, rows that are out of order (a NULL day, or a day before the one above)."""
+    open_run: dict | None = None
+    schema = None
+
+    def put(run: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([run["key"], *(pa.array([run[c]], pa.int64()) for c in (
+            "bucket", "first_seq", "last_seq", "first_day", "last_day", "bad"))], names=schema)
+
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        key, bucket, seq, day = batch.columns
+        schema = [batch.schema.names[0], "bucket", "first_seq", "last_seq", "first_day", "last_day", "bad"]
+        codes = key.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        buckets, seqs = (c.fill_null(-(1 << 62)).to_numpy(zero_copy_only=False) for c in (bucket, seq))
+        missing, days = day.is_null().to_numpy(zero_copy_only=False), day.fill_null(0).to_numpy(zero_copy_only=False)
+        edge = np.r_[True, (codes[1:] != codes[:-1]) | (buckets[1:] != buckets[:-1])]
+        after = np.r_[False, ~edge[1:] & ~missing[:-1] & (days[:-1] > days[1:])]
+        bad = missing | after
+        starts = np.flatnonzero(edge).tolist()
+        sums = np.add.reduceat(bad.astype(np.int64), starts).tolist()
+        for p, q, wrong in zip(starts, [*starts[1:], n], sums):
+            day_of = lambda i: None if missing[i] else int(days[i])
+            run = {"key": key.slice(p, 1), "bucket": int(buckets[p]), "first_seq": int(seqs[p]), "last_seq": int(seqs[q - 1]),
+                   "first_day": day_of(p), "last_day": day_of(q - 1), "bad": wrong}
+            if open_run is not None and p == 0 and open_run["bucket"] == run["bucket"] and open_run["key"].equals(run["key"]):
+                before, now = open_run["last_day"], run["first_day"]
+                run["bad"] += open_run["bad"] + int(before is not None and now is not None and before > now)
+                run["first_seq"], run["first_day"] = open_run["first_seq"], open_run["first_day"]
+            elif open_run is not None:
+                yield put(open_run)
+            open_run = run
+    if open_run is not None:
+        yield put(open_run)
+
+
 def sortedness(df: DataFrame, seq: str, day: str, by: str = "series_id") -> DataFrame:
     """In ingest order ``seq``, is ``day`` non-decreasing?  A NULL day
-    counts as unsorted.  Inversions are counted, not just detected."""
-    nb = ordered_neighbors(df.select(by, seq, day), by, [seq], day, before=1)
-    bad = F.col(day).isNull() | (F.col(f"{day}_prev1") > F.col(day))
-    return nb.groupBy(by).agg(F.count_if(bad).alias("n_inversions")).withColumn(
-        "is_sorted", F.col("n_inversions") == 0)
+    counts as unsorted.  Inversions are counted, not just detected.
+
+    Each task sorts what it read and sums up every (series, run of ingest
+    numbers) as first, last and inversions; these rows, not the readings, are
+    shuffled and folded in order.  Where the parts of a run from several tasks
+    interleave, the rows of that run alone are dealt anew and summed up again.
+    """
+    ship_package(df.sparkSession)
+    rows = df.select(by, F.shiftright(as_number(df, seq), ID_BITS).alias("bucket"), as_number(df, seq).alias("seq"), as_number(df, day).alias("day"))
+    schema = f"{key_type(df, by)}, bucket long, first_seq long, last_seq long, first_day long, last_day long, bad long"
+    order = [by, "bucket", "seq"]
+    parts = stage(rows.sortWithinPartitions(*order).mapInArrow(_summaries, schema), "sorted_parts")
+    # parts are cut to their bucket, so only parts of one bucket can interleave
+    along = Window.partitionBy(by, "bucket").orderBy("first_seq")
+    mixed = parts.withColumn("_over", F.col("first_seq") <= F.max("last_seq").over(along.rowsBetween(Window.unboundedPreceding, -1)))
+    clash = mixed.groupBy(by, "bucket").agg(F.bool_or(F.coalesce("_over", F.lit(False))).alias("_over")).filter("_over").select(
+        F.col(by).alias("_k"), F.col("bucket").alias("_b"))
+    match = F.col(by).eqNullSafe(F.col("_k")) & F.col("bucket").eqNullSafe(F.col("_b"))
+    again = rows.join(clash, match, "left_semi").repartition(by, "bucket").sortWithinPartitions(*order).mapInArrow(_summaries, schema)
+    clean = parts.join(clash, match, "left_anti").unionByName(again)
+    step = F.lag("last_day").over(Window.partitionBy(by).orderBy("bucket", "first_seq")) > F.col("first_day")
+    out = clean.withColumn("_step", F.coalesce(step, F.lit(False)).cast("long"))
+    return out.groupBy(by).agg(F.sum(F.col("bad") + F.col("_step")).alias("n_inversions")).withColumn("is_sorted", F.col("n_inversions") == 0)
 
 
 def missing_days_report(df: DataFrame, day: str = "ds", by: str = "series_id") -> DataFrame:
     """V7 (C4 + J6): count of calendar days absent between first and last day,
-    and the text ``'first to last'`` of the missing ones (NULL if none)."""
-    obs = df.select(by, day).filter(F.col(day).isNotNull()).distinct()
-    bounds = obs.groupBy(by).agg(F.min(day).alias("_first"), F.max(day).alias("_last"))
-    cal = bounds.select(by, F.explode(F.sequence("_first", "_last")).alias(day))
-    miss = cal.join(obs, [by, day], "left_anti").groupBy(by).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(day).alias("_lo"), F.max(day).alias("_hi"))
-    return bounds.join(miss, by, "left").select(
-        by, F.coalesce("_n", F.lit(0)).cast("bigint").alias("missing_count"),
-        F.when(F.col("_n") > 0, F.concat_ws(" to ", F.col("_lo").cast("string"), F.col("_hi").cast("string")))
+    and the text ``'first to last'`` of the missing ones (NULL if none).
+
+    A gap lies between two neighbouring observed days, so one lead over the
+    distinct days gives it; no calendar is made.
+    """
+    obs = df.select(by, F.to_date(day).alias("_d")).filter(F.col("_d").isNotNull()).distinct()
+    gaps = obs.withColumn("_next", F.lead("_d").over(Window.partitionBy(by).orderBy("_d")))
+    gaps = gaps.withColumn("_gap", F.coalesce(F.datediff("_next", "_d") - 1, F.lit(0)))
+    some = F.col("_gap") > 0
+    lo, hi = F.min(F.when(some, F.date_add("_d", 1))), F.max(F.when(some, F.date_sub("_next", 1)))
+    return gaps.groupBy(by).agg(F.sum(F.greatest("_gap", F.lit(0))).cast("bigint").alias("missing_count"), lo.alias("_lo"), hi.alias("_hi")).select(
+        by, "missing_count", F.when(F.col("missing_count") > 0, F.concat_ws(" to ", F.col("_lo").cast("string"), F.col("_hi").cast("string")))
         .alias("missing_range"))
 
 
@@ -159,8 +250,6 @@ def validation_report(df: DataFrame, date_col: str = "ds", target_col: str | Non
         F.count_if(counted).alias("n_rows"),
         sum((F.count_if(counted & F.col(c).isNull()) for c in value_cols), F.lit(0)).cast("bigint").alias("null_cells"),
         *[F.count_if(p).cast("bigint").alias(f"_v{i}") for i, (_, _, _, p) in enumerate(items)])
-    if is_training:
-        rep = rep.filter("n_rows > 0")  # a series without any target has nothing to validate
     rep = rep.withColumns({
         "rule_violations": sum((F.col(f"_v{i}") for i in range(len(items))), F.lit(0)).cast("bigint"),
         "business_rules": _rules_nested(items)}).drop(*[f"_v{i}" for i in range(len(items))])
@@ -180,7 +269,8 @@ def validation_report(df: DataFrame, date_col: str = "ds", target_col: str | Non
     else:
         rep = rep.withColumn("is_sorted", F.lit(None).cast("boolean"))  # no ingest order, no statement
     dup = F.coalesce("duplicated_rows", F.lit(0)).cast("bigint")
-    valid = F.lit(schema_ok) & (F.col("null_cells") == 0) & (F.coalesce("_given", F.lit(0)) == 0) & \
+    # a training series without any target stays in the report, and is not valid
+    valid = F.lit(schema_ok) & (F.col("n_rows") > 0) & (F.col("null_cells") == 0) & (F.coalesce("_given", F.lit(0)) == 0) & \
         F.coalesce("is_sorted", F.lit(True)) & (F.coalesce("missing_count", F.lit(0)) == 0)
     return rep.select(by, F.lit(schema_ok).alias("schema_ok"), "n_rows", "null_cells", dup.alias("duplicated_rows"),
                       "missing_count", "missing_range", "is_sorted", "rule_violations", "business_rules",

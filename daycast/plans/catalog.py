@@ -316,7 +316,7 @@ def q_null_counts(spark, sf):
 def q_duplicate_rows(spark, sf):
     """U4/V5: extra copies of equal rows, where every eleventh reading came twice."""
     ev = FX.event_readings(spark, sf)
-    return V.duplicate_rows(ev.unionByName(ev.filter(F.col("event_id") % 11 == 0)))
+    return V.duplicate_rows_wide(ev.unionByName(ev.filter(F.col("event_id") % 11 == 0)))
 
 
 @register("sorted_check")
