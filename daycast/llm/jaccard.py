@@ -214,20 +214,21 @@ def components(docs: DataFrame) -> DataFrame:
     signed = stage(docs.mapInArrow(_signatures(seen), SIGNATURES), "signatures")
     seen.drop()
     candidates = signed.filter("shared is not null")
-    # a class is a set; its node is the set's key
+    # a class is a set, told from others by both keys; its node is a number given once
     sets = stage(candidates.groupBy("key", "key2", "n").agg(F.any_value("shared").alias("shared"))
-                 .select(F.col("key").alias("node"), "n", "shared"), "sets")
+                 .withColumn("node", F.monotonically_increasing_id()), "sets")
     total = int(sets.agg(F.coalesce(F.sum(F.size("shared")), F.lit(0))).first()[0])
     rarity = sketch.build(sets.select("shared"), _all_shared, total + 1, RARITY, RARITY_BITS)
-    cells = sets.mapInArrow(_cells(rarity), "cell bigint, node bigint, n bigint, after bigint, own double")
-    comps = _join_cells(cells, sets)
+    cells = sets.select("node", "n", "shared").mapInArrow(_cells(rarity), "cell bigint, node bigint, n bigint, after bigint, own double")
+    comps = _join_cells(cells, sets.select("node", "n", "shared"))
     rarity.drop()
+    classes = stage(sets.select("key", "key2", "n", "node").join(comps, "node", "left")
+                    .select("key", "key2", "n", F.coalesce("component", "node").alias("component")), "classes")
     drop_stage(sets)
 
     ident = F.coalesce(F.col("doc_id"), F.lit(LAST))
     alone = signed.filter("shared is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    member = candidates.select("doc_id", "n", F.col("key").alias("node")).join(comps, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
+    member = candidates.select("doc_id", "n", "key", "key2").join(classes, ["key", "key2", "n"])
     smallest = member.groupBy("component").agg(F.min(ident).alias("component_id"))
     member = (member.join(smallest, "component")
               .select("doc_id", F.col("n").alias("n_shingles"), F.nullif(F.col("component_id"), F.lit(LAST)).alias("component_id")))

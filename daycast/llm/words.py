@@ -29,30 +29,15 @@ def n_words(c: str | Column = "text") -> Column:
 
 # ---- array code -----------------------------------------------------------
 
-_M = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Salts of the two hash families.
 BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
-_POW: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_FACTORS: dict[int, np.ndarray] = {}
 _IS_BLANK = np.zeros(256, bool)
 _IS_BLANK[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``base**i`` and ``base**-i`` modulo 2**64, i < n (kept for chunks of usual size)."""
-    have = _POW.get(base)
-    if have is None or len(have[0]) < n:
-        out = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            p = np.full(n, b, np.uint64)
-            p[0] = 1
-            out.append(np.multiply.accumulate(p))
-        have = (out[0], out[1])
-        if n <= 1 << 21:
-            _POW[base] = have
-    return have
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalizer that spreads every input bit over 64 bits (a bijection)."""
     h = h ^ (h >> np.uint64(30))
@@ -102,14 +87,34 @@ def find_words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, ends, np.searchsorted(offs, starts, "right") - 1
 
 
+def _numbers(salt: int, n: int) -> np.ndarray:
+    """The first ``n`` of a fixed sequence of 64-bit numbers per salt, without arithmetic relations between them."""
+    have = _FACTORS.get(salt)
+    if have is None or len(have) < n:
+        have = mix(mix(np.arange(max(n, 1024), dtype=np.uint64) + np.uint64(salt)) ^ np.uint64(salt >> 7))
+        if n <= 1 << 21:
+            _FACTORS[salt] = have
+    return have
+
+
 def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0, lower: bool = False) -> np.ndarray:
-    """64-bit hash of each word's bytes (polynomial prefix sums, mixed)."""
+    """64-bit hash of each word's bytes: every byte value and every place in a word has a number of its own, their products are added.
+
+    No powers of one base, so no words that agree under every base.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
     if lower:
         data = _LOWER[data]
-    power, inverse = _powers(BASES[which], len(data) + 1)
+    size = ends - starts
+    values = _numbers(BASES[which] ^ 0x5555, 256)[:256] | np.uint64(1)
+    factors = _numbers(BASES[which], int(size.max()))
+    place = np.zeros(len(data), np.int64)
+    place[starts[0]:] = np.arange(starts[0], len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))
+    np.minimum(place, len(factors) - 1, out=place)  # blanks after a word do not count
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + np.uint64(BASES[1 - which]))
+    np.cumsum(values[data] * factors[place], out=sums[1:])
+    return mix(sums[ends] - sums[starts] + size.astype(np.uint64) * np.uint64(BASES[1 - which]))
 
 
 def hash_windows(h: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,8 +122,9 @@ def hash_windows(h: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np
     n = len(h) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    w = h[:n].copy()
+    factors = _numbers(BASES[0] ^ 0xAAAA, k) | np.uint64(1)
+    w = h[:n] * factors[0]
     for i in range(1, k):
-        w = w * np.uint64(BASES[0]) + h[i:i + n]
+        w += h[i:i + n] * factors[i]
     at = np.flatnonzero(doc[:n] == doc[k - 1:])
     return mix(w[at]), at

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,3 +207,40 @@ def test_result_types(spark):
     df = jaccard.op4_jaccard(spark, "/root/testdata/sf0.001")
     assert dict(df.dtypes) == {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"}
     assert df.filter(F.col("component_id") > F.col("doc_id")).count() == 0
+
+
+def thue_morse(n):
+    """A word over two letters and its complement: equal under every polynomial hash modulo 2^64 from 2,048 letters on."""
+    bits = np.array([bin(i).count("1") & 1 for i in range(n)])
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_words_that_agree_under_every_base_differ(n):
+    one, two = thue_morse(n)
+    data, offs = text_buffers(pa.array([one, two]))
+    starts, ends, _ = find_words(data, offs)
+    for which in (0, 1):
+        a, b = hash_words(data, starts, ends, which)
+        assert a != b and (a >> np.uint64(32)) != (b >> np.uint64(32))
+
+
+def test_colliding_words_do_not_repeat_windows_or_link_sets(spark):
+    """No window of these documents is in another: nothing is removed, nothing linked."""
+    one, two = thue_morse(2048)
+    texts = [" ".join([one] * 13), " ".join([two] * 13), one, two, f"a {one} b c d", f"a {two} b c d"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["n_removed"] for r in substring.remove_repeats(df).collect()} == {0}
+    assert {(r["doc_id"], r["component_id"]) for r in jaccard.components(df).collect()} == {(i, i) for i in range(6)}
+
+
+def test_sketch_pieces_round_trip_in_both_forms():
+    rng = np.random.default_rng(8)
+    forms = set()
+    for n, top in ((0, 1), (1, 1 << 22), (50, 1 << 22), (16_000, 1 << 22), (1 << 20, 1 << 22), (1000, 1000)):
+        cells = np.sort(rng.choice(top, n, replace=False)).astype(np.int64)
+        blob = sketch.pack(cells)
+        forms.add(blob[0])
+        assert (sketch.unpack(blob) == cells).all() and len(sketch.unpack(blob)) == n
+        assert len(blob) <= 1 + n + int((np.diff(cells, prepend=0) // 255).sum())
+    assert forms == {0, 1}
