@@ -44,17 +44,27 @@ def cells(h: np.ndarray, row: int, bits: int) -> np.ndarray:
 
 
 def pack(numbers: np.ndarray) -> bytes:
-    """Gaps of increasing numbers as bytes; 255 carries on."""
+    """Increasing numbers, by whichever is shorter: gaps as bytes (255 carries on), or the last
+    eight bits as bytes and the rest as a bit string with a one per number (at place number + rest)."""
     gaps = np.diff(numbers, prepend=0)
     n = gaps // 255 + 1
-    out = np.full(int(n.sum()), 255, np.uint8)
-    out[np.cumsum(n) - 1] = gaps % 255
-    return out.tobytes()
+    length, high = int(n.sum()), int(numbers[-1]) >> 8 if len(numbers) else 0
+    if length <= len(numbers) + (len(numbers) + high) // 8 + 9:
+        out = np.full(length, 255, np.uint8)
+        out[np.cumsum(n) - 1] = gaps % 255
+        return b"\0" + out.tobytes()
+    bits = np.zeros(len(numbers) + high, np.uint8)
+    bits[(numbers >> 8) + np.arange(len(numbers))] = 1
+    return b"\1" + len(numbers).to_bytes(8, "little") + (numbers & 255).astype(np.uint8).tobytes() + np.packbits(bits).tobytes()
 
 
 def unpack(blob: bytes) -> np.ndarray:
-    raw = np.frombuffer(blob, np.uint8)
-    return np.cumsum(raw, dtype=np.int64)[raw != 255]
+    if blob[0] == 0:
+        raw = np.frombuffer(blob, np.uint8, offset=1)
+        return np.cumsum(raw, dtype=np.int64)[raw != 255]
+    n = int.from_bytes(blob[1:9], "little")
+    places = np.flatnonzero(np.unpackbits(np.frombuffer(blob, np.uint8, offset=9 + n)))
+    return (places - np.arange(n) << 8) + np.frombuffer(blob, np.uint8, n, 9)
 
 
 PIECES = "row int, shard int, cells binary, more binary, extra binary"
