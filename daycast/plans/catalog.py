@@ -27,6 +27,8 @@ from daycast.operators import weather as W
 from daycast.plans import stages as P
 from daycast.session import scratch_path, stage
 from daycast.sources import fixtures as FX
+from daycast.sources import landing as LD
+from daycast.sources import layout as LY
 from daycast.sources import payloads
 from daycast.sources import sinks as SK
 from daycast.streaming import daily_stream as ZS
@@ -124,6 +126,32 @@ def q_fetch_window_daily_mode(spark, sf):
     return _r(daily.daily_totals(win), {"y": 2})
 
 
+@register("fetch_day_layout")
+def q_fetch_day_layout(spark, sf):
+    """Readings laid out by day, then the 'daily' window from its one folder, rolled up."""
+    path = scratch_path(spark, f"days-{uuid.uuid4().hex}")
+    LY.write_days(FX.event_readings(spark, sf).drop("props"), path)
+    return _r(daily.daily_totals(LY.fetch_days(spark, path, "daily", as_of=AS_OF_DAILY)), {"y": 2})
+
+
+#: Fixed parameter of the query: records in a landed file.
+LANDED_PAGE = 1_000
+
+
+@register("landing_records")
+def q_landing_records(spark, sf):
+    """S1 from files: pages of events land as JSON files in two deliveries, each file is read once, rows carry their page."""
+    base = scratch_path(spark, f"landing-{uuid.uuid4().hex}")
+    pages = stage(payloads.envelope_payloads(FX.event_readings(spark, sf), LANDED_PAGE), "landing_pages")
+    for part in (0, 1):
+        some = pages.filter(F.col("page") % 2 == part).repartition("page")
+        some.write.mode("append").partitionBy("page").text(base + "/in")
+        LD.ingest(spark, base + "/in", base)
+    rows, _rejects = LD.landed(spark, base)
+    page = F.regexp_extract("file", "page=([0-9]+)", 1).cast("bigint").alias("page")
+    return _r(rows.select(page, clean.parse_day("jour").alias("ds"), "jour", "conso_jour"), {"conso_jour": 6})
+
+
 @register("facet_filter")
 def q_facet_filter(spark, sf):
     """B2: equality facets, then daily totals."""

@@ -136,6 +136,14 @@ q("fetch_window_daily_mode", f"""
 SELECT series_id, CAST(ts AS DATE) AS ds, min(ts) AS jour, {R('sum(value)', 2)} AS y, count(*) AS n_readings
 FROM x_readings WHERE ts >= TIMESTAMP '2024-01-14 00:00:00' AND ts < TIMESTAMP '2024-01-15 00:00:00'
 GROUP BY 1, 2""", "x_readings")
+q("fetch_day_layout", f"""
+SELECT series_id, CAST(ts AS DATE) AS ds, min(ts) AS jour, {R('sum(value)', 2)} AS y, count(*) AS n_readings
+FROM x_readings WHERE ts >= TIMESTAMP '2024-01-14 00:00:00' AND ts < TIMESTAMP '2024-01-15 00:00:00'
+GROUP BY 1, 2""", "x_readings")
+q("landing_records", f"""
+SELECT CAST(floor(event_id / 1000) AS BIGINT) AS page, CAST(ts AS DATE) AS ds,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S') AS jour, {R('value')} AS conso_jour
+FROM x_readings""", "x_readings")
 q("facet_filter", f"""
 SELECT series_id, CAST(ts AS DATE) AS ds, min(ts) AS jour, {R('sum(value)', 2)} AS y, count(*) AS n_readings
 FROM x_readings WHERE series_id = 'purchase' GROUP BY 1, 2""", "x_readings")
