@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daycast.operators.ridge import DEFAULT_PARAMS, penalties
+from daycast.operators.ridge import DEFAULT_PARAMS, laplace_weights, penalties, solve_laplace
 from daycast.operators.tune import key_type
 from daycast.session import ship_package
 
@@ -116,14 +116,15 @@ def normal_sums(design: DataFrame, by: str = "series_id") -> DataFrame:
     return lots.groupBy(by).applyInPandas(merge, schema)
 
 
-def solve(sums: DataFrame, params: dict | DataFrame, penalty=penalties, by: str = "series_id") -> DataFrame:
+def solve(sums: DataFrame, params: dict | DataFrame, penalty=penalties, by: str = "series_id", laplace=None) -> DataFrame:
     """Coefficients of every key from its sums: ``by, mode_used, out_scale, coef, status``.
 
     ``params`` are one set for all or a row per key; a key without a row or with
     a NULL ``score`` gets the defaults (``status`` tells).  ``penalty`` maps a
     set to the diagonal added to ``X'X``.  As in the grouped fit the target is
     scaled by its largest absolute value, or its logarithm is fitted
-    (``multiplicative``, if every target is positive).
+    (``multiplicative``, if every target is positive).  ``laplace`` maps a set to
+    the weights of ``|b|`` (``ridge.solve_laplace``); where it is 0 the ridge holds.
     """
     ship_package(sums.sparkSession)
     names = list(DEFAULT_PARAMS)
@@ -142,18 +143,22 @@ def solve(sums: DataFrame, params: dict | DataFrame, penalty=penalties, by: str
                 p = len(r["xty"])
                 gram = np.zeros((p, p))
                 gram[np.triu_indices(p)] = r["gram"]
-                gram = gram + np.triu(gram, 1).T + np.diag(penalty({c: r[c] for c in names}))
+                gram = gram + np.triu(gram, 1).T
+                chosen_set = {c: r[c] for c in names}
+                pen = np.asarray(penalty(chosen_set), dtype="float64")
                 scale = r["top"] if r["top"] > 0 else 1.0
                 wanted = r["seasonality_mode"] == "multiplicative"
                 log = wanted and r["n_positive"] == r["n"]
                 side = np.asarray(r["xtl"]) if log else np.asarray(r["xty"]) / scale
                 mode = "multiplicative" if log else "fallback_additive" if wanted else "additive"
-                out.append((r[by], mode, 1.0 if log else scale, np.linalg.solve(gram, side).tolist(), r["status"]))
+                coef = (np.linalg.solve(gram + np.diag(pen), side) if laplace is None
+                        else solve_laplace(gram, side, pen, np.asarray(laplace(chosen_set), dtype="float64")))
+                out.append((r[by], mode, 1.0 if log else scale, coef.tolist(), r["status"]))
             yield pd.DataFrame(out, columns=[by, "mode_used", "out_scale", "coef", "status"])
 
     return chosen.mapInPandas(run, f"{key_type(sums, by)}, mode_used string, out_scale double, coef array<double>, status string")
 
 
-def fit_pooled(design: DataFrame, params: dict | DataFrame, by: str = "series_id") -> DataFrame:
+def fit_pooled(design: DataFrame, params: dict | DataFrame, by: str = "series_id", prior: str = "gaussian") -> DataFrame:
     """The coefficient table of ``ridge.fit``, by distributed sums: keys may have any number of rows."""
-    return solve(normal_sums(design, by), params, by=by)
+    return solve(normal_sums(design, by), params, by=by, laplace=laplace_weights if prior == "laplace" else None)

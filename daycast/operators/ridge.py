@@ -97,10 +97,42 @@ def _solve(G: np.ndarray, Xty: np.ndarray, pen: np.ndarray) -> np.ndarray:
     return np.linalg.solve(G + np.diag(pen), Xty)
 
 
+#: Rounds of reweighting, at most; change (against the largest coefficient) at which they end; where a coefficient counts as zero.
+LAPLACE_ROUNDS, LAPLACE_END, LAPLACE_ZERO = 500, 1e-10, 1e-12
+
+
+def laplace_weights(params: dict) -> np.ndarray:
+    """Weight of ``|b|`` per term under a Laplace prior on the changepoints (noise over scale), 0 elsewhere."""
+    scale = float(params["changepoint_prior_scale"])
+    return np.array([NOISE_VAR / scale if b == "changepoint" else 0.0 for _t, b in terms()])
+
+
+def solve_laplace(G: np.ndarray, side: np.ndarray, pen: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Minimum of ``b'Gb/2 - side'b + pen'b^2/2 + weight'|b|`` by iteratively reweighted ridge.
+
+    ``|b|`` is bounded by the parabola that touches it at the last ``b``, so
+    each round is a ridge with the penalty ``weight / |b|`` and the objective
+    never rises.  Only the sums ``G`` and ``side`` are needed, no rows.
+    """
+    sparse = weight > 0
+    start = np.where(sparse, np.maximum(pen, BASE_PENALTY), pen)
+    b = _solve(G, side, start)
+    for _ in range(LAPLACE_ROUNDS):
+        size = np.maximum(np.abs(b), LAPLACE_ZERO)
+        new = _solve(G, side, np.where(sparse, weight / size, pen))
+        top = max(float(np.abs(new).max(initial=0.0)), LAPLACE_ZERO)
+        done = np.abs(new - b).max(initial=0.0) <= LAPLACE_END * top
+        b = new
+        if done:
+            break
+    return np.where(sparse & (np.abs(b) <= 1e-9 * max(float(np.abs(b).max(initial=0.0)), LAPLACE_ZERO)), 0.0, b)
+
+
 class _Fitter:
     """Per-series state reused across trials: X'X and X'y for both target forms."""
 
-    def __init__(self, X: np.ndarray, y: np.ndarray):
+    def __init__(self, X: np.ndarray, y: np.ndarray, prior: str = "gaussian"):
+        self.prior = prior
         self.X = X
         self.G = X.T @ X
         self.scale = float(np.max(np.abs(y))) if len(y) and np.max(np.abs(y)) > 0 else 1.0
@@ -111,11 +143,12 @@ class _Fitter:
     def coef(self, params: dict) -> tuple[np.ndarray, str, float]:
         """(coefficients, mode actually used, output scale)."""
         pen = penalties(params)
+        solve = _solve if self.prior == "gaussian" else lambda g, s, p: solve_laplace(g, s, p, laplace_weights(params))
         if params["seasonality_mode"] == "multiplicative":
             if self.positive:
-                return _solve(self.G, self.Xtl, pen), "multiplicative", 1.0
-            return _solve(self.G, self.Xty, pen), "fallback_additive", self.scale
-        return _solve(self.G, self.Xty, pen), "additive", self.scale
+                return solve(self.G, self.Xtl, pen), "multiplicative", 1.0
+            return solve(self.G, self.Xty, pen), "fallback_additive", self.scale
+        return solve(self.G, self.Xty, pen), "additive", self.scale
 
 
 # ------------------------------------------------------------------ trials
@@ -151,16 +184,18 @@ def series_trials(series: DataFrame, n_trials: int = N_TRIALS, seed: int = 42, b
 
 
 class Ridge:
-    """The seasonal ridge as a model of the search."""
+    """The seasonal ridge as a model of the search (X1); ``prior`` of the changepoints: ``gaussian`` or ``laplace`` (sparse)."""
 
-    def __init__(self, seed: int = 42) -> None:
-        self.seed = seed
+    def __init__(self, seed: int = 42, prior: str = "gaussian") -> None:
+        if prior not in ("gaussian", "laplace"):
+            raise ValueError(f"unknown changepoint prior {prior!r}; use 'gaussian' or 'laplace'")
+        self.seed, self.prior = seed, prior
 
     def space(self, trials: DataFrame) -> DataFrame:
         return trial_params(trials, self.seed)
 
     def prepare(self, x: np.ndarray, y: np.ndarray) -> _Fitter:
-        return _Fitter(x, y)
+        return _Fitter(x, y, self.prior)
 
     def fit(self, state: _Fitter, params: dict) -> tuple[np.ndarray, str, float]:
         return state.coef(params)
@@ -174,13 +209,13 @@ class Ridge:
 COEF_SCHEMA = "series_id string, mode_used string, out_scale double, coef array<double>, status string"
 
 
-def fit(design_df: DataFrame, params: DataFrame | dict, by: str = "series_id") -> DataFrame:
+def fit(design_df: DataFrame, params: DataFrame | dict, by: str = "series_id", prior: str = "gaussian") -> DataFrame:
     """Fit on the train rows with one parameter set per series
     (``params`` as a dict for all series, or a per-series DataFrame such as the
     best trials).  Returns the coefficient table (one row per series)."""
     if isinstance(params, dict):
         params = design_df.select(by).distinct().withColumns({"score": F.lit(0.0), **{k: F.lit(v) for k, v in params.items()}})
-    return fit_best(design_df, Ridge(), params, list(DEFAULT_PARAMS), DEFAULT_PARAMS, by)
+    return fit_best(design_df, Ridge(prior=prior), params, list(DEFAULT_PARAMS), DEFAULT_PARAMS, by)
 
 
 def predict(design_df: DataFrame, coef: DataFrame, by: str = "series_id") -> DataFrame:

@@ -789,3 +789,17 @@ def q_pooled_trend_fit(spark, sf):
     fitted = PL.solve(PL.normal_sums(d), RG.DEFAULT_PARAMS, penalty=lambda _params: [TREND_RIDGE, TREND_RIDGE])
     return _r(fitted.select("series_id", "mode_used", "out_scale", F.col("coef")[0].alias("intercept"), F.col("coef")[1].alias("slope")),
               {"out_scale": 2, "intercept": 6, "slope": 6})
+
+
+#: Fixed parameters of the one-hinge fit: its place in trend time and the weight of its absolute value.
+HINGE_AT, HINGE_WEIGHT = 0.4, 40.0
+
+
+@register("laplace_hinge")
+def q_laplace_hinge(spark, sf):
+    """M5/M6: one hinge under a Laplace prior per (segment, nation), by reweighted ridge; its minimum is a soft threshold."""
+    prepared = P.prepared_train(P.full_data(spark, sf, series_cols=FX.SEGMENT_NATION))
+    d = D.with_trend_time(EV.chronological_split(prepared), fit_mask=F.col("split") == "train")
+    d = d.select("series_id", "ds", "y", "split", F.array(F.greatest(F.col("t") - HINGE_AT, F.lit(0.0))).alias("x"))
+    fitted = PL.solve(PL.normal_sums(d), RG.DEFAULT_PARAMS, penalty=lambda _params: [0.0], laplace=lambda _params: [HINGE_WEIGHT])
+    return _r(fitted.select("series_id", F.col("coef")[0].alias("slope")), {"slope": 5})

@@ -690,3 +690,10 @@ SELECT series_id, 'additive' AS mode_used, {R('top', 2)} AS out_scale,
 FROM (SELECT series_id, count(*) AS n, any_value(top) AS top, sum(t) AS s_t, sum(t * t) AS s_tt, sum(y / top) AS s_y, sum(t * y / top) AS s_ty
       FROM (SELECT series_id, t, y, max(abs(y)) OVER (PARTITION BY series_id) AS top FROM x_design WHERE split = 'train') GROUP BY 1)""",
   "x_design")
+q("laplace_hinge", f"""
+SELECT series_id, {R('greatest(side - 40.0, 0.0) / square', 5)} AS slope
+FROM (SELECT series_id, sum(h * y / top) AS side, sum(h * h) AS square
+      FROM (SELECT series_id, y, max(abs(y)) OVER (PARTITION BY series_id) AS top,
+                   greatest(CAST(d - min(d) OVER w AS DOUBLE) / greatest(max(d) OVER w - min(d) OVER w, 1) - 0.4, 0.0) AS h
+            FROM (SELECT series_id, y, CAST(ds - DATE '1970-01-01' AS INTEGER) AS d FROM n_split WHERE split = 'train')
+            WINDOW w AS (PARTITION BY series_id)) GROUP BY 1)""", "n_split")
