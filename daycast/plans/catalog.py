@@ -23,6 +23,7 @@ from daycast.operators import ridge as RG
 from daycast.operators import sequence as SQ
 from daycast.operators import serve as S
 from daycast.operators import validate as V
+from daycast.operators import validate_state as VS
 from daycast.operators import weather as W
 from daycast.plans import stages as P
 from daycast.session import scratch_path, stage
@@ -390,6 +391,22 @@ def q_validation_report(spark, sf):
     return _ruled(_gate_report(spark, sf)[1])
 
 
+INCREMENT_RULES = {"target": {"allow_negative": False, "min_value": 20.0, "max_value": 90.0}, "regressors": {"event_id": {"min_value": 50}}}
+
+
+@register("validation_increments")
+def q_validation_increments(spark, sf):
+    """A2/A3/V4/V5/V7-V10 over four deliveries (one of them again): NULL values, rules, copies and gap days from the stored state."""
+    ev = FX.event_readings(spark, sf)
+    rows = ev.filter(F.dayofmonth("ts") % 9 != 4).select("series_id", "event_id", F.to_date("ts").alias("ds"),
+                                                         F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("y"))
+    rows = rows.unionByName(rows.filter("event_id % 11 = 0"))
+    root = scratch_path(spark, f"state-{uuid.uuid4().hex}")
+    for run, part in enumerate((0, 1, 2, 1)):
+        state = VS.deliver(rows.filter(F.dayofmonth("ds") % 3 == part), root, str(run), rules=INCREMENT_RULES)
+    return VS.report(state)
+
+
 @register("validation_document")
 def q_validation_document(spark, sf):
     """The nested report (type map, NULL map, date report) per series."""

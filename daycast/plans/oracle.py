@@ -697,3 +697,18 @@ FROM (SELECT series_id, sum(h * y / top) AS side, sum(h * h) AS square
                    greatest(CAST(d - min(d) OVER w AS DOUBLE) / greatest(max(d) OVER w - min(d) OVER w, 1) - 0.4, 0.0) AS h
             FROM (SELECT series_id, y, CAST(ds - DATE '1970-01-01' AS INTEGER) AS d FROM n_split WHERE split = 'train')
             WINDOW w AS (PARTITION BY series_id)) GROUP BY 1)""", "n_split")
+cte("x_increments", """
+SELECT series_id, event_id, CAST(ts AS DATE) AS ds, CASE WHEN event_id % 5 <> 0 THEN value END AS y, CASE WHEN event_id % 11 = 0 THEN 2 ELSE 1 END AS times
+FROM x_readings WHERE day(ts) % 9 <> 4""", "x_readings")
+q("validation_increments", """
+SELECT series_id, n_rows, null_cells, duplicated_rows, rule_violations, coalesce(missing, 0)::BIGINT AS missing_count,
+       CASE WHEN missing > 0 THEN CAST(lo AS VARCHAR) || ' to ' || CAST(hi AS VARCHAR) END AS missing_range
+FROM (SELECT series_id, sum(times)::BIGINT AS n_rows, coalesce(sum(times) FILTER (WHERE y IS NULL), 0)::BIGINT AS null_cells,
+             sum(times - 1)::BIGINT AS duplicated_rows,
+             sum(times * ((coalesce(y < 0, false))::INT + (coalesce(y < 20, false))::INT + (coalesce(y > 90, false))::INT + (event_id < 50)::INT))::BIGINT
+             AS rule_violations
+      FROM x_increments GROUP BY 1)
+LEFT JOIN (SELECT series_id, sum(greatest(nxt - ds - 1, 0)) AS missing, min(CASE WHEN nxt - ds > 1 THEN ds + 1 END) AS lo,
+                  max(CASE WHEN nxt - ds > 1 THEN nxt - 1 END) AS hi
+           FROM (SELECT series_id, ds, lead(ds) OVER (PARTITION BY series_id ORDER BY ds) AS nxt FROM (SELECT DISTINCT series_id, ds FROM x_increments))
+           GROUP BY 1) USING (series_id)""", "x_increments")

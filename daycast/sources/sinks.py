@@ -34,6 +34,7 @@ ARTIFACTS = {
     "data_quality": ("data_quality", "json"),
     "retrain_flag": ("retrain_flag", "json"),
     "model": ("models", "parquet"),
+    "validation_state": ("validation_state", "parquet"),
 }
 
 
