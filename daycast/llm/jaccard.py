@@ -73,11 +73,11 @@ def _prefix_length(n: np.ndarray) -> np.ndarray:
     return n + (-(PERCENT * n) // 100) + 1
 
 
-SIGNATURES = "doc_id bigint, n bigint, key bigint, key2 bigint, shared array<bigint>"
+SIGNATURES = "doc_id bigint, tag bigint, n bigint, key bigint, key2 bigint, shared array<bigint>"
 
 
 def _signatures(seen: sketch.Counts):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("key2", pa.int64()),
+    schema = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("key2", pa.int64()),
                         ("shared", pa.list_(pa.int64()))])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +99,7 @@ def _signatures(seen: sketch.Counts):
                 shared = pa.ListArray.from_arrays(pa.array(ends), pa.array(h[take].view(np.int64)),
                                                   mask=pa.array(alone | (n == 0)))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, n_docs), pa.array(n), pa.array(keys[0]), pa.array(keys[1]), shared], schema=schema)
+                    [ids.slice(a, n_docs), batch.column("tag").slice(a, n_docs), pa.array(n), pa.array(keys[0]), pa.array(keys[1]), shared], schema=schema)
 
     return task
 
@@ -208,7 +208,15 @@ def components(docs: DataFrame) -> DataFrame:
     ``doc_id`` reachable by links (NULL ids come last); repeated rows are links
     of their own; an empty table gives no rows.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return _grouped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(None).cast("bigint").alias("tag"))).drop("tag", "_class")
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``doc_id, tag, n_shingles, component_id, _class`` of rows ``doc_id, text, tag``.
+
+    ``_class`` is one number per component that holds more than one set or row,
+    NULL for a row that is certainly alone.
+    """
     seen = sketch.build(docs.select("text"), lambda batch: (h for *_, h in _sets(batch)), sketch.estimate(docs),
                         most_bits=ONCE_BITS)
     signed = stage(docs.mapInArrow(_signatures(seen), SIGNATURES), "signatures")
@@ -227,11 +235,13 @@ def components(docs: DataFrame) -> DataFrame:
     drop_stage(sets)
 
     ident = F.coalesce(F.col("doc_id"), F.lit(LAST))
-    alone = signed.filter("shared is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    member = candidates.select("doc_id", "n", "key", "key2").join(classes, ["key", "key2", "n"])
+    alone = signed.filter("shared is null").select("doc_id", "tag", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
+                                                   F.lit(None).cast("bigint").alias("_class"))
+    member = candidates.select("doc_id", "tag", "n", "key", "key2").join(classes, ["key", "key2", "n"])
     smallest = member.groupBy("component").agg(F.min(ident).alias("component_id"))
     member = (member.join(smallest, "component")
-              .select("doc_id", F.col("n").alias("n_shingles"), F.nullif(F.col("component_id"), F.lit(LAST)).alias("component_id")))
+              .select("doc_id", "tag", F.col("n").alias("n_shingles"), F.nullif(F.col("component_id"), F.lit(LAST)).alias("component_id"),
+                      F.col("component").alias("_class")))
     return alone.union(member)
 
 
@@ -245,10 +255,25 @@ def op4_jaccard(spark, sf_dir: str) -> DataFrame:
 
 
 def stage_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the document with the smallest id of each group stays."""
-    found = components(docs)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    """Pipeline stage: one row of each group stays, the one with the smallest ``doc_id`` (NULL last; ties by a hash of the row).
+
+    Rows without shingles (NULL, empty and blank texts) are linked with nothing
+    and all stay.  Of rows that are equal in every column and have shingles one
+    stays; columns of ``docs`` pass as they are, whatever their names.
+    """
+    tag = F.xxhash64(*[F.col(f"`{c}`") for c, t in docs.dtypes if not t.startswith("map")])
+    found = _grouped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", tag.alias("tag")))
+    least = F.min(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("id"), "tag"))
+    grouped = found.filter("_class is not null").groupBy("_class").agg(least.alias("k")).select(F.col("k.tag").alias("_tag"), F.lit(True).alias("_one"))
+    alone = found.filter("_class is null").select(F.col("tag").alias("_tag"), F.lit(False).alias("_one"))
+    keep = grouped.union(alone).groupBy("_tag").agg(F.bool_and("_one").alias("_one"))  # a row's number decides for equal rows alike
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    # equal rows are collapsed with their number before anything is joined
+    rows = (docs.select(F.struct(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)]).alias("_row"), tag.alias("_tag"))
+            .groupBy("_tag", "_row").agg(F.count(F.lit(1)).alias("_n")).join(keep, "_tag"))
+    times = F.when(F.col("_one"), F.lit(1).cast("bigint")).otherwise(F.col("_n"))
+    rows = rows.select("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), times)).alias("_nth"))
+    return rows.select(*[F.col("_row").getField(n).alias(c) for c, n in zip(docs.columns, names)])
 
 
 OP4_SQL = r"""

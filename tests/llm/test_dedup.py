@@ -244,3 +244,18 @@ def test_sketch_pieces_round_trip_in_both_forms():
         assert (sketch.unpack(blob) == cells).all() and len(sketch.unpack(blob)) == n
         assert len(blob) <= 1 + n + int((np.diff(cells, prepend=0) // 255).sum())
     assert forms == {0, 1}
+
+
+def test_stage_leaves_one_row_per_group(spark):
+    """Repeated rows, NULL ids, one id with two texts, texts without shingles, columns with internal names."""
+    text = " ".join(f"w{i}" for i in range(40))
+    other = " ".join(f"v{i}" for i in range(40))
+    third = " ".join(f"u{i}" for i in range(40))
+    near = text.replace("w39", "x")
+    rows = [(7, text), (7, text), (9, near), (None, text), (None, other), (None, other), (3, None), (3, None), (3, ""), (5, third), (5, "lone words here"), (4, " ")]
+    df = spark.createDataFrame([(i, t, "tag", 1, 2) for i, t in rows], "doc_id long, text string, _tag string, _row int, _n int")
+    out = jaccard.stage_dedup(spark, df.repartition(3), "")
+    assert out.columns == df.columns and {tuple(r)[2:] for r in out.collect()} == {("tag", 1, 2)}
+    want = [(7, text), (None, other), (3, None), (3, None), (3, ""), (5, third), (5, "lone words here"), (4, " ")]
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted(want, key=str)
+    assert jaccard.stage_dedup(spark, df.filter("false"), "").count() == 0
