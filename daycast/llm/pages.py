@@ -56,12 +56,15 @@ _TAG = {t: i for i, t in enumerate(_TAGS)} | {f"h{i}": _TAGS.index("h") for i in
                                                                                             "fieldset": _TAGS.index("form"), "button": _TAGS.index("form")}
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTR = re.compile(r"([^\s=\"'<>/]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+# the rest of a tag: a quote opens a value only behind "=", elsewhere it is a character like others; possessive, so one pass
+_REST = re.compile(r"""((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)*+)>""")
+_ATTR = re.compile(r"""([^\s/>=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>][^\s>]*+)))?+""")
 _SPLIT = re.compile(r"[^a-z]+")
 _SELF_CLOSED = re.compile(r"(?:^|[\s\"']|^[^=]*)/$")
-_RAW_END = {t: re.compile(rf"<(/?){t}(?:\s[^>]*)?/?>", re.I) for t in RAW}
+_RAW_END = {t: re.compile(rf"<(/?){t}(?:\s[^<>]*+|/)?>", re.I) for t in RAW}
+_RAW_CLOSE = {t: re.compile(rf"</{t}(?=[\s/>])[^<>]*+>", re.I) for t in RAW}
 
 
 class Node:
@@ -78,27 +81,61 @@ class Node:
 def _hints(attrs: str) -> list[int]:
     out = []
     if "=" in attrs:
-        for name, value in _ATTR.findall(attrs):
+        for name, *value in _ATTR.findall(attrs):
             if name.lower() in ("class", "id", "role", "itemprop", "itemtype"):
-                out += [_HINT[w] for w in _SPLIT.split(html.unescape(value).lower()) if w in _HINT]
+                out += [_HINT[w] for w in _SPLIT.split(html.unescape("".join(value)).lower()) if w in _HINT]
     return out
 
 
+class _Open:
+    """Open elements; per tag the places where it is open, so that no start or end tag walks the whole stack."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = [("#root", 0)]  # tag and the element its text goes to
+        self.places: dict[str, list[int]] = {}
+        self.links = 0
+        self.hidden = 0  # place of the outermost hidden element, 0 for none
+
+    def push(self, tag: str, node: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, node))
+        self.links += tag == "a"
+
+    def last(self, tags) -> int:
+        """Place of the innermost open one of ``tags``, 0 if none is open."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+
+    def cut(self, at: int) -> None:
+        """Ends the element at place ``at`` (if not 0) and all inside it; a hidden one among them hides no longer."""
+        while at and len(self.stack) > at:
+            tag, _ = self.stack.pop()
+            self.places[tag].pop()
+            self.links -= tag == "a"
+        if at and self.hidden >= at:
+            self.hidden = 0
+
+
 def read_page(page: str) -> list[Node]:
     """Elements of a page in order, index 0 the root; inline elements belong to the block around them.
 
     A block of text directly in the root is an element of its own (``#text``).
+    One pass: the time grows with the page's length, however broken its markup.
+    A tag that the page's end cuts off is markup; a ``<`` that opens no tag is text.
     """
     nodes = [Node(-1, "body", [], 0, False)]
-    stack: list[tuple[str, int]] = [("#root", 0)]  # open tags, each with the element its text goes to
-    block, links = 0, 0
-    at, hidden = 0, None
+    open_ = _Open()
+    block, at = 0, 0
+
+    def in_head() -> bool:
+        return open_.stack[open_.hidden][0] == "head"
 
     def put(text: str) -> None:
-        if hidden == "head" and text and not text.isspace():
-            end_head()
-        if text and hidden is None:
-            to = stack[-1][1]
+        if not text:
+            return
+        if in_head() and not text.isspace():
+            open_.cut(open_.hidden)  # the end tag of <head> may be left out: what belongs to the body ends it
+        if not open_.hidden:
+            to = open_.stack[-1][1]
             if to == 0:
                 last = nodes[0].children[-1] if nodes[0].children else 0
                 if not last or nodes[last].tag != "#text" or nodes[last].pieces[0][0] != block:
@@ -108,13 +145,7 @@ def read_page(page: str) -> list[Node]:
                     nodes[0].children.append(last)
                     nodes.append(Node(0, "#text", [], 1, False))
                 to = last
-            nodes[to].pieces.append((block, text, links > 0))
-
-    def end_head() -> None:
-        """The end tag of <head> may be left out: what belongs to the body ends it."""
-        nonlocal hidden
-        hidden = None
-        del stack[next(i for i, (t, _) in enumerate(stack) if t == "head"):]
+            nodes[to].pieces.append((block, text, open_.links > 0))
 
     while m := _TOKEN.search(page, at):
         put(page[at:m.start()])
@@ -122,30 +153,26 @@ def read_page(page: str) -> list[Node]:
         tag = m.group(2)
         if tag is None:
             if page.startswith("<![CDATA[", m.start()):
-                put(page[m.start() + 9:m.end() - 3])
+                put(page[m.start() + 9:m.end() - (3 if page.endswith("]]>", 0, m.end()) else 0)])
             continue
-        tag = tag.lower()
+        rest = _REST.match(page, at)
+        if not rest:
+            return nodes
+        at, tag, attrs = rest.end(), tag.lower(), rest.group(1)
         if m.group(1):
-            if hidden == tag:
-                hidden = None
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    links -= sum(t == "a" for t, _ in stack[i:])
-                    del stack[i:]
-                    break
+            open_.cut(open_.last((tag,)))
             if tag not in INLINE:
                 block += 1
             continue
-        attrs = m.group(3)
-        if hidden == "head" and tag not in IN_HEAD:
-            end_head()
+        if in_head() and tag not in IN_HEAD:
+            open_.cut(open_.hidden)
         if tag in HIDDEN and _SELF_CLOSED.search(attrs):
             # empty, unless its own end tag is the next one of its name
             after = _RAW_END[tag].search(page, at) if tag in RAW else None
             if not (after and after.group(1)):
                 continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            end = _RAW_CLOSE[tag].search(page, at)
             at = end.end() if end else len(page)
             continue
         if tag in VOID:
@@ -157,29 +184,23 @@ def read_page(page: str) -> list[Node]:
         if tag in ("html", "body"):
             continue
         if tag in HIDDEN:
-            stack.append((tag, stack[-1][1]))
-            hidden = hidden or tag
+            open_.hidden = open_.hidden or len(open_.stack)
+            open_.push(tag, open_.stack[-1][1])
             continue
         ends, scope = ENDS.get(tag, ()), SCOPE.get(tag, ())
         if tag in CLOSES_P:
             ends, scope = ("p",), ("button", "table", "td", "li", "div", "article", "section", "body")
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in ends:
-                links -= sum(t == "a" for t, _ in stack[i:])
-                del stack[i:]
-                break
-            if stack[i][0] in scope:
-                break
+        if (ended := open_.last(ends)) > open_.last(scope):
+            open_.cut(ended)
         if tag in INLINE:
-            stack.append((tag, stack[-1][1]))
-            links += tag == "a"
+            open_.push(tag, open_.stack[-1][1])
             continue
         block += 1
-        parent = stack[-1][1]
+        parent = open_.stack[-1][1]
         nodes[parent].children.append(len(nodes))
-        nodes.append(Node(parent, tag, _hints(attrs), nodes[parent].depth + 1, links > 0))
-        stack.append((tag, len(nodes) - 1))
-    put(page[at:] if not page[at:].lstrip().startswith("<") else "")
+        nodes.append(Node(parent, tag, _hints(attrs), nodes[parent].depth + 1, open_.links > 0))
+        open_.push(tag, len(nodes) - 1)
+    put(page[at:])
     return nodes
 
 
@@ -417,9 +438,11 @@ def _teacher_of_variant(page: str) -> tuple[np.ndarray, np.ndarray] | None:
 
 def fit(pages: DataFrame) -> tuple:
     """Trees from at most ``SAMPLE`` pages; without a page that marks its article up, from a plain pattern page."""
-    rows = (pages.filter(F.col("html").isNotNull()).select("page_id", "html")
-            .orderBy(F.xxhash64("page_id", "html")).limit(SAMPLE).select("html").collect())
-    learn = [v for r in rows for v in variants(r["html"])]
+    # the keys first, copies once, then the pages of these keys: no task sends more than a sample
+    keyed = pages.filter(F.col("html").isNotNull()).select(F.xxhash64("page_id", "html").alias("key"), "html")
+    keys = [r["key"] for r in keyed.select("key").distinct().orderBy("key").limit(SAMPLE).collect()]
+    rows = keyed.filter(F.col("key").isin(keys)).groupBy("key").agg(F.min("html").alias("html")).collect()
+    learn = [v for r in sorted(rows) for v in variants(r["html"])]
     data = [d for v in learn if (d := _teacher_of_variant(v)) is not None]
     if not data:
         words = " ".join(["word"] * 40)
@@ -433,8 +456,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Needs ``page_id, html``; other columns pass (``text`` is replaced).  NULL or
     empty pages, and pages without any kept element, have an empty text; a page
-    without elements is one block; broken markup (missing ends, cut tags) is
-    read as far as it goes; repeated rows are equal; an empty table stays empty.
+    without elements is one block; broken markup (missing ends, stray quotes and
+    ``<``) is read as browsers do, a tag cut off by the page's end is dropped; repeated rows are equal; an empty table stays empty.
     """
     ship_package(pages.sparkSession)
     keep = [c for c in pages.columns if c != "text"]

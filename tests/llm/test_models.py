@@ -122,6 +122,9 @@ def test_main_text(trees, opening, closing):
     assert pages.main_text(page, trees) == TEXT
 
 
+SENTENCE = "The council met on Monday evening and agreed on a plan for the old harbour, which will be rebuilt over the next four years. "
+
+
 def test_broken_and_odd_pages(trees):
     for page in ("<", "<p", "</p>", "<!--", "<script>never closed", "a<b", "<div class='x", "&bogus; &#x41;", "<p><p><p>", "<a><a></b></a>"):
         pages.main_text(page, trees)
@@ -129,15 +132,46 @@ def test_broken_and_odd_pages(trees):
     assert pages.main_text("<article><p>cut off in the middle of the te", trees) == "cut off in the middle of the te"
 
 
+@pytest.mark.parametrize("page,want", [
+    (f"<article><p title=it's>{SENTENCE}</p><p>More of it's text, and {SENTENCE}</p></article>", [SENTENCE, f"More of it's text, and {SENTENCE}"]),
+    (f"<article><p>{SENTENCE}</p><p>< 5 percent of {SENTENCE}", [SENTENCE, f"< 5 percent of {SENTENCE}"]),
+    (f"<article><p>{SENTENCE}</p><!--><p>kept, and {SENTENCE}</p><!---><p>{SENTENCE}</p></article>", [SENTENCE, f"kept, and {SENTENCE}", SENTENCE]),
+    (f"<article><p>{SENTENCE}</p><!-- no --!><p>{SENTENCE}</p><p>{SENTENCE}<b class=", [SENTENCE] * 3),
+    (f'<article><p>{SENTENCE}</p><form><select><option>no</form><p>{SENTENCE}</p></article>', [SENTENCE] * 2),
+    (f'<article><p title="a>b" lang=en>{SENTENCE}</p><p class="x>{SENTENCE}</p></article>', [SENTENCE] * 2),
+])
+def test_malformed_pages_lose_nothing(trees, page, want):
+    assert pages.main_text(page, trees) == "\n".join(" ".join(w.split()) for w in want)
+
+
+@pytest.mark.parametrize("unit", ['<a title="x ', "<div><a ", "<h1><a ", "<svg/><svg ", "<a <b>", "<p a='x>", "</b ", "<!--", "<script>", "<title <title "])
+def test_long_malformed_pages_are_read_in_one_pass(trees, unit):
+    import time
+
+    began = time.process_time()
+    pages.main_text(unit * (2_000_000 // len(unit)), trees)
+    assert time.process_time() - began < 20  # some 1 to 4 seconds; by the square it would be hours
+
+
+def test_long_page_is_read_whole(trees):
+    n = 5_000
+    got = pages.main_text("<nav><a href=/>Home</a></nav><article>" + f"<p>{SENTENCE}</p>" * n + "</article><footer>end</footer>", trees)
+    assert got == "\n".join([SENTENCE.strip()] * n)
+
+
+def test_sample_takes_copies_once(spark):
+    page = "<nav><a href=/>Home</a></nav><article><p>" + SENTENCE + "</p></article><footer>end</footer>"
+    df = spark.createDataFrame([(1, page)] * 300 + [(i, page.replace("plan", f"plan {i}")) for i in range(2, 6)], "page_id long, html string")
+    got = pages.extract(df).collect()
+    assert len(got) == 304 and all(r.text.startswith("The council met") and "Home" not in r.text for r in got)
+
+
 def test_decoding_keeps_nothing_below_a_dropped_element():
     nodes = pages.read_page("<nav><p>in</p></nav><article><p>yes, all of this</p><aside>no</aside></article>")
     score = np.array([0, -3, 0.5, 2, 1, -2], float)
     assert pages.decode(nodes, score)[1:] == [False, False, True, True, False]
 
 
-SENTENCE = "The council met on Monday evening and agreed on a plan for the old harbour, which will be rebuilt over the next four years. "
-
-
 @pytest.mark.parametrize("page,want", [
     (f"<body><h1>T</h1>{SENTENCE}<br><br>And <b>then</b> {SENTENCE}</body>", ["T", f"{SENTENCE}And then {SENTENCE}"]),
     (f"<html><head><title>t</title><meta charset=utf-8><body><article><h1>T</h1><p>{SENTENCE}</p></article></body>", ["T", SENTENCE]),
