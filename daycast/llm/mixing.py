@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from daycast.llm.carry import packed, unpacked
 from daycast.llm.words import n_words
 
 #: Weights of the sources in code point order, repeating.
@@ -84,8 +85,8 @@ def apportion(votes: DataFrame, by: list[str], vote: str, seats: str, order: lis
 def mix(docs: DataFrame) -> DataFrame:
     """All documents with ``size, source_size, target, taken``.
 
-    Needs ``doc_id, text, source``; other columns pass (those with one of the
-    names added here are replaced).  NULL texts have size 0 and take nothing; a
+    Needs ``doc_id, text, source``; other columns pass whatever their names (those
+    named like one of the four results are replaced).  NULL texts have size 0 and take nothing; a
     NULL source is a source, last in order; repeated rows count and are taken
     one by one; without words every target is 0; no rows give no rows.
     ``taken`` counts words over at most two passes of a document; a pass takes
@@ -96,7 +97,11 @@ def mix(docs: DataFrame) -> DataFrame:
     source is spread over many shards; their number follows the source's own
     number of documents.
     """
-    keep = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
+    return unpacked(_mixed(packed(docs)), docs, {c: F.col(c) for c in ("size", "source_size", "target", "taken")})
+
+
+def _mixed(docs: DataFrame) -> DataFrame:
+    keep = docs.columns
     sized = docs.select(*keep).withColumn("size", n_words("text"))
     # sources of several shards: at most one row per 2 * SHARD_DOCS documents
     parts = (docs.groupBy(F.col("source").alias("p_source")).agg(F.floor(F.count(F.lit(1)) / SHARD_DOCS).cast("long").alias("_parts"))
@@ -142,7 +147,13 @@ def op10_mixing(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: a row per pass over a document, its text unchanged."""
-    mixed = mix(docs).filter("taken > 0")
+    """Pipeline stage: a row per pass over a document, its text unchanged (``n_chars``, if there, is its length).
+
+    The other columns of ``docs`` pass as given, also those named like a result.
+    NULL and empty texts take no words and so have no row; a NULL source is a
+    source; repeated rows are taken one by one; an empty table stays empty.
+    """
+    mixed = _mixed(packed(docs)).filter("taken > 0")
     out = mixed.withColumn("_pass", F.explode(F.sequence(F.lit(1), F.try_divide(F.col("taken"), F.col("size")).cast("int"))))
-    return out.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    length = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return unpacked(out, docs, length)

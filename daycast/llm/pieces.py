@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from daycast.llm.carry import packed, unpacked
 from daycast.session import ship_package
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -331,5 +332,10 @@ def op5_pieces(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage (the last): ids of every document."""
-    return encode(docs).drop("text", "decoded")
+    """Pipeline stage (the last): ``ids`` of every document, its other columns but ``text`` as given (``ids`` is replaced).
+
+    NULL and empty texts have no ids, repeated rows are equal, an empty table stays empty.
+    """
+    from pyspark.sql import functions as F
+
+    return unpacked(encode(packed(docs)), docs, {"ids": F.col("ids")}).drop("text")

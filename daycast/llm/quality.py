@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daycast.llm.carry import packed, unpacked
 from daycast.llm.words import BLANKS, text_of, word_array
 from daycast.session import stage as stage_table
 
@@ -111,16 +112,25 @@ def fences(feats: DataFrame, k: int = 2000) -> DataFrame:
         .alias(f"{m}_fence") for m, least in MEASURES.items()])
 
 
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed",
+           *[f"{m}_fence" for m in MEASURES], "kept")
+
+
 def judge(docs: DataFrame, texts: bool = True) -> DataFrame:
-    """All documents with their features and ``kept``.
+    """All documents with their features, fences and ``kept`` (``RESULTS``).
 
-    ``docs`` needs ``text, lang, source``; all its columns stay (those named
-    like a feature or fence are replaced).  NULL or empty texts fail the base
-    rules; ties at a fence are kept; repeated rows get equal verdicts; an empty
-    table gives an empty table.  Only sketches are shuffled.  With ``texts`` the
+    ``docs`` needs ``text, lang, source``; all its columns stay whatever their
+    names, but those named like a result are replaced.  NULL or empty texts fail
+    the base rules; ties at a fence are kept; repeated rows get equal verdicts; an
+    empty table gives an empty table.  Only sketches are shuffled.  With ``texts`` the
     documents are read twice, for the sketches and for the verdict; without, the
     result has no ``text`` column and the features of one pass are written down.
     """
+    done = _judged(packed(docs), texts)
+    return unpacked(done, docs if texts else docs.drop("text"), {c: F.col(c) for c in RESULTS})
+
+
+def _judged(docs: DataFrame, texts: bool) -> DataFrame:
     if texts:
         feats, seen = features(docs), features(docs.select("text", "lang", "source"))
     else:
@@ -131,8 +141,7 @@ def judge(docs: DataFrame, texts: bool = True) -> DataFrame:
         ok = _measure(m) <= F.coalesce(F.col(f"{m}_fence"), F.lit(1.0))
         inside = ok if inside is None else inside & ok
     return (feats.join(limit, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
-            .withColumn("kept", ~F.col("base_failed") & inside & (F.col("_row") >= 0))
-            .drop("_lang", "_source", "_row"))
+            .withColumn("kept", ~F.col("base_failed") & inside & (F.col("_row") >= 0)))
 
 
 def op3_quality(spark, sf_dir: str) -> DataFrame:
@@ -142,5 +151,10 @@ def op3_quality(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: rejected documents go."""
-    return judge(docs).filter("kept").select(*docs.columns)
+    """Pipeline stage: rejected documents go.
+
+    The columns of ``docs`` pass as given, also those named like a result.  NULL
+    and empty texts are rejected (base rules), repeated rows stay or go together,
+    ties at a fence stay, an empty table stays empty.
+    """
+    return unpacked(_judged(packed(docs), True).filter("kept"), docs)

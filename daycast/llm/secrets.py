@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from daycast.llm.carry import packed, unpacked
 from daycast.llm.words import text_of
 
 # Patterns of the base kinds, in their order.
@@ -238,16 +239,19 @@ def scan(docs: DataFrame) -> DataFrame:
 
     Offsets are code points, ends exclusive; ``kind`` is an index into
     ``KINDS``.  The battery adds spans of kind ``random`` that overlap no base
-    span and lie in no longer one; base spans always stay.  Needs ``text``; other columns pass (a column
-    ``spans`` is replaced).  NULL and empty texts have no spans, equal texts
+    span and lie in no longer one; base spans always stay.  Needs ``text``; other columns pass whatever their
+    names (a column ``spans`` is replaced).  NULL and empty texts have no spans, equal texts
     equal spans, an empty table stays empty.  The documents are read twice: the
     first pass counts p-values per (encoding, length class), a table of at most
     a few hundred limits that the second pass gets as one scalar.
     """
-    keep = [c for c in docs.columns if c != "spans"]
+    return unpacked(_scanned(packed(docs)), docs, {"spans": F.col("spans")})
+
+
+def _scanned(docs: DataFrame) -> DataFrame:
     limits = (_limits(_candidates(docs.select(text_of("text").alias("_text"))))
               .agg(F.map_from_entries(F.collect_list(F.struct("group", F.coalesce("limit", F.lit(MOST_BINS + 1)))))).scalar())
-    df = _candidates(_base(docs.select(*keep))).withColumn("_limits", limits)
+    df = _candidates(_base(docs)).withColumn("_limits", limits)
 
     def spans(c: str, kind: int) -> Column:
         return F.transform(c, lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end")))
@@ -260,7 +264,7 @@ def scan(docs: DataFrame) -> DataFrame:
     longest = F.filter("_random", lambda x: ~F.exists("_random", lambda y: (
         (y["start"] <= x["start"]) & (x["end"] <= y["end"]) & (y["end"] - y["start"] > x["end"] - x["start"]))))
     df = df.withColumn("_random", longest)
-    return df.withColumn("spans", F.sort_array(F.concat("_base", spans("_random", 3)))).select(*keep, "spans")
+    return df.withColumn("spans", F.sort_array(F.concat("_base", spans("_random", 3)))).select(*docs.columns, "spans")
 
 
 def _listed(spans: Column) -> Column:
@@ -281,7 +285,12 @@ def op7_secrets(spark, sf_dir: str) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """Documents whose secrets are replaced by ``mark`` (overlapping spans by one); ``n_chars``, if there, follows."""
+    """Documents whose secrets are replaced by ``mark`` (overlapping spans by one); ``n_chars``, if there, follows.
+
+    The other columns pass as given, also one named ``spans``.  NULL texts stay
+    NULL and empty ones empty, repeated rows stay and are equal, an empty table
+    stays empty.
+    """
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(a: Column, s: Column) -> Column:
@@ -293,12 +302,11 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     done = F.aggregate("spans", begin, step, lambda a: F.concat(
         F.array_join(a["parts"], ""), F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
-    out = scan(docs.withColumnRenamed("spans", "_given")).withColumn("_clean", F.when(F.size("spans") > 0, done).otherwise(F.col("text")))
-    return out.select(*[F.col("_clean").alias("text") if c == "text" else F.col("_given").alias("spans") if c == "spans" else
-                        (F.length("_clean").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c))
-                        for c in docs.columns])
+    out = _scanned(packed(docs)).withColumn("_clean", F.when(F.size("spans") > 0, done).otherwise(F.col("text")))
+    length = {"n_chars": F.length("_clean").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return unpacked(out, docs, {"text": F.col("_clean"), **length})
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: secrets are blanked out, no document goes."""
+    """Pipeline stage: secrets are blanked out, no document goes (NULLs, repeated rows and other columns as in ``redact``)."""
     return redact(docs)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daycast.llm import sketch
+from daycast.llm.carry import packed, unpacked
 from daycast.llm.words import chunks, find_words, hash_windows, hash_words, text_buffers
 
 WINDOW = 13
@@ -182,11 +183,14 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW) -> DataFrame:
     with a smaller ``doc_id``; windows are judged on the input.  NULL texts have
     no words and keep an empty text; a NULL ``doc_id`` counts as larger than all
     others; repeated rows are equal and share a fate; texts of fewer than ``k``
-    words lose nothing; other columns pass (``n_words``, ``n_removed`` and
-    ``kept`` are replaced); an empty table stays empty.
+    words lose nothing; other columns pass whatever their names (``n_words``,
+    ``n_removed`` and ``kept`` are replaced); an empty table stays empty.
     """
-    keep = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")]
-    docs = docs.select(*keep)
+    return unpacked(_without_repeats(packed(docs), k), docs, {c: F.col(c) for c in ("n_words", "n_removed", "kept")})
+
+
+def _without_repeats(docs: DataFrame, k: int) -> DataFrame:
+    keep = docs.columns
     hits = (repeated_starts(docs, k).groupBy("doc", "row")
             .agg(F.collect_list("starts").alias("_starts")))  # all pieces of one text: at most one start a word
     joined = (docs.withColumns({"_doc": _doc(), "_row": _row()}).alias("d")
