@@ -23,6 +23,8 @@ from daycast.session import ship_package
 #: Pages the trees are fitted on, at most (those with the smallest hash of their id).
 SAMPLE = 128
 TREES, DEPTH, RATE = 24, 4, 0.3
+#: Elements scored at once.
+ROWS = 8192
 
 # Elements by how HTML treats their text.
 HIDDEN = frozenset("script style noscript template head title meta link svg iframe object canvas textarea select option annotation annotation-xml".split())
@@ -103,7 +105,12 @@ class _Open:
 
     def last(self, tags) -> int:
         """Place of the innermost open one of ``tags``, 0 if none is open."""
-        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+        at = 0
+        for t in tags:
+            places = self.places.get(t)
+            if places and places[-1] > at:
+                at = places[-1]
+        return at
 
     def cut(self, at: int) -> None:
         """Ends the element at place ``at`` (if not 0) and all inside it; a hidden one among them hides no longer."""
@@ -126,13 +133,10 @@ def read_page(page: str) -> list[Node]:
     open_ = _Open()
     block, at = 0, 0
 
-    def in_head() -> bool:
-        return open_.stack[open_.hidden][0] == "head"
-
     def put(text: str) -> None:
         if not text:
             return
-        if in_head() and not text.isspace():
+        if open_.hidden and open_.stack[open_.hidden][0] == "head" and not text.isspace():
             open_.cut(open_.hidden)  # the end tag of <head> may be left out: what belongs to the body ends it
         if not open_.hidden:
             to = open_.stack[-1][1]
@@ -164,7 +168,7 @@ def read_page(page: str) -> list[Node]:
             if tag not in INLINE:
                 block += 1
             continue
-        if in_head() and tag not in IN_HEAD:
+        if open_.hidden and open_.stack[open_.hidden][0] == "head" and tag not in IN_HEAD:
             open_.cut(open_.hidden)
         if tag in HIDDEN and _SELF_CLOSED.search(attrs):
             # empty, unless its own end tag is the next one of its name
@@ -190,7 +194,7 @@ def read_page(page: str) -> list[Node]:
         ends, scope = ENDS.get(tag, ()), SCOPE.get(tag, ())
         if tag in CLOSES_P:
             ends, scope = ("p",), ("button", "table", "td", "li", "div", "article", "section", "body")
-        if (ended := open_.last(ends)) > open_.last(scope):
+        if ends and (ended := open_.last(ends)) > open_.last(scope):
             open_.cut(ended)
         if tag in INLINE:
             open_.push(tag, open_.stack[-1][1])
@@ -251,8 +255,8 @@ def features(nodes: list[Node]) -> np.ndarray:
 # ---- trees ----------------------------------------------------------------
 
 
-def fit_trees(x: np.ndarray, y: np.ndarray) -> tuple[list[list[tuple]], float]:
-    """Gradient boosting with logistic loss; a tree is a list of (feature, limit, left, right, value)."""
+def fit_trees(x: np.ndarray, y: np.ndarray) -> tuple[tuple[np.ndarray, ...], float]:
+    """Gradient boosting with logistic loss; a tree is a list of (feature, limit, left, right, value), feature -1 in a leaf."""
     base = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     f, trees = np.full(len(y), base), []
     cuts = [np.unique(np.quantile(c, np.linspace(0.05, 0.95, 12))) for c in x.T]
@@ -262,7 +266,9 @@ def fit_trees(x: np.ndarray, y: np.ndarray) -> tuple[list[list[tuple]], float]:
         _grow(x, y - p, p * (1 - p), np.arange(len(y)), cuts, DEPTH, tree)
         trees.append(tree)
         f += RATE * _tree_value(tree, x)
-    return trees, base
+    most = max(map(len, trees))
+    # field by field, a row per tree
+    return tuple(np.array([[n[i] for n in t] + [0] * (most - len(t)) for t in trees]) for i in range(5)), base
 
 
 def _grow(x, g, h, rows, cuts, depth, tree) -> int:
@@ -301,8 +307,20 @@ def _tree_value(tree: list[tuple], x: np.ndarray) -> np.ndarray:
 
 
 def scores(model: tuple, x: np.ndarray) -> np.ndarray:
-    trees, base = model
-    return base + RATE * sum(_tree_value(t, x) for t in trees)
+    """All trees walk some thousand rows at once, level by level, by flat places (a leaf stays where it is)."""
+    if len(x) > ROWS:
+        return np.concatenate([scores(model, x[a:a + ROWS]) for a in range(0, len(x), ROWS)])
+    (feature, limit, left, right, value), base = model
+    most = feature.shape[1]
+    tree = np.arange(len(feature))[:, None] * most
+    row = np.arange(len(x)) * x.shape[1]
+    at, flat = np.zeros((len(feature), len(x)), int), np.ascontiguousarray(x).ravel()
+    for _ in range(DEPTH):
+        place = tree + at
+        f = feature.ravel()[place]
+        go = flat[row + np.maximum(f, 0)] <= limit.ravel()[place]
+        at = np.where(f >= 0, np.where(go, left.ravel()[place], right.ravel()[place]), at)
+    return base + RATE * value.ravel()[tree + at].sum(axis=0)
 
 
 def decode(nodes: list[Node], score: np.ndarray) -> list[bool]:
