@@ -273,6 +273,54 @@ def test_recall_where_the_index_prunes(spark):
     assert near >= 0.9 and rest >= 0.9
 
 
+def vector_table(x, ids=None):
+    flat = pa.FixedSizeListArray.from_arrays(pa.array(x.astype(np.float32).ravel()), x.shape[1]).cast(pa.list_(pa.float32()))
+    return pa.table({"vec_id": np.arange(len(x)) if ids is None else ids, "embedding": flat})
+
+
+def test_recall_without_structure(spark):
+    """20,000 vectors that no index prunes well: the walks go as far as the true neighbours lie."""
+    x = np.random.default_rng(8).normal(size=(20_000, 64)).astype(np.float32).astype(float)
+    got = neighbours.search(spark.createDataFrame(vector_table(x)), F.col("vec_id") % 200 == 0).toPandas()
+    want = nearest_plainly(np.arange(len(x)), x, lambda i: i % 200 == 0)
+    hits = sum(len({v for v, _ in want[q]} & set(got["vec_id"][got["query_id"] == q])) for q in want)
+    assert hits >= 0.95 * 10 * len(want)
+
+
+def test_rows_that_come_twice(spark):
+    """Each of two equal query rows gets its ten nearest; the other row is one of them."""
+    x = np.random.default_rng(9).normal(size=(40, 4)).astype(np.float32).astype(float)
+    ids = np.repeat(np.arange(40), 2)
+    got = neighbours.search(spark.createDataFrame(vector_table(np.repeat(x, 2, axis=0), ids)), F.col("vec_id") % 20 == 0).collect()
+    for q in (0, 20):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        one = [q, *np.repeat(np.argsort(d)[1:], 2)][:10]
+        assert sorted((r.rank, r.vec_id) for r in got if r.query_id == q) == sorted(2 * list(enumerate(one, 1)))
+
+
+def test_walks_reach_a_cell_with_what_it_needs():
+    rng = np.random.default_rng(10)
+    d1, d2, count = rng.random(30), rng.random(40), rng.integers(0, 60, 1200)
+    count[rng.integers(0, 1200, 5)] = 5_000
+    cells = rng.choice(np.flatnonzero(count), 40, replace=False)
+    for cell, enough in zip(cells, neighbours.needed(d1, d2, count, cells)):
+        assert cell in neighbours.walk(d1, d2, count, enough)
+        assert enough == 1 or cell not in neighbours.walk(d1, d2, count, enough - 1)
+
+
+def test_closest_measures_exactly():
+    """Far from zero, beside one huge vector and with ties, the product drops nothing that is nearest."""
+    rng = np.random.default_rng(12)
+    m = (3e6 + rng.normal(size=(700, 16))).astype(np.float32).astype(float)
+    m[5] *= 1e15
+    m[100:130] = m[99]
+    e, q = m[90:140], np.arange(90, 140)
+    rows, cols, d = neighbours.closest(m, np.arange(700), e, q, 10)
+    want = nearest_plainly(np.arange(700), m, lambda i: 90 <= i < 140)
+    for i, query in enumerate(q):
+        assert list(zip(cols[rows == i].tolist(), d[rows == i])) == want[query]
+
+
 def test_neighbour_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [1.0, None]), (7, [1.0]),
