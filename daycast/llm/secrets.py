@@ -39,6 +39,10 @@ _ANY = "A-Za-z0-9+/_-"
 #: Candidates of the battery: whole runs of base64 characters or, where '-' or '_' stand beside them, what lies between
 #: slashes; runs of base64url characters; runs of letters and digits.  '=' between characters is an assignment.
 TOKENS = (_run("A-Za-z0-9+/", _ANY) + "|" + _run("A-Za-z0-9+", "A-Za-z0-9+_-"), _run("A-Za-z0-9_-", "A-Za-z0-9_-"), _run("A-Za-z0-9", "A-Za-z0-9"))
+#: Every candidate, and every span of the kinds "access" and "hex", lies in such a run.
+LONG = rf"(?<![{_ANY}])[{_ANY}]{{20}}"
+#: What every "assign" match has behind its name: the name's last letter, the sign and a value.
+GIVEN_VALUE = r"""[DdTtNnYy]["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]"""
 #: Alphabets in code order.
 _DIGITS, _UPPER, _LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALPHABETS = {
@@ -105,14 +109,19 @@ def _located(df: DataFrame, name: str, pattern: str, value: int = 0, maybe: str
     return df.withColumn(name, located).drop("_m", "_gap", "_v", "_at")
 
 
+def _marked(df: DataFrame) -> DataFrame:
+    """Adds ``_maybe``: has the text a run long enough for any span but an assigned value?"""
+    return df.withColumn("_maybe", F.col("_text").rlike(LONG))
+
+
 def _base(docs: DataFrame) -> DataFrame:
-    """Adds one array of spans per base kind."""
-    df = docs.withColumn("_text", text_of("text"))
-    df = _located(df, "_assign", ASSIGN, 2)
+    """Adds ``_text``, ``_maybe`` and one array of spans per base kind."""
+    df = _marked(docs.withColumn("_text", text_of("text"))).withColumn("_given", F.col("_text").rlike(GIVEN_VALUE))
+    df = _located(df, "_assign", ASSIGN, 2, maybe="_given")
     # these two match whole runs, so the least length can stand in the pattern
-    df = _located(df, "_access", ACCESS)
-    df = _located(df, "_hex", HEX)
-    return df.withColumn("_assign", F.filter("_assign", lambda s: F.length(s["value"]) >= LEAST_VALUE))
+    df = _located(df, "_access", ACCESS, maybe="_maybe")
+    df = _located(df, "_hex", HEX, maybe="_maybe")
+    return df.withColumn("_assign", F.filter("_assign", lambda s: F.length(s["value"]) >= LEAST_VALUE)).drop("_given")
 
 
 # ---- battery --------------------------------------------------------------
@@ -214,7 +223,7 @@ def _testable(x: Column) -> Column:
 
 
 def _candidates(df: DataFrame) -> DataFrame:
-    df = df.withColumn("_maybe", F.col("_text").rlike(rf"(?<![{_ANY}])[{_ANY}]{{20}}"))
+    """Adds ``_tested``, the verdicts of the battery; needs ``_text, _maybe``."""
     for i, pattern in enumerate(TOKENS):
         df = _located(df, f"_tokens{i}", pattern, maybe="_maybe")
     names = [f"_tokens{i}" for i in range(len(TOKENS))]
@@ -226,7 +235,9 @@ def _candidates(df: DataFrame) -> DataFrame:
 
 def _limits(tested: DataFrame) -> DataFrame:
     """``group, limit``: the first p-value bin at which randomness counts as rejected (Benjamini-Hochberg per group)."""
-    bins = (tested.select(F.explode("_tested").alias("x")).groupBy("x.group", "x.bin").agg(F.count(F.lit(1)).alias("c")))
+    # explode() would have the optimizer infer a filter on the array's size, and push it below with the battery in it again and again
+    each = tested.select(F.explode_outer("_tested").alias("x")).filter("x is not null")
+    bins = each.groupBy("x.group", "x.bin").agg(F.count(F.lit(1)).alias("c"))
     above = W.partitionBy("group").orderBy(F.desc("bin"))
     everything = W.partitionBy("group")
     ranked = bins.withColumns({"r": F.sum("c").over(above), "m": F.sum("c").over(everything)})
@@ -249,7 +260,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def _scanned(docs: DataFrame) -> DataFrame:
-    limits = (_limits(_candidates(docs.select(text_of("text").alias("_text"))))
+    limits = (_limits(_candidates(_marked(docs.select(text_of("text").alias("_text"))).filter("_maybe")))
               .agg(F.map_from_entries(F.collect_list(F.struct("group", F.coalesce("limit", F.lit(MOST_BINS + 1)))))).scalar())
     df = _candidates(_base(docs)).withColumn("_limits", limits)
 

@@ -214,6 +214,13 @@ def test_no_added_span_on_the_given_documents(spark):
     assert got.filter("n_assign + n_access + n_hex > 0").count() > 10
 
 
+def test_no_filter_repeats_the_battery(spark):
+    docs = spark.createDataFrame([(1, "password = hunter22")], "doc_id long, text string")
+    plan = secrets.scan(docs)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [x for x in plan.splitlines() if re.match(r"[\s:+-]*Filter ", x)]
+    assert filters and all("transform(" not in x and x.count("RLIKE") <= 1 for x in filters)
+
+
 def test_redaction(spark):
     rows = [(1, "a password=hunter22 b", "x", 21), (2, "clean", "y", 5), (3, None, "z", None),
             (4, "secret=" + "ab" * 20 + " end", "w", 51), (5, "x" * 600 + " token: abcdefg" * 600, "v", 9600)]
