@@ -14,11 +14,16 @@ The result is components: links inside a component are not all measured.
 
 Equal sets are one class from the start, and a set of which so many shingles
 occur nowhere else that no prefix shingle is shared (count-min sketch: never
-underestimates) is alone without any shuffle.
+underestimates) is alone without any shuffle.  Where the table is too large for
+the sketch to tell, the rarest shingles of each document, some more than its
+prefix, meet in shards as short numbers that are counted exactly: two linked
+sets share a known number of them, so a document that repeats fewer is alone.
+Only the other documents' sets are ever written or shuffled.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,14 +41,20 @@ PERCENT = 75
 LAST = (1 << 63) - 1
 #: How many classes may hold a shingle, in steps: rarer shingles come first in prefixes.
 RARITY = (5, 33, 257, 2049)
-#: Bits of the two sketches at most (64 MB and 32 MB).
-ONCE_BITS, RARITY_BITS = 29, 28
+#: Bits of the two sketches at most (64 MB and 32 MB), and of the filter of the documents that may be linked (32 MB).
+ONCE_BITS, RARITY_BITS, NEAR_BITS = 29, 28, 28
+#: Documents that hold a common shingle, at least, and as a multiple of what a full sketch counts for any shingle.
+COMMON, COMMON_LOAD = 33, 4
+#: Counted shingles in a shard, about, and such shingles that a task gathers before it sends them.
+SHARD, PIECE = 1 << 19, 1 << 21
+#: Bytes of text that are hashed in one go; arrays of some ten times this size come and go.
+CHUNK = 1 << 18
 
 
 def _sets(batch: pa.RecordBatch):
     """Per chunk: first document, documents in chunk, (document, shingle) pairs, distinct, sorted."""
     data, offs = text_buffers(batch.column("text"))
-    for a, b in chunks(offs):
+    for a, b in chunks(offs, CHUNK):
         part, o = data[offs[a]:offs[b]], offs[a:b + 1] - offs[a]
         starts, ends, doc = find_words(part, o)
         words = hash_words(part, starts, ends, lower=True)
@@ -73,10 +84,127 @@ def _prefix_length(n: np.ndarray) -> np.ndarray:
     return n + (-(PERCENT * n) // 100) + 1
 
 
+def _slack(n: np.ndarray) -> np.ndarray:
+    """How many shingles a document counts beyond its prefix; grows with its size."""
+    return n // 8
+
+
+def _least(n: np.ndarray) -> np.ndarray:
+    """How many of the counted shingles a set shares with a linked one, at least.
+
+    Let linked sets count their first prefix + slack shingles of a common order.  The one whose list ends earlier
+    holds at most prefix - 1 shingles that the other lacks, so slack + 1 at least stand in both lists; linked sets
+    have PERCENT of each other's size at least.
+    """
+    return _slack(-(-PERCENT * n // 100)) + 1
+
+
+def _sums(h: np.ndarray, n: np.ndarray, salt: int) -> np.ndarray:
+    """A key per document of its shingles, which stand in the documents' order."""
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h ^ np.uint64(salt)), dtype=np.uint64)])
+    end = np.cumsum(n)
+    return mix(total[end] - total[end - n] + n.astype(np.uint64))
+
+
+def _refs(key: np.ndarray) -> np.ndarray:
+    """Short numbers of documents; documents may share one and then count as one that repeats more."""
+    return (key >> np.uint64(32)).astype(np.uint32)
+
+
+COUNTED = "shard int, cells binary, refs binary, docs binary, least binary"
+COUNTED_SCHEMA = pa.schema([("shard", pa.int32()), *[(c, pa.binary()) for c in ("cells", "refs", "docs", "least")]])
+
+
+def _counted(seen: sketch.Counts, bits: int):
+    """Task: the rarest shingles of the documents that are not certainly alone, dealt to ``2**bits`` shards by their hashes."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for _, n_docs, d, h in _sets(batch):
+                n = np.bincount(d, minlength=n_docs)
+                level = seen.level(h)
+                open_ = n - np.bincount(d[level > 0], minlength=n_docs) < _prefix_length(n)
+                ref = _refs(_sums(h, n, BASES[0]))
+                order = np.argsort(d * 4 + level, kind="stable")  # rarest first, then by hash; documents stay in order
+                rank = np.arange(len(h)) - (np.cumsum(n) - n)[d]
+                take = (level[order] > 0) & open_[d] & (rank < (_prefix_length(n) + _slack(n))[d])
+                c = mix(h[order[take]] ^ np.uint64(BASES[1]))
+                docs = np.flatnonzero(open_ & (n > 0))
+                held.append(((c >> np.uint64(64 - bits)).astype(np.int32), ((c >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32),
+                             ref[d[take]], ref[docs], _least(n[docs]).astype(np.uint32)))
+                size += len(c) + len(docs)
+            if size >= PIECE:
+                yield from sent(held)
+                held, size = [], 0
+        if size:
+            yield from sent(held)
+        seen.close()
+
+    def sent(held: list) -> Iterator[pa.RecordBatch]:
+        shard, cells, refs, docs, least = (np.concatenate(x) for x in zip(*held))
+        by, at = np.argsort(shard, kind="stable"), np.argsort(docs & np.uint32((1 << bits) - 1), kind="stable")
+        cells, refs, docs, least = cells[by], refs[by], docs[at], least[at]
+        every = np.arange((1 << bits) + 1)
+        x, y = np.searchsorted(shard[by], every), np.searchsorted(docs & np.uint32((1 << bits) - 1), every)
+        some = np.flatnonzero((x[1:] > x[:-1]) | (y[1:] > y[:-1]))
+        for i in range(0, len(some), 256):
+            part = some[i:i + 256].tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.int32()), *[pa.array([v[z[k]:z[k + 1]].tobytes() for k in part], pa.binary())
+                                               for v, z in ((cells, x), (refs, x), (docs, y), (least, y))]], schema=COUNTED_SCHEMA)
+
+    return task
+
+
+REPEATED = "ref bigint, repeated bigint, least bigint"
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task over rows sorted by shard: how many shingles of a document occur again, and how many would have to."""
+    schema = pa.schema([(c, pa.int64()) for c in ("ref", "repeated", "least")])
+
+    def count(rows: list) -> Iterator[pa.RecordBatch]:
+        cells, refs, docs, least = (np.frombuffer(b"".join(x), np.uint32) for x in zip(*rows))
+        order = np.argsort(cells)
+        same = cells[order[1:]] == cells[order[:-1]]
+        again = np.zeros(len(cells), bool)
+        again[1:] = same
+        again[:-1] |= same
+        ref, n = np.unique(refs[order[again]], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([ref, docs]).astype(np.int64)),
+                                          pa.array(np.concatenate([n, np.zeros(len(docs), np.int64)])),
+                                          pa.array(np.concatenate([np.full(len(ref), LAST), least.astype(np.int64)]))], schema=schema)
+
+    shard, rows = None, []
+    for batch in batches:
+        for r in batch.to_pylist():
+            if r["shard"] != shard and rows:
+                yield from count(rows)
+                rows = []
+            shard = r["shard"]
+            rows.append((r["cells"], r["refs"], r["docs"], r["least"]))
+    if rows:
+        yield from count(rows)
+
+
+def _near(docs: DataFrame, seen: sketch.Counts, n_hashes: int) -> sketch.Counts:
+    """Which documents may be linked with another: a filter of their short numbers, certain in its "no"."""
+    bits = min(16, max(6, math.ceil(math.log2(n_hashes / SHARD))))
+    met = docs.select("text").mapInArrow(_counted(seen, bits), COUNTED).repartition("shard").sortWithinPartitions("shard")
+    found = (met.mapInArrow(_repeated, REPEATED).groupBy("ref").agg(F.sum("repeated").alias("repeated"), F.min("least").alias("least"))
+             .filter("repeated >= least").select("ref"))
+    return sketch.build(found, lambda batch: [_mixed(batch.column("ref").to_numpy().astype(np.uint32))], docs.count(), (1,), NEAR_BITS)
+
+
+def _mixed(refs: np.ndarray) -> np.ndarray:
+    return mix(refs.astype(np.uint64))
+
+
 SIGNATURES = "doc_id bigint, tag bigint, n bigint, key bigint, key2 bigint, shared array<bigint>"
 
 
-def _signatures(seen: sketch.Counts):
+def _signatures(seen: sketch.Counts, near: sketch.Counts):
     schema = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("key2", pa.int64()),
                         ("shared", pa.list_(pa.int64()))])
 
@@ -85,21 +213,20 @@ def _signatures(seen: sketch.Counts):
             ids = batch.column("doc_id").cast(pa.int64())
             for a, n_docs, d, h in _sets(batch):
                 n = np.bincount(d, minlength=n_docs)
-                keys = []
-                for salt in BASES:
-                    s = np.zeros(n_docs, np.uint64)
-                    np.add.at(s, d, mix(h ^ np.uint64(salt)))
-                    keys.append(mix(s + n.astype(np.uint64)).view(np.int64))
+                keys = [_sums(h, n, salt) for salt in BASES]
+                alone = (n == 0) | ~near.may(_mixed(_refs(keys[0])))
+                h, d = h[~alone[d]], d[~alone[d]]
                 may = seen.may(h)
-                # alone: prefix shingles enough that occur nowhere else
-                alone = n - np.bincount(d[may], minlength=n_docs) >= _prefix_length(n)
+                # alone as well: prefix shingles enough that occur nowhere else
+                alone |= n - np.bincount(d[may], minlength=n_docs) >= _prefix_length(n)
                 take = may & ~alone[d]
                 size = np.bincount(d[take], minlength=n_docs)
                 ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
                 shared = pa.ListArray.from_arrays(pa.array(ends), pa.array(h[take].view(np.int64)),
-                                                  mask=pa.array(alone | (n == 0)))
+                                                  mask=pa.array(alone))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, n_docs), batch.column("tag").slice(a, n_docs), pa.array(n), pa.array(keys[0]), pa.array(keys[1]), shared], schema=schema)
+                    [ids.slice(a, n_docs), batch.column("tag").slice(a, n_docs), pa.array(n), *[pa.array(k.view(np.int64)) for k in keys], shared], schema=schema)
+        seen.close()
 
     return task
 
@@ -120,6 +247,7 @@ def _cells(rarity: sketch.Counts):
                     [pa.array(h[order].view(np.int64)), pa.array(np.full(len(order), node.as_py())),
                      pa.array(np.full(len(order), size)), pa.array(size - alone - 1 - np.arange(len(order))),
                      pa.array(np.full(len(order), alone / size))], schema=schema)
+        rarity.close()
 
     return task
 
@@ -217,10 +345,14 @@ def _grouped(docs: DataFrame) -> DataFrame:
     ``_class`` is one number per component that holds more than one set or row,
     NULL for a row that is certainly alone.
     """
-    seen = sketch.build(docs.select("text"), lambda batch: (h for *_, h in _sets(batch)), sketch.estimate(docs),
-                        most_bits=ONCE_BITS)
-    signed = stage(docs.mapInArrow(_signatures(seen), SIGNATURES), "signatures")
+    n_hashes = sketch.estimate(docs)
+    common = max(COMMON, COMMON_LOAD * (n_hashes >> sketch.width(n_hashes, 2, ONCE_BITS)))
+    seen = sketch.build(docs.select("text"), lambda batch: (h for *_, h in _sets(batch)), n_hashes, (2, common), ONCE_BITS)
+    near = _near(docs, seen, n_hashes)
+    seen.beside, near.beside = near.name, seen.name
+    signed = stage(docs.mapInArrow(_signatures(seen, near), SIGNATURES), "signatures")
     seen.drop()
+    near.drop()
     candidates = signed.filter("shared is not null")
     # a class is a set, told from others by both keys; its node is a number given once
     sets = stage(candidates.groupBy("key", "key2", "n").agg(F.any_value("shared").alias("shared"))

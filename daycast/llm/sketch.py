@@ -166,15 +166,17 @@ class Counts:
     def __init__(self, sent, size: int, bits: int, thresholds: int) -> None:
         self.sent, self.size, self.bits, self.thresholds = sent, size, bits, thresholds
         self.name = uuid.uuid4().hex
+        self.beside: str | None = None  # a second sketch that tasks use together with this one
 
     def drop(self) -> None:
         """Remove the sketch everywhere (no query that uses it may run afterwards)."""
         self.sent.destroy()
 
     def _flags(self) -> np.ndarray:
-        """The bits, unpacked once per worker; a worker keeps one sketch at a time."""
+        """The bits, unpacked once per worker; a worker keeps one sketch at a time (two, if one is named beside the other)."""
         if self.name not in _OPEN:
-            _OPEN.clear()
+            for name in [x for x in _OPEN if x != self.beside]:
+                del _OPEN[name]
             _OPEN[self.name] = np.frombuffer(pa.decompress(self.sent.value, decompressed_size=self.size, codec="zstd"), np.uint8)
         return _OPEN[self.name]
 
@@ -193,6 +195,7 @@ class Counts:
     def close(self) -> None:
         """Free the unpacked bits of this worker (a task's end)."""
         _OPEN.clear()
+        pa.default_memory_pool().release_unused()
 
     def may(self, h: np.ndarray) -> np.ndarray:
         """False: the hash certainly stays below the first threshold."""

@@ -116,6 +116,58 @@ def test_jaccard_components_equal_plain_code(spark, seed):
     assert len({c for _, c in want.values()}) < len(want)
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_jaccard_with_a_full_sketch_writes_no_sets_of_documents_that_are_alone(spark, seed, monkeypatch):
+    class Full:
+        """A sketch without a free cell: every shingle may occur anywhere."""
+        beside, name = None, "full"
+
+        def level(self, h):
+            return np.ones(len(h), np.int64)
+
+        def may(self, h):
+            return np.ones(len(h), bool)
+
+        def close(self):
+            pass
+
+        drop = close
+
+    build, stage, signed = sketch.build, jaccard.stage, {}
+
+    def kept(df, name):
+        out = stage(df, name)
+        if name == "signatures":
+            signed.update({r.doc_id: r.shared is None for r in out.collect()})
+        return out
+
+    monkeypatch.setattr(sketch, "build", lambda docs, hashes, n, at=(2,), bits=sketch.MAX_BITS, **more: Full() if docs.columns == ["text"]
+                        else build(docs, hashes, n, at, bits, **more))
+    monkeypatch.setattr(jaccard, "stage", kept)
+    docs = corpus(seed) + [(1000 + i, " ".join(f"x{i}y{j}" for j in range(100))) for i in range(40)]
+    got = {r.doc_id: r.component_id for r in jaccard.components(spark.createDataFrame([(i, t, "x") for i, t in docs], SCHEMA).repartition(4)).collect()}
+    want = components_plainly(docs)
+    assert got == {k: v[1] for k, v in want.items()}
+    assert all(signed[i] for i in range(1000, 1040))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_linked_sets_repeat_the_least_number(seed):
+    rng = np.random.default_rng(seed)
+    for _ in range(3000):
+        n = int(rng.integers(1, 120))
+        a = rng.choice(10**6, n, replace=False)
+        keep = rng.permutation(n)[:int(rng.integers(0, n + 1))]
+        b = np.unique(np.concatenate([a[keep], rng.choice(10**6, int(rng.integers(0 if len(keep) else 1, n // 3 + 2)), replace=False)]))
+        both = len(np.intersect1d(a, b))
+        if 100 * both < 75 * (n + len(b) - both):
+            continue
+        sizes = np.array([n, len(b)])
+        ends = jaccard._prefix_length(sizes) + jaccard._slack(sizes)
+        met = len(np.intersect1d(np.sort(a)[:ends[0]], np.sort(b)[:ends[1]]))
+        assert (met >= jaccard._least(sizes)).all()
+
+
 def test_jaccard_links_between_regions_are_found(spark):
     """Two pivots' regions that only boundary documents link: a chain of sliding windows."""
     words = [f"w{i}" for i in range(140)]
